@@ -1,0 +1,71 @@
+"""Finding the few groups that are too large for one task.
+
+A window or a join puts a whole key group into one task. The operators that do so ask here first
+which groups hold more rows than a fair share, and treat only those in another way. The answer is
+exact and bounded: it needs no shuffle of the rows, and it never has more than ``MAX_GROUPS`` lines.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+
+# A group below this size is no burden for one task, whatever its share.
+MIN_ROWS = 1_000_000
+# A group is hot if it holds more than 1/MAX_GROUPS of all rows, so fewer than MAX_GROUPS can be.
+MAX_GROUPS = 1024
+# Hash cells per hot-group slot: an ordinary cell stays far below the threshold.
+_CELLS_PER_GROUP = 16
+
+
+def find_hot_groups(
+    rows: DataFrame,
+    keys: Sequence[str],
+    *measures: Column,
+    min_rows: int = MIN_ROWS,
+    max_groups: int = MAX_GROUPS,
+) -> list[Row]:
+    """Key values, row count (``rows``) and ``measures`` of every group above the threshold.
+
+    Pass ``rows`` with nothing but the needed columns. The first job counts hash cells; its partial
+    aggregates collapse to a fixed number of lines per task. A hot group lifts its cell above the
+    threshold, so only the rows of such cells are counted by key, and usually there are none.
+    """
+    cells = max_groups * _CELLS_PER_GROUP
+    cell = F.pmod(F.xxhash64(*keys), F.lit(cells))
+    counts = rows.groupBy(cell.alias("cell")).count().collect()
+    threshold = max(min_rows, sum(c["count"] for c in counts) // max_groups)
+    full = [c["cell"] for c in counts if c["count"] > threshold]
+    if not full:
+        return []
+    return (
+        rows.filter(cell.isin(full))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("rows"), *measures)
+        .filter(F.col("rows") > threshold)
+        .collect()
+    )
+
+
+def hot_table(like: DataFrame, keys: Sequence[str], groups: Sequence[Row], **extra: T.DataType) -> DataFrame:
+    """The groups as a DataFrame: the keys in the types of ``like``, and the ``extra`` fields.
+
+    At most ``MAX_GROUPS`` rows, hence safe to broadcast.
+    """
+    schema = T.StructType(
+        [T.StructField(key, like.schema[key].dataType) for key in keys]
+        + [T.StructField(name, kind) for name, kind in extra.items()]
+    )
+    lines = [tuple(group[name] for name in [*keys, *extra]) for group in groups]
+    return like.sparkSession.createDataFrame(lines, schema)
+
+
+def split_hot(rows: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(ordinary, hot)`` rows; the hot ones carry the extra fields of ``hot``. NULL keys compare equal."""
+    listed = F.broadcast(hot.select(*hot.columns, *[F.col(key).alias(f"_hot_{key}") for key in keys]).drop(*keys))
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_hot_{key}"))
+    marks = [f"_hot_{key}" for key in keys]
+    return rows.join(listed, same, "left_anti"), rows.join(listed, same, "inner").drop(*marks)
