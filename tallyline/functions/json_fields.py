@@ -2,43 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 from tallyline.functions.text import blank_to_null
 
 
-def _scalar(raw: Column, doc: Column, key: str) -> Column:
-    """NULL for objects and arrays, which Spark's JSON functions return as text.
-
-    Only text that looks like one is checked, so the second parse is rare. The check is on the
-    node type: a JSON *string* that begins with a brace stays.
-    """
-    node = F.schema_of_variant(F.try_variant_get(F.try_parse_json(doc), f"$.{key}", "variant"))
-    nested = (raw.startswith("{") | raw.startswith("[")) & (
-        node.startswith("OBJECT") | node.startswith("ARRAY")
-    )
-    return blank_to_null(F.when(nested, F.lit(None)).otherwise(raw))
-
-
 def json_value(doc: Column, key: str) -> Column:
     """``JSON_VALUE(doc, '$.key')``: the scalar as text.
 
     NULL for objects, arrays, JSON null, the empty string, a missing key and a malformed document.
     """
-    return _scalar(F.get_json_object(doc, f"$.{key}"), doc, key)
+    return scalar_text(F.get_json_object(doc, f"$.{key}"), doc, key)
 
 
-def parsed(doc: Column, keys: Iterable[str]) -> Column:
-    """One parse of the document for several top-level keys: a struct of raw texts.
+def scalar_text(raw: Column, doc: Column, key: str) -> Column:
+    """``raw``, the text of ``key`` as Spark extracts it, with NULL for objects, arrays and ``''``.
 
-    Select this as a column of its own and read it with :func:`parsed_value`; Spark does not
-    duplicate an expensive projection, so the document is parsed once per row.
+    Spark's JSON functions return objects and arrays as text. Only text that looks like one is
+    checked, so the second parse is rare. The check is on the node type: a JSON *string* that begins
+    with a brace stays.
     """
-    return F.from_json(doc, T.StructType([T.StructField(key, T.StringType()) for key in keys]))
-
-
-def parsed_value(struct: Column, doc: Column, key: str) -> Column:
-    """Same result as :func:`json_value`, from the struct of :func:`parsed`."""
-    return _scalar(struct[key], doc, key)
+    node = F.schema_of_variant(F.try_variant_get(F.try_parse_json(doc), f"$.{key}", "variant"))
+    nested = F.left(raw, F.lit(1)).isin("{", "[") & node.rlike("^(OBJECT|ARRAY)")
+    return F.when(nested, F.lit(None)).otherwise(blank_to_null(raw))

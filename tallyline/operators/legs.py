@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline.functions.calendar import window_predicate
-from tallyline.functions.json_fields import parsed, parsed_value
+from tallyline.functions.json_fields import scalar_text
 from tallyline.functions.text import all_digits, not_prefixed, reference_predicate
 
 # Transaction kinds of the ledger.
@@ -74,13 +75,25 @@ def legs(ledger: DataFrame, *specs: LegSpec) -> DataFrame:
     )
 
 
-def leg_attributes(rows: DataFrame) -> DataFrame:
-    """Legs with the document replaced by its fields: one parse per row, and narrow rows to shuffle.
+def with_json_fields(rows: DataFrame, document: str, fields: Mapping[str, str]) -> DataFrame:
+    """One column per key of the JSON document, same values as ``json_value``, from one parse per row.
 
-    Fields that a report does not read are pruned again by Spark.
+    A later filter on the new columns stays above the parse and does not repeat it.
     """
-    document, fields = F.col("CUST_DATA"), F.col("_fields")
-    return rows.withColumn("_fields", parsed(document, DOCUMENT_FIELDS)).select(
+    if not fields:
+        return rows
+    raw = [f"_raw_{name}" for name in fields.values()]
+    values = [
+        scalar_text(F.col(text), F.col(document), key).alias(name)
+        for text, (key, name) in zip(raw, fields.items())
+    ]
+    return rows.select("*", F.json_tuple(document, *fields).alias(*raw)).select(*rows.columns, *values)
+
+
+def leg_attributes(rows: DataFrame, fields: Collection[str] = tuple(DOCUMENT_FIELDS.values())) -> DataFrame:
+    """Legs with the document replaced by the given fields: narrow rows to shuffle."""
+    wanted = {key: name for key, name in DOCUMENT_FIELDS.items() if name in fields}
+    return with_json_fields(rows, "CUST_DATA", wanted).select(
         F.col("LOCAL_TRANSACTION_ID").alias("txn"),
         F.col("SEQUENCE").alias("sequence"),
         "side",
@@ -91,7 +104,7 @@ def leg_attributes(rows: DataFrame) -> DataFrame:
         F.col("ZIEL").alias("destination"),
         F.col("LHMNR").alias("carrier"),
         F.col("MENGE").alias("quantity"),
-        *[parsed_value(fields, document, key).alias(name) for key, name in DOCUMENT_FIELDS.items()],
+        *wanted.values(),
     )
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil
 
-from pyspark.sql import DataFrame, Row, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from tallyline.operators.hot_groups import find_hot_groups, hot_table, split_hot
 from tallyline.operators.numbering import find_hot_sequences, sequence_number
@@ -36,21 +37,24 @@ def pair_by_txn(
     ins: DataFrame,
     keys: Sequence[str],
     *,
+    keep_unmatched: bool = True,
     hot: Sequence[Row] | None = None,
     min_rows: int = PAIR_MIN_ROWS,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """Left join of book-outs to book-ins on the transaction: every match is a row.
+    """Join of book-outs to book-ins on the transaction: every match is a row.
 
-    Apart from the keys the two sides must not share a column name. m book-outs and n book-ins of
-    one transaction give m x n rows, as the ledger query does. Hot transactions (``hot`` from
-    :func:`find_hot_pairs`, looked up without it) are joined as a grid of cells.
+    A left join, or an inner one if the caller drops unmatched book-outs anyway. Apart from the keys
+    the two sides must not share a column name. m book-outs and n book-ins of one transaction give
+    m x n rows, as the ledger query does. Hot transactions (``hot`` from :func:`find_hot_pairs`,
+    looked up without it) are joined as a grid of cells.
     """
     keys = list(keys)
+    join = _left_join if keep_unmatched else lambda outs, ins, keys: outs.join(ins, keys)
     if hot is None:
         hot = find_hot_pairs(outs, ins, keys, min_rows)
     if not hot:
-        return _left_join(outs, ins, keys)
+        return join(outs, ins, keys)
     groups = [
         Row(**{k: g[k] for k in keys}, down=max(1, ceil(g.outs / cell_rows)), across=ceil(g.ins / cell_rows))
         for g in hot
@@ -58,19 +62,16 @@ def pair_by_txn(
     table = hot_table(outs, keys, groups, down=T.LongType(), across=T.LongType())
     outs, hot_outs = split_hot(outs, keys, table)
     ins, hot_ins = split_hot(ins, keys, table)
-    return (
-        _left_join(outs, ins, keys)
-        .unionByName(_grid_join(hot_outs, hot_ins, keys))
-        .unionByName(hot_outs.filter("across = 0").drop("down", "across"), allowMissingColumns=True)
-    )
+    pairs = join(outs, ins, keys).unionByName(_grid_join(hot_outs, hot_ins, keys))
+    if not keep_unmatched:
+        return pairs
+    lonely = hot_outs.filter("across = 0").drop("down", "across")
+    return pairs.unionByName(lonely, allowMissingColumns=True)
 
 
 def _left_join(outs: DataFrame, ins: DataFrame, keys: list[str]) -> DataFrame:
     """The plain join. A second key keeps unmatched rows with a NULL key from meeting in one task."""
-    unknown = F.lit(False)
-    for key in keys:
-        unknown = unknown | F.col(key).isNull()
-    spread = F.when(unknown, F.pmod(F.xxhash64(*outs.columns), F.lit(_NULL_SPREAD))).otherwise(F.lit(0))
+    spread = F.when(_unknown(keys), F.pmod(F.xxhash64(*outs.columns), F.lit(_NULL_SPREAD))).otherwise(F.lit(0))
     return (
         outs.withColumn("_spread", spread.cast("long"))
         .join(ins.withColumn("_spread", F.lit(0).cast("long")), [*keys, "_spread"], "left")
@@ -99,12 +100,13 @@ def pair_by_sequence(
     out_columns: Sequence[str],
     in_columns: Sequence[str],
     side: str = "side",
+    keep_unmatched: bool = True,
     hot: Sequence[Row] | None = None,
     min_rows: int | None = None,
 ) -> DataFrame:
-    """n-th book-out to n-th book-in of a transaction; a book-out without partner keeps NULLs.
+    """n-th book-out to n-th book-in of a transaction.
 
-    ``legs`` holds both sides, tagged ``OUT`` and ``IN``, so the ledger is read once, and one
+    A book-out without partner has NULLs, or is dropped without ``keep_unmatched``. ``legs`` holds both sides, tagged ``OUT`` and ``IN``, so the ledger is read once, and one
     shuffle by transaction serves the numbering and the pairing: the partner is the next row of
     (transaction, number). Returns the keys, ``out_columns`` and ``in_columns``.
 
@@ -136,16 +138,18 @@ def pair_by_sequence(
     else:
         paired = _next_leg(sequence_number(known.repartition(*keys), **rule), keys, side)
 
-    unknown = F.lit(False)
-    for key in keys:
-        unknown = unknown | F.col(key).isNull()
-    lost = slim.filter(unknown & is_out)
     columns = [*keys, *out_columns, "_in"]
-    return (
-        paired.select(*columns)
-        .unionByName(lost.select(*columns))
-        .select(*keys, *out_columns, *[F.col("_in")[c].alias(c) for c in in_columns])
-    )
+    pairs = paired.select(*columns)
+    if keep_unmatched:
+        pairs = pairs.unionByName(slim.filter(_unknown(keys) & is_out).select(*columns))
+    else:
+        pairs = pairs.filter(F.col("_in").isNotNull())
+    return pairs.select(*keys, *out_columns, *[F.col("_in")[c].alias(c) for c in in_columns])
+
+
+def _unknown(keys: Sequence[str]) -> Column:
+    """A key is NULL: such a leg has no partner."""
+    return reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
 
 
 def _next_leg(numbered: DataFrame, keys: list[str], side: str) -> DataFrame:

@@ -69,6 +69,8 @@ MANUAL_SORTING_RULES = MovementRules(
 
 
 KEYS = ["txn", "goods"]
+# Document fields that a book-in contributes.
+IN_FIELDS = ["source_id", "channel_id", "sku", "sort_id"]
 
 
 def outs_of(attributes: DataFrame) -> DataFrame:
@@ -85,27 +87,34 @@ def _with_targets(attributes: DataFrame) -> DataFrame:
     return attributes.withColumns({name: F.col(name.removeprefix("target_")) for name in IN_COLUMNS})
 
 
-def _pairs(outs: DataFrame, ins: DataFrame, reference: str | None) -> DataFrame:
+def _pairs(outs: DataFrame, ins: DataFrame, reference: str | None, keep_unmatched: bool) -> DataFrame:
     # The search for hot transactions reads the keys only; the filter on the document comes after it.
     hot = find_hot_pairs(outs, ins, KEYS)
-    return pair_by_txn(ref_filter(outs_of(outs), "reference", reference), ins_of(ins), KEYS, hot=hot)
+    outs = ref_filter(outs_of(outs), "reference", reference)
+    return pair_by_txn(outs, ins_of(ins), KEYS, keep_unmatched=keep_unmatched, hot=hot)
 
 
 def overstock_movements(
-    ledger: DataFrame, start: str | None = None, end: str | None = None, reference: str | None = None
+    ledger: DataFrame,
+    start: str | None = None,
+    end: str | None = None,
+    reference: str | None = None,
+    *,
+    keep_unmatched: bool = True,
 ) -> DataFrame:
     """Normal and dummy moves paired on the transaction id, before the code lookups.
 
     Both kinds of goods go through one join on (transaction, goods). A normal book-out without a
     book-in is kept; a dummy one is not, since the carrier condition on its book-in rejects NULL.
+    The report reads completed moves only and asks for no unmatched ones.
     """
     rules = OVERSTOCK_RULES
     outs = leg_attributes(window_filter(legs(ledger, rules.normal_out, rules.dummy_out), "CREATED", start, end))
-    ins = leg_attributes(legs(ledger, rules.normal_in, rules.dummy_in))
+    ins = leg_attributes(legs(ledger, rules.normal_in, rules.dummy_in), IN_FIELDS)
     dummy = F.col("goods") == "DUMMY"
     two_step = codes.ean_two_step(F.col("article"), F.col("document_ean"))
     return (
-        _pairs(outs, ins, reference)
+        _pairs(outs, ins, reference, keep_unmatched)
         .filter(~dummy | F.col("target_carrier").isNotNull())
         .withColumn("article", F.when(dummy, two_step).otherwise(F.col("article")))
     )
@@ -117,6 +126,8 @@ def manual_sorting_movements(
     end: str | None = None,
     reference: str | None = None,
     materialize: bool = False,
+    *,
+    keep_unmatched: bool = True,
 ) -> DataFrame:
     """Normal moves paired on the transaction id, dummy moves strictly by scan sequence.
 
@@ -139,7 +150,7 @@ def manual_sorting_movements(
 
     # The normal branch has no document on the book-in side.
     unread = {name: F.lit(None).cast("string") for name in IN_COLUMNS if name != "target_carrier"}
-    normal_moves = _pairs(outs, ins, reference).withColumns(unread)
+    normal_moves = _pairs(outs, ins, reference, keep_unmatched).withColumns(unread)
 
     strict = pair_by_sequence(
         _with_targets(dummy).withColumn("source_carrier", F.col("carrier")),
@@ -147,6 +158,7 @@ def manual_sorting_movements(
         "sequence",
         out_columns=OUT_COLUMNS,
         in_columns=IN_COLUMNS,
+        keep_unmatched=keep_unmatched,
     )
     three_step = codes.ean_three_step(F.col("article"), F.col("document_ean"), F.col("target_article"))
     dummy_moves = (
@@ -193,7 +205,8 @@ def overstock_report(
     ledger: DataFrame, start: str | None = None, end: str | None = None, reference: str | None = None
 ) -> DataFrame:
     """One row per matched (book-out, book-in) of the overstock area."""
-    return movement_report(overstock_movements(ledger, start, end, reference), OVERSTOCK_RULES)
+    moves = overstock_movements(ledger, start, end, reference, keep_unmatched=False)
+    return movement_report(moves, OVERSTOCK_RULES)
 
 
 def manual_sorting_report(
@@ -204,5 +217,5 @@ def manual_sorting_report(
     materialize: bool = False,
 ) -> DataFrame:
     """One row per matched pair of the manual sorting area."""
-    moves = manual_sorting_movements(ledger, start, end, reference, materialize)
+    moves = manual_sorting_movements(ledger, start, end, reference, materialize, keep_unmatched=False)
     return movement_report(moves, MANUAL_SORTING_RULES)

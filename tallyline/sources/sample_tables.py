@@ -100,87 +100,45 @@ def fact_passenger_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Eight consecutive events are one transaction. Event types give kind and sign; remainders of the
+# event id give locations, destinations, carriers and articles with all the special cases (NULL,
+# empty, prefixes, non-numeric).
+_LEDGER_COLUMNS = {
+    "LOCAL_TRANSACTION_ID": "CASE WHEN event_id % 53 != 0 THEN concat('T', event_id DIV 8) END",
+    "SEQUENCE": "event_id",
+    "TPARTNR": """CASE event_type WHEN 'click' THEN 614 WHEN 'purchase' THEN 207
+                  WHEN 'signup' THEN 520 WHEN 'view' THEN 520 ELSE 999 END""",
+    "TYP_ID": "IF(event_id % 10 = 3, 110, 120)",
+    "MENGE": """CASE event_type WHEN 'click' THEN -1 WHEN 'purchase' THEN IF(event_id % 19 = 0, 2, 1)
+                WHEN 'signup' THEN -1 - event_id % 3 WHEN 'view' THEN 1 ELSE 0 END""",
+    "LAGBEZ": "CASE WHEN event_id % 7 = 0 THEN 'Sorter' WHEN event_id % 7 <= 3 THEN 'Overstock' ELSE 'SZROV' END",
+    "ZIEL": """CASE WHEN event_id % 29 = 0 THEN NULL WHEN event_id % 5 <= 1 THEN concat('OV', event_id % 12)
+               WHEN event_id % 5 <= 3 THEN 'IN_SZR_OV' ELSE 'SZR_OV' END""",
+    "LHMNR": """CASE WHEN event_id % 17 = 0 THEN '' WHEN event_id % 13 = 0 THEN concat('LHM-', event_id % 6)
+                WHEN event_id % 11 = 0 THEN concat('50', event_id % 6)
+                WHEN event_id % 9 = 0 THEN concat('000', event_id % 6) ELSE concat('4', event_id % 6) END""",
+    "ARTNR": """CASE WHEN event_id % 31 = 0 THEN '' WHEN event_id % 3 = 0 THEN concat('9', event_id % 1000)
+                ELSE concat('2', event_id % 1000) END""",
+    "CREATED": "ts",
+    "CREATEDBY": "concat('U', user_id)",
+}
+# The event's own property k gives the codes of the document, which is now and then malformed,
+# nested or missing.
+_LEDGER_DOCUMENT = """
+    CASE WHEN event_id % 47 = 0 THEN NULL WHEN event_id % 41 = 0 THEN 'no document' ELSE concat(
+        '{"REFERENCENUMBER_LHM":"', IF(event_id % 37 = 0, concat('REF_', event_id % 10), concat('REF', event_id % 40)),
+        '",', IF(event_id % 4 != 0, concat('"LASTEANGOTFROMMAUS_ZIEL":"', 2000000 + event_id % 5000, '",'), ''),
+        '"SOURCEID_SEKTOR":', CASE WHEN event_id % 23 = 0 THEN '{"id":1}' WHEN k % 4 = 0 THEN '"1"'
+                                   WHEN k % 4 = 1 THEN '"10"' WHEN k % 4 = 2 THEN '"11"' ELSE 'null' END,
+        ',"QUALITYID_SEKTOR":', k % 6,
+        ',"CATEGORYID_ART":"', k % 7,
+        '","DISTRIBUTIONCHANNELID_ART":"', IF(k % 5 = 0, '', CAST(k % 5 AS STRING)),
+        '","SKU_ART":"SKU', event_id % 500,
+        '","SORTINGCRITERIAID_ART":"', k % 9, '"}') END"""
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Movement ledger from events: eight consecutive events are one transaction.
-
-    Event types give kind and sign; remainders of the event id give locations, destinations, carriers
-    and articles with all the special cases (NULL, empty, prefixes, non-numeric); the event's own
-    property gives the codes of the document, which is now and then malformed, nested or missing.
-    """
-    events = _table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    e, k, kind = F.col("event_id"), F.col("k"), F.col("event_type")
-
-    def text(column):
-        return column.cast("string")
-
-    def every(n):
-        return e % n == 0
-
-    def entry(key, value):
-        return F.concat(F.lit(f'"{key}":'), value)
-
-    def quoted(value):
-        return F.concat(F.lit('"'), text(value), F.lit('"'))
-
-    source = (
-        F.when(every(23), '{"id":1}').when(k % 4 == 0, '"1"').when(k % 4 == 1, '"10"').when(k % 4 == 2, '"11"')
-    ).otherwise("null")
-    document = F.concat(
-        F.lit("{"),
-        F.concat_ws(
-            ",",
-            entry(
-                "REFERENCENUMBER_LHM",
-                F.when(every(37), quoted(F.concat(F.lit("REF_"), text(e % 10)))).otherwise(
-                    quoted(F.concat(F.lit("REF"), text(e % 40)))
-                ),
-            ),
-            F.when(~every(4), entry("LASTEANGOTFROMMAUS_ZIEL", quoted(2000000 + e % 5000))),
-            entry("SOURCEID_SEKTOR", source),
-            entry("QUALITYID_SEKTOR", text(k % 6)),
-            entry("CATEGORYID_ART", quoted(k % 7)),
-            entry("DISTRIBUTIONCHANNELID_ART", F.when(k % 5 == 0, '""').otherwise(quoted(k % 5))),
-            entry("SKU_ART", quoted(F.concat(F.lit("SKU"), text(e % 500)))),
-            entry("SORTINGCRITERIAID_ART", quoted(k % 9)),
-        ),
-        F.lit("}"),
-    )
-    tail = text(e % 6)
-    rows = events.select(
-        F.when(~every(53), F.concat(F.lit("T"), text(F.call_function("div", e, F.lit(8))))).alias(
-            "LOCAL_TRANSACTION_ID"
-        ),
-        e.alias("SEQUENCE"),
-        F.when(kind == "click", 614)
-        .when(kind == "purchase", 207)
-        .when(kind.isin("signup", "view"), 520)
-        .otherwise(999)
-        .alias("TPARTNR"),
-        F.when(e % 10 == 3, 110).otherwise(120).alias("TYP_ID"),
-        F.when(kind == "click", -1)
-        .when(kind == "purchase", F.when(every(19), 2).otherwise(1))
-        .when(kind == "signup", -1 - e % 3)
-        .when(kind == "view", 1)
-        .otherwise(0)
-        .alias("MENGE"),
-        F.when(every(7), "Sorter").when(e % 7 <= 3, "Overstock").otherwise("SZROV").alias("LAGBEZ"),
-        F.when(every(29), F.lit(None))
-        .when(e % 5 <= 1, F.concat(F.lit("OV"), text(e % 12)))
-        .when(e % 5 <= 3, "IN_SZR_OV")
-        .otherwise("SZR_OV")
-        .alias("ZIEL"),
-        F.when(every(17), "")
-        .when(every(13), F.concat(F.lit("LHM-"), tail))
-        .when(every(11), F.concat(F.lit("50"), tail))
-        .when(every(9), F.concat(F.lit("000"), tail))
-        .otherwise(F.concat(F.lit("4"), tail))
-        .alias("LHMNR"),
-        F.when(every(31), "")
-        .when(every(3), F.concat(F.lit("9"), text(e % 1000)))
-        .otherwise(F.concat(F.lit("2"), text(e % 1000)))
-        .alias("ARTNR"),
-        F.col("ts").alias("CREATED"),
-        F.concat(F.lit("U"), text(F.col("user_id"))).alias("CREATEDBY"),
-        F.when(every(47), F.lit(None)).when(every(41), "no document").otherwise(document).alias("CUST_DATA"),
-    )
-    return as_ledger(rows)
+    """Movement ledger from events."""
+    events = _table(spark, sf_dir, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+    columns = {**_LEDGER_COLUMNS, "CUST_DATA": _LEDGER_DOCUMENT}
+    return as_ledger(events.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()]))
