@@ -11,6 +11,7 @@ def json_value(doc: Column, key: str) -> Column:
     """``JSON_VALUE(doc, '$.key')``: the scalar as text.
 
     NULL for objects, arrays, JSON null, the empty string, a missing key and a malformed document.
+    Fractional numbers come in Spark's notation (``1.50`` as ``1.5``); codes are integers or strings.
     """
     return scalar_text(F.get_json_object(doc, f"$.{key}"), doc, key)
 
