@@ -23,19 +23,19 @@ def find_hot_groups(
     rows: DataFrame,
     keys: Sequence[str],
     *measures: Column,
-    min_rows: int = MIN_ROWS,
+    min_rows: int | None = None,
     max_groups: int = MAX_GROUPS,
 ) -> list[Row]:
     """Key values, row count (``rows``) and ``measures`` of every group above the threshold.
 
-    Pass ``rows`` with nothing but the needed columns. The first job counts hash cells; its partial
+    The threshold is ``min_rows`` (by default ``MIN_ROWS``) or the fair share, whichever is more. The first job counts hash cells; its partial
     aggregates collapse to a fixed number of lines per task. A hot group lifts its cell above the
     threshold, so only the rows of such cells are counted by key, and usually there are none.
     """
     cells = max_groups * _CELLS_PER_GROUP
     cell = F.pmod(F.xxhash64(*keys), F.lit(cells))
     counts = rows.groupBy(cell.alias("cell")).count().collect()
-    threshold = max(min_rows, sum(c["count"] for c in counts) // max_groups)
+    threshold = max(MIN_ROWS if min_rows is None else min_rows, sum(c["count"] for c in counts) // max_groups)
     full = [c["cell"] for c in counts if c["count"] > threshold]
     if not full:
         return []

@@ -61,17 +61,30 @@ class LegSpec:
         return reduce(lambda a, b: a & b, parts)
 
 
+# Ledger column -> column of a leg.
+LEG_COLUMNS = {
+    "LOCAL_TRANSACTION_ID": "txn",
+    "SEQUENCE": "sequence",
+    "CREATED": "created",
+    "CREATEDBY": "created_by",
+    "ARTNR": "article",
+    "ZIEL": "destination",
+    "LHMNR": "carrier",
+    "MENGE": "quantity",
+    "CUST_DATA": "document",
+}
+
+
 def legs(ledger: DataFrame, *specs: LegSpec) -> DataFrame:
     """The rows of any of the legs, from one scan, tagged with ``side`` and ``goods``.
 
     The legs of a report differ in kind and sign, so both tags follow from these two columns.
     """
     wanted = reduce(lambda a, b: a | b, [spec.predicate() for spec in specs])
-    return ledger.filter(wanted).withColumns(
-        {
-            "side": F.when(F.col("MENGE") < 0, "OUT").otherwise("IN"),
-            "goods": F.when(F.col("TPARTNR") == NORMAL_MOVE, "NORMAL").otherwise("DUMMY"),
-        }
+    return ledger.filter(wanted).select(
+        *[F.col(column).alias(name) for column, name in LEG_COLUMNS.items()],
+        F.when(F.col("MENGE") < 0, "OUT").otherwise("IN").alias("side"),
+        F.when(F.col("TPARTNR") == NORMAL_MOVE, "NORMAL").otherwise("DUMMY").alias("goods"),
     )
 
 
@@ -93,19 +106,7 @@ def with_json_fields(rows: DataFrame, document: str, fields: Mapping[str, str])
 def leg_attributes(rows: DataFrame, fields: Collection[str] = tuple(DOCUMENT_FIELDS.values())) -> DataFrame:
     """Legs with the document replaced by the given fields: narrow rows to shuffle."""
     wanted = {key: name for key, name in DOCUMENT_FIELDS.items() if name in fields}
-    return with_json_fields(rows, "CUST_DATA", wanted).select(
-        F.col("LOCAL_TRANSACTION_ID").alias("txn"),
-        F.col("SEQUENCE").alias("sequence"),
-        "side",
-        "goods",
-        F.col("CREATED").alias("created"),
-        F.col("CREATEDBY").alias("created_by"),
-        F.col("ARTNR").alias("article"),
-        F.col("ZIEL").alias("destination"),
-        F.col("LHMNR").alias("carrier"),
-        F.col("MENGE").alias("quantity"),
-        *wanted.values(),
-    )
+    return with_json_fields(rows, "document", wanted).drop("document")
 
 
 def window_filter(rows: DataFrame, column: str, start: str | None, end: str | None) -> DataFrame:

@@ -19,7 +19,7 @@ _NULL_SPREAD = 1024
 
 
 def find_hot_pairs(
-    outs: DataFrame, ins: DataFrame, keys: Sequence[str], min_rows: int = PAIR_MIN_ROWS
+    outs: DataFrame, ins: DataFrame, keys: Sequence[str], min_rows: int | None = None
 ) -> list[Row]:
     """Hot transactions with their leg counts ``outs`` and ``ins``."""
     known = outs.select(*keys, F.lit(1).alias("is_out")).unionByName(ins.select(*keys, F.lit(0).alias("is_out")))
@@ -28,7 +28,7 @@ def find_hot_pairs(
         keys,
         F.sum("is_out").alias("outs"),
         F.sum(1 - F.col("is_out")).alias("ins"),
-        min_rows=min_rows,
+        min_rows=PAIR_MIN_ROWS if min_rows is None else min_rows,
     )
 
 
@@ -39,8 +39,8 @@ def pair_by_txn(
     *,
     keep_unmatched: bool = True,
     hot: Sequence[Row] | None = None,
-    min_rows: int = PAIR_MIN_ROWS,
-    cell_rows: int = CELL_ROWS,
+    min_rows: int | None = None,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """Join of book-outs to book-ins on the transaction: every match is a row.
 
@@ -55,6 +55,7 @@ def pair_by_txn(
         hot = find_hot_pairs(outs, ins, keys, min_rows)
     if not hot:
         return join(outs, ins, keys)
+    cell_rows = CELL_ROWS if cell_rows is None else cell_rows
     groups = [
         Row(**{k: g[k] for k in keys}, down=max(1, ceil(g.outs / cell_rows)), across=ceil(g.ins / cell_rows))
         for g in hot
@@ -123,8 +124,7 @@ def pair_by_sequence(
     )
     known = slim.dropna(subset=keys)
     if hot is None:
-        lookup = {} if min_rows is None else {"min_rows": min_rows}
-        hot = find_hot_sequences(legs.dropna(subset=keys), keys, order, **lookup)
+        hot = find_hot_sequences(legs.dropna(subset=keys), keys, order, min_rows=min_rows)
     ties = [*out_columns, "_in"]
     rule = dict(keys=[*keys, side], order=order, ties=ties, hot=())
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from tallyline.functions import codes
 from tallyline.functions.calendar import event_time_label
@@ -20,6 +21,7 @@ from tallyline.operators.legs import (
     ref_filter,
     window_filter,
 )
+from tallyline.operators.numbering import find_hot_sequences
 from tallyline.operators.pairing import find_hot_pairs, pair_by_sequence, pair_by_txn
 
 OUT_COLUMNS = [
@@ -87,9 +89,9 @@ def _with_targets(attributes: DataFrame) -> DataFrame:
     return attributes.withColumns({name: F.col(name.removeprefix("target_")) for name in IN_COLUMNS})
 
 
-def _pairs(outs: DataFrame, ins: DataFrame, reference: str | None, keep_unmatched: bool) -> DataFrame:
-    # The search for hot transactions reads the keys only; the filter on the document comes after it.
-    hot = find_hot_pairs(outs, ins, KEYS)
+def _pairs(
+    outs: DataFrame, ins: DataFrame, reference: str | None, keep_unmatched: bool, hot: Sequence[Row]
+) -> DataFrame:
     outs = ref_filter(outs_of(outs), "reference", reference)
     return pair_by_txn(outs, ins_of(ins), KEYS, keep_unmatched=keep_unmatched, hot=hot)
 
@@ -109,14 +111,14 @@ def overstock_movements(
     The report reads completed moves only and asks for no unmatched ones.
     """
     rules = OVERSTOCK_RULES
-    outs = leg_attributes(window_filter(legs(ledger, rules.normal_out, rules.dummy_out), "CREATED", start, end))
-    ins = leg_attributes(legs(ledger, rules.normal_in, rules.dummy_in), IN_FIELDS)
+    outs = window_filter(legs(ledger, rules.normal_out, rules.dummy_out), "created", start, end)
+    ins = legs(ledger, rules.normal_in, rules.dummy_in)
+    hot = find_hot_pairs(outs, ins, KEYS)  # before the documents are parsed
+    pairs = _pairs(leg_attributes(outs), leg_attributes(ins, IN_FIELDS), reference, keep_unmatched, hot)
     dummy = F.col("goods") == "DUMMY"
     two_step = codes.ean_two_step(F.col("article"), F.col("document_ean"))
-    return (
-        _pairs(outs, ins, reference, keep_unmatched)
-        .filter(~dummy | F.col("target_carrier").isNotNull())
-        .withColumn("article", F.when(dummy, two_step).otherwise(F.col("article")))
+    return pairs.filter(~dummy | F.col("target_carrier").isNotNull()).withColumn(
+        "article", F.when(dummy, two_step).otherwise(F.col("article"))
     )
 
 
@@ -144,13 +146,18 @@ def manual_sorting_movements(
         ins = kept.filter("goods = 'NORMAL' AND side = 'IN'")
         dummy = kept.filter("goods = 'DUMMY'")
     else:
-        outs = leg_attributes(legs(windowed, rules.normal_out))
-        ins = leg_attributes(legs(windowed, rules.normal_in))
-        dummy = leg_attributes(legs(windowed, rules.dummy_out, rules.dummy_in))
+        outs, ins = legs(windowed, rules.normal_out), legs(windowed, rules.normal_in)
+        dummy = legs(windowed, rules.dummy_out, rules.dummy_in)
+
+    # Both searches for hot transactions come before the documents are parsed.
+    hot_pairs = find_hot_pairs(outs, ins, KEYS)
+    hot_sequences = find_hot_sequences(dummy.dropna(subset=["txn"]), ["txn"], "sequence")
+    if not materialize:
+        outs, ins, dummy = leg_attributes(outs), leg_attributes(ins, ()), leg_attributes(dummy)
 
-    # The normal branch has no document on the book-in side.
-    unread = {name: F.lit(None).cast("string") for name in IN_COLUMNS if name != "target_carrier"}
-    normal_moves = _pairs(outs, ins, reference, keep_unmatched).withColumns(unread)
+    # A normal move reads nothing but the carrier from its book-in.
+    ins = ins.withColumns({name: F.lit(None).cast("string") for name in ["article", *IN_FIELDS]})
+    normal_moves = _pairs(outs, ins, reference, keep_unmatched, hot_pairs)
 
     strict = pair_by_sequence(
         _with_targets(dummy).withColumn("source_carrier", F.col("carrier")),
@@ -159,6 +166,7 @@ def manual_sorting_movements(
         out_columns=OUT_COLUMNS,
         in_columns=IN_COLUMNS,
         keep_unmatched=keep_unmatched,
+        hot=hot_sequences,
     )
     three_step = codes.ean_three_step(F.col("article"), F.col("document_ean"), F.col("target_article"))
     dummy_moves = (
