@@ -20,15 +20,17 @@ def find_hot_sequences(
     min_rows: int | None = None,
 ) -> list[Row]:
     """Hot groups with the order values that cut each into about equal ranges."""
-    cuts = F.percentile_approx(order, [i / _RANGES for i in range(1, _RANGES)])
     return find_hot_groups(
-        rows.select(*keys, F.col(order).cast("long").alias(order)),
-        keys,
-        F.coalesce(cuts, F.array().cast("array<long>")).alias("cuts"),
-        min_rows=min_rows,
+        rows.select(*keys, F.col(order).cast("long").alias(order)), keys, order_cuts(order), min_rows=min_rows
     )
 
 
+def order_cuts(order: str) -> Column:
+    """Measure ``cuts`` for the hot-group search. Approximate cuts cost balance, not correctness."""
+    cuts = F.percentile_approx(F.col(order).cast("long"), [i / _RANGES for i in range(1, _RANGES)])
+    return F.coalesce(cuts, F.array().cast("array<long>")).alias("cuts")
+
+
 def sequence_number(
     rows: DataFrame,
     keys: Sequence[str],
@@ -42,7 +44,8 @@ def sequence_number(
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)``, NULL order values last.
 
-    Equal order values are numbered by a hash of ``ties``: arbitrary but repeatable. ``hot`` names
+    Equal order values are numbered by a hash of the ``ties`` columns: arbitrary but repeatable.
+    ``hot`` names
     the groups (by ``hot_keys``, a subset of ``keys``) from :func:`find_hot_sequences`; without it
     they are looked up. Those groups are numbered in ranges, see :func:`_number_in_ranges`.
     """
@@ -59,7 +62,7 @@ def sequence_number(
 
 
 def _order(order: str, ties: Sequence[str]) -> list[Column]:
-    return [F.col(order).asc_nulls_last(), F.xxhash64(*ties), *[F.col(t).asc_nulls_last() for t in ties]]
+    return [F.col(order).asc_nulls_last(), F.xxhash64(*ties)]
 
 
 def _number(rows: DataFrame, keys, order: str, ties, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from tallyline.operators.hot_groups import find_hot_groups, hot_table, split_hot
-from tallyline.operators.numbering import find_hot_sequences, sequence_number
+from tallyline.operators.numbering import find_hot_sequences, order_cuts, sequence_number
 
 # A transaction with more legs than this is joined in cells of at most about CELL_ROWS per side.
 PAIR_MIN_ROWS = 100_000
@@ -18,16 +18,20 @@ CELL_ROWS = 10_000
 _NULL_SPREAD = 1024
 
 
-def find_hot_pairs(
-    outs: DataFrame, ins: DataFrame, keys: Sequence[str], min_rows: int | None = None
+def find_hot_transactions(
+    legs: DataFrame, keys: Sequence[str], order: str | None = None, min_rows: int | None = None
 ) -> list[Row]:
-    """Hot transactions with their leg counts ``outs`` and ``ins``."""
-    known = outs.select(*keys, F.lit(1).alias("is_out")).unionByName(ins.select(*keys, F.lit(0).alias("is_out")))
+    """Hot transactions with their leg counts ``outs`` and ``ins`` and, given an order, its ``cuts``.
+
+    ``legs`` holds both sides, tagged ``OUT`` and ``IN``; one narrow scan serves both ways of pairing.
+    """
+    measures = [F.count_if(F.col("side") == side).alias(name) for side, name in (("OUT", "outs"), ("IN", "ins"))]
+    if order:
+        measures.append(order_cuts(order))
     return find_hot_groups(
-        known.dropna(subset=list(keys)),
+        legs.select(*keys, "side", *([order] if order else [])).dropna(subset=list(keys)),
         keys,
-        F.sum("is_out").alias("outs"),
-        F.sum(1 - F.col("is_out")).alias("ins"),
+        *measures,
         min_rows=PAIR_MIN_ROWS if min_rows is None else min_rows,
     )
 
@@ -46,13 +50,14 @@ def pair_by_txn(
 
     A left join, or an inner one if the caller drops unmatched book-outs anyway. Apart from the keys
     the two sides must not share a column name. m book-outs and n book-ins of one transaction give
-    m x n rows, as the ledger query does. Hot transactions (``hot`` from :func:`find_hot_pairs`,
-    looked up without it) are joined as a grid of cells.
+    m x n rows, as the ledger query does. Hot transactions (``hot`` from
+    :func:`find_hot_transactions`, looked up without it) are joined as a grid of cells.
     """
     keys = list(keys)
     join = _left_join if keep_unmatched else lambda outs, ins, keys: outs.join(ins, keys)
     if hot is None:
-        hot = find_hot_pairs(outs, ins, keys, min_rows)
+        sides = [rows.select(*keys, F.lit(side).alias("side")) for side, rows in (("OUT", outs), ("IN", ins))]
+        hot = find_hot_transactions(sides[0].unionByName(sides[1]), keys, min_rows=min_rows)
     if not hot:
         return join(outs, ins, keys)
     cell_rows = CELL_ROWS if cell_rows is None else cell_rows

@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from tallyline.functions import codes
-from tallyline.functions.calendar import event_time_label
+from tallyline.functions.calendar import event_time_label, window_predicate
 from tallyline.operators.legs import (
     DUMMY_IN,
     DUMMY_OUT,
@@ -21,8 +21,7 @@ from tallyline.operators.legs import (
     ref_filter,
     window_filter,
 )
-from tallyline.operators.numbering import find_hot_sequences
-from tallyline.operators.pairing import find_hot_pairs, pair_by_sequence, pair_by_txn
+from tallyline.operators.pairing import find_hot_transactions, pair_by_sequence, pair_by_txn
 
 OUT_COLUMNS = [
     "created", "created_by", "article", "destination", "source_carrier", "quantity", "reference",
@@ -113,7 +112,10 @@ def overstock_movements(
     rules = OVERSTOCK_RULES
     outs = window_filter(legs(ledger, rules.normal_out, rules.dummy_out), "created", start, end)
     ins = legs(ledger, rules.normal_in, rules.dummy_in)
-    hot = find_hot_pairs(outs, ins, KEYS)  # before the documents are parsed
+    # Search for hot transactions: keys only, before the documents are parsed.
+    both = legs(ledger, rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in)
+    inside = window_predicate(F.col("created"), start, end)
+    hot = find_hot_transactions(both if inside is None else both.filter((F.col("side") == "IN") | inside), KEYS)
     pairs = _pairs(leg_attributes(outs), leg_attributes(ins, IN_FIELDS), reference, keep_unmatched, hot)
     dummy = F.col("goods") == "DUMMY"
     two_step = codes.ean_two_step(F.col("article"), F.col("document_ean"))
@@ -139,25 +141,23 @@ def manual_sorting_movements(
     """
     rules = MANUAL_SORTING_RULES
     windowed = window_filter(ledger, "CREATED", start, end)
+    every = legs(windowed, rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in)
     if materialize:
-        specs = (rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in)
-        kept = leg_attributes(legs(windowed, *specs)).persist(StorageLevel.MEMORY_AND_DISK)
-        outs = kept.filter("goods = 'NORMAL' AND side = 'OUT'")
-        ins = kept.filter("goods = 'NORMAL' AND side = 'IN'")
-        dummy = kept.filter("goods = 'DUMMY'")
+        every = leg_attributes(every).persist(StorageLevel.MEMORY_AND_DISK)
+        outs = every.filter("goods = 'NORMAL' AND side = 'OUT'")
+        ins = every.filter("goods = 'NORMAL' AND side = 'IN'")
+        dummy = every.filter("goods = 'DUMMY'")
     else:
-        outs, ins = legs(windowed, rules.normal_out), legs(windowed, rules.normal_in)
-        dummy = legs(windowed, rules.dummy_out, rules.dummy_in)
-
-    # Both searches for hot transactions come before the documents are parsed.
-    hot_pairs = find_hot_pairs(outs, ins, KEYS)
-    hot_sequences = find_hot_sequences(dummy.dropna(subset=["txn"]), ["txn"], "sequence")
-    if not materialize:
-        outs, ins, dummy = leg_attributes(outs), leg_attributes(ins, ()), leg_attributes(dummy)
+        outs = leg_attributes(legs(windowed, rules.normal_out))
+        ins = leg_attributes(legs(windowed, rules.normal_in), ())
+        dummy = leg_attributes(legs(windowed, rules.dummy_out, rules.dummy_in))
+    hot = find_hot_transactions(every, KEYS, order="sequence")
+    hot_normal = [group for group in hot if group.goods == "NORMAL"]
+    hot_dummy = [group for group in hot if group.goods == "DUMMY"]
 
     # A normal move reads nothing but the carrier from its book-in.
     ins = ins.withColumns({name: F.lit(None).cast("string") for name in ["article", *IN_FIELDS]})
-    normal_moves = _pairs(outs, ins, reference, keep_unmatched, hot_pairs)
+    normal_moves = _pairs(outs, ins, reference, keep_unmatched, hot_normal)
 
     strict = pair_by_sequence(
         _with_targets(dummy).withColumn("source_carrier", F.col("carrier")),
@@ -166,7 +166,7 @@ def manual_sorting_movements(
         out_columns=OUT_COLUMNS,
         in_columns=IN_COLUMNS,
         keep_unmatched=keep_unmatched,
-        hot=hot_sequences,
+        hot=hot_dummy,
     )
     three_step = codes.ean_three_step(F.col("article"), F.col("document_ean"), F.col("target_article"))
     dummy_moves = (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyline.operators.hot_groups import find_hot_groups
 from tallyline.operators.numbering import find_hot_sequences, sequence_number
-from tallyline.operators.pairing import find_hot_pairs, pair_by_sequence, pair_by_txn
+from tallyline.operators.pairing import find_hot_transactions, pair_by_sequence, pair_by_txn
 
 LEG = "txn string, side string, seq long, carrier string"
 
@@ -96,7 +96,8 @@ def _sides(spark, legs):
 def test_pair_by_txn_equals_brute_force(spark, min_rows, cell_rows, keep):
     legs = _legs(rows=900)
     outs, ins = _sides(spark, legs)
-    assert bool(find_hot_pairs(outs, ins, ["txn"], min_rows)) == (min_rows == 100)
+    hot = find_hot_transactions(spark.createDataFrame(legs, LEG), ["txn"], min_rows=min_rows)
+    assert bool(hot) == (min_rows == 100)
     got = pair_by_txn(outs, ins, ["txn"], min_rows=min_rows, cell_rows=cell_rows, keep_unmatched=keep)
     assert Counter((r.txn, r.source, r.target) for r in got.collect()) == _brute_pairs(legs, False, keep)
 
@@ -106,7 +107,7 @@ def test_pair_by_txn_equals_brute_force(spark, min_rows, cell_rows, keep):
 def test_hot_transaction_with_one_side_only(spark, lonely, keep):
     legs = [leg for leg in _legs(rows=900) if leg[0] != "hot" or leg[1] == lonely]
     outs, ins = _sides(spark, legs)
-    assert find_hot_pairs(outs, ins, ["txn"], 50)
+    assert find_hot_transactions(spark.createDataFrame(legs, LEG), ["txn"], min_rows=50)
     got = pair_by_txn(outs, ins, ["txn"], min_rows=50, cell_rows=20, keep_unmatched=keep)
     assert Counter((r.txn, r.source, r.target) for r in got.collect()) == _brute_pairs(legs, False, keep)
 
