@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tallyline.functions.text import blank_to_null
+
+def is_scalar(raw: Column, doc: Column, key: str) -> Column:
+    """Whether ``raw``, the text of ``key`` as Spark extracts it, is a non-empty scalar.
+
+    Spark's JSON functions return objects and arrays as text. Only text that looks like one is
+    checked, so the second parse is rare. The check is on the node type: a JSON *string* that begins
+    with a brace is a scalar.
+    """
+    node = F.schema_of_variant(F.try_variant_get(F.try_parse_json(doc), f"$.{key}", "variant"))
+    looks_nested = raw.startswith("{") | raw.startswith("[")
+    # A CASE and not an AND: Spark computes shared operands of AND up front, for every row.
+    return F.when(looks_nested, ~node.rlike("^(OBJECT|ARRAY)")).otherwise(raw != "")
 
 
 def json_value(doc: Column, key: str) -> Column:
@@ -12,17 +23,8 @@ def json_value(doc: Column, key: str) -> Column:
 
     NULL for objects, arrays, JSON null, the empty string, a missing key and a malformed document.
     Fractional numbers come in Spark's notation (``1.50`` as ``1.5``); codes are integers or strings.
+    For several keys of one document use ``with_json_fields``, which parses it once.
     """
-    return scalar_text(F.get_json_object(doc, f"$.{key}"), doc, key)
-
-
-def scalar_text(raw: Column, doc: Column, key: str) -> Column:
-    """``raw``, the text of ``key`` as Spark extracts it, with NULL for objects, arrays and ``''``.
-
-    Spark's JSON functions return objects and arrays as text. Only text that looks like one is
-    checked, so the second parse is rare. The check is on the node type: a JSON *string* that begins
-    with a brace stays.
-    """
-    node = F.schema_of_variant(F.try_variant_get(F.try_parse_json(doc), f"$.{key}", "variant"))
-    nested = F.left(raw, F.lit(1)).isin("{", "[") & node.rlike("^(OBJECT|ARRAY)")
-    return F.when(nested, F.lit(None)).otherwise(blank_to_null(raw))
+    # The array holds the one extracted text, so that testing it does not extract it again.
+    found = F.array(F.get_json_object(doc, f"$.{key}"))
+    return F.get(F.filter(found, lambda raw: is_scalar(raw, doc, key)), 0)

@@ -28,15 +28,18 @@ def find_hot_groups(
 ) -> list[Row]:
     """Key values, row count (``rows``) and ``measures`` of every group above the threshold.
 
-    The threshold is ``min_rows`` (by default ``MIN_ROWS``) or the fair share, whichever is more. The first job counts hash cells; its partial
+    The threshold is ``min_rows`` (by default ``MIN_ROWS``) or the fair share, whichever is more.
+    Pass ``rows`` with nothing but the needed columns. The first job counts hash cells; its partial
     aggregates collapse to a fixed number of lines per task. A hot group lifts its cell above the
     threshold, so only the rows of such cells are counted by key, and usually there are none.
     """
+    floor = MIN_ROWS if min_rows is None else min_rows
     cells = max_groups * _CELLS_PER_GROUP
     cell = F.pmod(F.xxhash64(*keys), F.lit(cells))
-    counts = rows.groupBy(cell.alias("cell")).count().collect()
-    threshold = max(MIN_ROWS if min_rows is None else min_rows, sum(c["count"] for c in counts) // max_groups)
-    full = [c["cell"] for c in counts if c["count"] > threshold]
+    heavy = rows.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > floor).collect()
+    # The share is one of the rows in heavy cells: every group above the floor is among them.
+    threshold = max(floor, sum(c.n for c in heavy) // max_groups)
+    full = [c.cell for c in heavy if c.n > threshold]
     if not full:
         return []
     return (

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline.functions.calendar import window_predicate
-from tallyline.functions.json_fields import scalar_text
+from tallyline.functions.json_fields import is_scalar
 from tallyline.functions.text import all_digits, not_prefixed, reference_predicate
 
 # Transaction kinds of the ledger.
@@ -97,7 +97,7 @@ def with_json_fields(rows: DataFrame, document: str, fields: Mapping[str, str])
         return rows
     raw = [f"_raw_{name}" for name in fields.values()]
     values = [
-        scalar_text(F.col(text), F.col(document), key).alias(name)
+        F.when(is_scalar(F.col(text), F.col(document), key), F.col(text)).alias(name)
         for text, (key, name) in zip(raw, fields.items())
     ]
     return rows.select("*", F.json_tuple(document, *fields).alias(*raw)).select(*rows.columns, *values)
