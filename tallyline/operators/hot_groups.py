@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 # A group below this size is no burden for one task, whatever its share.
 MIN_ROWS = 1_000_000
 # A group is hot if it holds more than 1/MAX_GROUPS of all rows, so fewer than MAX_GROUPS can be.
-MAX_GROUPS = 1024
+MAX_GROUPS = 4096
 # Hash cells per hot-group slot: an ordinary cell stays far below the threshold.
 _CELLS_PER_GROUP = 16
 

@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as
 from tallyline.operators.hot_groups import find_hot_groups, hot_table, split_hot
 from tallyline.operators.numbering import find_hot_sequences, order_cuts, sequence_number
 
-# A transaction with more legs than this is joined in cells of at most about CELL_ROWS per side.
-PAIR_MIN_ROWS = 100_000
-CELL_ROWS = 10_000
+# A transaction with more legs than this is joined in cells of about CELL_ROWS per side. Both are low
+# because the work grows with the product of the sides.
+PAIR_MIN_ROWS = 20_000
+CELL_ROWS = 2_000
+_MAX_CELL_TASKS = 10_000
 # Book-outs without a transaction id find no partner; they are spread over this many hash values.
 _NULL_SPREAD = 1024
 
@@ -68,7 +70,8 @@ def pair_by_txn(
     table = hot_table(outs, keys, groups, down=T.LongType(), across=T.LongType())
     outs, hot_outs = split_hot(outs, keys, table)
     ins, hot_ins = split_hot(ins, keys, table)
-    pairs = join(outs, ins, keys).unionByName(_grid_join(hot_outs, hot_ins, keys))
+    tasks = min(_MAX_CELL_TASKS, max(1, sum(g.down * g.across for g in groups)))
+    pairs = join(outs, ins, keys).unionByName(_grid_join(hot_outs, hot_ins, keys, tasks))
     if not keep_unmatched:
         return pairs
     lonely = hot_outs.filter("across = 0").drop("down", "across")
@@ -85,17 +88,21 @@ def _left_join(outs: DataFrame, ins: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _grid_join(outs: DataFrame, ins: DataFrame, keys: list[str]) -> DataFrame:
+def _grid_join(outs: DataFrame, ins: DataFrame, keys: list[str], tasks: int) -> DataFrame:
     """Every book-out goes to one row of the grid and every book-in to one column, each to all its cells.
 
     Both legs exist (``across`` > 0), so no book-out is unmatched and an inner join is the left join.
+    A cell is small in bytes and large in pairs; an explicit number of partitions keeps Spark from
+    merging cells by their bytes.
     """
+    cell = [*keys, "_down", "_across"]
     down = F.pmod(F.xxhash64(*outs.columns), F.col("down"))
     across = F.pmod(F.xxhash64(*ins.columns), F.col("across"))
     cells = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
     outs = outs.filter("across > 0").withColumn("_down", down).withColumn("_across", cells("across"))
     ins = ins.filter("across > 0").withColumn("_across", across).withColumn("_down", cells("down"))
-    return outs.drop("down", "across").join(ins.drop("down", "across"), [*keys, "_down", "_across"]).drop("_down", "_across")
+    outs, ins = (rows.drop("down", "across").repartition(tasks, *cell) for rows in (outs, ins))
+    return outs.join(ins, cell).drop("_down", "_across")
 
 
 def pair_by_sequence(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from tallyline.functions import codes
 from tallyline.functions.calendar import event_time_label, window_predicate
+from tallyline.operators import hot_groups
 from tallyline.operators.legs import (
     DUMMY_IN,
     DUMMY_OUT,
@@ -153,7 +154,7 @@ def manual_sorting_movements(
         dummy = leg_attributes(legs(windowed, rules.dummy_out, rules.dummy_in))
     hot = find_hot_transactions(every, KEYS, order="sequence")
     hot_normal = [group for group in hot if group.goods == "NORMAL"]
-    hot_dummy = [group for group in hot if group.goods == "DUMMY"]
+    hot_dummy = [group for group in hot if group.goods == "DUMMY" and group.rows > hot_groups.MIN_ROWS]
 
     # A normal move reads nothing but the carrier from its book-in.
     ins = ins.withColumns({name: F.lit(None).cast("string") for name in ["article", *IN_FIELDS]})
