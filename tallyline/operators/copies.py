@@ -1,0 +1,24 @@
+"""Identical rows, which no hash of the row can spread."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def collapse_copies(rows: DataFrame, at_most: int) -> DataFrame:
+    """Identical rows as one row with ``_copies``, cut into pieces (``_piece``) of limited size.
+
+    The map side collapses most copies before the shuffle, and the pieces of one row have different
+    hashes of (row, ``_piece``). ``_copies`` adds up to the number of rows.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_all"))
+    last = F.call_function("div", F.col("_all") - 1, F.lit(at_most))
+    pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    rest = F.col("_all") - F.col("_piece") * at_most
+    return pieces.withColumn("_copies", F.least(rest, F.lit(at_most).cast("long"))).drop("_all")
+
+
+def restore_copies(rows: DataFrame) -> DataFrame:
+    """The rows again, each ``_copies`` times."""
+    repeated = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return repeated.drop("_piece", "_copies", "_copy")

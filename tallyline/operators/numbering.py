@@ -6,29 +6,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
+from tallyline.operators.copies import collapse_copies
 from tallyline.operators.hot_groups import find_hot_groups, hot_table, split_hot
 
-# Order-value ranges a hot group is cut into.
-_RANGES = 64
+# A hot group is cut into this many ranges of order values, and looked up in steps of _STEP cuts.
+_RANGES = 256
+_STEP = 16
+# Copies of one row that are numbered together.
+_PIECE = 10_000
 
 
 def find_hot_sequences(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    *,
-    min_rows: int | None = None,
+    rows: DataFrame, keys: Sequence[str], order: str, *, min_rows: int | None = None
 ) -> list[Row]:
-    """Hot groups with the order values that cut each into about equal ranges."""
-    return find_hot_groups(
-        rows.select(*keys, F.col(order).cast("long").alias(order)), keys, order_cuts(order), min_rows=min_rows
-    )
+    """Hot groups with what :func:`sequence_number` needs to know of their order values."""
+    return find_hot_groups(rows.select(*keys, order), keys, *order_measures(order), min_rows=min_rows)
 
 
-def order_cuts(order: str) -> Column:
-    """Measure ``cuts`` for the hot-group search. Approximate cuts cost balance, not correctness."""
+def order_measures(order: str) -> list[Column]:
+    """Measures for the hot-group search: the order values that cut a group into about equal ranges
+    (approximate cuts cost balance, not correctness), and the number of rows that have a value.
+    """
     cuts = F.percentile_approx(F.col(order).cast("long"), [i / _RANGES for i in range(1, _RANGES)])
-    return F.coalesce(cuts, F.array().cast("array<long>")).alias("cuts")
+    return [F.coalesce(cuts, F.array().cast("array<long>")).alias("cuts"), F.count(order).alias("valued")]
 
 
 def sequence_number(
@@ -45,61 +45,84 @@ def sequence_number(
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)``, NULL order values last.
 
     Equal order values are numbered by a hash of the ``ties`` columns: arbitrary but repeatable.
-    ``hot`` names
-    the groups (by ``hot_keys``, a subset of ``keys``) from :func:`find_hot_sequences`; without it
-    they are looked up. Those groups are numbered in ranges, see :func:`_number_in_ranges`.
+    ``hot`` names the groups (by ``hot_keys``, a subset of ``keys``) from :func:`find_hot_sequences`;
+    without it they are looked up. Those groups are numbered in ranges, see :func:`number_hot`.
     """
     hot_keys = list(hot_keys or keys)
     if hot is None:
         hot = find_hot_sequences(rows, hot_keys, order, min_rows=min_rows)
     if not hot:
         return _number(rows, keys, order, ties, name)
-    table = hot_table(rows, hot_keys, hot, cuts=T.ArrayType(T.LongType()))
-    ordinary, large = split_hot(rows, hot_keys, table)
-    return _number(ordinary, keys, order, ties, name).unionByName(
-        _number_in_ranges(large, keys, order, ties, name)
-    )
+    ordinary, large = split_hot(rows, hot_keys, cut_table(rows, hot_keys, hot))
+    return _number(ordinary, keys, order, ties, name).unionByName(number_hot(large, keys, order, ties, hot, name))
 
 
-def _order(order: str, ties: Sequence[str]) -> list[Column]:
-    return [F.col(order).asc_nulls_last(), F.xxhash64(*ties)]
+def _number(rows: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], name: str) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_last(), F.xxhash64(*ties))
+    return rows.withColumn(name, F.row_number().over(window).cast("long"))
 
 
-def _number(rows: DataFrame, keys, order: str, ties, name: str) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*_order(order, ties))
-    return rows.withColumn(name, F.row_number().over(window).cast("long"))
+def cut_table(like: DataFrame, keys: Sequence[str], hot: Sequence[Row]) -> DataFrame:
+    """The hot groups with ``cuts`` and ``steps``, every ``_STEP``-th cut."""
+    longs = T.ArrayType(T.LongType())
+    lines = [Row(**{key: g[key] for key in keys}, cuts=g.cuts, steps=g.cuts[_STEP - 1 :: _STEP]) for g in hot]
+    return hot_table(like, keys, lines, cuts=longs, steps=longs)
+
+
+def _has_heavy_values(groups: Sequence[Row]) -> bool:
+    """Some order value (or NULL) holds more than about one range: only then can copies matter."""
+    return any(len(set(g.cuts)) < len(g.cuts) or (g.rows - g.valued) * _RANGES > g.rows for g in groups)
 
 
-def _number_in_ranges(rows: DataFrame, keys, order: str, ties, name: str) -> DataFrame:
+def number_hot(
+    rows: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], hot: Sequence[Row], name: str = "rn"
+) -> DataFrame:
     """Number each range of a group on its own, then add the size of the ranges before it.
 
-    ``_range`` grows with the order value. A value that is itself a cut has a range of its own, which
-    is divided further by the leading bits of the tie hash: so even equal order values spread. The
-    pair (``_range``, ``_part``) follows the same order as the row number does.
+    ``rows`` carry ``cuts`` and ``steps`` of their group. ``_range`` grows with the order value. A
+    value that is itself a cut has a range of its own, which the leading bits of the tie hash divide
+    further (``_part``): so even equal order values spread, and (``_range``, ``_part``) follows the
+    order of the row numbers. Identical rows are numbered as one row with a count.
     """
-    value, cuts = F.col(order).cast("long"), F.col("cuts")
-    below = F.size(F.filter(cuts, lambda cut: cut < value))
-    on_cut = F.array_contains(cuts, value)
-    position = F.when(value.isNull(), 2 * _RANGES + 2).otherwise(2 * below + on_cut.cast("int"))
-    part = F.when(value.isNull() | on_cut, F.shiftright(F.xxhash64(*ties), 58)).otherwise(F.lit(0).cast("long"))
-    ranged = rows.withColumn("_range", position).withColumn("_part", part).drop("cuts")
+    columns = [c for c in rows.columns if c not in ("cuts", "steps")]
+    value = F.col(order).cast("long")
+    step = F.size(F.filter("steps", lambda cut: cut < value)) * _STEP
+    inside = F.slice("cuts", F.col("_step") + 1, F.lit(_STEP))
+    below = F.col("_step") + F.size(F.filter(inside, lambda cut: cut < value))
+    on_cut = F.coalesce(F.get("cuts", F.col("_below")) == value, F.lit(False))
+    ranged = (
+        rows.withColumn("_step", step)
+        .withColumn("_below", below)
+        .withColumn("_heavy", value.isNull() | on_cut)
+        .withColumn("_range", F.when(value.isNull(), 2 * _RANGES).otherwise(2 * F.col("_below") + on_cut.cast("int")))
+        .select(*columns, "_range", "_heavy")
+    )
+    collapse = _has_heavy_values(hot)
+    if collapse:
+        ranged = collapse_copies(ranged, _PIECE)
+    else:
+        ranged = ranged.withColumns({"_piece": F.lit(0), "_copies": F.lit(1).cast("long")})
+    ranged = ranged.withColumn("_tie", F.xxhash64(*ties, "_piece")).withColumn(
+        "_part", F.when(F.col("_heavy"), F.shiftright("_tie", 58)).otherwise(F.lit(0).cast("long"))
+    )
 
     cell = [*keys, "_range", "_part"]
-    earlier = (
-        Window.partitionBy(*keys).orderBy("_range", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = Window.partitionBy(*keys).orderBy("_range", "_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*cell)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*[F.col(c).alias(f"o{c}") for c in cell], F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        .agg(F.sum("_copies").alias("_rows"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .select("_before", *[F.col(c).alias(f"_of_{c}") for c in cell])
     )
-    inside = Window.partitionBy(*cell).orderBy(*_order(order, ties))
     same = F.lit(True)
     for c in cell:
-        same = same & F.col(c).eqNullSafe(F.col(f"o{c}"))
-    return (
-        ranged.withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, same)
-        .withColumn(name, F.col("_before") + F.col("_inside"))
-        .select(*[c for c in rows.columns if c != "cuts"], name)
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    up_to_here = (
+        Window.partitionBy(*cell)
+        .orderBy(F.col(order).asc_nulls_last(), "_tie")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    numbered = ranged.withColumn("_end", F.sum("_copies").over(up_to_here)).join(offsets, same)
+    end = F.col("_before") + F.col("_end")
+    number = F.explode(F.sequence(end - F.col("_copies") + 1, end)) if collapse else end
+    return numbered.withColumn(name, number).select(*columns, name)

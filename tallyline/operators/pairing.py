@@ -8,8 +8,15 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
+from tallyline.operators.copies import collapse_copies, restore_copies
 from tallyline.operators.hot_groups import find_hot_groups, hot_table, split_hot
-from tallyline.operators.numbering import find_hot_sequences, order_cuts, sequence_number
+from tallyline.operators.numbering import (
+    cut_table,
+    find_hot_sequences,
+    number_hot,
+    order_measures,
+    sequence_number,
+)
 
 # A transaction with more legs than this is joined in cells of about CELL_ROWS per side. Both are low
 # because the work grows with the product of the sides.
@@ -23,13 +30,13 @@ _NULL_SPREAD = 1024
 def find_hot_transactions(
     legs: DataFrame, keys: Sequence[str], order: str | None = None, min_rows: int | None = None
 ) -> list[Row]:
-    """Hot transactions with their leg counts ``outs`` and ``ins`` and, given an order, its ``cuts``.
+    """Hot transactions with their leg counts ``outs`` and ``ins`` and, given an order, its measures.
 
     ``legs`` holds both sides, tagged ``OUT`` and ``IN``; one narrow scan serves both ways of pairing.
     """
     measures = [F.count_if(F.col("side") == side).alias(name) for side, name in (("OUT", "outs"), ("IN", "ins"))]
     if order:
-        measures.append(order_cuts(order))
+        measures += order_measures(order)
     return find_hot_groups(
         legs.select(*keys, "side", *([order] if order else [])).dropna(subset=list(keys)),
         keys,
@@ -71,7 +78,7 @@ def pair_by_txn(
     outs, hot_outs = split_hot(outs, keys, table)
     ins, hot_ins = split_hot(ins, keys, table)
     tasks = min(_MAX_CELL_TASKS, max(1, sum(g.down * g.across for g in groups)))
-    pairs = join(outs, ins, keys).unionByName(_grid_join(hot_outs, hot_ins, keys, tasks))
+    pairs = join(outs, ins, keys).unionByName(_grid_join(hot_outs, hot_ins, keys, tasks, cell_rows))
     if not keep_unmatched:
         return pairs
     lonely = hot_outs.filter("across = 0").drop("down", "across")
@@ -88,21 +95,28 @@ def _left_join(outs: DataFrame, ins: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _grid_join(outs: DataFrame, ins: DataFrame, keys: list[str], tasks: int) -> DataFrame:
+def _grid_join(outs: DataFrame, ins: DataFrame, keys: list[str], tasks: int, cell_rows: int) -> DataFrame:
     """Every book-out goes to one row of the grid and every book-in to one column, each to all its cells.
 
     Both legs exist (``across`` > 0), so no book-out is unmatched and an inner join is the left join.
-    A cell is small in bytes and large in pairs; an explicit number of partitions keeps Spark from
-    merging cells by their bytes.
+    Identical rows travel as one row with a count. A cell is small in bytes and large in pairs; an
+    explicit number of partitions keeps Spark from merging cells by their bytes.
     """
     cell = [*keys, "_down", "_across"]
-    down = F.pmod(F.xxhash64(*outs.columns), F.col("down"))
-    across = F.pmod(F.xxhash64(*ins.columns), F.col("across"))
-    cells = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
-    outs = outs.filter("across > 0").withColumn("_down", down).withColumn("_across", cells("across"))
-    ins = ins.filter("across > 0").withColumn("_across", across).withColumn("_down", cells("down"))
-    outs, ins = (rows.drop("down", "across").repartition(tasks, *cell) for rows in (outs, ins))
-    return outs.join(ins, cell).drop("_down", "_across")
+
+    def in_cells(rows: DataFrame, own: str, other: str) -> DataFrame:
+        plain = [c for c in rows.columns if c not in ("down", "across")]
+        place = F.pmod(F.xxhash64(*plain, "_piece"), F.col(own))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        placed = (
+            collapse_copies(rows.filter("across > 0"), cell_rows)
+            .withColumn(f"_{own}", place)
+            .withColumn(f"_{other}", every)
+            .repartition(tasks, *cell)
+        )
+        return restore_copies(placed).select(*plain, "_down", "_across")
+
+    return in_cells(outs, "down", "across").join(in_cells(ins, "across", "down"), cell).drop("_down", "_across")
 
 
 def pair_by_sequence(
@@ -119,9 +133,10 @@ def pair_by_sequence(
 ) -> DataFrame:
     """n-th book-out to n-th book-in of a transaction.
 
-    A book-out without partner has NULLs, or is dropped without ``keep_unmatched``. ``legs`` holds both sides, tagged ``OUT`` and ``IN``, so the ledger is read once, and one
-    shuffle by transaction serves the numbering and the pairing: the partner is the next row of
-    (transaction, number). Returns the keys, ``out_columns`` and ``in_columns``.
+    A book-out without partner has NULLs, or is dropped without ``keep_unmatched``. ``legs`` holds
+    both sides, tagged ``OUT`` and ``IN``, so the ledger is read once, and one shuffle by transaction
+    serves the numbering and the pairing: the partner is the next row of (transaction, number).
+    Returns the keys, ``out_columns`` and ``in_columns``.
 
     Hot transactions are numbered in ranges and paired by (transaction, number).
     """
@@ -137,19 +152,16 @@ def pair_by_sequence(
     known = slim.dropna(subset=keys)
     if hot is None:
         hot = find_hot_sequences(legs.dropna(subset=keys), keys, order, min_rows=min_rows)
-    ties = [*out_columns, "_in"]
-    rule = dict(keys=[*keys, side], order=order, ties=ties, hot=())
+    number_by, ties = [*keys, side], [*out_columns, "_in"]
+
+    def pair(rows: DataFrame) -> DataFrame:
+        return _next_leg(sequence_number(rows.repartition(*keys), number_by, order, ties, hot=()), keys, side)
 
     if hot:
-        table = hot_table(legs, keys, hot, cuts=T.ArrayType(T.LongType()))
-        known, large = split_hot(known, keys, table)
-        large_numbered = sequence_number(large.drop("cuts"), **{**rule, "hot": hot}, hot_keys=keys)
-        paired = _next_leg(sequence_number(known.repartition(*keys), **rule), keys, side).unionByName(
-            _next_leg(large_numbered, keys, side)
-        )
+        known, large = split_hot(known, keys, cut_table(legs, keys, hot))
+        paired = pair(known).unionByName(_next_leg(number_hot(large, number_by, order, ties, hot), keys, side))
     else:
-        paired = _next_leg(sequence_number(known.repartition(*keys), **rule), keys, side)
-
+        paired = pair(known)
     columns = [*keys, *out_columns, "_in"]
     pairs = paired.select(*columns)
     if keep_unmatched:

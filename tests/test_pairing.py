@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from tallyline.operators import numbering
 from tallyline.operators.hot_groups import find_hot_groups
 from tallyline.operators.numbering import find_hot_sequences, sequence_number
 from tallyline.operators.pairing import find_hot_transactions, pair_by_sequence, pair_by_txn
@@ -142,3 +143,43 @@ def test_hot_groups_are_exact(spark):
     assert got == {txn: n for txn, n in counts.items() if n > 120}
     assert set(got) == {"hot", None}
     assert find_hot_groups(rows, ["txn"], min_rows=5000) == []
+
+
+def _copies(rows: int):
+    """A third of the legs are copies of one book-out, another sixth copies of one book-in."""
+    legs = _legs(rows=rows)
+    legs += [("hot", "OUT", 77, "same out")] * (rows // 2) + [("hot", "IN", 78, "same in")] * (rows // 4)
+    return legs + [("hot", "OUT", None, "no sequence")] * (rows // 8)
+
+
+@pytest.mark.parametrize("piece", [7, 10_000])
+def test_identical_legs_are_numbered_and_paired(spark, monkeypatch, piece):
+    monkeypatch.setattr(numbering, "_PIECE", piece)
+    legs = [leg for leg in _copies(800) if leg[2] is not None or leg[3] == "no sequence"]
+    rows = spark.createDataFrame(legs, LEG)
+    got = sequence_number(rows, ["txn", "side"], "seq", ["carrier"], min_rows=100).collect()
+    assert Counter((r.txn, r.side, r.seq, r.carrier) for r in got) == Counter(legs)
+    groups = defaultdict(list)
+    for r in got:
+        groups[r.txn, r.side].append((r.rn, r.seq is None, r.seq or 0))
+    for group in groups.values():
+        group.sort()
+        assert [rn for rn, *_ in group] == list(range(1, len(group) + 1))
+        assert [order for _, *order in group] == sorted(order for _, *order in group)
+
+    outs = [leg for leg in legs if leg[0] == "hot" and leg[1] == "OUT"]
+    ins = [leg for leg in legs if leg[0] == "hot" and leg[1] == "IN"]
+    order = lambda leg: (leg[2] is None, leg[2] or 0)
+    expected = Counter((o[3], i[3]) for o, i in zip(sorted(outs, key=order), sorted(ins, key=order)))
+    expected.update((o[3], None) for o in sorted(outs, key=order)[len(ins) :])
+    tagged = rows.withColumns({"source": F.col("carrier"), "target": F.col("carrier")})
+    pairs = pair_by_sequence(tagged, ["txn"], "seq", out_columns=["source"], in_columns=["target"], min_rows=100)
+    assert Counter((r.source, r.target) for r in pairs.filter("txn = 'hot'").collect()) == expected
+
+
+@pytest.mark.parametrize("cell_rows", [25, 10_000])
+def test_identical_legs_fan_out(spark, cell_rows):
+    legs = _copies(240)
+    outs, ins = _sides(spark, legs)
+    got = pair_by_txn(outs, ins, ["txn"], min_rows=50, cell_rows=cell_rows)
+    assert Counter((r.txn, r.source, r.target) for r in got.collect()) == _brute_pairs(legs, False)
