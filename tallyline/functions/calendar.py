@@ -23,7 +23,13 @@ def month_label_padded(month: Column) -> Column:
 
 
 def event_time_label(moment: Column) -> Column:
-    return F.date_format(moment, EVENT_TIME_FORMAT)
+    """``DD.MM.YYYY HH24:MI:SS``, from the text of the zone-free timestamp.
+
+    ``date_format`` would read the time in the session's zone and move hours that a clock change skips.
+    """
+    text = moment.cast("timestamp_ntz").cast("string")
+    day = F.concat_ws(".", text.substr(9, 2), text.substr(6, 2), text.substr(1, 4))
+    return F.when(text.isNotNull(), F.concat(day, F.lit(" "), text.substr(12, 8)))
 
 
 def event_time(text: str) -> Column:

@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as
 from tallyline.operators.copies import collapse_copies
 from tallyline.operators.hot_groups import find_hot_groups, hot_table, split_hot
 
-# A hot group is cut into this many ranges of order values, and looked up in steps of _STEP cuts.
+# A hot group is cut into this many ranges of order values; a power of two, for the lookup.
 _RANGES = 256
-_STEP = 16
 # Copies of one row that are numbered together.
 _PIECE = 10_000
 
@@ -63,10 +62,8 @@ def _number(rows: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str
 
 
 def cut_table(like: DataFrame, keys: Sequence[str], hot: Sequence[Row]) -> DataFrame:
-    """The hot groups with ``cuts`` and ``steps``, every ``_STEP``-th cut."""
-    longs = T.ArrayType(T.LongType())
-    lines = [Row(**{key: g[key] for key in keys}, cuts=g.cuts, steps=g.cuts[_STEP - 1 :: _STEP]) for g in hot]
-    return hot_table(like, keys, lines, cuts=longs, steps=longs)
+    """The hot groups with their ``cuts``."""
+    return hot_table(like, keys, hot, cuts=T.ArrayType(T.LongType()))
 
 
 def _has_heavy_values(groups: Sequence[Row]) -> bool:
@@ -79,21 +76,20 @@ def number_hot(
 ) -> DataFrame:
     """Number each range of a group on its own, then add the size of the ranges before it.
 
-    ``rows`` carry ``cuts`` and ``steps`` of their group. ``_range`` grows with the order value. A
+    ``rows`` carry the ``cuts`` of their group. ``_range`` grows with the order value. A
     value that is itself a cut has a range of its own, which the leading bits of the tie hash divide
     further (``_part``): so even equal order values spread, and (``_range``, ``_part``) follows the
     order of the row numbers. Identical rows are numbered as one row with a count.
     """
-    columns = [c for c in rows.columns if c not in ("cuts", "steps")]
+    columns = [c for c in rows.columns if c != "cuts"]
     value = F.col(order).cast("long")
-    step = F.size(F.filter("steps", lambda cut: cut < value)) * _STEP
-    inside = F.slice("cuts", F.col("_step") + 1, F.lit(_STEP))
-    below = F.col("_step") + F.size(F.filter(inside, lambda cut: cut < value))
+    ranged, step = rows.withColumn("_below", F.lit(0)), _RANGES
+    while step := step // 2:  # binary search for the number of cuts below the value
+        more = F.when(F.get("cuts", F.col("_below") + (step - 1)) < value, step).otherwise(0)
+        ranged = ranged.withColumn("_below", F.col("_below") + more)
     on_cut = F.coalesce(F.get("cuts", F.col("_below")) == value, F.lit(False))
     ranged = (
-        rows.withColumn("_step", step)
-        .withColumn("_below", below)
-        .withColumn("_heavy", value.isNull() | on_cut)
+        ranged.withColumn("_heavy", value.isNull() | on_cut)
         .withColumn("_range", F.when(value.isNull(), 2 * _RANGES).otherwise(2 * F.col("_below") + on_cut.cast("int")))
         .select(*columns, "_range", "_heavy")
     )

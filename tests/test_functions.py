@@ -156,6 +156,18 @@ def test_month_and_time_labels(spark):
     assert stamp.first()[0] == "07.03.2024 04:05:06"
 
 
+def test_time_labels_do_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = _texts(spark, ["2024-03-10 02:30:00", None]).select(F.col("v").cast("timestamp_ntz").alias("t"))
+        assert [r[0] for r in rows.select(event_time_label(F.col("t"))).collect()] == ["10.03.2024 02:30:00", None]
+        kept = window_filter(rows, "t", "10.03.2024 02:30:00", "10.03.2024 02:30:00")
+        assert kept.count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_ratio_rounds_half_away_from_zero(spark):
     rows = spark.createDataFrame([(1, 3), (1, 800), (-1, 800), (-5, 7), (2, 0), (None, 3), (3, None), (0, 5)], "a long, b long")
     got = [tuple(r) for r in rows.select(percentage(F.col("a"), F.col("b")), safe_ratio(F.col("a"), F.col("b"), 0)).collect()]
