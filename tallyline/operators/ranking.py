@@ -32,19 +32,18 @@ def top_bottom(totals: DataFrame, metric: str, k: int = 3) -> DataFrame:
 def fixed_bands(totals: DataFrame, metric: str) -> DataFrame:
     """Ranks 1-3 as ``Top 3`` and 8-10 as ``Bottom 3``: the bottom only if there are ten groups and no ties.
 
-    The bound on the rank lets Spark cut every partition to its first ten before the one global window.
+    The rank of a value is one more than the number of groups above it, so the ten highest values and
+    their counts give all ranks up to ten, and ties never meet in one task.
     """
-    rank = F.rank().over(Window.orderBy(F.desc_nulls_first(metric)))
-    label = (
-        F.when(F.col("rank").between(1, 3), "Top 3").when(F.col("rank").between(8, 10), "Bottom 3").otherwise("Middle")
-    )
-    return (
-        totals.withColumn("rank", rank)
-        .filter(F.col("rank") <= 10)
-        .withColumn("category", label)
-        .filter(F.col("category").isin("Top 3", "Bottom 3"))
-        .drop("rank")
+    highest = F.desc_nulls_first("_value")
+    values = totals.groupBy(F.col(metric).alias("_value")).agg(F.count(F.lit(1)).alias("_groups"))
+    above = Window.orderBy(highest).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (
+        values.orderBy(highest).limit(10).withColumn("_rank", F.coalesce(F.sum("_groups").over(above), F.lit(0)) + 1)
     )
+    band = F.when(F.col("_rank").between(1, 3), "Top 3").when(F.col("_rank").between(8, 10), "Bottom 3")
+    bands = ranks.select("_value", band.alias("category")).filter("category IS NOT NULL")
+    return totals.join(F.broadcast(bands), F.col(metric).eqNullSafe(F.col("_value"))).drop("_value")
 
 
 def best_per_group(rows: DataFrame, group: Sequence[str], metric: str) -> DataFrame:

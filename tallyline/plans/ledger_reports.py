@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from tallyline.functions import codes
@@ -125,30 +124,40 @@ def overstock_movements(
     )
 
 
+def sorting_legs(ledger: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """All legs of the manual sorting area with their document fields.
+
+    Persist this (``MEMORY_AND_DISK``) and hand it to the report as ``kept`` where the ledger scan or
+    the documents are dear: the report reads it several times. The caller releases it.
+    """
+    rules = MANUAL_SORTING_RULES
+    windowed = window_filter(ledger, "CREATED", start, end)
+    return leg_attributes(legs(windowed, rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in))
+
+
 def manual_sorting_movements(
     ledger: DataFrame,
     start: str | None = None,
     end: str | None = None,
     reference: str | None = None,
-    materialize: bool = False,
     *,
+    kept: DataFrame | None = None,
     keep_unmatched: bool = True,
 ) -> DataFrame:
     """Normal moves paired on the transaction id, dummy moves strictly by scan sequence.
 
     The window holds for every leg and comes before the numbering; the reference filter comes after
-    it. ``materialize`` keeps the extracted legs (memory, then disk) for their several reads and
-    changes no row: worth it where the ledger scan or the documents are dear.
+    it. ``kept``, from :func:`sorting_legs` with the same window, is read in place of the ledger.
     """
     rules = MANUAL_SORTING_RULES
     windowed = window_filter(ledger, "CREATED", start, end)
-    every = legs(windowed, rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in)
-    if materialize:
-        every = leg_attributes(every).persist(StorageLevel.MEMORY_AND_DISK)
-        outs = every.filter("goods = 'NORMAL' AND side = 'OUT'")
-        ins = every.filter("goods = 'NORMAL' AND side = 'IN'")
-        dummy = every.filter("goods = 'DUMMY'")
+    if kept is not None:
+        every = kept
+        outs = kept.filter("goods = 'NORMAL' AND side = 'OUT'")
+        ins = kept.filter("goods = 'NORMAL' AND side = 'IN'")
+        dummy = kept.filter("goods = 'DUMMY'")
     else:
+        every = legs(windowed, rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in)
         outs = leg_attributes(legs(windowed, rules.normal_out))
         ins = leg_attributes(legs(windowed, rules.normal_in), ())
         dummy = leg_attributes(legs(windowed, rules.dummy_out, rules.dummy_in))
@@ -223,8 +232,9 @@ def manual_sorting_report(
     start: str | None = None,
     end: str | None = None,
     reference: str | None = None,
-    materialize: bool = False,
+    *,
+    kept: DataFrame | None = None,
 ) -> DataFrame:
     """One row per matched pair of the manual sorting area."""
-    moves = manual_sorting_movements(ledger, start, end, reference, materialize, keep_unmatched=False)
+    moves = manual_sorting_movements(ledger, start, end, reference, kept=kept, keep_unmatched=False)
     return movement_report(moves, MANUAL_SORTING_RULES)

@@ -204,6 +204,8 @@ def test_top_and_bottom_bands(spark, values, top, bottom):
         (list(range(9, 0, -1)), [9, 8, 7], [2, 1]),
         ([9, 8, 7, 7, 5, 4, 3, 2, 1, 0], [9, 8, 7, 7], [2, 1, 0]),
         ([9, 8, 7, 6, 5, 4, 2, 2, 2, 2], [9, 8, 7], []),  # four groups of rank 7
+        ([None, None, 9, 8, 7, 6, 5, 4, 3, 3], [None, None, 9], [4, 3, 3]),
+        ([5] * 12, [5] * 12, []),
     ],
 )
 def test_fixed_bands_as_written(spark, values, top, bottom):

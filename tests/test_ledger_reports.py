@@ -7,6 +7,7 @@ import json
 from collections import Counter
 
 import pytest
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
@@ -100,10 +101,12 @@ def test_manual_sorting_rules(spark):
         ("51", "501", "27", "OSR (OV)", "Overstock", "first"),
         ("52", "62", "29", "Zircle", "Unknown", "second"),
     }
-    for materialize in (False, True):
-        report = reports.manual_sorting_report(ledger, materialize=materialize)
+    kept = reports.sorting_legs(ledger).persist(StorageLevel.MEMORY_AND_DISK)
+    for legs in (None, kept):
+        report = reports.manual_sorting_report(ledger, kept=legs)
         assert {tuple(r[f] for f in fields) for r in _dicts(report)} == expected
-    spark.catalog.clearCache()
+        assert ("InMemoryTableScan" in report._jdf.queryExecution().executedPlan().toString()) == (legs is not None)
+    kept.unpersist()
 
 
 def test_window_before_numbering_and_after_pairing(spark):
