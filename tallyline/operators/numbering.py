@@ -26,7 +26,8 @@ def order_measures(order: str) -> list[Column]:
     """Measures for the hot-group search: the order values that cut a group into about equal ranges
     (approximate cuts cost balance, not correctness), and the number of rows that have a value.
     """
-    cuts = F.percentile_approx(F.col(order).cast("long"), [i / _RANGES for i in range(1, _RANGES)])
+    shares = ", ".join(f"{i / _RANGES}D" for i in range(1, _RANGES))
+    cuts = F.expr(f"percentile_approx(CAST(`{order}` AS BIGINT), array({shares}))")
     return [F.coalesce(cuts, F.array().cast("array<long>")).alias("cuts"), F.count(order).alias("valued")]
 
 
