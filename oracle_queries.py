@@ -49,9 +49,9 @@ ledger AS (
          CASE event_type WHEN 'click' THEN 614 WHEN 'purchase' THEN 207 WHEN 'signup' THEN 520
                          WHEN 'view' THEN 520 ELSE 999 END AS kind,
          CASE WHEN e % 10 = 3 THEN 110 ELSE 120 END AS subtype,
-         CASE event_type WHEN 'click' THEN -1
-                         WHEN 'purchase' THEN CASE WHEN e % 19 = 0 THEN 2 ELSE 1 END
-                         WHEN 'signup' THEN -1 - e % 3 WHEN 'view' THEN 1 ELSE 0 END AS qty,
+         CAST(CASE event_type WHEN 'click' THEN -1
+                              WHEN 'purchase' THEN CASE WHEN e % 19 = 0 THEN 2 ELSE 1 END
+                              WHEN 'signup' THEN -1 - e % 3 WHEN 'view' THEN 1 ELSE 0 END AS INTEGER) AS qty,
          CASE WHEN e % 7 = 0 THEN 'Sorter' WHEN e % 7 <= 3 THEN 'Overstock' ELSE 'SZROV' END AS loc,
          CASE WHEN e % 29 = 0 THEN NULL WHEN e % 5 <= 1 THEN 'OV' || (e % 12)
               WHEN e % 5 <= 3 THEN 'IN_SZR_OV' ELSE 'SZR_OV' END AS dest,
@@ -253,7 +253,7 @@ def oracle_sql() -> dict[str, str]:
     )
     ref = f"WITH {FIELDS} SELECT seq AS sequence, reference FROM fields"
     filtered = f"upper(t1.reference) LIKE upper('{REF_WILDCARD}')"
-    month_rows = f"WITH {TRIPS} SELECT CAST(month AS VARCHAR) AS month, {{label}} count(*) AS trips FROM trips GROUP BY month"
+    month_rows = f"WITH {TRIPS} SELECT CAST(month AS VARCHAR) AS month, count(*) AS trips{{label}} FROM trips GROUP BY month"
     kpi = {
         "table_preview": f"""WITH {TRIPS} SELECT trip_id, CAST(trip_date AS VARCHAR) AS trip_date, city_id, passenger_type,
             CAST(km AS DOUBLE) AS distance_travelled_km, CAST(fare AS INTEGER) AS fare_amount, passenger_rating, driver_rating
@@ -283,8 +283,8 @@ def oracle_sql() -> dict[str, str]:
         "share_of_total": f"""WITH {TRIPS}, g AS (SELECT city_id, count(*) AS n FROM trips GROUP BY 1)
             SELECT city_id, n AS "rows", {_ratio('n', '(SELECT count(*) FROM trips)', 100)} AS percentage FROM g""",
         "month_bucket": month_rows.format(label=""),
-        "month_label": month_rows.format(label="strftime(month, '%B') AS label,"),
-        "month_label_padded": month_rows.format(label="rpad(strftime(month, '%B'), 9, ' ') AS label,"),
+        "month_label": month_rows.format(label=", strftime(month, '%B') AS label"),
+        "month_label_padded": month_rows.format(label=", rpad(strftime(month, '%B'), 9, ' ') AS label"),
         "target_variance": f"""WITH {TRIPS}, {CITIES}, {NATION_MONTH},
             cm AS (SELECT month, city_id, city_name, count(*) AS a FROM trips JOIN cities USING (city_id) GROUP BY 1, 2, 3),
             g AS (SELECT city_name, cm.month AS month, CAST(sum(a) AS BIGINT) AS a, CAST(sum(4 * n) AS BIGINT) AS t

@@ -23,9 +23,13 @@ def _rows(names: list[str], rows) -> Counter:
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
-def compare(result, con, sql: str) -> tuple[list[str], list[str], Counter, Counter]:
-    done = con.execute(sql)
-    twin_names = [column[0] for column in done.description]
-    twin = _rows(twin_names, done.fetchall())
+TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}
+
+
+def compare(result, con, sql: str):
+    """(columns, columns of the twin, rows, rows of the twin)"""
+    twin_columns = [(name, str(kind)) for name, kind, *_ in con.execute(f"DESCRIBE {sql}").fetchall()]
+    own_columns = [(name, TYPES[kind]) for name, kind in result.dtypes]
+    twin = _rows([name for name, _ in twin_columns], con.execute(sql).fetchall())
     own = _rows(result.columns, [tuple(row) for row in result.collect()])
-    return sorted(result.columns), sorted(twin_names), own, twin
+    return own_columns, twin_columns, own, twin
