@@ -5,26 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def is_scalar(raw: Column, doc: Column, key: str) -> Column:
-    """Whether ``raw``, the text of ``key`` as Spark extracts it, is a non-empty scalar.
+def scalar_test(raw: str, document: str, key: str) -> str:
+    """SQL: whether ``raw``, the text of ``key`` as Spark extracts it, is a non-empty scalar.
 
     Spark's JSON functions return objects and arrays as text. Only text that looks like one is
     checked, so the second parse is rare. The check is on the node type: a JSON *string* that begins
-    with a brace is a scalar.
+    with a brace is a scalar. A CASE and not an AND: Spark computes operands that several ANDs share
+    up front, for every row.
     """
-    node = F.schema_of_variant(F.try_variant_get(F.try_parse_json(doc), f"$.{key}", "variant"))
-    looks_nested = raw.startswith("{") | raw.startswith("[")
-    # A CASE and not an AND: Spark computes shared operands of AND up front, for every row.
-    return F.when(looks_nested, ~node.rlike("^(OBJECT|ARRAY)")).otherwise(raw != "")
+    node = f"schema_of_variant(try_variant_get(try_parse_json(`{document}`), '$.{key}', 'variant'))"
+    return (
+        f"CASE WHEN startswith({raw}, '{{') OR startswith({raw}, '[') THEN NOT rlike({node}, '^(OBJECT|ARRAY)') "
+        f"ELSE {raw} != '' END"
+    )
 
 
-def json_value(doc: Column, key: str) -> Column:
-    """``JSON_VALUE(doc, '$.key')``: the scalar as text.
+def json_value(document: str, key: str) -> Column:
+    """``JSON_VALUE(document, '$.key')``: the scalar as text.
 
     NULL for objects, arrays, JSON null, the empty string, a missing key and a malformed document.
     Fractional numbers come in Spark's notation (``1.50`` as ``1.5``); codes are integers or strings.
     For several keys of one document use ``with_json_fields``, which parses it once.
     """
     # The array holds the one extracted text, so that testing it does not extract it again.
-    found = F.array(F.get_json_object(doc, f"$.{key}"))
-    return F.get(F.filter(found, lambda raw: is_scalar(raw, doc, key)), 0)
+    found = f"array(get_json_object(`{document}`, '$.{key}'))"
+    return F.expr(f"get(filter({found}, raw -> {scalar_test('raw', document, key)}), 0)")

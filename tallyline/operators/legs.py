@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyline.functions.calendar import window_predicate
-from tallyline.functions.json_fields import is_scalar
-from tallyline.functions.text import all_digits, not_prefixed, reference_predicate
+from tallyline.functions.json_fields import scalar_test
+from tallyline.functions.text import all_digits, reference_predicate
 
 # Transaction kinds of the ledger.
 NORMAL_MOVE = 520
@@ -30,6 +29,9 @@ DOCUMENT_FIELDS = {
 }
 
 
+_SIGNS = {"negative": "< 0", "one": "= 1", "positive": "> 0"}
+
+
 @dataclass(frozen=True)
 class LegSpec:
     """One leg: transaction kind and sign of the quantity, and optional further conditions."""
@@ -42,23 +44,28 @@ class LegSpec:
     subtype: int | None = None
     excluded_carrier_prefix: str | None = None
 
-    def predicate(self) -> Column:
-        amount = F.col("MENGE")
-        parts = [
-            F.col("TPARTNR") == self.kind,
-            {"negative": amount < 0, "one": amount == 1, "positive": amount > 0}[self.quantity],
-        ]
+    def condition(self) -> str:
+        """The leg as a SQL condition on the ledger's columns."""
+        parts = [f"TPARTNR = {self.kind}", f"MENGE {_SIGNS[self.quantity]}"]
         if self.locations:
-            parts.append(F.col("LAGBEZ").isin(*self.locations))
+            parts.append(f"LAGBEZ IN {_texts(self.locations)}")
         if self.destination_prefix:
-            parts.append(F.col("ZIEL").startswith(self.destination_prefix))
+            parts.append(f"startswith(ZIEL, {_text(self.destination_prefix)})")
         if self.destinations:
-            parts.append(F.col("ZIEL").isin(*self.destinations))
+            parts.append(f"ZIEL IN {_texts(self.destinations)}")
         if self.subtype is not None:
-            parts.append(F.col("TYP_ID") == self.subtype)
+            parts.append(f"TYP_ID = {self.subtype}")
         if self.excluded_carrier_prefix:
-            parts.append(not_prefixed(F.col("LHMNR"), self.excluded_carrier_prefix))
-        return reduce(lambda a, b: a & b, parts)
+            parts.append(f"NOT startswith(LHMNR, {_text(self.excluded_carrier_prefix)})")
+        return "(" + " AND ".join(parts) + ")"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _texts(values: tuple[str, ...]) -> str:
+    return "(" + ", ".join(map(_text, values)) + ")"
 
 
 # Ledger column -> column of a leg.
@@ -80,11 +87,10 @@ def legs(ledger: DataFrame, *specs: LegSpec) -> DataFrame:
 
     The legs of a report differ in kind and sign, so both tags follow from these two columns.
     """
-    wanted = reduce(lambda a, b: a | b, [spec.predicate() for spec in specs])
-    return ledger.filter(wanted).select(
-        *[F.col(column).alias(name) for column, name in LEG_COLUMNS.items()],
-        F.when(F.col("MENGE") < 0, "OUT").otherwise("IN").alias("side"),
-        F.when(F.col("TPARTNR") == NORMAL_MOVE, "NORMAL").otherwise("DUMMY").alias("goods"),
+    return ledger.filter(" OR ".join(spec.condition() for spec in specs)).selectExpr(
+        *[f"{column} AS {name}" for column, name in LEG_COLUMNS.items()],
+        "IF(MENGE < 0, 'OUT', 'IN') AS side",
+        f"IF(TPARTNR = {NORMAL_MOVE}, 'NORMAL', 'DUMMY') AS goods",
     )
 
 
@@ -95,12 +101,15 @@ def with_json_fields(rows: DataFrame, document: str, fields: Mapping[str, str])
     """
     if not fields:
         return rows
-    raw = [f"_raw_{name}" for name in fields.values()]
-    values = [
-        F.when(is_scalar(F.col(text), F.col(document), key), F.col(text)).alias(name)
-        for text, (key, name) in zip(raw, fields.items())
-    ]
-    return rows.select("*", F.json_tuple(document, *fields).alias(*raw)).select(*rows.columns, *values)
+    raw = {key: f"_raw_{name}" for key, name in fields.items()}
+    parsed = rows.select("*", F.json_tuple(document, *raw).alias(*raw.values()))
+    return parsed.selectExpr(
+        *[f"`{column}`" for column in rows.columns],
+        *[
+            f"CASE WHEN {scalar_test(raw[key], document, key)} THEN {raw[key]} END AS `{name}`"
+            for key, name in fields.items()
+        ],
+    )
 
 
 def leg_attributes(rows: DataFrame, fields: Collection[str] = tuple(DOCUMENT_FIELDS.values())) -> DataFrame:

@@ -43,7 +43,7 @@ def _texts(spark, values, name="v"):
 
 def test_json_value_is_scalar_or_null(spark):
     rows = _texts(spark, [*DOCUMENTS, None], "doc")
-    found = {r.doc: r.k for r in rows.select("doc", json_value(F.col("doc"), "K").alias("k")).collect()}
+    found = {r.doc: r.k for r in rows.select("doc", json_value("doc", "K").alias("k")).collect()}
     assert found == {**DOCUMENTS, None: None}
 
 
