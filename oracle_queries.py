@@ -327,6 +327,7 @@ def oracle_sql() -> dict[str, str]:
     ledger = {
         "ledger_legs": f"WITH {LEDGER} {leg_union}",
         "json_value": f"WITH {FIELDS} SELECT seq AS sequence, {', '.join(_FIELDS)} FROM fields",
+        "json_fields": f"WITH {FIELDS} SELECT seq AS sequence, {', '.join(_FIELDS)} FROM fields",
         "like_prefix_filter": f"""WITH {LEDGER} SELECT seq AS sequence, carrier, dest AS destination FROM ledger
             WHERE carrier NOT LIKE '000%' AND dest LIKE 'OV%'""",
         "optional_time_window": f"WITH {LEDGER} SELECT seq AS sequence, {_label('created')} AS created FROM ledger WHERE {_inside('created')}",
