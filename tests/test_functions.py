@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from pyspark.errors import PySparkException
@@ -183,6 +184,18 @@ def test_ratio_rounds_half_away_from_zero(spark):
     ]
 
 
+def test_random_ratios_equal_exact_decimals(spark):
+    rng = random.Random(3)
+    pairs = [(rng.randrange(-(10**rng.randrange(1, 15)), 10**14), rng.randrange(1, 10 ** rng.randrange(1, 15))) for _ in range(3000)]
+    pairs += [(2 * k + 1, 200) for k in range(-500, 500)]  # exact halves at the second decimal of a percentage
+    rows = spark.createDataFrame(pairs, "a long, b long")
+    for a, b, two, none in rows.select("a", "b", percentage(F.col("a"), F.col("b")), safe_ratio(F.col("a"), F.col("b"), 0)).collect():
+        with localcontext() as context:
+            context.prec = 60
+            assert two == (Decimal(100 * a) / b).quantize(Decimal("0.01"), ROUND_HALF_UP)
+            assert none == (Decimal(a) / b).quantize(Decimal(1), ROUND_HALF_UP)
+
+
 def test_ratio_of_large_and_fractional_sums(spark):
     rows = spark.createDataFrame([(9_007_199_254_740_993, Decimal("2.00")), (1, Decimal("0.03"))], "a long, b decimal(28,2)")
     got = [r[0] for r in rows.select(safe_ratio(F.col("a"), F.col("b"))).collect()]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -213,6 +214,19 @@ def test_fixed_bands_as_written(spark, values, top, bottom):
     assert _bands(fixed_bands(_totals(spark, values), "total")) == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_random_bands_equal_ranks(spark, seed):
+    rng = random.Random(seed)
+    values = [rng.choice([None, *range(rng.choice([3, 40]))]) for _ in range(rng.randrange(1, 40))]
+    key = lambda v: (v is None, v or 0)
+    down = lambda v: 1 + sum(key(w) > key(v) for w in values)
+    up = lambda v: 1 + sum(key(w) < key(v) for w in values)
+    general = [("Top 3", v) if down(v) <= 3 else ("Bottom 3", v) for v in values if down(v) <= 3 or up(v) <= 3]
+    fixed = [("Top 3", v) if down(v) <= 3 else ("Bottom 3", v) for v in values if down(v) in (1, 2, 3, 8, 9, 10)]
+    assert _bands(top_bottom(_totals(spark, values), "total", 3)) == sorted(general, key=str)
+    assert _bands(fixed_bands(_totals(spark, values), "total")) == sorted(fixed, key=str)
+
+
 def test_peak_month(spark):
     trips = _trips(
         spark,
