@@ -272,14 +272,28 @@ def _registered() -> dict[str, Query]:
     }
 
 
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators, if their subpackage is there."""
+    try:
+        import corpus_pipeline
+        from tallyline.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name in ("corpus_pipeline", "tallyline.llm"):
+            return {}, {}
+        raise
+    pipeline_sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return llm.queries() | {"pipeline": corpus_pipeline.run}, llm.oracle_sql() | pipeline_sql
+
+
 def queries() -> dict[str, Query]:
     """Every registered query; each takes (spark, sf_dir)."""
-    return {name: (lambda spark, sf, query=query: _plain(query(spark, sf))) for name, query in _registered().items()}
+    own = {name: (lambda spark, sf, query=query: _plain(query(spark, sf))) for name, query in _registered().items()}
+    return own | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results in DuckDB's SQL."""
-    return oracle_queries.oracle_sql()
+    return oracle_queries.oracle_sql() | _training_data()[1]
 
 
 def entry(spark: SparkSession) -> DataFrame:
