@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import secret_ledger, source_mix
+from tallyline.llm import piece_codec, secret_ledger, simhash_gray, source_mix
 from tallyline.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,10 +32,34 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_gray.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", simhash_gray.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def encoded_digests(documents: DataFrame) -> DataFrame:
+    """Number and digest of the ids, and digest of the decoded text."""
+    import public_tokenizers
+
+    encoded = piece_codec.encode_decode(documents, public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scans": op1_secret_scans,
         "op4_source_mix": op4_source_mix,
+        "op5_simhash": op5_simhash,
+        "op7_sentencepiece": op7_sentencepiece,
     }
 
 
