@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import piece_codec, secret_ledger, simhash_gray, source_mix
+from tallyline.llm import neighbour_graph, order_minhash, piece_codec, secret_ledger, simhash_gray, source_mix, toxicity
 from tallyline.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,17 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash_gray.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def encoded_digests(documents: DataFrame) -> DataFrame:
     """Number and digest of the ids, and digest of the decoded text."""
     import public_tokenizers
@@ -54,12 +65,23 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_graph.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scans": op1_secret_scans,
         "op4_source_mix": op4_source_mix,
         "op5_simhash": op5_simhash,
+        "op6_toxicity": op6_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
+        "op8_neighbours": op8_neighbours,
+        "op9_fingerprints": op9_fingerprints,
     }
 
 
