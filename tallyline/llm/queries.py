@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import neighbour_graph, order_minhash, piece_codec, secret_ledger, simhash_gray, source_mix, toxicity
+from tallyline.llm import (
+    backoff_lm,
+    neighbour_graph,
+    order_minhash,
+    paragraph_dedup,
+    piece_codec,
+    secret_ledger,
+    simhash_gray,
+    source_mix,
+    suffix_dedup,
+    toxicity,
+)
 from tallyline.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +39,14 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.repeated_units(table(spark, sf_dir, "documents"))
+
+
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.self_scores(table(spark, sf_dir, "documents"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(table(spark, sf_dir, "documents"))
 
@@ -73,20 +92,28 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scans": op1_secret_scans,
+        "op2_substring_dedup": op2_substring_dedup,
+        "op3_lm_scoring": op3_lm_scoring,
         "op4_source_mix": op4_source_mix,
         "op5_simhash": op5_simhash,
         "op6_toxicity": op6_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
         "op8_neighbours": op8_neighbours,
         "op9_fingerprints": op9_fingerprints,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_secret_scans": secret_ledger.oracle(),
+        "op3_lm_scoring": backoff_lm.oracle(),
         "op4_source_mix": source_mix.oracle(),
     }
