@@ -6,28 +6,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import secret_ledger, source_mix
+from tallyline.llm import secret_ledger, simhash_gray, source_mix, toxicity
+from tallyline.llm.queries import encoded_digests
 from tallyline.llm.tables import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays, the one with the least id."""
+    return simhash_gray.drop_near_copies(docs)
+
+
+def mark_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by a mark; no document goes."""
     return secret_ledger.redact(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are taken as often as their source's target asks: none, once or twice."""
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are there as often as their source's target asks: not at all, once or twice."""
     return source_mix.apply_mix(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, as their number and digests."""
+    return encoded_digests(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("secret_scans", secrets),
-    ("source_mix", mix),
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("secrets", mark_secrets),
+    ("source_mix", mix_sources),
+    ("encoding", encode),
 ]
 
-# Encoding, toxicity and fingerprints have no SQL form: tests hold the stages against brute force.
+# The classifier, XXH64 and the encoder have no SQL form: tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 

@@ -262,25 +262,33 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     return ToxicityModel(weights, float(w[-1]))
 
 
-def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``documents`` with a column ``score``: the model's probability of toxic for the whole text."""
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # at most SELECTED_FEATURES weights
-    columns = documents.columns
-    text_at = columns.index("text")
+def _scores(documents: DataFrame, model: ToxicityModel, finish, schema: T.StructType) -> DataFrame:
+    """``finish(batch, scores)`` of every Arrow batch of documents."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # at most SELECTED_FEATURES weights
+    text_at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score_of = shared.value.scorer()
         for batch in batches:
-            found = pa.array([score_of(t) for t in batch.column(text_at).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "score"])
+            yield finish(batch, np.array([score_of(text) for text in batch.column(text_at).to_pylist()], np.float64))
+
+    return documents.mapInArrow(run, schema)
+
+
+def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``documents`` with a column ``score`` (another of that name is replaced): the model's probability of
+    toxic for the whole text.
+    """
+    documents = documents.drop("score")
+    schema = T.StructType([*documents.schema.fields, T.StructField("score", T.DoubleType())])
+
+    def with_score(batch: pa.RecordBatch, scores: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "score"])
 
-    return documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField("score", T.DoubleType())]))
+    return _scores(documents, model, with_score, schema)
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``documents`` without those that score ``threshold`` or more, all columns kept."""
-    columns = documents.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in columns])
-    scored = score(documents.select("text", row.alias("_row")), train(documents, labels))
-    return scored.filter(F.col("score") < threshold).select(*[F.col("_row").getField(c).alias(c) for c in columns])
+    keep = lambda batch, scores: batch.filter(pa.array(scores < threshold))
+    return _scores(documents, train(documents, labels), keep, documents.schema)
