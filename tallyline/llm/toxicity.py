@@ -31,7 +31,10 @@ from tallyline.llm.tables import written
 
 SAMPLE_ROWS = 12_000
 SELECTED_FEATURES = 4_096
-LEAST_DOCUMENTS = 3
+# A feature is chosen if so many sampled documents have it and its shares among toxic and clean ones are so many
+# standard errors apart: rarer ones are chance in a small sample.
+LEAST_DOCUMENTS = 4
+LEAST_DISTANCE = 5.0
 RIDGE = 2e-4
 SWAP_WEIGHT = 1.0
 THRESHOLD = 0.7
@@ -168,7 +171,8 @@ def _selected(rows: DataFrame, toxic: int, clean: int, limit: int) -> list[int]:
     share = F.col("n") / (toxic + clean)
     error = F.sqrt(share * (1 - share) * (1 / toxic + 1 / clean))
     distance = F.abs(F.col("bad") / toxic - (F.col("n") - F.col("bad")) / clean) / error
-    best = counts.filter((F.col("n") >= LEAST_DOCUMENTS) & (share < 1)).orderBy(distance.desc(), "feature").limit(limit)
+    likely = (F.col("n") >= LEAST_DOCUMENTS) & (share < 1) & (distance >= LEAST_DISTANCE)
+    best = counts.filter(likely).orderBy(distance.desc(), "feature").limit(limit)
     return sorted(row.feature for row in best.collect())
 
 

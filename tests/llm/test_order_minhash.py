@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tallyline.llm import order_minhash
+from tallyline.llm.order_minhash import OrderMinHash, code_points, edited_text, kmer_hashes, occurrences
+
+
+def _plain_signature(sketch: OrderMinHash, text: str) -> list[int]:
+    """The signature with sets and sorts in place of arrays."""
+    hashes = kmer_hashes(code_points(text), sketch.k)
+    seen, numbered = defaultdict(int), []
+    for h in hashes.tolist():
+        with np.errstate(over="ignore"):
+            value = order_minhash._mixed(np.array([h], np.uint64) + np.uint64(seen[h]) * order_minhash._GOLD)
+        numbered.append(int(value[0]))
+        seen[h] += 1
+    if not numbered:
+        return [0] * sketch.functions
+    out = []
+    length = min(sketch.length, len(numbered))
+    for xor, odd in zip(sketch.xor.tolist(), sketch.odd.tolist()):
+        ranks = [((v >> 32 ^ xor) * odd) % 2**32 for v in numbered]
+        picked = sorted(sorted(range(len(ranks)), key=lambda i: (ranks[i], i))[:length])
+        value = np.array([length], np.uint64)
+        with np.errstate(over="ignore"):
+            for i in picked:
+                value = order_minhash._mixed(value * order_minhash._GOLD + np.uint64(numbered[i]))
+        out.append(int(value[0]) >> 32)
+    return out
+
+
+def test_signature_equals_the_plain_one():
+    sketch = OrderMinHash(k=4, functions=16, length=3)
+    rng = random.Random(3)
+    for n in (0, 1, 3, 4, 5, 40, 300):
+        text = "".join(rng.choice("abé😀 ") for _ in range(n))
+        assert sketch.signature(code_points(text)).tolist() == _plain_signature(sketch, text)
+
+
+def test_kmers_and_occurrences():
+    points = code_points("abcabcab")
+    hashes = kmer_hashes(points, 3)
+    assert len(hashes) == 6 and len(set(hashes.tolist())) == 3
+    assert occurrences(hashes).tolist() == [0, 0, 0, 1, 1, 1]
+    for k in (1, 2, 3, 5, 8, 13):
+        long = kmer_hashes(code_points("xxabcdefghijklmnop" * 3), k)
+        assert len(set(long.tolist())) == 18 and len(long) == 55 - k
+
+
+def test_order_matters():
+    """The same k-mers in another order: alike as sets, but not at an edit distance."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklm") for _ in range(40)) for _ in range(30)]
+    sketch = OrderMinHash()
+    own = sketch.signature(code_points("".join(words)))
+    moved = sketch.signature(code_points("".join(reversed(words))))
+    edited = sketch.signature(code_points("".join(words[:28] + ["z" * 80])))
+    assert order_minhash.likeness(own, moved) < 0.62 < order_minhash.likeness(own, edited)
+    assert order_minhash.likeness(own, own) == 1
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 64])
+def test_each_document_meets_the_next_one(cluttered, odd_rows, buckets):
+    got = order_minhash.fingerprints(cluttered, functions=8, buckets=buckets).collect()
+    assert len(got) == len(odd_rows)
+    sketch = OrderMinHash(functions=8)
+    print_of = lambda t: sketch.signature(code_points(t)).astype(">u4").tobytes().hex()
+    texts = defaultdict(set)
+    for doc_id, text, *_ in odd_rows:
+        texts[doc_id].add(text or "")
+    ids = sorted(i for i in texts if i is not None) + [None]
+    follower = dict(zip(ids, ids[1:] + ids[:1]))
+    for r in got:
+        own = [t for t in texts[r.doc_id] if print_of(t) == r.fingerprint]
+        assert own and r.n_chars in map(len, own)
+        # Rows of one id follow each other.
+        candidates = {edited_text(t, n) for t in own for n in texts[r.doc_id] | texts[follower[r.doc_id]]}
+        edited = [e for e in candidates if hashlib.sha256(e.encode()).hexdigest() == r.edited_sha256]
+        assert edited and print_of(edited[0]) == r.edited_fingerprint
+
+
+def test_unique_ids_follow_exactly(spark):
+    rng = random.Random(6)
+    rows = [(i * 7 - 300, "".join(rng.choice("abc ") for _ in range(rng.randint(0, 90)))) for i in range(150)]
+    expected = Counter()
+    for (i, t), (_, n) in zip(rows, rows[1:] + rows[:1]):
+        expected[i, len(t), hashlib.sha256(edited_text(t, n).encode()).hexdigest()] += 1
+    shuffled = rng.sample(rows, len(rows))
+    got = order_minhash.fingerprints(spark.createDataFrame(shuffled, "doc_id long, text string"), functions=4, buckets=16)
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got.collect()) == expected
+
+
+def test_single_document_and_empty(spark, empty):
+    one = order_minhash.fingerprints(spark.createDataFrame([(5, "abcdef")], "doc_id long, text string")).first()
+    assert one.near_next == 1 and one.n_chars == 6
+    assert order_minhash.fingerprints(empty).count() == 0

@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from tallyline.llm import piece_codec, queries
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return piece_codec.PieceCodec(piece_codec.read_vocabulary(PATH))
+
+
+def _random_texts(seed: int, n: int) -> list[str]:
+    rng = random.Random(seed)
+    letters = "ab etion é ß日本😀\n\t▁\x00xyzABC123.,  ti<s>"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(n)]
+    return texts + ["", "   ", "a" * 700, " " * 90, "ab" * 400, "the " * 50, "<s></s><unk><0x0A>", "é", "﻿x"]
+
+
+def test_ids_and_texts_equal_the_library(codec, library):
+    texts = _random_texts(1, 2000)
+    for text, ids in zip(texts, codec.encode(texts)):
+        ids = np.frombuffer(ids, np.int32).tolist()
+        assert ids == library.encode(text, add_eos=True)
+        assert codec.decode(ids) == library.decode(ids)
+
+
+def test_heap_and_rounds_agree(codec, monkeypatch):
+    words = [f"▁{t}" for t in _random_texts(2, 300) if t and "▁" not in t and " " not in t]
+    symbols, counts = codec.merge_words(words)
+    ends = np.cumsum(counts)
+    for word, end, n in zip(words, ends, counts):
+        assert symbols[end - n : end].tolist() == codec.merge_with_heap(word)
+
+
+def test_few_kept_words_change_nothing(library):
+    small = piece_codec.PieceCodec(piece_codec.read_vocabulary(PATH), kept_words=3)
+    for text in _random_texts(3, 50):
+        assert np.frombuffer(small.encode([text])[0], np.int32).tolist() == library.encode(text, add_eos=True)
+
+
+def test_query_on_odd_documents(spark, cluttered, odd_rows, library, monkeypatch):
+    monkeypatch.setattr(queries, "table", lambda *_: cluttered)
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    expected = Counter()
+    for row in odd_rows:
+        ids = library.encode(row[1] or "", add_eos=True)
+        expected[row[0], len(ids), digest(" ".join(map(str, ids))), digest(library.decode(ids))] += 1
+    assert Counter(map(tuple, queries.op7_sentencepiece(spark, "").collect())) == expected
+
+
+def test_empty(empty):
+    assert queries.encoded_digests(empty).count() == 0
