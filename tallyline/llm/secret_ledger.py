@@ -140,6 +140,7 @@ def findings_by_path(versions: DataFrame, ledger: DataFrame, path: Sequence[str]
         .groupBy("blob")
         .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("findings")))).alias("findings"))
     )
+    hits = written(hits, "ledger-hits")  # a plain table, so that Spark can split the join at a hot blob
     paths = versions.select(*path, content_address(F.col("text")).alias("blob"))
     nothing = F.expr("CAST(array() AS array<struct<start:int,order:int,kind:string,end:int>>)")
     return paths.join(hits, "blob", "left").select(*path, F.coalesce("findings", nothing).alias("findings"))
