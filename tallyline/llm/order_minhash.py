@@ -23,6 +23,8 @@ K = 8
 FUNCTIONS = 64
 LENGTH = 2
 SEED = 20_240_607
+# Ranges of ids for each shuffle partition: many, so that partitions are about equal.
+_BUCKETS_PER_PARTITION = 16
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -134,7 +136,8 @@ def in_id_order(documents: DataFrame, buckets: int | None = None) -> DataFrame:
     no task that sees more than its range. NULL ids come last; equal ids are ordered by a hash of the text.
     """
     spark = documents.sparkSession
-    wanted = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = buckets or _BUCKETS_PER_PARTITION * partitions
     steps = [1 << i for i in reversed(range(max(1, (wanted - 1).bit_length())))]
     count = 2 * steps[0]
     shares = F.array(*[F.lit(i / count) for i in range(1, count)])
@@ -157,7 +160,7 @@ def in_id_order(documents: DataFrame, buckets: int | None = None) -> DataFrame:
         doc_id, F.col("text"), F.explode(F.filter(roles, lambda r: r.isNotNull())).alias("r")
     ).select("r.bucket", "r.role", "doc_id", "text")
     return (
-        placed.repartition(count, "bucket")
+        placed.repartition(partitions, "bucket")
         .sortWithinPartitions("bucket", "role", F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
     )
 
