@@ -1,0 +1,131 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import pytest
+
+from tallyline.llm import paragraph_dedup
+from tallyline.llm.paragraph_dedup import repeated_units
+
+SCHEMA = "doc_id long, text string"
+
+
+def _words(rng, n):
+    return ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(n)]
+
+
+def _paragraphs(texts):
+    """(doc, start) of each paragraph that counts -> its set of shingles."""
+    found = {}
+    for doc, text in texts:
+        start = 0
+        for line in (text or "").split("\n"):
+            words = line.split()
+            if len(words) >= 20:
+                found[doc, start + len(line) - len(line.lstrip())] = frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+            start += len(line) + 1
+    return found
+
+
+def _classes(sets):
+    """Components of all pairs with a Jaccard similarity of 0.8 or more, by brute force."""
+    names = list(sets)
+    label = {n: n for n in names}
+
+    def root(n):
+        while label[n] != n:
+            n = label[n]
+        return n
+
+    for i, a in enumerate(names):
+        for b in names[:i]:
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                label[root(a)] = root(b)
+    groups = defaultdict(set)
+    for n in names:
+        groups[root(n)].add(n)
+    return {frozenset(g) for g in groups.values() if len(g) > 1}
+
+
+def _found(rows):
+    groups = defaultdict(set)
+    for r in rows:
+        if r.kind == "unit":
+            groups[r.class_id].add((r.doc_id, r.start))
+    return {frozenset(g) for g in groups.values()}
+
+
+def test_classes_equal_brute_force(spark):
+    rng = random.Random(21)
+    paragraphs = [_words(rng, rng.choice([25, 60, 120])) for _ in range(60)]
+    for p in paragraphs[:30]:
+        for _ in range(rng.randint(1, 4)):
+            copy = list(p)
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                copy[rng.randrange(len(copy))] = "edited"
+            paragraphs.append(copy)
+    rng.shuffle(paragraphs)
+    texts = [(i, "\n".join(["short line"] + [" ".join(p) for p in paragraphs[i * 3 : i * 3 + 3]])) for i in range(-(-len(paragraphs) // 3))]
+    got = repeated_units(spark.createDataFrame(texts, SCHEMA)).collect()
+    assert _found(got) == _classes(_paragraphs(texts))
+    text_of = dict(texts)
+    for r in got:
+        assert len(text_of[r.doc_id][r.start : r.end].split()) == r.n_words
+    for group in {r.class_id for r in got if r.kind == "unit"}:
+        rows = sorted((r for r in got if r.class_id == group), key=lambda r: (r.doc_id, r.start))
+        assert [r.removed for r in rows] == [False] + [True] * (len(rows) - 1)
+        assert {r.copies for r in rows} == {len(rows)}
+
+
+def test_a_large_group_of_variants(spark, monkeypatch):
+    """Hundreds of different near copies of one paragraph, over few remembered keys."""
+    monkeypatch.setattr(paragraph_dedup, "_KEYS", 50)
+    rng = random.Random(22)
+    base = _words(rng, 100)
+    texts = []
+    for i in range(300):
+        copy = list(base)
+        copy[rng.randrange(100)] = f"own{i}"
+        texts.append((i, " ".join(copy)))
+    texts += [(1000 + i, " ".join(_words(rng, 80))) for i in range(100)]
+    got = repeated_units(spark.createDataFrame(texts, SCHEMA).repartition(6)).collect()
+    units = [r for r in got if r.kind == "unit"]
+    assert {r.doc_id for r in units} == set(range(300)) and len({r.class_id for r in units}) == 1
+
+
+def test_a_passage_inside_different_paragraphs(spark):
+    rng = random.Random(23)
+    hits = 0
+    for i in range(12):
+        passage = _words(rng, 60)
+        texts = [(d, " ".join(_words(rng, 40) + passage + _words(rng, 50))) for d in (1, 2)] + [(3, " ".join(_words(rng, 150)))]
+        got = repeated_units(spark.createDataFrame(texts, SCHEMA)).collect()
+        assert {r.kind for r in got} <= {"piece"} and 3 not in {r.doc_id for r in got}
+        hits += {1, 2} == {r.doc_id for r in got}
+    assert hits >= 11
+
+
+def test_odd_documents(cluttered, odd_rows):
+    got = repeated_units(cluttered).collect()
+    sets = defaultdict(list)
+    for doc, text, *_ in odd_rows:
+        sets[doc].append(text)
+    assert {r.doc_id for r in got if r.kind == "unit"} == {6, 7}
+    assert 8 in {r.doc_id for r in got}
+
+
+def test_repeated_rows_and_no_ids(spark):
+    text = " ".join(_words(random.Random(2), 30))
+    got = repeated_units(spark.createDataFrame([(1, text), (1, text), (None, text)], SCHEMA)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.copies) for r in got) == [(False, 1, 3), (False, 1, 3), (True, 0, 3)]
+
+
+@pytest.mark.parametrize("text", [None, "", " \n ", "one line"])
+def test_nothing_to_find(spark, text):
+    assert repeated_units(spark.createDataFrame([(1, text)], SCHEMA)).count() == 0
+
+
+def test_empty(empty):
+    assert repeated_units(empty).count() == 0

@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+import sentencepiece
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from tallyline.llm import simhash_gray, toxicity
+from tallyline.llm.tables import table, written
+
+SF_DIR = "/root/testdata/sf0.01"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs, found = table(spark, SF_DIR, "documents"), {}
+    found["input"] = docs
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SF_DIR), f"test-{name}")
+        found[name] = docs
+    return found
+
+
+def _rows(frame):
+    return Counter(map(tuple, frame.select(*COLUMNS).collect()))
+
+
+def test_stages_keep_the_columns(stages):
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        assert stages[name].dtypes == stages["input"].dtypes
+
+
+def test_toxic_documents_go(spark, stages):
+    before, after = _rows(stages["input"]), _rows(stages["toxicity"])
+    model = toxicity.train(stages["input"], table(spark, SF_DIR, "labels"))
+    score = model.scorer()
+    assert after == Counter({r: n for r, n in before.items() if score(r[1]) < toxicity.THRESHOLD})
+    assert 0 < sum(before.values()) - sum(after.values()) < 0.2 * sum(before.values())
+
+
+def test_one_of_each_group_stays(stages):
+    before, after = _rows(stages["toxicity"]), _rows(stages["near_copies"])
+    groups = defaultdict(list)
+    for r in simhash_gray.near_groups(stages["toxicity"]).collect():
+        groups[r.component_id].append(r.doc_id)
+    assert {r[0] for r in after} == {min(g) for g in groups.values()}
+    assert all(before[r] for r in after) and sum(after.values()) == len(groups)
+
+
+def test_secrets_are_marked(stages):
+    before = {r[0]: r for r in _rows(stages["near_copies"])}
+    after = {r[0]: r for r in _rows(stages["secrets"])}
+    assert set(before) == set(after)
+    changed = [i for i in before if before[i] != after[i]]
+    assert changed
+    for i in changed:
+        assert "[SECRET]" in after[i][1] and after[i][4] == len(after[i][1])
+        assert not re.search(r"AKIA[A-Z0-9]{14,}|[0-9a-f]{16,}", after[i][1])
+
+
+def test_sources_come_near_their_targets(stages):
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    before, after = defaultdict(list), defaultdict(int)
+    for row, n in _rows(stages["secrets"]).items():
+        before[row[3]] += [size(row[1])] * n
+    for row, n in _rows(stages["source_mix"]).items():
+        assert n <= 2
+        after[row[3]] += n * size(row[1])
+    total = sum(map(sum, before.values()))
+    assert sum(after.values()) == pytest.approx(1.5 * total, rel=0.05)
+    for source, sizes in before.items():
+        assert after[source] <= 2 * sum(sizes)
+
+
+def test_everything_is_encoded(stages):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    expected = Counter()
+    for row, n in _rows(stages["source_mix"]).items():
+        ids = library.encode(row[1], add_eos=True)
+        digest = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        expected[row[0], len(ids), digest] += n
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256) for r in stages["encoding"].collect()) == expected
+
+
+def test_registered(spark):
+    names = entry_points.queries()
+    assert [n for n in range(1, 11) if sum(name.startswith(f"op{n}_") for name in names) != 1] == []
+    assert "pipeline" in names
