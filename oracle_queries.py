@@ -69,12 +69,16 @@ ledger AS (
            || ',"CATEGORYID_ART":"' || (k % 7)
            || '","DISTRIBUTIONCHANNELID_ART":"' || CASE WHEN k % 5 = 0 THEN '' ELSE CAST(k % 5 AS VARCHAR) END
            || '","SKU_ART":"SKU' || (e % 500)
-           || '","SORTINGCRITERIAID_ART":"' || (k % 9) || '"}' END AS doc
+           || '","SORTINGCRITERIAID_ART":"' || (k % 9) || CASE WHEN e % 59 = 0 THEN '","SKU_ART":"again' ELSE '' END || '"}'
+           || CASE WHEN e % 61 = 0 THEN ' text' WHEN e % 67 = 0 THEN '{"SKU_ART":"next"}' ELSE '' END END AS doc
   FROM src)"""
 
 
+_SOUND = "CASE WHEN json_valid(doc) THEN CASE WHEN len(json_keys(doc)) = len(list_distinct(json_keys(doc))) THEN doc END END"
+
+
 def _json(key: str) -> str:
-    return f"NULLIF(CASE WHEN json_valid(doc) THEN json_value(doc, '$.{key}') ->> '$' END, '')"
+    return f"NULLIF(json_value(sound, '$.{key}') ->> '$', '')"
 
 
 _FIELDS = {
@@ -87,7 +91,12 @@ _FIELDS = {
     "sku": "SKU_ART",
     "sort_id": "SORTINGCRITERIAID_ART",
 }
-FIELDS = LEDGER + ",\nfields AS (SELECT *, " + ", ".join(f"{_json(k)} AS {n}" for n, k in _FIELDS.items()) + " FROM ledger)"
+FIELDS = (
+    LEDGER
+    + f",\nsound_ledger AS (SELECT *, {_SOUND} AS sound FROM ledger),\nfields AS (SELECT *, "
+    + ", ".join(f"{_json(k)} AS {n}" for n, k in _FIELDS.items())
+    + " FROM sound_ledger)"
+)
 
 
 # --- expressions ------------------------------------------------------------------------------
@@ -196,7 +205,7 @@ moves AS (
   WHERE {t1_filter})"""
 
 
-_COMPLETED = "coalesce(source_carrier, 'value1') <> coalesce(target_carrier, 'value2') AND regexp_full_match(target_carrier, '[0-9]+')"
+_COMPLETED = "source_carrier IS DISTINCT FROM target_carrier AND regexp_full_match(target_carrier, '[0-9]+')"
 
 
 def _report(moves: str, source: str, default: str, channel: str) -> str:
@@ -324,8 +333,10 @@ def oracle_sql() -> dict[str, str]:
             ("sorting", MS_D1, "DUMMY", "OUT"), ("sorting", MS_D2, "DUMMY", "IN"),
         ]
     )
+    kpi["city_fare_summary_read"] = kpi["city_fare_summary"]
     ledger = {
         "ledger_legs": f"WITH {LEDGER} {leg_union}",
+        "ledger_legs_read": f"WITH {LEDGER} {leg_union}",
         "json_value": f"WITH {FIELDS} SELECT seq AS sequence, {', '.join(_FIELDS)} FROM fields",
         "json_fields": f"WITH {FIELDS} SELECT seq AS sequence, {', '.join(_FIELDS)} FROM fields",
         "like_prefix_filter": f"""WITH {LEDGER} SELECT seq AS sequence, carrier, dest AS destination FROM ledger
@@ -354,6 +365,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'OUT' AS side, txn, seq FROM ledger WHERE {MS_D1} UNION ALL SELECT 'IN', txn, seq FROM ledger WHERE {MS_D2})
             SELECT txn, side, seq AS sequence,
               row_number() OVER (PARTITION BY txn, side ORDER BY seq ASC NULLS LAST) AS rn FROM d""",
+        "sequence_number_ties": f"""WITH {LEDGER}, d AS (
+            SELECT 'OUT' AS side, txn, seq // 64 AS seq FROM ledger WHERE {MS_D1} UNION ALL SELECT 'IN', txn, seq // 64 FROM ledger WHERE {MS_D2})
+            SELECT txn, side, seq AS sequence,
+              row_number() OVER (PARTITION BY txn, side ORDER BY seq ASC NULLS LAST) AS rn FROM d""",
         "completed_moves": f"WITH {_overstock_moves()} SELECT txn, goods, {_label('created')} AS created, source_carrier, target_carrier FROM moves WHERE {_COMPLETED}",
         "pair_by_txn": f"""WITH {LEDGER} SELECT {_PAIR} FROM (SELECT * FROM ledger WHERE {OV_D1}) t1
             LEFT JOIN (SELECT * FROM ledger WHERE {OV_D2} AND carrier NOT LIKE '000%') t2 ON t1.txn = t2.txn""",
@@ -367,8 +382,10 @@ def oracle_sql() -> dict[str, str]:
         "movement_union": f"WITH {_overstock_moves()} SELECT {_MOVE_COLUMNS} FROM moves",
         "movement_union_strict": f"WITH {_sorting_moves()} SELECT {_MOVE_COLUMNS} FROM moves",
         "overstock_report": _overstock(),
+        "overstock_report_kept": _overstock(),
         "overstock_report_filtered": _overstock(f"{_inside('t1.created')} AND {filtered}"),
         "manual_sorting_report": _sorting(),
+        "manual_sorting_report_kept": _sorting(),
         "manual_sorting_report_filtered": _sorting(_inside("created"), filtered),
     }
     return {**kpi, **ledger}

@@ -1,32 +1,43 @@
-"""Scalar extraction from the JSON document column."""
+"""Scalar extraction from a JSON document column: one rule for all keys."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Mapping
 
+from pyspark.sql import DataFrame, functions as F
 
-def scalar_test(raw: str, document: str, key: str) -> str:
-    """SQL: whether ``raw``, the text of ``key`` as Spark extracts it, is a non-empty scalar.
+
+def sound_document(document: str) -> str:
+    """SQL: the document, or NULL if it is malformed, has text behind it or a key twice.
+
+    It is parsed as the one element of an array, so that trailing text is an error or a second element.
+    """
+    return f"CASE WHEN size(try_cast(try_parse_json(concat('[', `{document}`, ']')) AS array<variant>)) = 1 THEN `{document}` END"
+
+
+def _scalar(raw: str, document: str, key: str) -> str:
+    """SQL: ``raw``, the text of ``key`` as Spark extracts it, if it is a non-empty scalar.
 
     Spark's JSON functions return objects and arrays as text. Only text that looks like one is
-    checked, so the second parse is rare. The check is on the node type: a JSON *string* that begins
-    with a brace is a scalar. A CASE and not an AND: Spark computes operands that several ANDs share
-    up front, for every row.
+    checked for its node type: a JSON *string* that begins with a brace is a scalar.
     """
     node = f"schema_of_variant(try_variant_get(try_parse_json(`{document}`), '$.{key}', 'variant'))"
     return (
-        f"CASE WHEN startswith({raw}, '{{') OR startswith({raw}, '[') THEN NOT rlike({node}, '^(OBJECT|ARRAY)') "
-        f"ELSE {raw} != '' END"
+        f"CASE WHEN startswith({raw}, '{{') OR startswith({raw}, '[') "
+        f"THEN CASE WHEN NOT rlike({node}, '^(OBJECT|ARRAY)') THEN {raw} END ELSE nullif({raw}, '') END"
     )
 
 
-def json_value(document: str, key: str) -> Column:
-    """``JSON_VALUE(document, '$.key')``: the scalar as text.
+def with_json_fields(rows: DataFrame, document: str, fields: Mapping[str, str]) -> DataFrame:
+    """``JSON_VALUE(document, '$.key')`` as a column for each key of ``fields``.
 
-    NULL for objects, arrays, JSON null, the empty string, a missing key and a malformed document.
-    Fractional numbers come in Spark's notation (``1.50`` as ``1.5``); codes are integers or strings.
-    For several keys of one document use ``with_json_fields``, which parses it once.
+    NULL for objects, arrays, JSON null, the empty string, a missing key, and every key of a document that is
+    not sound. Fractional numbers come in Spark's notation (``1.50`` as ``1.5``); codes are integers or
+    strings. All keys are read in one pass, and a later filter on them stays above it.
     """
-    # The array holds the one extracted text, so that testing it does not extract it again.
-    found = f"array(get_json_object(`{document}`, '$.{key}'))"
-    return F.expr(f"get(filter({found}, raw -> {scalar_test('raw', document, key)}), 0)")
+    if not fields:
+        return rows
+    raw = {key: f"_raw_{name}" for key, name in fields.items()}
+    columns = [f"`{column}`" for column in rows.columns]
+    parsed = rows.select("*", F.json_tuple(F.expr(sound_document(document)), *raw).alias(*raw.values()))
+    return parsed.selectExpr(*columns, *[f"{_scalar(raw[key], document, key)} AS `{name}`" for key, name in fields.items()])

@@ -9,17 +9,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyline.functions.ratios import percentage
 
 
-def per_city(facts: DataFrame, cities: DataFrame, by: Sequence[str], **sums: str) -> DataFrame:
+def per_city(
+    facts: DataFrame, cities: DataFrame, by: Sequence[str], *, same: Sequence[str] = (), **sums: str
+) -> DataFrame:
     """Roll ``facts``, already aggregated by ``city_id`` and ``by``, up to city *names*.
 
     The dimension meets aggregates and not the fact rows, so the join is small whatever the fact
     table's size or skew, and needs no broadcast hint. Ids without a city drop out; ids of one name
-    merge. ``sums`` maps new columns to the columns to add up.
+    merge. ``sums`` maps new columns to the columns to add up; columns of ``same`` have one value everywhere.
     """
     return (
         facts.join(cities.select("city_id", "city_name"), "city_id")
         .groupBy("city_name", *by)
-        .agg(*[F.sum(source).alias(name) for name, source in sums.items()])
+        .agg(*[F.sum(source).alias(name) for name, source in sums.items()], *[F.max(name).alias(name) for name in same])
     )
 
 
@@ -28,16 +30,15 @@ def ratio_of_sums(rows: DataFrame, group: Sequence[str], **totals: str) -> DataF
     return rows.groupBy(*group).agg(*[F.sum(source).alias(name) for name, source in totals.items()])
 
 
-def row_total(rows: DataFrame) -> Column:
-    """``(SELECT COUNT(*) FROM rows)`` as a value: on a plain table the scan reads no column."""
-    return rows.agg(F.count(F.lit(1)).alias("total")).scalar()
+def total_of(counts: DataFrame, name: str) -> Column:
+    """The sum of counts per group as a value: the rows below are counted once for both."""
+    return counts.agg(F.sum(name)).scalar()
 
 
-def share_of_total(rows: DataFrame, group: str, total: Column | None = None) -> DataFrame:
-    """Row count per group and its percentage of all rows (or of ``total``)."""
+def share_of_total(rows: DataFrame, group: str) -> DataFrame:
+    """Row count per group and its percentage of all rows."""
     counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
-    whole = row_total(rows) if total is None else total
-    return counts.withColumn("percentage", percentage(F.col("rows"), whole))
+    return counts.withColumn("percentage", percentage(F.col("rows"), total_of(counts, "rows")))
 
 
 def bucket_sums(

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from tallyline.functions.calendar import window_predicate
-from tallyline.functions.json_fields import scalar_test
+from tallyline.functions.json_fields import with_json_fields
 from tallyline.functions.text import all_digits, reference_predicate
 
 # Transaction kinds of the ledger.
@@ -82,36 +82,22 @@ LEG_COLUMNS = {
 }
 
 
+_READ_AS = {"ZIEL": "nullif(ZIEL, '')"}
+
+
 def legs(ledger: DataFrame, *specs: LegSpec) -> DataFrame:
     """The rows of any of the legs, from one scan, tagged with ``side`` and ``goods``.
 
-    The legs of a report differ in kind and sign, so both tags follow from these two columns.
+    The legs of a report differ in kind and sign, so both tags follow from these two columns. An
+    empty destination is NULL, like other empty texts, but only after the filter: the comparisons reach the scan.
     """
     return ledger.filter(" OR ".join(spec.condition() for spec in specs)).selectExpr(
-        *[f"{column} AS {name}" for column, name in LEG_COLUMNS.items()],
+        *[f"{_READ_AS.get(column, column)} AS {name}" for column, name in LEG_COLUMNS.items()],
         "IF(MENGE < 0, 'OUT', 'IN') AS side",
         f"IF(TPARTNR = {NORMAL_MOVE}, 'NORMAL', 'DUMMY') AS goods",
     )
 
 
-def with_json_fields(rows: DataFrame, document: str, fields: Mapping[str, str]) -> DataFrame:
-    """One column per key of the JSON document, same values as ``json_value``, from one parse per row.
-
-    A later filter on the new columns stays above the parse and does not repeat it.
-    """
-    if not fields:
-        return rows
-    raw = {key: f"_raw_{name}" for key, name in fields.items()}
-    parsed = rows.select("*", F.json_tuple(document, *raw).alias(*raw.values()))
-    return parsed.selectExpr(
-        *[f"`{column}`" for column in rows.columns],
-        *[
-            f"CASE WHEN {scalar_test(raw[key], document, key)} THEN {raw[key]} END AS `{name}`"
-            for key, name in fields.items()
-        ],
-    )
-
-
 def leg_attributes(rows: DataFrame, fields: Collection[str] = tuple(DOCUMENT_FIELDS.values())) -> DataFrame:
     """Legs with the document replaced by the given fields: narrow rows to shuffle."""
     wanted = {key: name for key, name in DOCUMENT_FIELDS.items() if name in fields}

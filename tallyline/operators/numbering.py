@@ -1,125 +1,59 @@
-"""Row numbers inside a group, also for groups that do not fit one task."""
+"""Row numbers inside a group, by one plan for groups of any size."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tallyline.operators.copies import collapse_copies
-from tallyline.operators.hot_groups import find_hot_groups, hot_table, split_hot
+# Numbers are cut into slices at multiples of 2 ** SLICE_BITS.
+SLICE_BITS = 20
 
-# A hot group is cut into this many ranges of order values; a power of two, for the lookup.
-_RANGES = 256
-# Copies of one row that are numbered together.
-_PIECE = 10_000
 
+def order_slice(order: Column, kind: T.DataType) -> Column:
+    """A slice number that grows with the order value and depends on nothing else.
 
-def find_hot_sequences(
-    rows: DataFrame, keys: Sequence[str], order: str, *, min_rows: int | None = None
-) -> list[Row]:
-    """Hot groups with what :func:`sequence_number` needs to know of their order values."""
-    return find_hot_groups(rows.select(*keys, order), keys, *order_measures(order), min_rows=min_rows)
-
-
-def order_measures(order: str) -> list[Column]:
-    """Measures for the hot-group search: the order values that cut a group into about equal ranges
-    (approximate cuts cost balance, not correctness), and the number of rows that have a value.
+    Numbers are cut at fixed multiples, timestamps at days; other types make one slice. A slice that is too wide or
+    narrow for the data costs balance, never the order.
     """
-    shares = ", ".join(f"{i / _RANGES}D" for i in range(1, _RANGES))
-    cuts = F.expr(f"percentile_approx(CAST(`{order}` AS BIGINT), array({shares}))")
-    return [F.coalesce(cuts, F.array().cast("array<long>")).alias("cuts"), F.count(order).alias("valued")]
+    if isinstance(kind, T.IntegralType):
+        return F.shiftright(order.cast("long"), SLICE_BITS)
+    if isinstance(kind, T.DecimalType):
+        return F.floor(order / (1 << SLICE_BITS))
+    if isinstance(kind, T.FractionalType):
+        # NaN is the greatest value.
+        return F.when(F.isnan(order), F.lit(2**63 - 1)).otherwise(F.floor(order / (1 << SLICE_BITS)))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("day", order)
+    return F.when(order.isNotNull(), F.lit(0))
 
 
 def sequence_number(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    ties: Sequence[str],
-    *,
-    name: str = "rn",
-    hot_keys: Sequence[str] | None = None,
-    hot: Sequence[Row] | None = None,
-    min_rows: int | None = None,
+    rows: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], *, name: str = "rn"
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)``, NULL order values last.
 
-    Equal order values are numbered by a hash of the ``ties`` columns: arbitrary but repeatable.
-    ``hot`` names the groups (by ``hot_keys``, a subset of ``keys``) from :func:`find_hot_sequences`;
-    without it they are looked up. Those groups are numbered in ranges, see :func:`number_hot`.
+    Equal order values are numbered by a hash of the ``ties`` columns, then by these: arbitrary, but the same
+    on every run. Each slice of a group is numbered on its own, and the rows of its earlier slices
+    are added. So a group that a third of all rows share is divided by its order values; rows without
+    an order value are divided by the hash.
     """
-    hot_keys = list(hot_keys or keys)
-    if hot is None:
-        hot = find_hot_sequences(rows, hot_keys, order, min_rows=min_rows)
-    if not hot:
-        return _number(rows, keys, order, ties, name)
-    ordinary, large = split_hot(rows, hot_keys, cut_table(rows, hot_keys, hot))
-    return _number(ordinary, keys, order, ties, name).unionByName(number_hot(large, keys, order, ties, hot, name))
-
-
-def _number(rows: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], name: str) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_last(), F.xxhash64(*ties))
-    return rows.withColumn(name, F.row_number().over(window).cast("long"))
-
-
-def cut_table(like: DataFrame, keys: Sequence[str], hot: Sequence[Row]) -> DataFrame:
-    """The hot groups with their ``cuts``."""
-    return hot_table(like, keys, hot, cuts=T.ArrayType(T.LongType()))
-
-
-def _has_heavy_values(groups: Sequence[Row]) -> bool:
-    """Some order value (or NULL) holds more than about one range: only then can copies matter."""
-    return any(len(set(g.cuts)) < len(g.cuts) or (g.rows - g.valued) * _RANGES > g.rows for g in groups)
-
-
-def number_hot(
-    rows: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], hot: Sequence[Row], name: str = "rn"
-) -> DataFrame:
-    """Number each range of a group on its own, then add the size of the ranges before it.
-
-    ``rows`` carry the ``cuts`` of their group. ``_range`` grows with the order value. A
-    value that is itself a cut has a range of its own, which the leading bits of the tie hash divide
-    further (``_part``): so even equal order values spread, and (``_range``, ``_part``) follows the
-    order of the row numbers. Identical rows are numbered as one row with a count.
-    """
-    columns = [c for c in rows.columns if c != "cuts"]
-    value = F.col(order).cast("long")
-    ranged, step = rows.withColumn("_below", F.lit(0)), _RANGES
-    while step := step // 2:  # binary search for the number of cuts below the value
-        more = F.when(F.get("cuts", F.col("_below") + (step - 1)) < value, step).otherwise(0)
-        ranged = ranged.withColumn("_below", F.col("_below") + more)
-    on_cut = F.coalesce(F.get("cuts", F.col("_below")) == value, F.lit(False))
-    ranged = (
-        ranged.withColumn("_heavy", value.isNull() | on_cut)
-        .withColumn("_range", F.when(value.isNull(), 2 * _RANGES).otherwise(2 * F.col("_below") + on_cut.cast("int")))
-        .select(*columns, "_range", "_heavy")
-    )
-    collapse = _has_heavy_values(hot)
-    if collapse:
-        ranged = collapse_copies(ranged, _PIECE)
-    else:
-        ranged = ranged.withColumns({"_piece": F.lit(0), "_copies": F.lit(1).cast("long")})
-    ranged = ranged.withColumn("_tie", F.xxhash64(*ties, "_piece")).withColumn(
-        "_part", F.when(F.col("_heavy"), F.shiftright("_tie", 58)).otherwise(F.lit(0).cast("long"))
-    )
-
-    cell = [*keys, "_range", "_part"]
-    earlier = Window.partitionBy(*keys).orderBy("_range", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(*cell)
-        .agg(F.sum("_copies").alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .select("_before", *[F.col(c).alias(f"_of_{c}") for c in cell])
-    )
-    same = F.lit(True)
-    for c in cell:
-        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
-    up_to_here = (
-        Window.partitionBy(*cell)
-        .orderBy(F.col(order).asc_nulls_last(), "_tie")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value = F.col(order)
+    tie = F.xxhash64(*ties)
+    # Rows without an order value are divided by the leading bits of the hash, which grow with it.
+    part = F.when(value.isNull(), F.shiftright(tie, 56)).otherwise(F.lit(0).cast("long"))
+    # One struct, never NULL itself: windows and join share one partitioning, and NULL keys are equal.
+    cell = F.struct(*keys, order_slice(value, rows.schema[order].dataType).alias("_slice"), part.alias("_part"))
+    placed = rows.withColumns({"_cell": cell, "_tie": tie})
+    inside = Window.partitionBy("_cell").orderBy(value.asc_nulls_last(), "_tie", *ties)
+    numbered = placed.withColumn("_own", F.row_number().over(inside))
+    earlier = (
+        Window.partitionBy(*[F.col("_cell")[key] for key in keys])
+        .orderBy(F.col("_cell")["_slice"].asc_nulls_last(), F.col("_cell")["_part"])
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    numbered = ranged.withColumn("_end", F.sum("_copies").over(up_to_here)).join(offsets, same)
-    end = F.col("_before") + F.col("_end")
-    number = F.explode(F.sequence(end - F.col("_copies") + 1, end)) if collapse else end
-    return numbered.withColumn(name, number).select(*columns, name)
+    # Counted on the map side, from the keys and the order alone.
+    sizes = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = sizes.select("_cell", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    joined = numbered.join(offsets, "_cell")
+    return joined.select(*rows.columns, (F.col("_before") + F.col("_own")).alias(name))

@@ -4,44 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil
-
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
-
-from tallyline.operators.copies import collapse_copies, restore_copies
-from tallyline.operators.hot_groups import find_hot_groups, hot_table, split_hot
-from tallyline.operators.numbering import (
-    cut_table,
-    find_hot_sequences,
-    number_hot,
-    order_measures,
-    sequence_number,
-)
-
-# A transaction with more legs than this is joined in cells of about CELL_ROWS per side. Both are low
-# because the work grows with the product of the sides.
-PAIR_MIN_ROWS = 20_000
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from tallyline.operators.numbering import sequence_number
+
+# A transaction with more pairs than this is joined in cells of about CELL_ROWS legs per side.
+WIDE_PAIRS = 10_000_000
 CELL_ROWS = 2_000
-_MAX_CELL_TASKS = 10_000
 # Book-outs without a transaction id find no partner; they are spread over this many hash values.
 _NULL_SPREAD = 1024
 
 
-def find_hot_transactions(
-    legs: DataFrame, keys: Sequence[str], order: str | None = None, min_rows: int | None = None
-) -> list[Row]:
-    """Hot transactions with their leg counts ``outs`` and ``ins`` and, given an order, its measures.
+def wide_transactions(
+    outs: DataFrame, ins: DataFrame, keys: Sequence[str], *, wide_pairs: int | None = None, cell_rows: int | None = None
+) -> DataFrame:
+    """Transactions with more than ``wide_pairs`` pairs, and how many cells ``down`` and ``across`` they get.
 
-    ``legs`` holds both sides, tagged ``OUT`` and ``IN``; one narrow scan serves both ways of pairing.
+    Counts are aggregated before the shuffle. Each line stands for at least ``wide_pairs`` rows of the result,
+    whatever the volume: a thousand lines mean a result of ten billion rows.
     """
-    measures = [F.count_if(F.col("side") == side).alias(name) for side, name in (("OUT", "outs"), ("IN", "ins"))]
-    if order:
-        measures += order_measures(order)
-    return find_hot_groups(
-        legs.select(*keys, "side", *([order] if order else [])).dropna(subset=list(keys)),
-        keys,
-        *measures,
-        min_rows=PAIR_MIN_ROWS if min_rows is None else min_rows,
+    keys = list(keys)
+    limit, cell = wide_pairs or WIDE_PAIRS, cell_rows or CELL_ROWS
+    sides = [
+        rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+        for rows, name in ((outs, "outs"), (ins, "ins"))
+    ]
+    return (
+        sides[0]
+        .join(sides[1], keys)
+        .filter(F.col("outs").cast("decimal(20,0)") * F.col("ins") > limit)
+        .select(*keys, F.ceil(F.col("outs") / cell).alias("_down"), F.ceil(F.col("ins") / cell).alias("_across"))
     )
 
 
@@ -51,72 +44,45 @@ def pair_by_txn(
     keys: Sequence[str],
     *,
     keep_unmatched: bool = True,
-    hot: Sequence[Row] | None = None,
-    min_rows: int | None = None,
+    wide: DataFrame | None = None,
+    wide_pairs: int | None = None,
     cell_rows: int | None = None,
 ) -> DataFrame:
     """Join of book-outs to book-ins on the transaction: every match is a row.
 
     A left join, or an inner one if the caller drops unmatched book-outs anyway. Apart from the keys
     the two sides must not share a column name. m book-outs and n book-ins of one transaction give
-    m x n rows, as the ledger query does. Hot transactions (``hot`` from
-    :func:`find_hot_transactions`, looked up without it) are joined as a grid of cells.
+    m x n rows, as the ledger query does. In a wide transaction a book-out chooses a row of a grid of cells and a
+    book-in a column, each goes to all cells there, and so each pair meets in one cell. It is one plan for all: other
+    transactions are grids of one cell. Spark splits what is skewed by size as well. ``wide``, from
+    :func:`wide_transactions` on the same book-ins, may be counted before costly columns are read.
     """
     keys = list(keys)
-    join = _left_join if keep_unmatched else lambda outs, ins, keys: outs.join(ins, keys)
-    if hot is None:
-        sides = [rows.select(*keys, F.lit(side).alias("side")) for side, rows in (("OUT", outs), ("IN", ins))]
-        hot = find_hot_transactions(sides[0].unionByName(sides[1]), keys, min_rows=min_rows)
-    if not hot:
-        return join(outs, ins, keys)
-    cell_rows = CELL_ROWS if cell_rows is None else cell_rows
-    groups = [
-        Row(**{k: g[k] for k in keys}, down=max(1, ceil(g.outs / cell_rows)), across=ceil(g.ins / cell_rows))
-        for g in hot
-    ]
-    table = hot_table(outs, keys, groups, down=T.LongType(), across=T.LongType())
-    outs, hot_outs = split_hot(outs, keys, table)
-    ins, hot_ins = split_hot(ins, keys, table)
-    tasks = min(_MAX_CELL_TASKS, max(1, sum(g.down * g.across for g in groups)))
-    pairs = join(outs, ins, keys).unionByName(_grid_join(hot_outs, hot_ins, keys, tasks, cell_rows))
-    if not keep_unmatched:
-        return pairs
-    lonely = hot_outs.filter("across = 0").drop("down", "across")
-    return pairs.unionByName(lonely, allowMissingColumns=True)
-
-
-def _left_join(outs: DataFrame, ins: DataFrame, keys: list[str]) -> DataFrame:
-    """The plain join. A second key keeps unmatched rows with a NULL key from meeting in one task."""
-    spread = F.when(_unknown(keys), F.pmod(F.xxhash64(*outs.columns), F.lit(_NULL_SPREAD))).otherwise(F.lit(0))
-    return (
-        outs.withColumn("_spread", spread.cast("long"))
-        .join(ins.withColumn("_spread", F.lit(0).cast("long")), [*keys, "_spread"], "left")
-        .drop("_spread")
-    )
-
-
-def _grid_join(outs: DataFrame, ins: DataFrame, keys: list[str], tasks: int, cell_rows: int) -> DataFrame:
-    """Every book-out goes to one row of the grid and every book-in to one column, each to all its cells.
-
-    Both legs exist (``across`` > 0), so no book-out is unmatched and an inner join is the left join.
-    Identical rows travel as one row with a count. A cell is small in bytes and large in pairs; an
-    explicit number of partitions keeps Spark from merging cells by their bytes.
-    """
-    cell = [*keys, "_down", "_across"]
-
-    def in_cells(rows: DataFrame, own: str, other: str) -> DataFrame:
-        plain = [c for c in rows.columns if c not in ("down", "across")]
-        place = F.pmod(F.xxhash64(*plain, "_piece"), F.col(own))
-        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
-        placed = (
-            collapse_copies(rows.filter("across > 0"), cell_rows)
-            .withColumn(f"_{own}", place)
-            .withColumn(f"_{other}", every)
-            .repartition(tasks, *cell)
+    if wide is None:
+        wide = wide_transactions(outs, ins, keys, wide_pairs=wide_pairs, cell_rows=cell_rows)
+    wide = F.broadcast(wide)  # its size is bounded by the result's, see there
+    cell = ["_row", "_column"]
+
+    def in_cells(rows: DataFrame, own: str, other: str, place: str, every: str) -> DataFrame:
+        spread = F.pmod(F.xxhash64(*rows.columns), F.coalesce(own, F.lit(1)))
+        cells = F.sequence(F.lit(0).cast("long"), F.coalesce(other, F.lit(1)) - 1)
+        return (
+            rows.join(wide, keys, "left")
+            .withColumn(place, spread)
+            .withColumn(every, F.explode(cells))
+            .withColumn("_wide", F.col(own).isNotNull())
+            .drop("_down", "_across")
         )
-        return restore_copies(placed).select(*plain, "_down", "_across")
 
-    return in_cells(outs, "down", "across").join(in_cells(ins, "across", "down"), cell).drop("_down", "_across")
+    left = in_cells(outs, "_down", "_across", "_row", "_column")
+    right = in_cells(ins, "_across", "_down", "_column", "_row").drop("_wide")
+    if not keep_unmatched:
+        return left.drop("_wide").join(right, [*keys, *cell]).drop(*cell)
+    # Unmatched rows with a NULL key would meet in one task.
+    left = left.withColumn("_row", F.when(_unknown(keys), F.pmod(F.xxhash64(*outs.columns), F.lit(_NULL_SPREAD))).otherwise(F.col("_row")))
+    pairs = left.join(right.withColumn("_met", F.lit(True)), [*keys, *cell], "left")
+    # Each book-out of a wide transaction has partners; a cell without any says nothing.
+    return pairs.filter("NOT _wide OR _met").drop(*cell, "_wide", "_met")
 
 
 def pair_by_sequence(
@@ -128,54 +94,56 @@ def pair_by_sequence(
     in_columns: Sequence[str],
     side: str = "side",
     keep_unmatched: bool = True,
-    hot: Sequence[Row] | None = None,
-    min_rows: int | None = None,
 ) -> DataFrame:
     """n-th book-out to n-th book-in of a transaction.
 
     A book-out without partner has NULLs, or is dropped without ``keep_unmatched``. ``legs`` holds
-    both sides, tagged ``OUT`` and ``IN``, so the ledger is read once, and one shuffle by transaction
-    serves the numbering and the pairing: the partner is the next row of (transaction, number).
+    both sides, tagged ``OUT`` and ``IN``. They are numbered in slices of their order, see
+    :func:`sequence_number`, and the partner is the other row of (transaction, number).
     Returns the keys, ``out_columns`` and ``in_columns``.
-
-    Hot transactions are numbered in ranges and paired by (transaction, number).
     """
     keys = list(keys)
+    ties = list(dict.fromkeys([*out_columns, *in_columns]))
+    numbered = sequence_number(known_legs(legs, keys), [*keys, side], order, ties)
+    pairs = pair_numbered(numbered, keys, out_columns=out_columns, in_columns=in_columns, side=side, keep_unmatched=keep_unmatched)
+    return pairs.unionByName(lonely_outs(legs, keys, out_columns, side), allowMissingColumns=True) if keep_unmatched else pairs
+
+
+def _unknown(keys: Sequence[str]) -> Column:
+    """A key is NULL: such a leg has no partner."""
+    return reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
+
+
+def known_legs(legs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return legs.dropna(subset=list(keys))
+
+
+def lonely_outs(legs: DataFrame, keys: Sequence[str], out_columns: Sequence[str], side: str = "side") -> DataFrame:
+    """Book-outs that can't have a partner."""
+    return legs.filter(_unknown(keys) & (F.col(side) == "OUT")).select(*keys, *out_columns)
+
+
+def pair_numbered(
+    legs: DataFrame,
+    keys: Sequence[str],
+    *,
+    out_columns: Sequence[str],
+    in_columns: Sequence[str],
+    side: str = "side",
+    number: str = "rn",
+    keep_unmatched: bool = True,
+) -> DataFrame:
+    """Book-outs and book-ins of one (transaction, number), from legs numbered per side."""
     is_out = F.col(side) == "OUT"
     slim = legs.select(
         *keys,
         side,
-        order,
+        number,
         *[F.when(is_out, F.col(c)).alias(c) for c in out_columns],
         F.when(~is_out, F.struct(*in_columns)).alias("_in"),
     )
-    known = slim.dropna(subset=keys)
-    if hot is None:
-        hot = find_hot_sequences(legs.dropna(subset=keys), keys, order, min_rows=min_rows)
-    number_by, ties = [*keys, side], [*out_columns, "_in"]
-
-    def pair(rows: DataFrame) -> DataFrame:
-        return _next_leg(sequence_number(rows.repartition(*keys), number_by, order, ties, hot=()), keys, side)
-
-    if hot:
-        known, large = split_hot(known, keys, cut_table(legs, keys, hot))
-        paired = pair(known).unionByName(_next_leg(number_hot(large, number_by, order, ties, hot), keys, side))
-    else:
-        paired = pair(known)
-    columns = [*keys, *out_columns, "_in"]
-    pairs = paired.select(*columns)
-    if keep_unmatched:
-        pairs = pairs.unionByName(slim.filter(_unknown(keys) & is_out).select(*columns))
-    else:
+    slot = Window.partitionBy(*keys, number).orderBy(F.desc(side))  # OUT before IN
+    pairs = slim.withColumn("_in", F.lead("_in").over(slot)).filter(is_out)
+    if not keep_unmatched:
         pairs = pairs.filter(F.col("_in").isNotNull())
     return pairs.select(*keys, *out_columns, *[F.col("_in")[c].alias(c) for c in in_columns])
-
-
-def _unknown(keys: Sequence[str]) -> Column:
-    """A key is NULL: such a leg has no partner."""
-    return reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
-
-
-def _next_leg(numbered: DataFrame, keys: list[str], side: str) -> DataFrame:
-    slot = Window.partitionBy(*keys, "rn").orderBy(F.desc(side))  # OUT before IN
-    return numbered.withColumn("_in", F.lead("_in").over(slot)).filter(F.col(side) == "OUT")

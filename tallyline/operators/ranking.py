@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def table_preview(rows: DataFrame, n: int | None = None) -> DataFrame:
-    """The table, or its first ``n`` rows in the order of all columns, so that the answer is repeatable."""
+def table_preview(rows: DataFrame, n: int | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """The table, or ``n`` of its rows: any, which reads no more than it needs, or the first by the key ``order``."""
     if n is None:
         return rows
-    return rows.orderBy(*[F.col(c).asc_nulls_last() for c in rows.columns]).limit(n)
+    return (rows.orderBy(*nulls_last(*order)) if order else rows).limit(n)
 
 
 def top_bottom(totals: DataFrame, metric: str, k: int = 3) -> DataFrame:

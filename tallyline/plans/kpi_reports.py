@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyline.functions.calendar import month_label, month_label_padded, month_start
 from tallyline.functions.codes import target_status
 from tallyline.functions.ratios import percentage, safe_ratio
-from tallyline.operators.aggregates import bucket_sums, per_city, row_total, with_group_total
+from tallyline.operators.aggregates import bucket_sums, per_city, with_group_total
 from tallyline.operators.ranking import best_per_group, fixed_bands, nulls_last, top_bottom
 
 # Output column -> bucket label.
@@ -22,13 +22,15 @@ def city_fare_summary(trips: DataFrame, cities: DataFrame) -> DataFrame:
         F.count("fare_amount").alias("fares"),
         F.sum("distance_travelled_km").alias("km"),
     )
-    summary = per_city(per_id, cities, [], total_trips="trips", fare="fare", fares="fares", km="km")
+    # One row per city id: the total of all, unknown cities too, without another scan.
+    per_id = with_group_total(per_id, [], all_trips="trips")
+    summary = per_city(per_id, cities, [], same=["all_trips"], total_trips="trips", fare="fare", fares="fares", km="km")
     return summary.select(
         "city_name",
         "total_trips",
         safe_ratio(F.col("fare"), F.col("km")).alias("avg_fare_per_km"),
         safe_ratio(F.col("fare"), F.col("fares"), scale=0).alias("avg_fare_per_trip"),
-        percentage(F.col("total_trips"), row_total(trips)).alias("percentage_contribution_to_total_trips"),
+        percentage(F.col("total_trips"), F.col("all_trips")).alias("percentage_contribution_to_total_trips"),
     ).orderBy(F.desc("total_trips"), *nulls_last("city_name"))
 
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline.functions import codes
-from tallyline.functions.calendar import event_time_label, window_predicate
-from tallyline.operators import hot_groups
+from tallyline.functions.calendar import event_time_label
 from tallyline.operators.legs import (
     DUMMY_IN,
     DUMMY_OUT,
@@ -21,7 +19,8 @@ from tallyline.operators.legs import (
     ref_filter,
     window_filter,
 )
-from tallyline.operators.pairing import find_hot_transactions, pair_by_sequence, pair_by_txn
+from tallyline.operators.numbering import sequence_number
+from tallyline.operators.pairing import known_legs, lonely_outs, pair_by_txn, pair_numbered, wide_transactions
 
 OUT_COLUMNS = [
     "created", "created_by", "article", "destination", "source_carrier", "quantity", "reference",
@@ -89,10 +88,29 @@ def _with_targets(attributes: DataFrame) -> DataFrame:
 
 
 def _pairs(
-    outs: DataFrame, ins: DataFrame, reference: str | None, keep_unmatched: bool, hot: Sequence[Row]
+    outs: DataFrame, ins: DataFrame, fields: list[str], reference: str | None, keep_unmatched: bool, parsed: bool
 ) -> DataFrame:
+    """Legs paired on the transaction; wide transactions are counted before documents are parsed."""
+    wide = wide_transactions(outs, ins, KEYS)
+    if not parsed:
+        outs, ins = leg_attributes(outs), leg_attributes(ins, fields)
+    ins = ins.withColumns({name: F.lit(None).cast("string") for name in IN_FIELDS if name not in fields})
+    if not fields:
+        ins = ins.withColumn("article", F.lit(None).cast("string"))
     outs = ref_filter(outs_of(outs), "reference", reference)
-    return pair_by_txn(outs, ins_of(ins), KEYS, keep_unmatched=keep_unmatched, hot=hot)
+    return pair_by_txn(outs, ins_of(ins), KEYS, keep_unmatched=keep_unmatched, wide=wide)
+
+
+def overstock_legs(ledger: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """All legs of the overstock area with their document fields; the window holds for book-outs only.
+
+    Keep it (a written table, or ``persist``) and hand it to the report as ``kept`` where the ledger scan or the
+    documents are dear: the report reads it several times. The caller releases it.
+    """
+    rules = OVERSTOCK_RULES
+    outs = window_filter(legs(ledger, rules.normal_out, rules.dummy_out), "created", start, end)
+    ins = legs(ledger, rules.normal_in, rules.dummy_in)
+    return leg_attributes(outs.unionByName(ins))
 
 
 def overstock_movements(
@@ -101,22 +119,23 @@ def overstock_movements(
     end: str | None = None,
     reference: str | None = None,
     *,
+    kept: DataFrame | None = None,
     keep_unmatched: bool = True,
 ) -> DataFrame:
     """Normal and dummy moves paired on the transaction id, before the code lookups.
 
     Both kinds of goods go through one join on (transaction, goods). A normal book-out without a
     book-in is kept; a dummy one is not, since the carrier condition on its book-in rejects NULL.
-    The report reads completed moves only and asks for no unmatched ones.
+    The report reads completed moves only and asks for no unmatched ones. ``kept``, from
+    :func:`overstock_legs` with the same window, is read in place of the ledger.
     """
     rules = OVERSTOCK_RULES
-    outs = window_filter(legs(ledger, rules.normal_out, rules.dummy_out), "created", start, end)
-    ins = legs(ledger, rules.normal_in, rules.dummy_in)
-    # Search for hot transactions: keys only, before the documents are parsed.
-    both = legs(ledger, rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in)
-    inside = window_predicate(F.col("created"), start, end)
-    hot = find_hot_transactions(both if inside is None else both.filter((F.col("side") == "IN") | inside), KEYS)
-    pairs = _pairs(leg_attributes(outs), leg_attributes(ins, IN_FIELDS), reference, keep_unmatched, hot)
+    if kept is not None:
+        outs, ins = kept.filter("side = 'OUT'"), kept.filter("side = 'IN'")
+    else:
+        outs = window_filter(legs(ledger, rules.normal_out, rules.dummy_out), "created", start, end)
+        ins = legs(ledger, rules.normal_in, rules.dummy_in)
+    pairs = _pairs(outs, ins, IN_FIELDS, reference, keep_unmatched, kept is not None)
     dummy = F.col("goods") == "DUMMY"
     two_step = codes.ean_two_step(F.col("article"), F.col("document_ean"))
     return pairs.filter(~dummy | F.col("target_carrier").isNotNull()).withColumn(
@@ -124,15 +143,20 @@ def overstock_movements(
     )
 
 
-def sorting_legs(ledger: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """All legs of the manual sorting area with their document fields.
+# What orders legs of one scan sequence, whether their documents are parsed yet or not.
+_TIES = ["created", "created_by", "article", "destination", "carrier", "quantity", "document_hash"]
 
-    Persist this (``MEMORY_AND_DISK``) and hand it to the report as ``kept`` where the ledger scan or
-    the documents are dear: the report reads it several times. The caller releases it.
-    """
-    rules = MANUAL_SORTING_RULES
+
+def _sorting_legs(ledger: DataFrame, start: str | None, end: str | None, *specs: LegSpec) -> DataFrame:
     windowed = window_filter(ledger, "CREATED", start, end)
-    return leg_attributes(legs(windowed, rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in))
+    return legs(windowed, *specs).withColumn("document_hash", F.xxhash64("document"))
+
+
+def sorting_legs(ledger: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """All legs of the manual sorting area with their document fields; keep it as ``kept`` like :func:`overstock_legs`."""
+    rules = MANUAL_SORTING_RULES
+    every = _sorting_legs(ledger, start, end, rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in)
+    return leg_attributes(every)
 
 
 def manual_sorting_movements(
@@ -147,37 +171,32 @@ def manual_sorting_movements(
     """Normal moves paired on the transaction id, dummy moves strictly by scan sequence.
 
     The window holds for every leg and comes before the numbering; the reference filter comes after
-    it. ``kept``, from :func:`sorting_legs` with the same window, is read in place of the ledger.
+    it. Legs are numbered before their documents are parsed. ``kept``, from :func:`sorting_legs` with the
+    same window, is read in place of the ledger.
     """
     rules = MANUAL_SORTING_RULES
-    windowed = window_filter(ledger, "CREATED", start, end)
     if kept is not None:
-        every = kept
         outs = kept.filter("goods = 'NORMAL' AND side = 'OUT'")
         ins = kept.filter("goods = 'NORMAL' AND side = 'IN'")
-        dummy = kept.filter("goods = 'DUMMY'")
+        dummy, attributes = kept.filter("goods = 'DUMMY'"), lambda rows: rows
     else:
-        every = legs(windowed, rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in)
-        outs = leg_attributes(legs(windowed, rules.normal_out))
-        ins = leg_attributes(legs(windowed, rules.normal_in), ())
-        dummy = leg_attributes(legs(windowed, rules.dummy_out, rules.dummy_in))
-    hot = find_hot_transactions(every, KEYS, order="sequence")
-    hot_normal = [group for group in hot if group.goods == "NORMAL"]
-    hot_dummy = [group for group in hot if group.goods == "DUMMY" and group.rows > hot_groups.MIN_ROWS]
+        outs = _sorting_legs(ledger, start, end, rules.normal_out)
+        ins = _sorting_legs(ledger, start, end, rules.normal_in)
+        dummy, attributes = _sorting_legs(ledger, start, end, rules.dummy_out, rules.dummy_in), leg_attributes
 
     # A normal move reads nothing but the carrier from its book-in.
-    ins = ins.withColumns({name: F.lit(None).cast("string") for name in ["article", *IN_FIELDS]})
-    normal_moves = _pairs(outs, ins, reference, keep_unmatched, hot_normal)
-
-    strict = pair_by_sequence(
-        _with_targets(dummy).withColumn("source_carrier", F.col("carrier")),
-        ["txn"],
-        "sequence",
-        out_columns=OUT_COLUMNS,
-        in_columns=IN_COLUMNS,
-        keep_unmatched=keep_unmatched,
-        hot=hot_dummy,
+    normal_moves = _pairs(outs, ins, [], reference, keep_unmatched, kept is not None)
+
+    def both_sides(rows: DataFrame) -> DataFrame:
+        return _with_targets(attributes(rows)).withColumn("source_carrier", F.col("carrier"))
+
+    numbered = sequence_number(known_legs(dummy, ["txn"]), ["txn", "side"], "sequence", _TIES)
+    strict = pair_numbered(
+        both_sides(numbered), ["txn"], out_columns=OUT_COLUMNS, in_columns=IN_COLUMNS, keep_unmatched=keep_unmatched
     )
+    if keep_unmatched:
+        lonely = lonely_outs(both_sides(dummy), ["txn"], OUT_COLUMNS)
+        strict = strict.unionByName(lonely, allowMissingColumns=True)
     three_step = codes.ean_three_step(F.col("article"), F.col("document_ean"), F.col("target_article"))
     dummy_moves = (
         ref_filter(strict, "reference", reference)
@@ -220,10 +239,15 @@ def movement_report(moves: DataFrame, rules: MovementRules) -> DataFrame:
 
 
 def overstock_report(
-    ledger: DataFrame, start: str | None = None, end: str | None = None, reference: str | None = None
+    ledger: DataFrame,
+    start: str | None = None,
+    end: str | None = None,
+    reference: str | None = None,
+    *,
+    kept: DataFrame | None = None,
 ) -> DataFrame:
     """One row per matched (book-out, book-in) of the overstock area."""
-    moves = overstock_movements(ledger, start, end, reference, keep_unmatched=False)
+    moves = overstock_movements(ledger, start, end, reference, kept=kept, keep_unmatched=False)
     return movement_report(moves, OVERSTOCK_RULES)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +28,12 @@ def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
     return spark
 
 
+@cache
+def _local_scratch() -> tempfile.TemporaryDirectory:
+    """A folder of this process, removed when it ends."""
+    return tempfile.TemporaryDirectory(prefix="tallyline-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder named in ``spark.checkpoint.dir``, which all executors share.
 
@@ -36,5 +43,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="tallyline-")
+        base = _local_scratch().name
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

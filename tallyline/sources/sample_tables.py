@@ -123,7 +123,7 @@ _LEDGER_COLUMNS = {
     "CREATEDBY": "concat('U', user_id)",
 }
 # The event's own property k gives the codes of the document, which is now and then malformed,
-# nested or missing.
+# nested or missing, has text or another document behind it, or a key twice.
 _LEDGER_DOCUMENT = """
     CASE WHEN event_id % 47 = 0 THEN NULL WHEN event_id % 41 = 0 THEN 'no document' ELSE concat(
         '{"REFERENCENUMBER_LHM":"', IF(event_id % 37 = 0, concat('REF_', event_id % 10), concat('REF', event_id % 40)),
@@ -134,7 +134,8 @@ _LEDGER_DOCUMENT = """
         ',"CATEGORYID_ART":"', k % 7,
         '","DISTRIBUTIONCHANNELID_ART":"', IF(k % 5 = 0, '', CAST(k % 5 AS STRING)),
         '","SKU_ART":"SKU', event_id % 500,
-        '","SORTINGCRITERIAID_ART":"', k % 9, '"}') END"""
+        '","SORTINGCRITERIAID_ART":"', k % 9, IF(event_id % 59 = 0, '","SKU_ART":"again', ''), '"}',
+        CASE WHEN event_id % 61 = 0 THEN ' text' WHEN event_id % 67 = 0 THEN '{"SKU_ART":"next"}' ELSE '' END) END"""
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import codes
 from tallyline.functions.calendar import event_time_label, month_label, month_label_padded, month_start
-from tallyline.functions.json_fields import json_value
+from tallyline.functions.json_fields import with_json_fields
 from tallyline.functions.ratios import percentage, safe_ratio
 from tallyline.functions.text import all_digits, like, not_prefixed
-from tallyline.operators.legs import completed_moves, ref_filter, window_filter, with_json_fields
+from tallyline.operators.legs import completed_moves, ref_filter, window_filter
 
 DOCUMENTS = {
     '{"K":{"p":1}}': None,
@@ -35,6 +35,14 @@ DOCUMENTS = {
     '{"K":" a "}': " a ",
     '{"A":{"K":"inner"},"K":"outer"}': "outer",
     '{"A":{"K":"inner"}}': None,
+    ' {"K":"a"} ': "a",
+    '{"K":"a"} junk': None,
+    '{"K":"a"}{"K":"b"}': None,
+    '{"K":"a"},{"K":"b"}': None,
+    '{"K":"a"},null': None,
+    '{"K":"a"},': None,
+    '{"K":"1","K":"2"}': None,
+    '{"K":{"B":1},"K":"2"}': None,
 }
 
 
@@ -42,13 +50,7 @@ def _texts(spark, values, name="v"):
     return spark.createDataFrame([(v,) for v in values], f"{name} string")
 
 
-def test_json_value_is_scalar_or_null(spark):
-    rows = _texts(spark, [*DOCUMENTS, None], "doc")
-    found = {r.doc: r.k for r in rows.select("doc", json_value("doc", "K").alias("k")).collect()}
-    assert found == {**DOCUMENTS, None: None}
-
-
-def test_one_pass_extraction_equals_json_value(spark):
+def test_json_values_are_scalars_or_null(spark):
     rows = _texts(spark, [*DOCUMENTS, None], "doc")
     found = {r.doc: (r.k, r.other) for r in with_json_fields(rows, "doc", {"K": "k", "L": "other"}).collect()}
     assert found == {doc: (value, None) for doc, value in {**DOCUMENTS, None: None}.items()}

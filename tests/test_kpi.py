@@ -274,7 +274,7 @@ def test_best_per_group_keeps_ties_and_prefers_null(spark):
 
 def test_preview(spark):
     rows = spark.range(100, numPartitions=7).select((F.col("id") % 50).alias("v"))
-    assert [r.v for r in table_preview(rows, 5).collect()] == [0, 0, 1, 1, 2]
+    assert [r.v for r in table_preview(rows, 5, ["v"]).collect()] == [0, 0, 1, 1, 2]
     assert table_preview(rows).count() == 100
 
 

@@ -1,4 +1,4 @@
-"""The movement reports on small ledgers with edge rows, on the ordinary and on the hot path."""
+"""The movement reports on small ledgers with edge rows, with narrow and wide slices and cells."""
 
 from __future__ import annotations
 
@@ -11,7 +11,8 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from tallyline.operators import hot_groups, pairing
+from tallyline.operators import numbering, pairing
+from tallyline.operators.legs import legs
 from tallyline.plans import ledger_reports as reports
 from tallyline.session import scratch_path
 from tallyline.sources import sample_tables
@@ -157,24 +158,49 @@ def crowded(spark):
     return ledger.withColumn("LOCAL_TRANSACTION_ID", third)
 
 
+@pytest.mark.parametrize("divisor", [1, 8])
 @pytest.mark.parametrize("arguments", [(), (*entry_points.WINDOW, entry_points.REF_WILDCARD)])
-def test_reports_are_the_same_on_the_hot_path(crowded, monkeypatch, arguments):
+def test_reports_are_the_same_with_any_slices_and_cells(crowded, monkeypatch, arguments, divisor):
+    """With unique sequences, and with eight legs on each."""
+    ledger = crowded.withColumn("SEQUENCE", F.floor(F.col("SEQUENCE") / divisor))
+
     def run():
         built = [
-            reports.overstock_report(crowded, *arguments),
-            reports.manual_sorting_report(crowded, *arguments),
-            reports.overstock_movements(crowded, *arguments),
-            reports.manual_sorting_movements(crowded, *arguments),
+            reports.overstock_report(ledger, *arguments),
+            reports.manual_sorting_report(ledger, *arguments),
+            reports.overstock_movements(ledger, *arguments),
+            reports.manual_sorting_movements(ledger, *arguments),
         ]
         return [Counter(map(str, result.collect())) for result in built]
 
     ordinary = run()
     assert all(ordinary)
-    monkeypatch.setattr(hot_groups, "MIN_ROWS", 20)
-    monkeypatch.setattr(pairing, "PAIR_MIN_ROWS", 20)
+    monkeypatch.setattr(numbering, "SLICE_BITS", 4)
+    monkeypatch.setattr(pairing, "WIDE_PAIRS", 20)
     monkeypatch.setattr(pairing, "CELL_ROWS", 7)
-    found = []
-    search = hot_groups.find_hot_groups
-    monkeypatch.setattr(pairing, "find_hot_groups", lambda *a, **k: found.append(search(*a, **k)) or found[-1])
     assert run() == ordinary
-    assert len(found) == 4 and all(any(row.txn == "crowd" for row in rows) for rows in found)
+
+
+def test_building_a_report_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    ledger = sample_tables.ledger(spark, SF_DIR)
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        reports.overstock_report(ledger)
+        reports.manual_sorting_report(ledger, *entry_points.WINDOW, entry_points.REF_WILDCARD)
+        assert not tracker.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+
+
+def test_reports_have_native_types(spark):
+    ledger = sample_tables.ledger(spark, SF_DIR)
+    texts = {"Quantity": "int"}
+    for report in (reports.overstock_report(ledger), reports.manual_sorting_report(ledger)):
+        assert len(report.dtypes) == 14
+        assert all(kind == texts.get(name, "string") for name, kind in report.dtypes)
+
+
+def test_empty_destination_is_null(spark):
+    rows = _ledger(spark, _leg("t", 1, 520, 1, "41", dest=""))
+    assert [leg.destination for leg in legs(rows, reports.OVERSTOCK_RULES.normal_in).collect()] == [None]

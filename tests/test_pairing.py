@@ -1,4 +1,4 @@
-"""Numbering and pairing against brute force, with and without hot transactions."""
+"""Numbering and pairing against brute force, with narrow and wide slices and cells."""
 
 from __future__ import annotations
 
@@ -6,12 +6,11 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tallyline.operators import numbering
-from tallyline.operators.hot_groups import find_hot_groups
-from tallyline.operators.numbering import find_hot_sequences, sequence_number
-from tallyline.operators.pairing import find_hot_transactions, pair_by_sequence, pair_by_txn
+from tallyline.operators.numbering import sequence_number
+from tallyline.operators.pairing import pair_by_sequence, pair_by_txn, wide_transactions
 
 LEG = "txn string, side string, seq long, carrier string"
 
@@ -37,19 +36,21 @@ def _numbers(legs):
     return {c: n for group in groups.values() for n, (_, _, c) in enumerate(sorted(group), 1)}
 
 
-@pytest.mark.parametrize("min_rows", [100, 10**6])
-def test_sequence_number_equals_brute_force(spark, min_rows):
+@pytest.fixture(params=[0, 5, 20])
+def slice_bits(request, monkeypatch):
+    """Slices of one, 32 and a million order values."""
+    monkeypatch.setattr(numbering, "SLICE_BITS", request.param)
+
+
+def test_sequence_number_equals_brute_force(spark, slice_bits):
     legs = [leg for leg in _legs() if leg[2] is not None]
-    rows = spark.createDataFrame(legs, LEG)
-    assert bool(find_hot_sequences(rows, ["txn", "side"], "seq", min_rows=min_rows)) == (min_rows == 100)
-    got = sequence_number(rows, ["txn", "side"], "seq", ["carrier"], min_rows=min_rows)
+    got = sequence_number(spark.createDataFrame(legs, LEG), ["txn", "side"], "seq", ["carrier"])
     assert {r.carrier: r.rn for r in got.collect()} == _numbers(legs)
 
 
-@pytest.mark.parametrize("min_rows", [100, 10**6])
-def test_ties_and_nulls_are_numbered_without_gaps(spark, min_rows):
+def test_ties_and_nulls_are_numbered_without_gaps(spark, slice_bits):
     legs = _legs(ties=True)
-    got = sequence_number(spark.createDataFrame(legs, LEG), ["txn", "side"], "seq", ["carrier"], min_rows=min_rows)
+    got = sequence_number(spark.createDataFrame(legs, LEG), ["txn", "side"], "seq", ["carrier"])
     groups = defaultdict(list)
     for r in got.collect():
         groups[r.txn, r.side].append((r.rn, r.seq))
@@ -61,13 +62,34 @@ def test_ties_and_nulls_are_numbered_without_gaps(spark, min_rows):
         assert order == sorted(order)
 
 
-def test_hot_group_with_equal_sequences_is_spread(spark):
-    rows = spark.range(20000).select(F.lit("hot").alias("txn"), F.lit(5).cast("long").alias("seq"), F.col("id").cast("string").alias("carrier"))
-    got = sequence_number(rows, ["txn"], "seq", ["carrier"], min_rows=100)
-    stats = got.agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first()
-    assert tuple(stats) == (1, 20000, 20000)
-    hot = find_hot_sequences(rows, ["txn"], "seq", min_rows=100)
-    assert hot[0].rows == 20000 and set(hot[0].cuts) == {5}
+ORDERS = {
+    "long": "seq",
+    "int": "CAST(seq AS INT)",
+    "decimal": "CAST(seq / 8 AS DECIMAL(18,3))",
+    "double": "IF(seq = 12, double('NaN'), IF(seq = 9, double('-Infinity'), CAST(seq - 1500 AS DOUBLE) / 8))",
+    "timestamp": "timestamp_micros(seq * 3000000000)",
+    "timestamp_ntz": "CAST(timestamp_micros(seq * 3000000000) AS TIMESTAMP_NTZ)",
+    "date": "date_add(DATE '2024-01-01', CAST(seq AS INT))",
+    "string": "CAST(seq AS STRING)",
+}
+
+
+@pytest.mark.parametrize("ties", [False, True])
+@pytest.mark.parametrize("kind", ORDERS)
+def test_slices_give_the_rows_of_one_window(spark, monkeypatch, kind, ties):
+    """Any width of a slice numbers and pairs alike, for every type, with ties, NULLs and identical rows."""
+    rows = spark.createDataFrame(_legs(rows=600, ties=ties) + _legs(rows=600, ties=ties)[:200], LEG)
+    rows = rows.withColumn("seq", F.expr(ORDERS[kind]))
+    window = Window.partitionBy("txn", "side").orderBy(F.col("seq").asc_nulls_last(), F.xxhash64("carrier"), "carrier")
+    expected = Counter(map(str, rows.withColumn("rn", F.row_number().over(window).cast("long")).collect()))
+    tagged = rows.withColumns({"source": F.col("carrier"), "target": F.col("carrier")})
+    pairs = []
+    for bits in (0, 3, 40):
+        monkeypatch.setattr(numbering, "SLICE_BITS", bits)
+        got = sequence_number(rows, ["txn", "side"], "seq", ["carrier"])
+        assert Counter(map(str, got.collect())) == expected
+        pairs.append(Counter(map(str, pair_by_sequence(tagged, ["txn"], "seq", out_columns=["source"], in_columns=["target"]).collect())))
+    assert pairs[0] == pairs[1] == pairs[2]
 
 
 def _brute_pairs(legs, strict, keep_unmatched=True):
@@ -93,13 +115,13 @@ def _sides(spark, legs):
 
 
 @pytest.mark.parametrize("keep", [True, False])
-@pytest.mark.parametrize("min_rows, cell_rows", [(100, 60), (100, 10**6), (10**6, 10)])
-def test_pair_by_txn_equals_brute_force(spark, min_rows, cell_rows, keep):
+@pytest.mark.parametrize("wide_pairs, cell_rows", [(2, 1), (100, 60), (100, 10**6), (10**6, 10)])
+def test_pair_by_txn_equals_brute_force(spark, wide_pairs, cell_rows, keep):
     legs = _legs(rows=900)
     outs, ins = _sides(spark, legs)
-    hot = find_hot_transactions(spark.createDataFrame(legs, LEG), ["txn"], min_rows=min_rows)
-    assert bool(hot) == (min_rows == 100)
-    got = pair_by_txn(outs, ins, ["txn"], min_rows=min_rows, cell_rows=cell_rows, keep_unmatched=keep)
+    wide = wide_transactions(outs, ins, ["txn"], wide_pairs=wide_pairs, cell_rows=cell_rows)
+    assert bool(wide.count()) == (wide_pairs <= 100)
+    got = pair_by_txn(outs, ins, ["txn"], wide_pairs=wide_pairs, cell_rows=cell_rows, keep_unmatched=keep)
     assert Counter((r.txn, r.source, r.target) for r in got.collect()) == _brute_pairs(legs, False, keep)
 
 
@@ -108,18 +130,16 @@ def test_pair_by_txn_equals_brute_force(spark, min_rows, cell_rows, keep):
 def test_hot_transaction_with_one_side_only(spark, lonely, keep):
     legs = [leg for leg in _legs(rows=900) if leg[0] != "hot" or leg[1] == lonely]
     outs, ins = _sides(spark, legs)
-    assert find_hot_transactions(spark.createDataFrame(legs, LEG), ["txn"], min_rows=50)
-    got = pair_by_txn(outs, ins, ["txn"], min_rows=50, cell_rows=20, keep_unmatched=keep)
+    got = pair_by_txn(outs, ins, ["txn"], wide_pairs=1, cell_rows=20, keep_unmatched=keep)
     assert Counter((r.txn, r.source, r.target) for r in got.collect()) == _brute_pairs(legs, False, keep)
 
 
 @pytest.mark.parametrize("keep", [True, False])
-@pytest.mark.parametrize("min_rows", [100, 10**6])
-def test_pair_by_sequence_equals_brute_force(spark, min_rows, keep):
+def test_pair_by_sequence_equals_brute_force(spark, slice_bits, keep):
     legs = [leg for leg in _legs() if leg[2] is not None]
     rows = spark.createDataFrame(legs, LEG).withColumns({"source": F.col("carrier"), "target": F.col("carrier")})
     got = pair_by_sequence(
-        rows, ["txn"], "seq", out_columns=["source"], in_columns=["target"], min_rows=min_rows, keep_unmatched=keep
+        rows, ["txn"], "seq", out_columns=["source"], in_columns=["target"], keep_unmatched=keep
     ).collect()
     assert Counter((r.txn, r.source, r.target) for r in got) == _brute_pairs(legs, True, keep)
     targets = [r.target for r in got if r.target is not None]
@@ -136,13 +156,12 @@ def test_fan_out_against_strict_pairs(spark, outs, ins, by_txn, strict):
     assert sum(r.target is None for r in got) == max(0, outs - ins)
 
 
-def test_hot_groups_are_exact(spark):
-    rows = spark.createDataFrame([(leg[0], leg[1]) for leg in _legs()], "txn string, side string")
-    counts = Counter(r.txn for r in rows.collect())
-    got = {g.txn: g.rows for g in find_hot_groups(rows, ["txn"], min_rows=120)}
-    assert got == {txn: n for txn, n in counts.items() if n > 120}
-    assert set(got) == {"hot", None}
-    assert find_hot_groups(rows, ["txn"], min_rows=5000) == []
+@pytest.mark.parametrize("others", [10, 400])
+def test_a_wide_transaction_is_divided_whatever_stands_beside_it(spark, others):
+    legs = [("wide", "OUT", i, f"o{i}") for i in range(50)] + [("wide", "IN", i, f"i{i}") for i in range(50)]
+    legs += [(f"t{t}", side, i, f"{t}{side}{i}") for t in range(others) for side in ("OUT", "IN") for i in range(3)]
+    wide = wide_transactions(*_sides(spark, legs), ["txn"], wide_pairs=100, cell_rows=20)
+    assert [tuple(r) for r in wide.collect()] == [("wide", 3, 3)]
 
 
 def _copies(rows: int):
@@ -152,12 +171,10 @@ def _copies(rows: int):
     return legs + [("hot", "OUT", None, "no sequence")] * (rows // 8)
 
 
-@pytest.mark.parametrize("piece", [7, 10_000])
-def test_identical_legs_are_numbered_and_paired(spark, monkeypatch, piece):
-    monkeypatch.setattr(numbering, "_PIECE", piece)
+def test_identical_legs_are_numbered_and_paired(spark, slice_bits):
     legs = [leg for leg in _copies(800) if leg[2] is not None or leg[3] == "no sequence"]
     rows = spark.createDataFrame(legs, LEG)
-    got = sequence_number(rows, ["txn", "side"], "seq", ["carrier"], min_rows=100).collect()
+    got = sequence_number(rows, ["txn", "side"], "seq", ["carrier"]).collect()
     assert Counter((r.txn, r.side, r.seq, r.carrier) for r in got) == Counter(legs)
     groups = defaultdict(list)
     for r in got:
@@ -173,7 +190,7 @@ def test_identical_legs_are_numbered_and_paired(spark, monkeypatch, piece):
     expected = Counter((o[3], i[3]) for o, i in zip(sorted(outs, key=order), sorted(ins, key=order)))
     expected.update((o[3], None) for o in sorted(outs, key=order)[len(ins) :])
     tagged = rows.withColumns({"source": F.col("carrier"), "target": F.col("carrier")})
-    pairs = pair_by_sequence(tagged, ["txn"], "seq", out_columns=["source"], in_columns=["target"], min_rows=100)
+    pairs = pair_by_sequence(tagged, ["txn"], "seq", out_columns=["source"], in_columns=["target"])
     assert Counter((r.source, r.target) for r in pairs.filter("txn = 'hot'").collect()) == expected
 
 
@@ -181,5 +198,5 @@ def test_identical_legs_are_numbered_and_paired(spark, monkeypatch, piece):
 def test_identical_legs_fan_out(spark, cell_rows):
     legs = _copies(240)
     outs, ins = _sides(spark, legs)
-    got = pair_by_txn(outs, ins, ["txn"], min_rows=50, cell_rows=cell_rows)
+    got = pair_by_txn(outs, ins, ["txn"], wide_pairs=50, cell_rows=cell_rows)
     assert Counter((r.txn, r.source, r.target) for r in got.collect()) == _brute_pairs(legs, False)
