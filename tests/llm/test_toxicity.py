@@ -76,7 +76,7 @@ def test_odd_documents(trained, cluttered, odd_rows):
 
 def test_degenerate_labels(spark, odd, cluttered, odd_rows):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    assert {r.score for r in toxicity.score(odd, toxicity.train(odd, none)).collect()} == {pytest.approx(0, abs=1e-9)}
+    assert max(r.score for r in toxicity.score(odd, toxicity.train(odd, none)).collect()) < 1e-9
     toxic = spark.createDataFrame([(i, 1, 1) for i in range(16)] + [(None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int")
     assert min(r.score for r in toxicity.score(odd, toxicity.train(odd, toxic)).collect()) > 0.99
     kept = toxicity.drop_toxic(cluttered, none)
