@@ -16,6 +16,7 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 # Bytes of text that are worked on at once; a longer text is one block.
 BLOCK_BYTES = 2_000_000
+_CHUNK_BYTES = 1 << 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -67,6 +68,26 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, pa
         yield a, column.slice(a, b - a)
 
 
+def _word_hashes(letters: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A polynomial hash of the bytes of each word, some hundred thousand bytes at a time."""
+    if not len(size):
+        return np.zeros(0, np.uint64)
+    ends = np.cumsum(size)
+    total = np.empty(len(size), np.uint64)
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(int(size.max()), _BASE, np.uint64))
+        first = 0
+        while first < len(size):
+            offset = ends[first] - size[first]
+            last = max(first + 1, int(np.searchsorted(ends, offset + _CHUNK_BYTES)))
+            own = size[first:last]
+            begin = np.cumsum(own) - own
+            place = np.arange(own.sum()) - np.repeat(begin, own)
+            total[first:last] = np.add.reduceat(_OF_BYTE[letters[offset : ends[last - 1]]] * power[place], begin)
+            first = last
+        return mixed(total + size.astype(np.uint64) * _GOLD)
+
+
 def words(column: pa.Array) -> Words:
     """The words of every text of a string column; NULL has none."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -85,16 +106,11 @@ def words(column: pa.Array) -> Words:
     end = np.flatnonzero(closes) + 1
     doc = np.searchsorted(offsets, start, "right") - 1
     size = end - start
-    letters = data[inside]
-    begin = np.cumsum(size) - size
-    place = np.arange(len(letters)) - np.repeat(begin, size)
-    with np.errstate(over="ignore"):
-        power = np.cumprod(np.full(int(size.max()) if len(size) else 0, _BASE, np.uint64))
-        total = np.add.reduceat(_OF_BYTE[letters] * power[place], begin) if len(size) else np.zeros(0, np.uint64)
-        hashes = mixed(total + size.astype(np.uint64) * _GOLD)
-    points = np.cumsum((data & 0xC0) != 0x80)  # code points up to and with each byte
-    before = np.r_[0, points][offsets[:-1]][doc] if len(data) else np.zeros(0, np.int64)
-    lines = np.cumsum(data == 0x0A)
+    hashes = _word_hashes(data[inside], size)
+    small = np.int32 if len(data) < 2**31 else np.int64
+    points = np.cumsum((data & 0xC0) != 0x80, dtype=small)  # code points up to and with each byte
+    before = np.r_[0, points][offsets[:-1]][doc].astype(np.int64) if len(data) else np.zeros(0, np.int64)
+    lines = np.cumsum(data == 0x0A, dtype=small)
     line = lines[start] if len(start) else np.zeros(0, np.int64)
     new_doc = np.r_[True, doc[1:] != doc[:-1]][: len(doc)]
     new_line = new_doc | np.r_[True, line[1:] != line[:-1]][: len(line)]
