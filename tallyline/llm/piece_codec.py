@@ -29,8 +29,8 @@ SPACE = "▁"
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 _NONE = np.iinfo(np.int32).max
 # Words kept between blocks, characters of text in a block, and symbols above which a word takes the heap.
-KEPT_WORDS = 600_000
-BLOCK_CHARS = 2_000_000
+KEPT_WORDS = 400_000
+BLOCK_CHARS = 1_000_000
 HEAP_SYMBOLS = 256
 
 
@@ -248,7 +248,7 @@ def _blocks(texts: Sequence[str | None]) -> Iterator[slice]:
 def encode_decode(documents: DataFrame, path: str, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns of every document, ``ids`` of its whole ``text`` with the end id, and ``decoded``.
 
-    One narrow pass; texts go to the Python workers in Arrow batches and in blocks of about two million characters.
+    One narrow pass; texts go to the Python workers in Arrow batches and in blocks of about a million characters.
     """
     vocabulary = documents.sparkSession.sparkContext.broadcast(read_vocabulary(path))
     keep = list(keep)
