@@ -1,18 +1,21 @@
 """Substring dedup by paragraphs: MinHash bands, exact Jaccard, components.
 
-A unit is a paragraph (a line) of at least ``LEAST_WORDS`` words. Long paragraphs are cut into pieces
-at places that their own words choose, too, so that a passage inside two different paragraphs is
-found; pieces count if they are equal. Equal units are one content from the start. Contents of paragraphs that collide in
-one of ``BANDS`` bands are candidates; the exact Jaccard similarity of their sets of five-word shingles
+A unit is a paragraph (a line) of at least ``LEAST_WORDS`` words. Texts are cut into pieces
+at places that their own words choose, too, so that a passage inside different paragraphs or over
+several short ones is found; pieces count if they are equal and if neighbouring ones add up to ``LEAST_WORDS``
+words. Equal units are one content from the start. Contents of paragraphs that collide in one
+of ``BANDS`` bands are candidates; the exact Jaccard similarity of their sets of five-word shingles
 decides; linked contents are clustered by components, and of every cluster the first unit (by document
 and place) stays.
 
 With three rows a band and seven bands, a pair at the similarity 0.8 collides with probability 0.993, one at
-0.9 with 0.9999. A band's key has a leader, its least content: the others are compared with it, those that are not
-similar choose a new leader among themselves, and so on until none is left. So a key with n contents gives a
-number of pairs in proportion to n and not to its square. The map side keeps a leader of its own
-for each key and sends one row for it, so a key that a third of all paragraphs share reaches its task
-as one row per map task.
+0.9 with 0.9999. Within a band's key the ``LEADERS`` least contents are compared with each other, and any
+further one with the least. The map side does the same and sends ``LEADERS`` rows of a key at most, so a key
+that a third of all paragraphs share reaches its task as a few rows from each map task. What is unlike the least
+content of a large key looks for its kind by its rarest shingles: two sets of that similarity share one of
+the rarest fifth of each, by one order of all shingles, so variants that differ everywhere meet nobody. There, too, a
+content is compared with ``LATE_LEADERS`` others of a shingle, and chooses again if it is unlike all of them.
+Pairs grow with the size of a key and not with its square.
 
 Defined results: NULL, empty and short texts have no unit; repeated rows and equal paragraphs of one
 document count as copies of each other; NULL ids take part; empty input gives no rows; further columns are ignored.
@@ -24,7 +27,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyline.llm.arrow_words import Words, blocks, mixed, words
 from tallyline.llm.components import connected_components
@@ -35,14 +39,16 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS = 7
 BAND_ROWS = 3
-# Paragraphs of this many words are cut into pieces, at words whose hash is the least within REACH on both sides.
-LONG_WORDS = 40
+# Texts are cut into pieces where the hash of three words is the least within REACH words on both sides.
 REACH = 6
-PIECE_WORDS = 7
+# Contents of a band's key that are compared with each other, and of a rare shingle that any is compared with.
+LEADERS = 8
+LATE_LEADERS = 32
 SEED = 5
 # Keys that a map task remembers before it starts anew.
-_KEYS = 1 << 20
-_UNIT = "kind string, content long, doc_id long, start int, end int, n_words int, key long, leader long"
+_KEYS = 1 << 19
+_UNIT = "kind string, content long, doc_id long, text_no long, word int, start int, end int, n_words int, key long, leader long"
+_COLUMNS = [field.split()[0] for field in _UNIT.split(", ")]
 
 
 def _shingles(found: Words, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,26 +77,23 @@ def _paragraphs(found: Words) -> tuple[np.ndarray, np.ndarray]:
     return first[enough], last[enough]
 
 
-def _pieces(found: Words, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Runs between neighbouring cuts of one long paragraph.
+def _pieces(found: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Runs between neighbouring cuts of one text.
 
-    A cut depends on the ``REACH`` words around it only, so a passage is cut alike wherever it stands;
-    what lies before the first and behind the last cut of a paragraph is left to the paragraph.
+    A cut depends on some ``REACH`` words around it only, so a passage is cut alike wherever it stands;
+    what lies before the first and behind the last cut belongs to no piece.
     """
     n = len(found.hash)
     least = np.ones(n, bool)
-    rank = mixed(found.hash + np.uint64(77))
-    paragraph = np.cumsum(found.new_line)
+    rank = mixed(found.grams(3) + np.uint64(77))  # of three words: a frequent one alone would leave no cut
     for step in range(1, REACH + 1):
-        near = paragraph[step:] == paragraph[:-step]
+        near = found.doc[step:] == found.doc[:-step]
         least[step:] &= near & (rank[step:] < rank[:-step])
         least[:-step] &= near & (rank[:-step] <= rank[step:])
         least[:step] = least[n - step :] = False
     cut = np.flatnonzero(least)
-    long = np.zeros(paragraph[-1] + 1 if n else 1, bool)
-    long[paragraph[first[last - first >= LONG_WORDS]]] = True
     a, b = cut[:-1], cut[1:]
-    good = (paragraph[a] == paragraph[b]) & long[paragraph[a]] & (b - a >= PIECE_WORDS)
+    good = found.doc[a] == found.doc[b]
     return a[good], b[good]
 
 
@@ -116,18 +119,20 @@ class _Signer:
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, text`` -> rows of kind 'unit' and 'piece' (places), 'key' (key, content) and 'pair' (content, leader)."""
     signer = _Signer()
-    leaders: dict[int, int] = {}
+    leaders: dict[int, list[int]] = {}
+    number = TaskContext.get().partitionId() << 33
     for batch in batches:
         for at, block in blocks(batch.column(1)):
             found = words(block)
             if not len(found.hash):
                 continue
-            ids = batch.column(0).slice(at, len(block))
+            ids, numbers = batch.column(0).slice(at, len(block)), number + np.arange(len(block))
+            number += len(block)
             first, last = _paragraphs(found)
-            yield from _rows("piece", found, ids, *_pieces(found, first, last), salt=3)
+            yield from _rows("piece", found, ids, numbers, *_pieces(found), salt=3)
             if not len(first):
                 continue
-            yield from _rows("unit", found, ids, first, last, salt=1)
+            yield from _rows("unit", found, ids, numbers, first, last, salt=1)
             content = _content(found, first, last, 1)
             keys = signer.keys(*_shingles(found, first, last))
             if len(leaders) > _KEYS:
@@ -135,68 +140,136 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fresh, paired = [], set()
             for name, own in zip(content.tolist(), keys.tolist()):
                 for key in own:
-                    leader = leaders.setdefault(key, name)
-                    if leader == name:
-                        fresh.append((key, name))
+                    known = leaders.get(key)
+                    if known is None:
+                        leaders[key] = [name]
+                    elif name in known:
+                        continue
+                    elif len(known) < LEADERS:
+                        known.append(name)
                     else:
-                        paired.add((name, leader))
-            fresh = list(dict.fromkeys(fresh))
+                        paired.add((name, known[0]))
+                        continue
+                    fresh.append((key, name))
             yield _short("key", [k for k, _ in fresh], [c for _, c in fresh], None)
             yield _short("pair", None, [c for c, _ in paired], [leader for _, leader in paired])
 
 
-def _rows(kind: str, found: Words, ids: pa.Array, first: np.ndarray, last: np.ndarray, salt: int) -> Iterator[pa.RecordBatch]:
+def _rows(
+    kind: str, found: Words, ids: pa.Array, numbers: np.ndarray, first: np.ndarray, last: np.ndarray, salt: int
+) -> Iterator[pa.RecordBatch]:
     if len(first):
-        n = len(first)
+        n, doc = len(first), found.doc[first]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([kind] * n),
                 pa.array(_content(found, first, last, salt)),
-                ids.take(pa.array(found.doc[first])),
+                ids.take(pa.array(doc)),
+                pa.array(numbers[doc]),
+                pa.array((first - found.first[doc]).astype(np.int32)),
                 pa.array(found.start[first].astype(np.int32)),
                 pa.array(found.end[last - 1].astype(np.int32)),
                 pa.array((last - first).astype(np.int32)),
                 pa.nulls(n, pa.int64()),
                 pa.nulls(n, pa.int64()),
             ],
-            [f.split()[0] for f in _UNIT.split(", ")],
+            _COLUMNS,
         )
 
 
 def _short(kind: str, key: list | None, content: list, leader: list | None) -> pa.RecordBatch:
     n = len(content)
     none = pa.nulls(n, pa.int64())
-    wide = [pa.array([kind] * n, pa.string()), pa.array(content, pa.int64()), none, *[pa.nulls(n, pa.int32())] * 3]
+    wide = [pa.array([kind] * n, pa.string()), pa.array(content, pa.int64()), none, none, *[pa.nulls(n, pa.int32())] * 4]
     wide += [none if key is None else pa.array(key, pa.int64()), none if leader is None else pa.array(leader, pa.int64())]
-    return pa.RecordBatch.from_arrays(wide, [f.split()[0] for f in _UNIT.split(", ")])
+    return pa.RecordBatch.from_arrays(wide, _COLUMNS)
 
 
 def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``key, content`` sorted by both -> each other content of a key with the key's least one; no group is held."""
-    key_before, leader, content_before = None, None, None
+    """``key, content`` sorted by both -> pairs of the first ``LEADERS`` contents of a key, and of each further one with
+    the first. No group is held: of the last key of a batch its first contents go on to the next one.
+    """
+    held, count, last = np.zeros(0, np.int64), 0, None  # of the key that a batch ended with
     for batch in batches:
         key, content = (batch.column(i).to_numpy() for i in range(2))
         if not len(key):
             continue
-        new = np.r_[key[0] != key_before, key[1:] != key[:-1]]
-        start = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-        own = np.where(start >= 0, content[np.maximum(start, 0)], 0 if leader is None else leader)
-        again = np.r_[(key[0] == key_before) & (content[0] == content_before), (key[1:] == key[:-1]) & (content[1:] == content[:-1])]
-        chosen = (content != own) & ~again
+        again = np.r_[last == (key[0], content[0]), (key[1:] == key[:-1]) & (content[1:] == content[:-1])]
+        prefix = len(held) if last is not None and key[0] == last[0] else 0
+        before, last = last, (key[-1], content[-1])
+        key, content = key[~again], content[~again]
+        if prefix:
+            key, content = np.r_[np.full(prefix, before[0]), key], np.r_[held, content]
+        index = np.arange(len(key))
+        start = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]][: len(key)], index, 0))
+        place = index - start
+        if prefix:
+            place += np.where((start == 0) & (index >= prefix), count - prefix, 0)
+        new = index >= prefix
+        parts = [(index[new & (place >= LEADERS)], None)]
+        for step in range(1, LEADERS):
+            inside = new & (place < LEADERS) & (place >= step)
+            parts.append((index[inside], index[inside] - step))
+        a = np.concatenate([p for p, _ in parts])
+        b = np.concatenate([start[p] if q is None else q for p, q in parts])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key[chosen]), pa.array(content[chosen]), pa.array(own[chosen])], ["key", "content", "leader"]
+            [pa.array(key[a]), pa.array(content[a]), pa.array(content[b]), pa.array(place[a] >= LEADERS)],
+            ["key", "content", "leader", "goes_on"],
         )
-        key_before, leader, content_before = key[-1], own[-1], content[-1]
+        if len(key):
+            first = start[-1]
+            held, count = content[first : first + LEADERS], int(place[-1]) + 1
+
+
+def _lead_many(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, seeks, content`` sorted by all: each content that seeks with the ``LATE_LEADERS`` first of its key."""
+    key_before, leaders, last = None, [], None
+    for batch in batches:
+        rows = []
+        for key, seeks, content in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if key != key_before:
+                key_before, leaders, last = key, [], None
+            if content == last:
+                continue
+            last = content
+            goes_on = len(leaders) == LATE_LEADERS
+            if seeks:
+                rows += [(key, content, leader, goes_on) for leader in leaders]
+            if not goes_on:
+                leaders.append(content)
+        columns = list(zip(*rows)) if rows else [[]] * 4
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["key", "content", "leader", "goes_on"])
+
+
+_PAIRED = "key long, content long, leader long, goes_on boolean"
 
 
 def _led(rows: DataFrame) -> DataFrame:
-    """``key, content`` -> ``key, content, leader``."""
-    return (
-        rows.select("key", "content")
-        .repartition("key")
-        .sortWithinPartitions("key", "content")
-        .mapInArrow(_lead, "key long, content long, leader long")
-    )
+    """``key, content`` -> pairs ``content, leader`` and whether the content seeks on if it is unlike its leader."""
+    keyed = rows.select("key", "content").repartition("key").sortWithinPartitions("key", "content")
+    return keyed.mapInArrow(_lead, _PAIRED)
+
+
+def _led_late(rows: DataFrame) -> DataFrame:
+    """``key, seeks, content`` -> the same with many leaders."""
+    keyed = rows.select("key", "seeks", "content").repartition("key").sortWithinPartitions("key", "seeks", "content")
+    return keyed.mapInArrow(_lead_many, _PAIRED)
+
+
+def _by_rare_shingles(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``content, seeks`` -> ``key, seeks, content`` for the rarest shingles of each set.
+
+    Sets x and y of that similarity share at least ``similarity * |x|`` shingles, so one of the
+    ``|x| - ceil(similarity * |x|) + 1`` first of each, in any order that both follow.
+    """
+    rows = members.join(sets, "content")
+    each = rows.select("content", "seeks", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+    counts = written(each.groupBy("key").agg(F.count("content").alias("times")), "paragraph-shingles")
+    place = F.row_number().over(Window.partitionBy("content").orderBy("times", "key"))
+    ranked = each.join(counts, "key").withColumn("place", place)
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - 1e-9) + 1
+    return ranked.filter((F.col("place") <= prefix) & (F.col("times") > 1)).select("key", "seeks", "content")
 
 
 def _sets(documents: DataFrame, contents: DataFrame, units: DataFrame) -> DataFrame:
@@ -249,24 +322,37 @@ def _similar(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
 def near_paragraph_links(documents: DataFrame, units: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Edges ``a, b`` between contents of paragraphs whose shingle sets are similar enough."""
     led = written(_led(units.filter("kind = 'key'")), "paragraph-led")
-    paired = units.filter("kind = 'pair'").select(F.lit(None).cast("long").alias("key"), "content", "leader")
+    paired = units.filter("kind = 'pair'").select(F.col("leader").alias("key"), "content", "leader", F.lit(True).alias("goes_on"))
     open_pairs = written(led.unionByName(paired), "paragraph-open")
     either = open_pairs.select("content").unionByName(open_pairs.select(F.col("leader").alias("content"))).distinct()
     sets = written(_sets(documents, either, units), "paragraph-sets")
-    links = None
-    while not open_pairs.isEmpty():
-        pairs = open_pairs.select("content", "leader").distinct()
-        a = sets.select(F.col("content"), F.col("shingles").alias("x"))
-        b = sets.select(F.col("content").alias("leader"), F.col("shingles").alias("y"))
-        sides = pairs.join(a, "content").join(b, "leader").select("content", "leader", "x", "y")
-        linked = written(sides.mapInArrow(lambda rows: _similar(rows, similarity), "a long, b long"), "paragraph-linked")
-        links = linked if links is None else links.unionByName(linked)
-        met = linked.select(F.col("a").alias("content"), F.col("b").alias("leader"))
-        # Those unlike their leader choose another one; the map side's pairs meet again under the leader as key.
-        rest = open_pairs.join(met, ["content", "leader"], "left_anti")
-        rest = rest.select(F.coalesce("key", "leader").alias("key"), "content").distinct()
-        open_pairs = written(_led(rest), "paragraph-open")
-    return links if links is not None else sets.select(F.col("content").alias("a"), F.col("content").alias("b"))
+    links = _verified(open_pairs, sets, similarity)
+    every = open_pairs.filter("goes_on").select("content").unionByName(open_pairs.filter("goes_on").select(F.col("leader").alias("content")))
+    seeking = written(_unlinked(open_pairs, links).select("content").distinct(), "paragraph-seeking")
+    if seeking.isEmpty():
+        return links
+    members = every.distinct().join(seeking.withColumn("seeks", F.lit(True)), "content", "left").fillna(False, ["seeks"])
+    late = written(_led_late(_by_rare_shingles(members, sets, similarity)), "paragraph-late")
+    while not late.isEmpty():
+        more = _verified(late, sets, similarity)
+        links = links.unionByName(more)
+        late = written(_led_late(_unlinked(late, more).withColumn("seeks", F.lit(True))), "paragraph-late")
+    return links
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that are similar enough, as edges ``a, b``."""
+    a = sets.select("content", F.col("shingles").alias("x"))
+    b = sets.select(F.col("content").alias("leader"), F.col("shingles").alias("y"))
+    sides = pairs.select("content", "leader").distinct().join(a, "content").join(b, "leader")
+    similar = sides.select("content", "leader", "x", "y").mapInArrow(lambda rows: _similar(rows, similarity), "a long, b long")
+    return written(similar, "paragraph-linked")
+
+
+def _unlinked(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """``key, content`` of those that seek on."""
+    linked = links.select(F.col("a").alias("content")).distinct()
+    return pairs.filter("goes_on").join(linked, "content", "left_anti").select("key", "content").distinct()
 
 
 def repeated_units(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -287,6 +373,12 @@ def repeated_units(documents: DataFrame, similarity: float = SIMILARITY) -> Data
         classes.select("kind", "content", "class_id").join(totals.filter("copies > 1"), ["kind", "class_id"]), "paragraph-named"
     )
     at = F.struct("doc_id", "start")
-    return places.select("kind", "content", "doc_id", "start", "end", "n_words").join(named, ["kind", "content"]).select(
+    found = places.select("kind", "content", "doc_id", "text_no", "word", "start", "end", "n_words").join(named, ["kind", "content"])
+    # Neighbouring pieces of a text, paragraphs each on their own.
+    by_word = Window.partitionBy("text_no", "kind").orderBy("word")
+    apart = F.col("word") != F.lag(F.col("word") + F.col("n_words")).over(by_word)
+    run = F.sum(F.coalesce(apart | (F.col("kind") == "unit"), F.lit(True)).cast("int")).over(by_word)
+    whole = F.sum("n_words").over(Window.partitionBy("text_no", "kind", "run"))
+    return found.withColumn("run", run).withColumn("whole", whole).filter(F.col("whole") >= LEAST_WORDS).select(
         "doc_id", "kind", "start", "end", "n_words", "class_id", "copies", (~at.eqNullSafe(F.col("first"))).alias("removed")
     )
