@@ -139,6 +139,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 leaders.clear()
             fresh, paired = [], set()
             for name, own in zip(content.tolist(), keys.tolist()):
+                full = []
                 for key in own:
                     known = leaders.get(key)
                     if known is None:
@@ -148,9 +149,11 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     elif len(known) < LEADERS:
                         known.append(name)
                     else:
-                        paired.add((name, known[0]))
+                        full.append(known[0])
                         continue
                     fresh.append((key, name))
+                if full:  # one leader for all bands; what is unlike it seeks by rare shingles
+                    paired.add((name, min(full)))
             yield _short("key", [k for k, _ in fresh], [c for _, c in fresh], None)
             yield _short("pair", None, [c for c, _ in paired], [leader for _, leader in paired])
 
@@ -327,11 +330,10 @@ def near_paragraph_links(documents: DataFrame, units: DataFrame, similarity: flo
     either = open_pairs.select("content").unionByName(open_pairs.select(F.col("leader").alias("content"))).distinct()
     sets = written(_sets(documents, either, units), "paragraph-sets")
     links = _verified(open_pairs, sets, similarity)
-    every = open_pairs.filter("goes_on").select("content").unionByName(open_pairs.filter("goes_on").select(F.col("leader").alias("content")))
     seeking = written(_unlinked(open_pairs, links).select("content").distinct(), "paragraph-seeking")
     if seeking.isEmpty():
         return links
-    members = every.distinct().join(seeking.withColumn("seeks", F.lit(True)), "content", "left").fillna(False, ["seeks"])
+    members = either.join(seeking.withColumn("seeks", F.lit(True)), "content", "left").fillna(False, ["seeks"])
     late = written(_led_late(_by_rare_shingles(members, sets, similarity)), "paragraph-late")
     while not late.isEmpty():
         more = _verified(late, sets, similarity)
