@@ -11,11 +11,12 @@ and place) stays.
 With three rows a band and seven bands, a pair at the similarity 0.8 collides with probability 0.993, one at
 0.9 with 0.9999. Within a band's key the ``LEADERS`` least contents are compared with each other, and any
 further one with the least. The map side does the same and sends ``LEADERS`` rows of a key at most, so a key
-that a third of all paragraphs share reaches its task as a few rows from each map task. What is unlike the least
-content of a large key looks for its kind by its rarest shingles: two sets of that similarity share one of
-the rarest fifth of each, by one order of all shingles, so variants that differ everywhere meet nobody. There, too, a
-content is compared with ``LATE_LEADERS`` others of a shingle, and chooses again if it is unlike all of them.
-Pairs grow with the size of a key and not with its square.
+that a third of all paragraphs share reaches its task as a few rows from each map task. The contents
+of a large key look for their kind by their rarest shingles: two sets of that similarity share one of
+the rarest fifth of each, by one order of all shingles, so variants that differ everywhere meet nobody. All pairs of such
+a shingle are covered, in rounds of more and more leaders: ``LATE_LEADERS`` at first, in the end all. Before each round components
+are found anew, and only contents of different ones are compared, so pairs grow with the square of a group only where
+its contents stay apart.
 
 Defined results: NULL, empty and short texts have no unit; repeated rows and equal paragraphs of one
 document count as copies of each other; NULL ids take part; empty input gives no rows; further columns are ignored.
@@ -41,9 +42,11 @@ BANDS = 7
 BAND_ROWS = 3
 # Texts are cut into pieces where the hash of three words is the least within REACH words on both sides.
 REACH = 6
-# Contents of a band's key that are compared with each other, and of a rare shingle that any is compared with.
+# Contents of a band's key that are compared with each other; of a rare shingle that any is compared with in the
+# first round, and how many times more have been after each further one.
 LEADERS = 8
 LATE_LEADERS = 32
+LATE_GROWTH = 8
 SEED = 5
 # Keys that a map task remembers before it starts anew.
 _KEYS = 1 << 19
@@ -221,27 +224,6 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, count = content[first : first + LEADERS], int(place[-1]) + 1
 
 
-def _lead_many(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``key, seeks, content`` sorted by all: each content that seeks with the ``LATE_LEADERS`` first of its key."""
-    key_before, leaders, last = None, [], None
-    for batch in batches:
-        rows = []
-        for key, seeks, content in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if key != key_before:
-                key_before, leaders, last = key, [], None
-            if content == last:
-                continue
-            last = content
-            goes_on = len(leaders) == LATE_LEADERS
-            if seeks:
-                rows += [(key, content, leader, goes_on) for leader in leaders]
-            if not goes_on:
-                leaders.append(content)
-        columns = list(zip(*rows)) if rows else [[]] * 4
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["key", "content", "leader", "goes_on"])
-
-
 _PAIRED = "key long, content long, leader long, goes_on boolean"
 
 
@@ -251,25 +233,19 @@ def _led(rows: DataFrame) -> DataFrame:
     return keyed.mapInArrow(_lead, _PAIRED)
 
 
-def _led_late(rows: DataFrame) -> DataFrame:
-    """``key, seeks, content`` -> the same with many leaders."""
-    keyed = rows.select("key", "seeks", "content").repartition("key").sortWithinPartitions("key", "seeks", "content")
-    return keyed.mapInArrow(_lead_many, _PAIRED)
-
-
 def _by_rare_shingles(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """``content, seeks`` -> ``key, seeks, content`` for the rarest shingles of each set.
+    """``content`` -> ``key, content`` for the rarest shingles of each set.
 
     Sets x and y of that similarity share at least ``similarity * |x|`` shingles, so one of the
     ``|x| - ceil(similarity * |x|) + 1`` first of each, in any order that both follow.
     """
     rows = members.join(sets, "content")
-    each = rows.select("content", "seeks", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+    each = rows.select("content", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
     counts = written(each.groupBy("key").agg(F.count("content").alias("times")), "paragraph-shingles")
     place = F.row_number().over(Window.partitionBy("content").orderBy("times", "key"))
     ranked = each.join(counts, "key").withColumn("place", place)
     prefix = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - 1e-9) + 1
-    return ranked.filter((F.col("place") <= prefix) & (F.col("times") > 1)).select("key", "seeks", "content")
+    return ranked.filter((F.col("place") <= prefix) & (F.col("times") > 1)).select("key", "content")
 
 
 def _sets(documents: DataFrame, contents: DataFrame, units: DataFrame) -> DataFrame:
@@ -327,19 +303,52 @@ def near_paragraph_links(documents: DataFrame, units: DataFrame, similarity: flo
     either = open_pairs.select("content").unionByName(open_pairs.select(F.col("leader").alias("content"))).distinct()
     sets = written(_sets(documents, either, units), "paragraph-sets")
     links = _verified(open_pairs, sets, similarity)
-    every = open_pairs.filter("goes_on").select("content").unionByName(open_pairs.filter("goes_on").select(F.col("leader").alias("content")))
-    seeking = written(_unlinked(open_pairs, links).select("content").distinct(), "paragraph-seeking")
-    if seeking.isEmpty():
+    further = open_pairs.filter("goes_on")
+    members = further.select("content").unionByName(further.select(F.col("leader").alias("content"))).distinct()
+    if members.isEmpty():
         return links
-    members = every.distinct().join(seeking.withColumn("seeks", F.lit(True)), "content", "left").fillna(False, ["seeks"])
-    late = written(_led_late(_by_rare_shingles(members, sets, similarity)), "paragraph-late")
-    while not late.isEmpty():
-        more = _verified(late, sets, similarity)
-        links = links.unionByName(more)
-        late = written(_led_late(_unlinked(late, more).withColumn("seeks", F.lit(True))), "paragraph-late")
+    groups = written(_by_rare_shingles(members, sets, similarity), "paragraph-rare")
+    most = groups.groupBy("key").count().agg(F.max("count")).first()[0] or 0
+    done, window = 0, LATE_LEADERS
+    while done < most:
+        roots = written(connected_components(links, "paragraph-late"), "paragraph-late-roots")
+        rows = _mixed(groups, roots, done)
+        if rows.isEmpty():
+            break
+        pairs = written(_apart(rows, done, window), "paragraph-late")
+        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(_verified(pairs, sets, similarity))
+        done, window = window, window * LATE_GROWTH
     return links
 
 
+def _mixed(groups: DataFrame, roots: DataFrame, done: int) -> DataFrame:
+    """``key, content, root, place, n, other`` of the keys with several components and pairs left; ``other``: not of the key's largest one."""
+    named = groups.join(roots.select(F.col("node").alias("content"), "root"), "content", "left")
+    named = named.select("key", "content", F.coalesce("root", "content").alias("root"), F.xxhash64("content").alias("place"))
+    named = written(named, "paragraph-late-named")
+    sizes = written(named.groupBy("key", "root").agg(F.count("content").alias("n")), "paragraph-late-sizes")
+    main = F.max_by("root", F.struct("n", "root")).alias("main")
+    keys = sizes.groupBy("key").agg(main, F.sum("n").alias("n"), F.count("root").alias("roots"))
+    keys = written(keys.filter((F.col("roots") > 1) & (F.col("n") > done)).drop("roots"), "paragraph-late-keys")
+    return written(named.join(keys, "key").withColumn("other", F.expr("root <> main")).drop("main"), "paragraph-late-rows")
+
+
+def _apart(rows: DataFrame, done: int, window: int) -> DataFrame:
+    """Pairs ``content, leader`` of one key and of different components, for the leaders of this round.
+
+    By a hash of the content, ``window`` contents of each key on average have led when the round ends, and ``done`` before it.
+    A pair belongs to the round in which its first one leads, so the last round, where all do, leaves none out. One of
+    two different components is not the largest of its key, so the contents of the largest one are not joined with each other.
+    """
+    rank = (F.col("place") / F.lit(2.0**64) + 0.5) * F.col("n")
+    leads = rows.filter((rank >= done) & ((rank < window) | (F.col("n") <= window)))
+    leads = leads.selectExpr("key", "content AS leader", "root AS its", "place AS before", "other AS apart")
+    later = F.expr("root <> its AND (before < place OR before = place AND leader < content)")
+    small = rows.filter("other").join(leads.filter("NOT apart"), "key").filter(later)
+    large = rows.join(leads.filter("apart"), "key").filter(later)
+    return small.select("content", "leader").unionByName(large.select("content", "leader")).distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs that are similar enough, as edges ``a, b``."""
     a = sets.select("content", F.col("shingles").alias("x"))
@@ -349,12 +358,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return written(similar, "paragraph-linked")
 
 
-def _unlinked(pairs: DataFrame, links: DataFrame) -> DataFrame:
-    """``key, content`` of those that seek on."""
-    linked = links.select(F.col("a").alias("content")).distinct()
-    return pairs.filter("goes_on").join(linked, "content", "left_anti").select("key", "content").distinct()
-
-
 def repeated_units(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row for every unit that has copies: ``doc_id, kind, start, end, n_words, class_id, copies, removed``.
 

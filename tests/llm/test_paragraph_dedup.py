@@ -95,6 +95,27 @@ def test_a_large_group_of_variants(spark, monkeypatch):
     assert {r.doc_id for r in units} == set(range(300)) and len({r.class_id for r in units}) == 1
 
 
+def _edited(rng, base, places):
+    """A version of the paragraph for each place, with another word there."""
+    return [" ".join(base[:p] + [f"own{i}{rng.randrange(10**6)}"] + base[p + 1 :]) for i, p in enumerate(places)]
+
+
+@pytest.mark.parametrize("partitions", [6])
+def test_chains_of_edits_equal_brute_force(spark, partitions):
+    """Versions alike only if edited at the same or the next place: chains, parted where places are left out."""
+    rng = random.Random(24)
+    texts = []
+    for left_out in [(), (20, 21, 22, 40, 41, 42)]:
+        places = [p for p in range(4, 56) if p not in left_out]  # the ends are alike to all
+        texts += _edited(rng, _words(rng, 60), [p for p in places for _ in range(4)])
+    rng.shuffle(texts)
+    texts = list(enumerate(texts))
+    classes = _classes(_paragraphs(texts))
+    assert len(classes) == 4
+    got = repeated_units(spark.createDataFrame(texts, SCHEMA).coalesce(1).repartition(partitions)).collect()
+    assert _found(got) == classes
+
+
 def test_a_passage_inside_different_paragraphs(spark):
     rng = random.Random(23)
     hits = 0
