@@ -120,9 +120,10 @@ class _Signer:
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, text`` -> rows of kind 'unit' and 'piece' (places), 'key' (key, content) and 'pair' (content, leader)."""
+    """``doc_id, text`` -> rows of kind 'unit' and 'piece' (places), 'key' (key, content), 'pair' (content, leader) and 'crowd' (key)."""
     signer = _Signer()
     leaders: dict[int, list[int]] = {}
+    crowds: set[int] = set()
     number = TaskContext.get().partitionId() << 33
     for batch in batches:
         for at, block in blocks(batch.column(1)):
@@ -140,7 +141,8 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = signer.keys(*_shingles(found, first, last))
             if len(leaders) > _KEYS:
                 leaders.clear()
-            fresh, paired = [], set()
+                crowds.clear()
+            fresh, paired, crowded = [], set(), []
             for name, own in zip(content.tolist(), keys.tolist()):
                 for key in own:
                     known = leaders.get(key)
@@ -152,10 +154,14 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         known.append(name)
                     else:
                         paired.add((name, known[0]))
+                        if key not in crowds:
+                            crowds.add(key)
+                            crowded.append(key)
                         continue
                     fresh.append((key, name))
             yield _short("key", [k for k, _ in fresh], [c for _, c in fresh], None)
             yield _short("pair", None, [c for c, _ in paired], [leader for _, leader in paired])
+            yield _short("crowd", crowded, [None] * len(crowded), None)
 
 
 def _rows(
@@ -303,8 +309,11 @@ def near_paragraph_links(documents: DataFrame, units: DataFrame, similarity: flo
     either = open_pairs.select("content").unionByName(open_pairs.select(F.col("leader").alias("content"))).distinct()
     sets = written(_sets(documents, either, units), "paragraph-sets")
     links = _verified(open_pairs, sets, similarity)
+    # Every content of a key with more than LEADERS of them, whatever its place there.
     further = open_pairs.filter("goes_on")
-    members = further.select("content").unionByName(further.select(F.col("leader").alias("content"))).distinct()
+    crowded = written(led.filter("goes_on").select("key").unionByName(units.filter("kind = 'crowd'").select("key")).distinct(), "paragraph-crowded")
+    of_keys = units.filter("kind = 'key'").join(crowded, "key", "left_semi").select("content")
+    members = further.select("content").unionByName(of_keys).distinct()
     if members.isEmpty():
         return links
     groups = written(_by_rare_shingles(members, sets, similarity), "paragraph-rare")

@@ -100,7 +100,7 @@ def _edited(rng, base, places):
     return [" ".join(base[:p] + [f"own{i}{rng.randrange(10**6)}"] + base[p + 1 :]) for i, p in enumerate(places)]
 
 
-@pytest.mark.parametrize("partitions", [6])
+@pytest.mark.parametrize("partitions", [1, 6])
 def test_chains_of_edits_equal_brute_force(spark, partitions):
     """Versions alike only if edited at the same or the next place: chains, parted where places are left out."""
     rng = random.Random(24)
