@@ -2,8 +2,8 @@
 
 A unit is a paragraph (a line) of at least ``LEAST_WORDS`` words. Texts are cut into pieces
 at places that their own words choose, too, so that a passage inside different paragraphs or over
-several short ones is found; pieces count if they are equal and if neighbouring ones add up to ``LEAST_WORDS``
-words. Equal units are one content from the start. Contents of paragraphs that collide in one
+several short ones is found; equal pieces are extended over the words beside them that agree, and count if
+neighbouring ones add up to ``LEAST_WORDS`` words with that. Equal units are one content from the start. Contents of paragraphs that collide in one
 of ``BANDS`` bands are candidates; the exact Jaccard similarity of their sets of five-word shingles
 decides; linked contents are clustered by components, and of every cluster the first unit (by document
 and place) stays.
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -41,7 +42,7 @@ SIMILARITY = 0.8
 BANDS = 7
 BAND_ROWS = 3
 # Texts are cut into pieces where the hash of three words is the least within REACH words on both sides.
-REACH = 6
+REACH = 3
 # Contents of a band's key that are compared with each other; of a rare shingle that any is compared with in the
 # first round, and how many times more have been after each further one.
 LEADERS = 8
@@ -50,7 +51,7 @@ LATE_GROWTH = 8
 SEED = 5
 # Keys that a map task remembers before it starts anew.
 _KEYS = 1 << 19
-_UNIT = "kind string, content long, doc_id long, text_no long, word int, start int, end int, n_words int, key long, leader long"
+_UNIT = "kind string, content long, doc_id long, text_no long, same long, word int, start int, end int, n_words int, key long, leader long"
 _COLUMNS = [field.split()[0] for field in _UNIT.split(", ")]
 
 
@@ -80,12 +81,7 @@ def _paragraphs(found: Words) -> tuple[np.ndarray, np.ndarray]:
     return first[enough], last[enough]
 
 
-def _pieces(found: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Runs between neighbouring cuts of one text.
-
-    A cut depends on some ``REACH`` words around it only, so a passage is cut alike wherever it stands;
-    what lies before the first and behind the last cut belongs to no piece.
-    """
+def _cuts(found: Words) -> np.ndarray:
     n = len(found.hash)
     least = np.ones(n, bool)
     rank = mixed(found.grams(3) + np.uint64(77))  # of three words: a frequent one alone would leave no cut
@@ -94,7 +90,16 @@ def _pieces(found: Words) -> tuple[np.ndarray, np.ndarray]:
         least[step:] &= near & (rank[step:] < rank[:-step])
         least[:-step] &= near & (rank[:-step] <= rank[step:])
         least[:step] = least[n - step :] = False
-    cut = np.flatnonzero(least)
+    return np.flatnonzero(least)
+
+
+def _pieces(found: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Runs between neighbouring cuts of one text.
+
+    A cut depends on some ``REACH`` words around it only, so a passage is cut alike wherever it stands;
+    what lies before the first and behind the last cut belongs to no piece, see :func:`_further`.
+    """
+    cut = _cuts(found)
     a, b = cut[:-1], cut[1:]
     good = found.doc[a] == found.doc[b]
     return a[good], b[good]
@@ -120,7 +125,7 @@ class _Signer:
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, text`` -> rows of kind 'unit' and 'piece' (places), 'key' (key, content), 'pair' (content, leader) and 'crowd' (key)."""
+    """``doc_id, text, same`` -> rows of kind 'unit' and 'piece' (places), 'key' (key, content), 'pair' (content, leader) and 'crowd' (key)."""
     signer = _Signer()
     leaders: dict[int, list[int]] = {}
     crowds: set[int] = set()
@@ -131,12 +136,13 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(found.hash):
                 continue
             ids, numbers = batch.column(0).slice(at, len(block)), number + np.arange(len(block))
+            same = batch.column(2).slice(at, len(block))
             number += len(block)
             first, last = _paragraphs(found)
-            yield from _rows("piece", found, ids, numbers, *_pieces(found), salt=3)
+            yield from _rows("piece", found, ids, numbers, same, *_pieces(found), salt=3)
             if not len(first):
                 continue
-            yield from _rows("unit", found, ids, numbers, first, last, salt=1)
+            yield from _rows("unit", found, ids, numbers, same, first, last, salt=1)
             content = _content(found, first, last, 1)
             keys = signer.keys(*_shingles(found, first, last))
             if len(leaders) > _KEYS:
@@ -165,7 +171,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(
-    kind: str, found: Words, ids: pa.Array, numbers: np.ndarray, first: np.ndarray, last: np.ndarray, salt: int
+    kind: str, found: Words, ids: pa.Array, numbers: np.ndarray, same: pa.Array, first: np.ndarray, last: np.ndarray, salt: int
 ) -> Iterator[pa.RecordBatch]:
     if len(first):
         n, doc = len(first), found.doc[first]
@@ -175,6 +181,7 @@ def _rows(
                 pa.array(_content(found, first, last, salt)),
                 ids.take(pa.array(doc)),
                 pa.array(numbers[doc]),
+                same.take(pa.array(doc)),
                 pa.array((first - found.first[doc]).astype(np.int32)),
                 pa.array(found.start[first].astype(np.int32)),
                 pa.array(found.end[last - 1].astype(np.int32)),
@@ -189,7 +196,7 @@ def _rows(
 def _short(kind: str, key: list | None, content: list, leader: list | None) -> pa.RecordBatch:
     n = len(content)
     none = pa.nulls(n, pa.int64())
-    wide = [pa.array([kind] * n, pa.string()), pa.array(content, pa.int64()), none, none, *[pa.nulls(n, pa.int32())] * 4]
+    wide = [pa.array([kind] * n, pa.string()), pa.array(content, pa.int64()), none, none, none, *[pa.nulls(n, pa.int32())] * 4]
     wide += [none if key is None else pa.array(key, pa.int64()), none if leader is None else pa.array(leader, pa.int64())]
     return pa.RecordBatch.from_arrays(wide, _COLUMNS)
 
@@ -373,7 +380,8 @@ def repeated_units(documents: DataFrame, similarity: float = SIMILARITY) -> Data
     Offsets count code points of the text. All units of a class but the first are removed.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    units = written(documents.mapInArrow(_units, _UNIT), "paragraph-units")
+    named_texts = documents.withColumn("same", F.xxhash64("text"))
+    units = written(named_texts.mapInArrow(_units, _UNIT), "paragraph-units")
     roots = connected_components(near_paragraph_links(documents, units, similarity), "paragraphs")
     places = units.filter("kind IN ('unit', 'piece')")
     counts = places.groupBy("kind", "content").agg(F.count("start").alias("n"), F.min(F.struct("doc_id", "start")).alias("first"))
@@ -382,15 +390,102 @@ def repeated_units(documents: DataFrame, similarity: float = SIMILARITY) -> Data
     classes = written(classes.filter("n > 1 OR root IS NOT NULL"), "paragraph-classes")
     totals = classes.groupBy("kind", "class_id").agg(F.sum("n").alias("copies"), F.min("first").alias("first"))
     named = written(
-        classes.select("kind", "content", "class_id").join(totals.filter("copies > 1"), ["kind", "class_id"]), "paragraph-named"
+        classes.select("kind", "content", "class_id", "n").join(totals.filter("copies > 1"), ["kind", "class_id"]), "paragraph-named"
     )
     at = F.struct("doc_id", "start")
-    found = places.select("kind", "content", "doc_id", "text_no", "word", "start", "end", "n_words").join(named, ["kind", "content"])
+    found = places.select("kind", "content", "doc_id", "text_no", "same", "word", "start", "end", "n_words").join(named, ["kind", "content"])
     # Neighbouring pieces of a text, paragraphs each on their own.
     by_word = Window.partitionBy("text_no", "kind").orderBy("word")
     apart = F.col("word") != F.lag(F.col("word") + F.col("n_words")).over(by_word)
-    run = F.sum(F.coalesce(apart | (F.col("kind") == "unit"), F.lit(True)).cast("int")).over(by_word)
-    whole = F.sum("n_words").over(Window.partitionBy("text_no", "kind", "run"))
-    return found.withColumn("run", run).withColumn("whole", whole).filter(F.col("whole") >= LEAST_WORDS).select(
+    opens = F.coalesce(apart | (F.col("kind") == "unit"), F.lit(True))
+    closes = F.coalesce(F.col("word") + F.col("n_words") != F.lead("word").over(by_word), F.lit(True))
+    found = found.select("*", opens.alias("opens"), closes.alias("closes"))
+    found = written(found.withColumn("run", F.sum(F.col("opens").cast("int")).over(by_word)), "paragraph-found")
+    columns = ["doc_id", "kind", "text_no", "run", "start", "end", "n_words", "class_id", "copies", "first", "n"]
+    rows = found.select(columns).unionByName(_extended(named_texts, found.filter("kind = 'piece'")).select(columns))
+    # A run inside equal paragraphs, with no other copies than theirs, says nothing that they don't.
+    until_here = Window.partitionBy("text_no").orderBy("start", F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("unit", F.last(F.expr("IF(kind = 'unit', struct(end, n), NULL)"), True).over(until_here))
+    rows = rows.withColumn("says_more", F.expr("kind = 'unit' OR NOT coalesce(end <= unit.end AND copies = unit.n, false)"))
+    by_run = Window.partitionBy("text_no", "kind", "run")
+    rows = rows.select("*", F.sum("n_words").over(by_run).alias("whole"), F.max("says_more").over(by_run).alias("counts"))
+    return rows.filter(F.col("counts") & (F.col("whole") >= LEAST_WORDS)).select(
         "doc_id", "kind", "start", "end", "n_words", "class_id", "copies", (~at.eqNullSafe(F.col("first"))).alias("removed")
     )
+
+
+def _extended(texts: DataFrame, pieces: DataFrame) -> DataFrame:
+    """The words before the first and behind the last piece of each run that another place of the same piece has too.
+
+    Rows like those of ``pieces``. The class is that of the piece with so many words beside it; a place with still more
+    words in common stands in the class of those, and counts here as a copy and as a possible first.
+    """
+    sides = pieces.groupBy("content").agg(F.max("opens").alias("before"), F.max("closes").alias("behind")).filter("before OR behind")
+    asked = pieces.select("doc_id", "same", "content", "start", "end").join(written(sides, "paragraph-sides"), "content")
+    places = F.collect_set(F.struct("content", "start", "end", "before", "behind")).alias("wanted")
+    wanted = written(asked.groupBy("doc_id", "same").agg(places), "paragraph-asked")
+    both = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["same"] == wanted["same"])
+    places = texts.join(wanted, both).select(texts["doc_id"], texts["same"], "text", "wanted")
+    beside = written(places.mapInArrow(_further, _BESIDE), "paragraph-beside")
+    counts = beside.groupBy("class_id").agg(F.count("n_words").alias("copies"), F.min(F.struct("doc_id", "start")).alias("first"))
+    shared = beside.join(written(counts.filter("copies > 1"), "paragraph-shared"), "class_id")
+    longest = F.max(F.struct("n_words", "start", "end", "class_id", "copies", "first")).alias("most")
+    most = written(shared.groupBy("doc_id", "same", "piece", "is_before").agg(longest), "paragraph-most")
+    edge = pieces.filter("opens OR closes").select(F.col("doc_id").alias("id"), F.col("same").alias("text"), "kind", "text_no", "run", F.col("start").alias("at"), "opens", "closes")
+    beside_run = F.expr("id <=> doc_id AND text = same AND at = piece AND IF(is_before, opens, closes)")
+    return edge.join(most, beside_run).select("doc_id", "kind", "text_no", "run", "most.*", F.col("most.copies").alias("n"))
+
+
+_BESIDE = "doc_id long, same long, piece int, is_before boolean, n_words int, start int, end int, class_id long"
+
+
+def _further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, same, text, wanted`` -> for 1, 2, 3 and more words beside each wanted piece their place and a hash with the piece.
+
+    As far as a passage can go that does not hold the next cut with all the words it depends on.
+    """
+    for batch in batches:
+        for at, block in blocks(batch.column(2)):
+            found = words(block)
+            lists = batch.column(3).slice(at, len(block))
+            asked = lists.flatten()
+            doc = np.repeat(np.arange(len(block)), np.array(pc.list_value_length(lists)))
+            if not len(doc):
+                continue
+            content, start, end, before, behind = (asked.field(i).to_numpy(zero_copy_only=False) for i in range(5))
+            # Words by text and place, as one ascending number.
+            wide = int(max(found.end.max(), 1)) + 1
+            first = np.searchsorted(found.doc * wide + found.start, doc * wide + start)
+            last = np.searchsorted(found.doc * wide + found.end, doc * wide + end) + 1
+            cut = _cuts(found)
+            own, after = found.first[doc], found.first[doc + 1]
+            lower = np.r_[-1, cut][np.searchsorted(cut, first)]
+            lower = np.where(lower >= own, np.maximum(lower - REACH, own), own)
+            upper = np.r_[cut, len(found.hash)][np.searchsorted(cut, last, "right")]
+            upper = np.where(upper < after, np.minimum(upper + REACH + 3, after), after)
+            for is_before, use in ((True, before), (False, behind)):
+                piece = np.flatnonzero(use)
+                total = mixed(content[piece].view(np.uint64) + np.uint64(11 if is_before else 13))
+                n = 0
+                while len(piece):
+                    n += 1
+                    room = (first[piece] - lower[piece] if is_before else upper[piece] - last[piece]) >= n
+                    piece, total = piece[room], total[room]
+                    if not len(piece):
+                        break
+                    word = first[piece] - n if is_before else last[piece] + n - 1
+                    total = mixed(total + found.hash[word])
+                    from_word, to_word = (word, first[piece] - 1) if is_before else (last[piece], word)
+                    taken = pa.array(doc[piece])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(batch.column(i).slice(at, len(block)).take(taken) for i in range(2)),
+                            pa.array(start[piece].astype(np.int32)),
+                            pa.array(np.full(len(piece), is_before)),
+                            pa.array(np.full(len(piece), n, np.int32)),
+                            pa.array(found.start[from_word].astype(np.int32)),
+                            pa.array(found.end[to_word].astype(np.int32)),
+                            pa.array(total.view(np.int64)),
+                        ],
+                        [field.split()[0] for field in _BESIDE.split(", ")],
+                    )

@@ -128,6 +128,26 @@ def test_a_passage_inside_different_paragraphs(spark):
     assert hits >= 11
 
 
+@pytest.mark.parametrize("size", [50, 55])
+def test_short_passages_are_found_with_their_ends(spark, size):
+    rng = random.Random(25)
+    texts, passages = [], []
+    for i in range(300):
+        passages.append(" ".join(_words(rng, size)))
+        texts += [(2 * i + d, " ".join(_words(rng, 40) + [passages[i]] + _words(rng, 50))) for d in (0, 1)]
+    covered = defaultdict(set)
+    got = repeated_units(spark.createDataFrame(texts, SCHEMA)).collect()
+    text_of = dict(texts)
+    for r in got:
+        assert r.kind == "piece" and len(text_of[r.doc_id][r.start : r.end].split()) == r.n_words
+        assert r.copies == 2 and r.removed == (r.doc_id % 2 == 1)
+        covered[r.doc_id].update(range(r.start, r.end))
+    for doc, text in texts:
+        start = text.index(passages[doc // 2])
+        own = {p for p in range(start, start + len(passages[doc // 2])) if text[p] != " "}
+        assert own == {p for p in covered[doc] if text[p] != " "}
+
+
 def test_odd_documents(cluttered, odd_rows):
     got = repeated_units(cluttered).collect()
     sets = defaultdict(list)
