@@ -2,16 +2,17 @@
 
 Suffixes are kept at the minimisers of a text only: the places whose hash of ``GRAM`` words is the least
 of some window. The window is such that every run of ``LEAST_WORDS`` words holds one, and
-the same one wherever the run stands. Suffixes whose first words occur once are dropped by count; the others are sorted
-over the cluster by what follows them, then by what stands before them, and compared with their
-neighbours: to the right as far as both agree, then to the left. Together the places give
-every passage of at least ``LEAST_WORDS`` words that another document has too.
-
-The sort is a range partitioning by words, ids and places, so that even a passage of all documents is divided over
-tasks; the few rows on both sides of a partition's end are compared in a step of their own. Context
+the same one wherever the run stands. Suffixes whose first words occur once are dropped by count, those whose first
+words have at most ``FEW`` places are sorted over the cluster by what follows them, then by what stands before
+them, and each is compared with all others of its first words: to the right as far as both agree, then to the left. Context
 is ``LEAST_WORDS - GRAM`` words each way: that much decides whether a passage is long enough, and longer ones are the union
 of what their minimisers find.
 
+First words of more places (a common line) are not compared place by place: every run of ``LEAST_WORDS`` words with
+that minimiser is named by a hash, and the names that two documents have are kept. Rows grow with the
+words and not with pairs, and a name that many documents have is aggregated on the map side. Together the places give every
+passage of at least ``LEAST_WORDS`` words that another document has too.
+
 Defined results: NULL, empty and short texts have no passage; documents without an id are told apart by
 their text; rows of one id are one document, and only matches between different ones count; empty
 input gives no rows; further columns are ignored.
@@ -24,7 +25,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyline.llm.arrow_words import Words, blocks, words
@@ -33,10 +33,11 @@ from tallyline.llm.tables import written
 LEAST_WORDS = 50
 GRAM = 8
 CONTEXT = LEAST_WORDS - GRAM
-# Rows before it that a suffix is compared with, besides the nearest of another document.
-NEIGHBOURS = 8
+# Places of the same first words that are compared with each other.
+FEW = 9
 _SUFFIX = "key long, right binary, left binary, who long, doc_id long, at int"
-_FOUND = "part int, place long, who long, doc_id long, first int, last int, key long, right binary, left binary, at int"
+_FOUND = "who long, doc_id long, first int, last int"
+_RUN = "name long, who long, doc_id long, first int"
 
 
 def _sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
@@ -89,7 +90,12 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(doc):
                 continue
             at = lists.flatten().to_numpy()
+            # Of several texts of one id, each has its own places.
             place = found.first[doc] + at
+            real = np.isin(place, minimisers(found)[0]) & (place < found.first[doc + 1])
+            doc, at, place = doc[real], at[real], place[real]
+            if not len(doc):
+                continue
             key = found.grams(GRAM)[place].view(np.int64)
             short = (found.hash >> np.uint64(32)).astype(">u4")
             ahead = np.minimum(CONTEXT, found.first[doc + 1] - place - GRAM)
@@ -138,10 +144,8 @@ def _matches(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     right, right_size = _padded(rows.column(1))
     left, left_size = _padded(rows.column(2))
     index = np.arange(n)
-    run = np.r_[True, (who[1:] != who[:-1]) | (key[1:] != key[:-1])]
-    before_run = np.maximum.accumulate(np.where(run, index, 0)) - 1
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for other in [before_run, *(index - s for s in range(1, NEIGHBOURS + 1))]:
+    for other in [index - s for s in range(1, FEW)]:
         a = index[other >= 0]
         b = other[other >= 0]
         fit = (key[a] == key[b]) & (who[a] != who[b])
@@ -162,51 +166,48 @@ def _passages(rows: pa.RecordBatch) -> pa.RecordBatch:
     at = rows.column(5).to_numpy()[row]
     extent = np.unique(np.stack([row, at - behind, at + GRAM + ahead], axis=1), axis=0) if len(row) else np.zeros((0, 3), int)
     taken = pa.array(extent[:, 0])
-    n = len(extent)
-    columns = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), rows.column(3).take(taken), rows.column(4).take(taken)]
+    columns = [rows.column(3).take(taken), rows.column(4).take(taken)]
     columns += [pa.array(extent[:, i].astype(np.int32)) for i in (1, 2)]
-    columns += [pa.nulls(n, t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.int32())]
-    return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _FOUND.split(", ")])
-
-
-def _edge_rows(rows: pa.RecordBatch, part: int, place: int) -> pa.RecordBatch:
-    n = rows.num_rows
-    none = pa.nulls(n, pa.int32())
-    columns = [pa.array([part] * n, pa.int32()), pa.array(np.arange(place, place + n)), rows.column(3), rows.column(4), none, none]
-    columns += [rows.column(0), rows.column(1), rows.column(2), rows.column(5)]
     return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _FOUND.split(", ")])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbours within a partition; its first and last rows go on to meet those of the next one."""
-    part, seen, kept = TaskContext.get().partitionId(), 0, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = batch if kept is None else pa.Table.from_batches([kept, batch]).combine_chunks().to_batches()[0]
-        if seen < NEIGHBOURS:
-            yield _edge_rows(batch.slice(0, NEIGHBOURS - seen), part, seen)
-        seen += batch.num_rows
-        yield _passages(rows)
-        # The last rows, and the last of another document where one of them fills them all.
-        who, key = rows.column(3).to_numpy(), rows.column(0).to_numpy()
-        other = np.flatnonzero((who != who[-1]) | (key != key[-1]))
-        tail = rows.slice(max(0, rows.num_rows - NEIGHBOURS))
-        if len(other) and other[-1] < rows.num_rows - NEIGHBOURS:
-            tail = pa.Table.from_batches([rows.slice(int(other[-1]), 1), tail]).combine_chunks().to_batches()[0]
-        kept = tail
-    if kept is not None:
-        yield _edge_rows(kept, part, 1 << 40)
-
-
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edge rows in the order of the partitions: about ``2 * NEIGHBOURS`` for each."""
+    """Rows sorted by key -> the passages that rows of one key share; the last rows of a batch go on to the next one."""
     kept = None
     for batch in batches:
-        rows = batch if kept is None else pa.Table.from_batches([kept, batch]).combine_chunks().to_batches()[0]
-        if rows.num_rows:
-            yield _passages(rows).select(["who", "doc_id", "first", "last"])
-            kept = rows.slice(max(0, rows.num_rows - 4 * NEIGHBOURS))
+        if batch.num_rows:
+            rows = batch if kept is None else pa.Table.from_batches([kept, batch]).combine_chunks().to_batches()[0]
+            yield _passages(rows)
+            kept = rows.slice(max(0, rows.num_rows - FEW + 1))
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``who, doc_id, text, keys`` -> a name for every run of ``LEAST_WORDS`` words whose minimiser is one of the keys."""
+    for batch in batches:
+        for start, block in blocks(batch.column(2)):
+            found = words(block)
+            n, width = len(found.hash), LEAST_WORDS - GRAM + 1
+            if n < LEAST_WORDS:
+                continue
+            least = _sliding(found.grams(GRAM)[: n - GRAM + 1], width, True)
+            keys = batch.column(3).slice(start, len(block)).flatten().to_numpy().view(np.uint64)
+            first = np.flatnonzero(found.runs(LEAST_WORDS)[: len(least)] & np.isin(least, keys))
+            own = batch.slice(start, len(block))
+            taken = pa.array(found.doc[first])
+            name = found.grams(LEAST_WORDS)[first].view(np.int64)
+            at = (first - found.first[found.doc[first]]).astype(np.int32)
+            columns = [pa.array(name), own.column(0).take(taken), own.column(1).take(taken), pa.array(at)]
+            yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _RUN.split(", ")])
+
+
+def _common_runs(texts: DataFrame, anchors: DataFrame, keys: DataFrame) -> DataFrame:
+    """``who, doc_id, first, last`` of the runs with these minimisers that several documents have."""
+    asked = written(anchors.join(keys, "key").groupBy("who").agg(F.collect_set("key").alias("keys")), "suffix-asked")
+    runs = texts.join(asked, "who").select("who", "doc_id", "text", "keys").mapInArrow(_runs, _RUN)
+    runs = written(runs, "suffix-runs")
+    owners = runs.groupBy("name").agg(F.min("who").alias("least"), F.max("who").alias("most"))
+    shared = written(owners.filter("least <> most").select("name"), "suffix-shared")
+    return runs.join(shared, "name").select("who", "doc_id", "first", (F.col("first") + LEAST_WORDS).alias("last"))
 
 
 def repeated_passages(documents: DataFrame) -> DataFrame:
@@ -218,23 +219,16 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     doc_id = F.col("doc_id").cast("long")
     texts = documents.select(F.coalesce(doc_id, F.xxhash64("text")).alias("who"), doc_id.alias("doc_id"), "text")
     anchors = written(texts.select("who", "text").mapInArrow(_anchors, "key long, who long, at int"), "suffix-anchors")
-    repeated = written(anchors.groupBy("key").agg(F.count("at").alias("n")).filter("n > 1").select("key"), "suffix-keys")
-    places = anchors.join(repeated, "key").groupBy("who").agg(F.sort_array(F.collect_set("at")).alias("places"))
+    repeated = written(anchors.groupBy("key").agg(F.count("at").alias("n")).filter("n > 1"), "suffix-keys")
+    few = repeated.filter(F.col("n") <= FEW).select("key")
+    places = anchors.join(few, "key").groupBy("who").agg(F.sort_array(F.collect_set("at")).alias("places"))
     suffixes = (
         texts.join(written(places, "suffix-places"), "who").select("who", "doc_id", "text", "places").mapInArrow(_suffixes, _SUFFIX)
     )
     order = ["key", "right", "left", "who", "at"]
-    found = written(
-        suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_compare, _FOUND), "suffix-found"
-    )
-    ends = found.filter("part IS NOT NULL").select("key", "right", "left", "who", "doc_id", "at", "part", "place")
-    across = (
-        ends.coalesce(1)  # a few rows for each partition of the sort
-        .sortWithinPartitions("part", "place")
-        .select("key", "right", "left", "who", "doc_id", "at")
-        .mapInArrow(_across, "who long, doc_id long, first int, last int")
-    )
-    passages = found.filter("part IS NULL").select("who", "doc_id", "first", "last").unionByName(across).distinct()
+    found = suffixes.repartitionByRange("key").sortWithinPartitions(*order).mapInArrow(_compare, _FOUND)
+    common = _common_runs(texts, anchors, repeated.filter(F.col("n") > FEW).select("key"))
+    passages = found.unionByName(common)
     by_start = Window.partitionBy("who").orderBy("first", "last")
     reach = F.max("last").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     started = passages.withColumn("new", F.coalesce(F.col("first") > reach, F.lit(True)).cast("int"))

@@ -75,6 +75,21 @@ def test_one_passage_of_most_documents(spark):
     assert _found(repeated_passages(spark.createDataFrame(texts, SCHEMA).repartition(5)).collect()) == _plain(texts)
 
 
+def test_passages_around_a_phrase_of_many_documents(spark):
+    """Pairs of documents share 30 words of their own before or behind a phrase that all have."""
+    rng = random.Random(8)
+    phrase = _words(rng, 25)
+    texts = []
+    for i in range(150):
+        own = _words(rng, 30)
+        passage = own + phrase if i % 2 else phrase + own
+        texts += [(2 * i + d, " ".join(_words(rng, 40) + passage + _words(rng, 40))) for d in (0, 1)]
+    rows = spark.createDataFrame(texts, SCHEMA).repartition(5)
+    plain = _plain(texts)
+    assert len(plain) == 300
+    assert _found(repeated_passages(rows).collect()) == plain
+
+
 def test_every_run_holds_a_minimiser():
     rng = random.Random(3)
     own = _words(rng, 400) + ["same"] * 120 + _words(rng, 100)
