@@ -11,6 +11,7 @@ from tallyline.llm import (
     neighbour_graph,
     order_minhash,
     paragraph_dedup,
+    periodic_runs,
     piece_codec,
     secret_ledger,
     simhash_gray,
@@ -96,6 +97,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.with_planted_periods(table(spark, sf_dir, "documents")))
+    best = periodic_runs.strongest(F.col("runs"))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col("best")[name].alias(name) for name in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic_runs.runs_text(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scans": op1_secret_scans,
@@ -108,6 +122,7 @@ def queries() -> dict[str, Query]:
         "op8_neighbours": op8_neighbours,
         "op9_fingerprints": op9_fingerprints,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 

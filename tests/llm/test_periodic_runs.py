@@ -1,0 +1,152 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from tallyline.llm import periodic_runs, queries
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plain_runs(words, least=24, times=3):
+    """Every period by a scan of its matches, the least period of each stretch."""
+    found = {}
+    for q in range(1, len(words) // times + 1):
+        i = 0
+        while i + q < len(words):
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(least, times * q):
+                found.setdefault((i, j + q - i), q)
+            i = j + 1
+    return sorted((start, length, q) for (start, length), q in found.items())
+
+
+def plain_row(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n = len(words)
+    if doc_id is not None and n:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = sorted(plain_runs(words), key=lambda r: (r[0], r[2]))
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if runs else (None, None, None)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return (
+        doc_id,
+        len(runs),
+        *best,
+        1000 * best[1] // best[2] if runs else None,
+        sha("".join(f"{s},{length},{q}\n" for s, length, q in runs)),
+        sha(" ".join(w for i, w in enumerate(words) if i not in gone)),
+    )
+
+
+def repetitive(rng, size):
+    """Words with runs of many periods, broken here and there."""
+    words = []
+    while len(words) < size:
+        kind = rng.random()
+        if kind < 0.4:
+            words += [rng.randrange(6) for _ in range(rng.randint(1, 30))]
+        else:
+            pattern = [rng.randrange(3) for _ in range(rng.choice([1, 2, 3, 5, 8, 9, 31, 40]))]
+            piece = (pattern * rng.randint(2, 40))[: rng.randint(5, 300)]
+            if rng.random() < 0.3:
+                piece[rng.randrange(len(piece))] = 7
+            words += piece
+    return words[:size]
+
+
+def test_every_difference_is_covered():
+    assert {(a - b) % periodic_runs.MODULUS for a in periodic_runs.COVER for b in periodic_runs.COVER} == set(range(periodic_runs.MODULUS))
+    assert periodic_runs._SHIFT.max() < periodic_runs.MODULUS
+
+
+def _extension(words, i, j):
+    n = 0
+    while max(i, j) + n < len(words) and words[i + n] == words[j + n]:
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_extensions_equal_brute_force(seed):
+    rng = random.Random(seed)
+    words = repetitive(rng, rng.choice([1, 40, 500, 2000]))
+    index = periodic_runs.CoverIndex(np.array([*words, -1]))
+    pairs = [(i, j) for i, j in ((rng.randrange(len(words)), rng.randrange(len(words))) for _ in range(800)) if i != j]
+    if pairs:
+        i, j = np.array(pairs).T
+        assert index.extensions(i, j).tolist() == [_extension(words, a, b) for a, b in pairs]
+
+
+def test_extensions_without_hashes(monkeypatch):
+    """If all blocks get one hash their words are sorted."""
+    words = repetitive(random.Random(9), 600)
+    monkeypatch.setattr(periodic_runs, "mixed", lambda x: x * np.uint64(0))
+    index = periodic_runs.CoverIndex(np.array([*words, -1]))
+    i = np.arange(0, 500, 3)
+    assert index.extensions(i, i + 40).tolist() == [_extension(words, a, a + 40) for a in i.tolist()]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_runs_equal_brute_force(seed, monkeypatch):
+    monkeypatch.setattr(periodic_runs, "CHUNK", 50)
+    rng = random.Random(seed)
+    texts = [repetitive(rng, rng.choice([0, 1, 23, 24, 100, 700])) for _ in range(12)]
+    texts += [texts[-1], [1] * 24, [1] * 23, [1, 2] * 12, [1, 2, 3, 4, 5, 6, 7, 8] * 3, [*range(9)] * 3, [*range(200)] * 3, [*range(200)] * 2]
+    got = periodic_runs.find_runs([np.array(t, np.int64) for t in texts])
+    assert [sorted(map(tuple, g.tolist())) for g in got] == [plain_runs(t) for t in texts]
+
+
+def test_three_periods_at_least():
+    with pytest.raises(ValueError):
+        periodic_runs.find_runs([np.zeros(30, np.int64)], times=2)
+
+
+def test_one_word_for_a_hundred_thousand():
+    (got,) = periodic_runs.find_runs([np.zeros(100_000, np.int64)])
+    assert got.tolist() == [[0, 100_000, 1]]
+
+
+def test_odd_documents(spark, cluttered, odd_rows):
+    rows = periodic_runs.periodic_runs(cluttered).collect()
+    assert len(rows) == len(odd_rows)
+    by_text = {t[1]: plain_runs((t[1] or "").split()) for t in odd_rows if t[0] != 9}
+    got = sorted((r.doc_id or -1, [tuple(x) for x in r.runs]) for r in rows if r.doc_id != 9)
+    assert got == sorted((t[0] or -1, by_text[t[1]]) for t in odd_rows if t[0] != 9)
+    assert {r.doc_id: r.collapsed for r in rows}[13] == "a b"
+
+
+def test_empty(empty):
+    assert periodic_runs.periodic_runs(empty).count() == 0
+
+
+def test_query_equals_brute_force(spark):
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    got = sorted(map(tuple, queries.op13_periodic_runs(spark, SF_DIR).collect()))
+    assert got == sorted(plain_row(r.doc_id, r.text) for r in documents)
+    assert sum(r[1] > 0 for r in got) > 10
+
+
+def test_planted_periods_of_odd_documents(spark, tmp_path):
+    rows = [(i, " ".join(str((i * 7 + k) % 50) for k in range(i % 90))) for i in range(300)] + [(None, "a " * 40), (300, None), (301, " \t")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    key = lambda r: (r[0] is None, r[0] or 0)
+    got = sorted(map(tuple, queries.op13_periodic_runs(spark, str(tmp_path)).collect()), key=lambda r: (key(r), r[1]))
+    assert got == sorted((plain_row(*r) for r in rows), key=lambda r: (key(r), r[1]))
