@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline.llm import (
     backoff_lm,
+    collocations,
     neighbour_graph,
     order_minhash,
     paragraph_dedup,
@@ -97,6 +98,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.periodic_runs(periodic_runs.with_planted_periods(table(spark, sf_dir, "documents")))
     best = periodic_runs.strongest(F.col("runs"))
@@ -122,6 +127,7 @@ def queries() -> dict[str, Query]:
         "op8_neighbours": op8_neighbours,
         "op9_fingerprints": op9_fingerprints,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op12_collocations": op12_collocations,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
@@ -131,4 +137,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_secret_scans": secret_ledger.oracle(),
         "op3_lm_scoring": backoff_lm.oracle(),
         "op4_source_mix": source_mix.oracle(),
+        "op12_collocations": collocations.oracle(),
     }

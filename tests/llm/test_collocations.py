@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tallyline.llm import collocations
+
+SCHEMA = "doc_id long, text string, lang string"
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_counts(rows, longest=4):
+    """Occurrences of every phrase by language; the empty phrase counts the words."""
+    found = defaultdict(Counter)
+    for _, text, lang in rows:
+        own = found[lang if lang is not None else "und"]
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(_LOWER)):
+            words = [w for w in re.split(r"[ \t]+", piece) if w]
+            own[()] += len(words)
+            for k in range(1, longest + 1):
+                own.update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    return found
+
+
+def plain_collocations(rows, least, top, longest=4):
+    result = []
+    for lang, counts in plain_counts(rows, longest).items():
+        candidates = {p: a for p, a in counts.items() if len(p) >= 2 and a >= least}
+        around = Counter()
+        for p, f in candidates.items():
+            for k in range(2, len(p)):
+                for i in range(len(p) - k + 1):
+                    around[p[i : i + k]] = max(around[p[i : i + k]], f)
+        scored = []
+        for p, a in candidates.items():
+            if 100 * around[p] >= 80 * a:
+                continue
+            score, cut = min((2_000_000 * a // (counts[p[:c]] + counts[p[c:]]), c) for c in range(1, len(p)))
+            scored.append((-score, -a, " ".join(p).encode(), counts[p[:cut]], counts[p[cut:]]))
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(scored)[:top], 1):
+            result.append((lang, rank, phrase.decode(), -a, l, r, counts[()], -score))
+    return sorted(result)
+
+
+def corpus(seed, documents=150):
+    rng = random.Random(seed)
+    words = [f"W{i}" if i % 7 else f"é{i}" for i in range(60)]
+    weight = [1 / (i + 1) for i in range(60)]
+    shared = [rng.choices(words, weight, k=6) for _ in range(8)]
+    rows = []
+    for i in range(documents):
+        text = []
+        for _ in range(rng.randint(0, 30)):
+            text += rng.choice(shared) if rng.random() < 0.4 else rng.choices(words, weight, k=rng.randint(1, 5))
+            text.append(rng.choice(["", ",", ".\n", " ?", "\t", ";x", ":"]))
+        rows.append((i, " ".join(text), rng.choice(["en", "de", None])))
+    rows += [(None, "a b A B a b. " * 50, "xx"), (None, "a b A B a b. " * 50, "xx"), (900, None, "en"), (901, "", ""), (902, " , . ", "yy")]
+    return rows
+
+
+@pytest.mark.parametrize(("seed", "least", "one_in"), [(1, 30, 8), (2, 5, 3), (3, 4, 1), (4, 12, 1_000_000)])
+def test_frequent_phrases_equal_brute_force(spark, seed, least, one_in):
+    """Whatever the sample proposes: a part, everything, or nothing at all."""
+    rows = corpus(seed)
+    got = collocations.frequent_phrases(spark.createDataFrame(rows, SCHEMA), least, 4, one_in).collect()
+    expected = {
+        (lang, " ".join(p) if p else None, f) for lang, counts in plain_counts(rows).items() for p, f in counts.items() if not p or f >= least
+    }
+    assert len(got) == len(expected) and {(r.lang, r.phrase, r.f) for r in got} == expected
+
+
+def test_a_full_filter_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "FILTER_BITS", 1 << 10)
+    monkeypatch.setattr(collocations, "BLOCK_BYTES", 3_000)
+    rows = corpus(5)
+    got = collocations.frequent_phrases(spark.createDataFrame(rows, SCHEMA), 3, 4, 2).dropna().collect()
+    expected = {(lang, " ".join(p), f) for lang, counts in plain_counts(rows).items() for p, f in counts.items() if p and f >= 3}
+    assert len(got) == len(expected) and {tuple(r) for r in got} == expected
+
+
+@pytest.mark.parametrize(("seed", "least", "top"), [(6, 30, 2_000), (7, 3, 40)])
+def test_collocations_equal_brute_force(spark, seed, least, top):
+    rows = corpus(seed)
+    got = collocations.collocations(spark.createDataFrame(rows, SCHEMA), least, 4, top, 4).collect()
+    assert sorted(map(tuple, got)) == plain_collocations(rows, least, top)
+
+
+def test_hashes_of_phrases_are_those_of_blocks():
+    block = collocations.read_block(pa.array(["a bc é, d e f g", None, "a bc é"]), pa.array(["en", "de", None]))
+    level = block.words
+    for words in (2, 3):
+        level = collocations.longer(block, level, np.ones(len(level.count), bool), words)
+        langs = block.langs.take(pa.array(level.lang))
+        assert len(level.count) and (collocations.phrase_hashes(langs, level.text) == level.hash).all()
+
+
+def test_products_beyond_64_bits(spark):
+    big = 8 * 10**17
+    counts = spark.createDataFrame([("en", "a b", big), ("en", "a", big + 5), ("en", "b", big), ("en", None, 4 * big)], "lang string, phrase string, f long")
+    (row,) = collocations.score_phrases(counts).collect()
+    assert tuple(row) == ("en", 1, "a b", big, big + 5, big, 4 * big, 2_000_000 * big // (2 * big + 5))
+
+
+def test_odd_documents(cluttered, odd_rows):
+    rows = [(t[0], t[1], t[2]) for t in odd_rows]
+    got = collocations.collocations(cluttered, 2, 4, 3_000).collect()
+    assert sorted(map(tuple, got)) == plain_collocations(rows, 2, 3_000)
+
+
+def test_empty(empty):
+    assert collocations.collocations(empty).count() == 0
+
+
+def test_lowered_threshold():
+    assert collocations.lowered(30, 8) == 2 and collocations.lowered(800, 8) == 90
