@@ -406,20 +406,25 @@ WITH pieces AS (
   SELECT coalesce(lang, '{UNKNOWN_LANG}') AS lang,
          unnest(string_split_regex(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
   FROM documents),
-tokens AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), x -> x <> '') AS w FROM pieces),
+tokens AS (SELECT lang, list_filter(string_split(replace(piece, chr(9), ' '), ' '), lambda x: x <> '') AS w FROM pieces),
 grams AS (
-  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), i -> w[i : i + k - 1])) AS p
-  FROM tokens, (SELECT unnest([1, 2, 3, 4]) AS k)),
-counts AS (SELECT lang, k, array_to_string(p, ' ') AS phrase, any_value(p) AS p, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= {least}),
+  SELECT lang, unnest(flatten(list_transform([1, 2, 3, 4],
+         lambda k: list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))))) AS phrase
+  FROM tokens),
+counts AS (
+  SELECT lang, phrase, f, string_split(phrase, ' ') AS p, len(string_split(phrase, ' ')) AS k
+  FROM (SELECT lang, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= {least})),
 totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM tokens GROUP BY lang),
+parts AS (
+  SELECT c.lang, c.phrase, c.f AS a, s.cut,
+         array_to_string(c.p[1 : s.cut], ' ') AS first, array_to_string(c.p[s.cut + 1 : c.k], ' ') AS rest
+  FROM counts c, (SELECT unnest([1, 2, 3]) AS cut) s WHERE s.cut < c.k),
 cuts AS (
-  SELECT c.lang, c.phrase, c.f AS a, s.cut, l.f AS l, r.f AS r, ({SCALE}::HUGEINT * c.f) // (l.f + r.f) AS score
-  FROM counts c, (SELECT unnest([1, 2, 3]) AS cut) s, counts l, counts r
-  WHERE s.cut < c.k AND l.lang = c.lang AND l.phrase = array_to_string(c.p[1 : s.cut], ' ')
-    AND r.lang = c.lang AND r.phrase = array_to_string(c.p[s.cut + 1 : c.k], ' ')),
+  SELECT d.lang, d.phrase, d.a, d.cut, l.f AS l, r.f AS r, ({SCALE}::HUGEINT * d.a) // (l.f + r.f) AS score
+  FROM parts d JOIN counts l ON l.lang = d.lang AND l.phrase = d.first JOIN counts r ON r.lang = d.lang AND r.phrase = d.rest),
 best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
 inner_ AS (
-  SELECT c.lang, c.f, array_to_string(c.p[i : i + k - 1], ' ') AS phrase
+  SELECT c.lang, c.f, array_to_string(c.p[t.i : t.i + s.k - 1], ' ') AS phrase
   FROM counts c, (SELECT unnest([2, 3]) AS k) s, (SELECT unnest([1, 2, 3]) AS i) t WHERE s.k < c.k AND t.i + s.k - 1 <= c.k),
 around AS (SELECT lang, phrase, max(f) AS f FROM inner_ GROUP BY ALL),
 kept AS (
