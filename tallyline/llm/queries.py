@@ -14,6 +14,7 @@ from tallyline.llm import (
     paragraph_dedup,
     periodic_runs,
     piece_codec,
+    quality,
     secret_ledger,
     simhash_gray,
     source_mix,
@@ -98,6 +99,17 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(documents, quality.train(documents, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(quality.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -127,6 +139,7 @@ def queries() -> dict[str, Query]:
         "op8_neighbours": op8_neighbours,
         "op9_fingerprints": op9_fingerprints,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op11_quality": op11_quality,
         "op12_collocations": op12_collocations,
         "op13_periodic_runs": op13_periodic_runs,
     }
