@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyline.llm.arrow_words import _word_hashes, blocks, mixed
+from tallyline.llm.arrow_words import BLOCK_BYTES, _word_hashes, blocks, mixed
 from tallyline.llm.tables import written
 
 LEAST_COUNT = 30
@@ -41,8 +41,7 @@ UNKNOWN_LANG = "und"
 SAMPLE_ONE_IN = 8
 # Bits of a filter: 16 for each phrase, at most 32 MB.
 FILTER_BITS = 1 << 28
-BLOCK_BYTES = 6_000_000
-_EMITTED_ROWS = 100_000
+_EMITTED_ROWS = 50_000
 _SALTS = 64
 _BASE = np.uint64(0x9DDFEA08EB382D69)
 _SPACE = pa.scalar(" ", pa.large_string())
@@ -263,20 +262,16 @@ def _counts(documents: DataFrame, rule: Rule) -> DataFrame:
             for first, texts in blocks(batch.column("text"), BLOCK_BYTES):
                 block = read_block(texts, batch.column("lang").slice(first, len(texts)))
                 total = np.bincount(block.words.lang, block.words.count, len(block.langs)).astype(np.int64)
-                parts = [(block.langs, pa.nulls(len(total), pa.large_string()), total)]
+                yield emitted_rows(block.langs, pa.nulls(len(total), pa.large_string()), total)
                 for level, chosen in rule(block):
                     at = np.flatnonzero(chosen)
-                    parts.append((block.langs.take(pa.array(level.lang[at])), level.text.take(pa.array(at)), level.count[at]))
-                for langs, phrases, counts in parts:
-                    for k in range(0, len(counts), _EMITTED_ROWS):
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                langs.slice(k, _EMITTED_ROWS).cast(pa.string()),
-                                phrases.slice(k, _EMITTED_ROWS).cast(pa.string()),
-                                pa.array(counts[k : k + _EMITTED_ROWS], pa.int64()),
-                            ],
-                            ["lang", "phrase", "n"],
-                        )
+                    for own in np.split(at, range(_EMITTED_ROWS, len(at), _EMITTED_ROWS)):
+                        places = pa.array(own)
+                        yield emitted_rows(block.langs.take(pa.array(level.lang[own])), level.text.take(places), level.count[own])
+
+    def emitted_rows(langs: pa.Array, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+        columns = [langs.cast(pa.string()), phrases.cast(pa.string()), pa.array(counts, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
 
     emitted = documents.select("text", "lang").mapInArrow(run, "lang string, phrase string, n long")
     return emitted.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
