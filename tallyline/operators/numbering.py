@@ -28,6 +28,18 @@ def order_slice(order: Column, kind: T.DataType) -> Column:
     return F.when(order.isNotNull(), F.lit(0))
 
 
+def order_cell(rows: DataFrame, keys: Sequence[str], order: str, tie: Column, cut: Column | None = None) -> Column:
+    """The keys with a slice of their order values, as one struct that is never NULL itself.
+
+    Windows and joins on it share one partitioning, and NULL keys are equal. Rows without an order value are divided by
+    the leading bits of the hash ``tie``, which grow with it. ``cut`` is a slice number in place of the usual one.
+    """
+    value = F.col(order)
+    cut = order_slice(value, rows.schema[order].dataType) if cut is None else cut
+    part = F.when(value.isNull(), F.shiftright(tie, 56)).otherwise(F.lit(0).cast("long"))
+    return F.struct(*keys, cut.alias("_slice"), part.alias("_part"))
+
+
 def sequence_number(
     rows: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], *, name: str = "rn"
 ) -> DataFrame:
@@ -40,11 +52,7 @@ def sequence_number(
     """
     value = F.col(order)
     tie = F.xxhash64(*ties)
-    # Rows without an order value are divided by the leading bits of the hash, which grow with it.
-    part = F.when(value.isNull(), F.shiftright(tie, 56)).otherwise(F.lit(0).cast("long"))
-    # One struct, never NULL itself: windows and join share one partitioning, and NULL keys are equal.
-    cell = F.struct(*keys, order_slice(value, rows.schema[order].dataType).alias("_slice"), part.alias("_part"))
-    placed = rows.withColumns({"_cell": cell, "_tie": tie})
+    placed = rows.withColumns({"_cell": order_cell(rows, keys, order, tie), "_tie": tie})
     inside = Window.partitionBy("_cell").orderBy(value.asc_nulls_last(), "_tie", *ties)
     numbered = placed.withColumn("_own", F.row_number().over(inside))
     earlier = (

@@ -1,88 +1,43 @@
-"""Pairing the two legs of a move."""
+"""Pairing the two legs of a move, given as two tables or as tagged legs."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tallyline.operators.numbering import sequence_number
-
-# A transaction with more pairs than this is joined in cells of about CELL_ROWS legs per side.
-WIDE_PAIRS = 10_000_000
-CELL_ROWS = 2_000
-# Book-outs without a transaction id find no partner; they are spread over this many hash values.
-_NULL_SPREAD = 1024
-
-
-def wide_transactions(
-    outs: DataFrame, ins: DataFrame, keys: Sequence[str], *, wide_pairs: int | None = None, cell_rows: int | None = None
-) -> DataFrame:
-    """Transactions with more than ``wide_pairs`` pairs, and how many cells ``down`` and ``across`` they get.
-
-    Counts are aggregated before the shuffle. Each line stands for at least ``wide_pairs`` rows of the result,
-    whatever the volume: a thousand lines mean a result of ten billion rows.
-    """
-    keys = list(keys)
-    limit, cell = wide_pairs or WIDE_PAIRS, cell_rows or CELL_ROWS
-    sides = [
-        rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-        for rows, name in ((outs, "outs"), (ins, "ins"))
-    ]
-    return (
-        sides[0]
-        .join(sides[1], keys)
-        .filter(F.col("outs").cast("decimal(20,0)") * F.col("ins") > limit)
-        .select(*keys, F.ceil(F.col("outs") / cell).alias("_down"), F.ceil(F.col("ins") / cell).alias("_across"))
-    )
+from tallyline.operators.matching import match_legs
 
 
 def pair_by_txn(
-    outs: DataFrame,
-    ins: DataFrame,
-    keys: Sequence[str],
-    *,
-    keep_unmatched: bool = True,
-    wide: DataFrame | None = None,
-    wide_pairs: int | None = None,
-    cell_rows: int | None = None,
+    outs: DataFrame, ins: DataFrame, keys: Sequence[str], *, keep_unmatched: bool = True, cell_rows: int | None = None
 ) -> DataFrame:
     """Join of book-outs to book-ins on the transaction: every match is a row.
 
     A left join, or an inner one if the caller drops unmatched book-outs anyway. Apart from the keys
     the two sides must not share a column name. m book-outs and n book-ins of one transaction give
-    m x n rows, as the ledger query does. In a wide transaction a book-out chooses a row of a grid of cells and a
-    book-in a column, each goes to all cells there, and so each pair meets in one cell. It is one plan for all: other
-    transactions are grids of one cell. Spark splits what is skewed by size as well. ``wide``, from
-    :func:`wide_transactions` on the same book-ins, may be counted before costly columns are read.
+    m x n rows, as the ledger query does, made in cells of ``cell_rows`` legs per side; see :func:`match_legs`.
     """
     keys = list(keys)
-    if wide is None:
-        wide = wide_transactions(outs, ins, keys, wide_pairs=wide_pairs, cell_rows=cell_rows)
-    wide = F.broadcast(wide)  # its size is bounded by the result's, see there
-    cell = ["_row", "_column"]
-
-    def in_cells(rows: DataFrame, own: str, other: str, place: str, every: str) -> DataFrame:
-        spread = F.pmod(F.xxhash64(*rows.columns), F.coalesce(own, F.lit(1)))
-        cells = F.sequence(F.lit(0).cast("long"), F.coalesce(other, F.lit(1)) - 1)
-        return (
-            rows.join(wide, keys, "left")
-            .withColumn(place, spread)
-            .withColumn(every, F.explode(cells))
-            .withColumn("_wide", F.col(own).isNotNull())
-            .drop("_down", "_across")
-        )
 
-    left = in_cells(outs, "_down", "_across", "_row", "_column")
-    right = in_cells(ins, "_across", "_down", "_column", "_row").drop("_wide")
-    if not keep_unmatched:
-        return left.drop("_wide").join(right, [*keys, *cell]).drop(*cell)
-    # Unmatched rows with a NULL key would meet in one task.
-    left = left.withColumn("_row", F.when(_unknown(keys), F.pmod(F.xxhash64(*outs.columns), F.lit(_NULL_SPREAD))).otherwise(F.col("_row")))
-    pairs = left.join(right.withColumn("_met", F.lit(True)), [*keys, *cell], "left")
-    # Each book-out of a wide transaction has partners; a cell without any says nothing.
-    return pairs.filter("NOT _wide OR _met").drop(*cell, "_wide", "_met")
+    def tagged(rows: DataFrame, side: str) -> DataFrame:
+        own = [c for c in rows.columns if c not in keys]
+        # Legs without an order are numbered by the leading bits of a hash, and cut by them.
+        return rows.select(*keys, F.lit(side).alias("_tag"), F.shiftright(F.xxhash64(*rows.columns), 56).alias("_spread"), *own)
+
+    legs = tagged(outs, "OUT").unionByName(tagged(ins, "IN"), allowMissingColumns=True)
+    columns = lambda rows: [c for c in rows.columns if c not in keys]
+    return match_legs(
+        legs,
+        keys,
+        "_spread",
+        out_columns=columns(outs),
+        in_columns=columns(ins),
+        side="_tag",
+        keep_unmatched=keep_unmatched,
+        cell_rows=cell_rows,
+        cut=F.col("_spread"),
+    )
 
 
 def pair_by_sequence(
@@ -98,52 +53,9 @@ def pair_by_sequence(
     """n-th book-out to n-th book-in of a transaction.
 
     A book-out without partner has NULLs, or is dropped without ``keep_unmatched``. ``legs`` holds
-    both sides, tagged ``OUT`` and ``IN``. They are numbered in slices of their order, see
-    :func:`sequence_number`, and the partner is the other row of (transaction, number).
-    Returns the keys, ``out_columns`` and ``in_columns``.
+    both sides, tagged ``OUT`` and ``IN``. Returns the keys, ``out_columns`` and ``in_columns``.
     """
-    keys = list(keys)
-    ties = list(dict.fromkeys([*out_columns, *in_columns]))
-    numbered = sequence_number(known_legs(legs, keys), [*keys, side], order, ties)
-    pairs = pair_numbered(numbered, keys, out_columns=out_columns, in_columns=in_columns, side=side, keep_unmatched=keep_unmatched)
-    return pairs.unionByName(lonely_outs(legs, keys, out_columns, side), allowMissingColumns=True) if keep_unmatched else pairs
-
-
-def _unknown(keys: Sequence[str]) -> Column:
-    """A key is NULL: such a leg has no partner."""
-    return reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
-
-
-def known_legs(legs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return legs.dropna(subset=list(keys))
-
-
-def lonely_outs(legs: DataFrame, keys: Sequence[str], out_columns: Sequence[str], side: str = "side") -> DataFrame:
-    """Book-outs that can't have a partner."""
-    return legs.filter(_unknown(keys) & (F.col(side) == "OUT")).select(*keys, *out_columns)
-
-
-def pair_numbered(
-    legs: DataFrame,
-    keys: Sequence[str],
-    *,
-    out_columns: Sequence[str],
-    in_columns: Sequence[str],
-    side: str = "side",
-    number: str = "rn",
-    keep_unmatched: bool = True,
-) -> DataFrame:
-    """Book-outs and book-ins of one (transaction, number), from legs numbered per side."""
-    is_out = F.col(side) == "OUT"
-    slim = legs.select(
-        *keys,
-        side,
-        number,
-        *[F.when(is_out, F.col(c)).alias(c) for c in out_columns],
-        F.when(~is_out, F.struct(*in_columns)).alias("_in"),
+    slim = legs.select(*dict.fromkeys([*keys, side, order, *out_columns, *in_columns]))
+    return match_legs(
+        slim, keys, order, out_columns=out_columns, in_columns=in_columns, strict=F.lit(True), side=side, keep_unmatched=keep_unmatched
     )
-    slot = Window.partitionBy(*keys, number).orderBy(F.desc(side))  # OUT before IN
-    pairs = slim.withColumn("_in", F.lead("_in").over(slot)).filter(is_out)
-    if not keep_unmatched:
-        pairs = pairs.filter(F.col("_in").isNotNull())
-    return pairs.select(*keys, *out_columns, *[F.col("_in")[c].alias(c) for c in in_columns])

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline.functions import codes
-from tallyline.functions.calendar import event_time_label
+from tallyline.functions.calendar import event_time_label, window_predicate
+from tallyline.functions.text import reference_predicate
 from tallyline.operators.legs import (
     DUMMY_IN,
     DUMMY_OUT,
@@ -16,19 +17,18 @@ from tallyline.operators.legs import (
     completed_moves,
     leg_attributes,
     legs,
-    ref_filter,
     window_filter,
 )
-from tallyline.operators.numbering import sequence_number
-from tallyline.operators.pairing import known_legs, lonely_outs, pair_by_txn, pair_numbered, wide_transactions
+from tallyline.operators.matching import match_legs
 
-OUT_COLUMNS = [
-    "created", "created_by", "article", "destination", "source_carrier", "quantity", "reference",
-    "document_ean", "source_id", "quality_id", "category_id", "channel_id", "sku", "sort_id",
-]
-IN_COLUMNS = [
-    "target_carrier", "target_article", "target_source_id", "target_channel_id", "target_sku", "target_sort_id",
-]
+# Column of a move -> column of the leg it comes from.
+OUT_COLUMNS = {
+    "created": "created", "created_by": "created_by", "article": "article", "destination": "destination",
+    "source_carrier": "carrier", "quantity": "quantity", "reference": "reference", "document_ean": "document_ean",
+    "source_id": "source_id", "quality_id": "quality_id", "category_id": "category_id", "channel_id": "channel_id",
+    "sku": "sku", "sort_id": "sort_id",
+}
+IN_COLUMNS = {f"target_{name}": name for name in ("carrier", "article", "source_id", "channel_id", "sku", "sort_id")}
 
 
 @dataclass(frozen=True)
@@ -69,48 +69,39 @@ MANUAL_SORTING_RULES = MovementRules(
 
 
 KEYS = ["txn", "goods"]
-# Document fields that a book-in contributes.
-IN_FIELDS = ["source_id", "channel_id", "sku", "sort_id"]
 
 
-def outs_of(attributes: DataFrame) -> DataFrame:
-    """Leg attributes as the book-out side of a move."""
-    return attributes.withColumnRenamed("carrier", "source_carrier").select(*KEYS, *OUT_COLUMNS)
+def _pairs(legs_: DataFrame, reference: str | None, keep_unmatched: bool, strict: Column | None = None) -> DataFrame:
+    """Legs paired per (transaction, goods), strictly or on the id.
 
-
-def ins_of(attributes: DataFrame) -> DataFrame:
-    """Leg attributes as the book-in side of a move."""
-    return _with_targets(attributes).select(*KEYS, *IN_COLUMNS)
-
-
-def _with_targets(attributes: DataFrame) -> DataFrame:
-    return attributes.withColumns({name: F.col(name.removeprefix("target_")) for name in IN_COLUMNS})
-
-
-def _pairs(
-    outs: DataFrame, ins: DataFrame, fields: list[str], reference: str | None, keep_unmatched: bool, parsed: bool
-) -> DataFrame:
-    """Legs paired on the transaction; wide transactions are counted before documents are parsed."""
-    wide = wide_transactions(outs, ins, KEYS)
-    if not parsed:
-        outs, ins = leg_attributes(outs), leg_attributes(ins, fields)
-    ins = ins.withColumns({name: F.lit(None).cast("string") for name in IN_FIELDS if name not in fields})
-    if not fields:
-        ins = ins.withColumn("article", F.lit(None).cast("string"))
-    outs = ref_filter(outs_of(outs), "reference", reference)
-    return pair_by_txn(outs, ins_of(ins), KEYS, keep_unmatched=keep_unmatched, wide=wide)
+    Book-outs that the reference filter rejects go at once, but where the pairs are strict they are numbered first.
+    """
+    wanted = reference_predicate(F.col("reference"), reference)
+    if wanted is not None:
+        late = (F.col("side") == "IN") if strict is None else ((F.col("side") == "IN") | strict)
+        legs_ = legs_.filter(late | wanted)
+    return match_legs(
+        legs_,
+        KEYS,
+        "sequence",
+        out_columns=OUT_COLUMNS,
+        in_columns=IN_COLUMNS,
+        strict=strict,
+        wanted=None if strict is None else wanted,
+        keep_unmatched=keep_unmatched,
+    )
 
 
 def overstock_legs(ledger: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """All legs of the overstock area with their document fields; the window holds for book-outs only.
+    """All legs of the overstock area with their document fields, from one scan; the window holds for book-outs only.
 
-    Keep it (a written table, or ``persist``) and hand it to the report as ``kept`` where the ledger scan or the
-    documents are dear: the report reads it several times. The caller releases it.
+    Keep it (a written table, or ``persist``) and hand it to several reports as ``kept``; one report reads it once
+    in any case. The caller releases it.
     """
     rules = OVERSTOCK_RULES
-    outs = window_filter(legs(ledger, rules.normal_out, rules.dummy_out), "created", start, end)
-    ins = legs(ledger, rules.normal_in, rules.dummy_in)
-    return leg_attributes(outs.unionByName(ins))
+    every = legs(ledger, rules.normal_out, rules.dummy_out, rules.normal_in, rules.dummy_in)
+    inside = window_predicate(F.col("created"), start, end)
+    return leg_attributes(every if inside is None else every.filter((F.col("side") == "IN") | inside))
 
 
 def overstock_movements(
@@ -124,18 +115,13 @@ def overstock_movements(
 ) -> DataFrame:
     """Normal and dummy moves paired on the transaction id, before the code lookups.
 
-    Both kinds of goods go through one join on (transaction, goods). A normal book-out without a
+    Both kinds of goods are paired in one pass on (transaction, goods). A normal book-out without a
     book-in is kept; a dummy one is not, since the carrier condition on its book-in rejects NULL.
     The report reads completed moves only and asks for no unmatched ones. ``kept``, from
     :func:`overstock_legs` with the same window, is read in place of the ledger.
     """
-    rules = OVERSTOCK_RULES
-    if kept is not None:
-        outs, ins = kept.filter("side = 'OUT'"), kept.filter("side = 'IN'")
-    else:
-        outs = window_filter(legs(ledger, rules.normal_out, rules.dummy_out), "created", start, end)
-        ins = legs(ledger, rules.normal_in, rules.dummy_in)
-    pairs = _pairs(outs, ins, IN_FIELDS, reference, keep_unmatched, kept is not None)
+    every = overstock_legs(ledger, start, end) if kept is None else kept
+    pairs = _pairs(every, reference, keep_unmatched)
     dummy = F.col("goods") == "DUMMY"
     two_step = codes.ean_two_step(F.col("article"), F.col("document_ean"))
     return pairs.filter(~dummy | F.col("target_carrier").isNotNull()).withColumn(
@@ -143,20 +129,15 @@ def overstock_movements(
     )
 
 
-# What orders legs of one scan sequence, whether their documents are parsed yet or not.
-_TIES = ["created", "created_by", "article", "destination", "carrier", "quantity", "document_hash"]
-
-
-def _sorting_legs(ledger: DataFrame, start: str | None, end: str | None, *specs: LegSpec) -> DataFrame:
-    windowed = window_filter(ledger, "CREATED", start, end)
-    return legs(windowed, *specs).withColumn("document_hash", F.xxhash64("document"))
-
-
 def sorting_legs(ledger: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """All legs of the manual sorting area with their document fields; keep it as ``kept`` like :func:`overstock_legs`."""
+    """All legs of the manual sorting area with their document fields; keep it as ``kept`` like :func:`overstock_legs`.
+
+    The window holds for every leg. A normal move reads nothing but the carrier from its book-in, whose
+    document is not parsed.
+    """
     rules = MANUAL_SORTING_RULES
-    every = _sorting_legs(ledger, start, end, rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in)
-    return leg_attributes(every)
+    every = legs(window_filter(ledger, "CREATED", start, end), rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in)
+    return leg_attributes(every.withColumn("document", F.expr("IF(goods = 'NORMAL' AND side = 'IN', NULL, document)")))
 
 
 def manual_sorting_movements(
@@ -170,40 +151,15 @@ def manual_sorting_movements(
 ) -> DataFrame:
     """Normal moves paired on the transaction id, dummy moves strictly by scan sequence.
 
-    The window holds for every leg and comes before the numbering; the reference filter comes after
-    it. Legs are numbered before their documents are parsed. ``kept``, from :func:`sorting_legs` with the
-    same window, is read in place of the ledger.
+    The window comes before the numbering; the reference filter comes after it. ``kept``, from :func:`sorting_legs` with
+    the same window, is read in place of the ledger.
     """
-    rules = MANUAL_SORTING_RULES
-    if kept is not None:
-        outs = kept.filter("goods = 'NORMAL' AND side = 'OUT'")
-        ins = kept.filter("goods = 'NORMAL' AND side = 'IN'")
-        dummy, attributes = kept.filter("goods = 'DUMMY'"), lambda rows: rows
-    else:
-        outs = _sorting_legs(ledger, start, end, rules.normal_out)
-        ins = _sorting_legs(ledger, start, end, rules.normal_in)
-        dummy, attributes = _sorting_legs(ledger, start, end, rules.dummy_out, rules.dummy_in), leg_attributes
-
-    # A normal move reads nothing but the carrier from its book-in.
-    normal_moves = _pairs(outs, ins, [], reference, keep_unmatched, kept is not None)
-
-    def both_sides(rows: DataFrame) -> DataFrame:
-        return _with_targets(attributes(rows)).withColumn("source_carrier", F.col("carrier"))
-
-    numbered = sequence_number(known_legs(dummy, ["txn"]), ["txn", "side"], "sequence", _TIES)
-    strict = pair_numbered(
-        both_sides(numbered), ["txn"], out_columns=OUT_COLUMNS, in_columns=IN_COLUMNS, keep_unmatched=keep_unmatched
-    )
-    if keep_unmatched:
-        lonely = lonely_outs(both_sides(dummy), ["txn"], OUT_COLUMNS)
-        strict = strict.unionByName(lonely, allowMissingColumns=True)
+    every = sorting_legs(ledger, start, end) if kept is None else kept
+    dummy = F.col("goods") == "DUMMY"
+    pairs = _pairs(every, reference, keep_unmatched, strict=dummy)
     three_step = codes.ean_three_step(F.col("article"), F.col("document_ean"), F.col("target_article"))
-    dummy_moves = (
-        ref_filter(strict, "reference", reference)
-        .withColumn("goods", F.lit("DUMMY"))
-        .withColumn("article", three_step)
-    )
-    return normal_moves.unionByName(dummy_moves)
+    own = {name: F.when(dummy, F.col(name)) for name in IN_COLUMNS if name != "target_carrier"}
+    return pairs.withColumns(own).withColumn("article", F.when(dummy, three_step).otherwise(F.col("article")))
 
 
 def movement_report(moves: DataFrame, rules: MovementRules) -> DataFrame:

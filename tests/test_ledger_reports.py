@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from tallyline.operators import numbering, pairing
+from tallyline.operators import matching, numbering
 from tallyline.operators.legs import legs
 from tallyline.plans import ledger_reports as reports
 from tallyline.session import scratch_path
@@ -102,11 +102,11 @@ def test_manual_sorting_rules(spark):
         ("51", "501", "27", "OSR (OV)", "Overstock", "first"),
         ("52", "62", "29", "Zircle", "Unknown", "second"),
     }
-    kept = reports.sorting_legs(ledger).persist(StorageLevel.MEMORY_AND_DISK)
-    for legs in (None, kept):
-        report = reports.manual_sorting_report(ledger, kept=legs)
+    for keep in (False, True):
+        kept = reports.sorting_legs(ledger).persist(StorageLevel.MEMORY_AND_DISK) if keep else None
+        report = reports.manual_sorting_report(ledger, kept=kept)
         assert {tuple(r[f] for f in fields) for r in _dicts(report)} == expected
-        assert ("InMemoryTableScan" in report._jdf.queryExecution().executedPlan().toString()) == (legs is not None)
+        assert ("InMemoryTableScan" in report._jdf.queryExecution().executedPlan().toString()) == keep
     kept.unpersist()
 
 
@@ -176,8 +176,7 @@ def test_reports_are_the_same_with_any_slices_and_cells(crowded, monkeypatch, ar
     ordinary = run()
     assert all(ordinary)
     monkeypatch.setattr(numbering, "SLICE_BITS", 4)
-    monkeypatch.setattr(pairing, "WIDE_PAIRS", 20)
-    monkeypatch.setattr(pairing, "CELL_ROWS", 7)
+    monkeypatch.setattr(matching, "CELL_ROWS", 7)
     assert run() == ordinary
 
 

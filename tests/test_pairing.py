@@ -10,7 +10,8 @@ from pyspark.sql import Window, functions as F
 
 from tallyline.operators import numbering
 from tallyline.operators.numbering import sequence_number
-from tallyline.operators.pairing import pair_by_sequence, pair_by_txn, wide_transactions
+from tallyline.operators.matching import _meetings, match_legs
+from tallyline.operators.pairing import pair_by_sequence, pair_by_txn
 
 LEG = "txn string, side string, seq long, carrier string"
 
@@ -115,13 +116,11 @@ def _sides(spark, legs):
 
 
 @pytest.mark.parametrize("keep", [True, False])
-@pytest.mark.parametrize("wide_pairs, cell_rows", [(2, 1), (100, 60), (100, 10**6), (10**6, 10)])
-def test_pair_by_txn_equals_brute_force(spark, wide_pairs, cell_rows, keep):
+@pytest.mark.parametrize("cell_rows", [1, 10, 60, 10**6])
+def test_pair_by_txn_equals_brute_force(spark, cell_rows, keep):
     legs = _legs(rows=900)
     outs, ins = _sides(spark, legs)
-    wide = wide_transactions(outs, ins, ["txn"], wide_pairs=wide_pairs, cell_rows=cell_rows)
-    assert bool(wide.count()) == (wide_pairs <= 100)
-    got = pair_by_txn(outs, ins, ["txn"], wide_pairs=wide_pairs, cell_rows=cell_rows, keep_unmatched=keep)
+    got = pair_by_txn(outs, ins, ["txn"], cell_rows=cell_rows, keep_unmatched=keep)
     assert Counter((r.txn, r.source, r.target) for r in got.collect()) == _brute_pairs(legs, False, keep)
 
 
@@ -130,7 +129,7 @@ def test_pair_by_txn_equals_brute_force(spark, wide_pairs, cell_rows, keep):
 def test_hot_transaction_with_one_side_only(spark, lonely, keep):
     legs = [leg for leg in _legs(rows=900) if leg[0] != "hot" or leg[1] == lonely]
     outs, ins = _sides(spark, legs)
-    got = pair_by_txn(outs, ins, ["txn"], wide_pairs=1, cell_rows=20, keep_unmatched=keep)
+    got = pair_by_txn(outs, ins, ["txn"], cell_rows=20, keep_unmatched=keep)
     assert Counter((r.txn, r.source, r.target) for r in got.collect()) == _brute_pairs(legs, False, keep)
 
 
@@ -160,8 +159,25 @@ def test_fan_out_against_strict_pairs(spark, outs, ins, by_txn, strict):
 def test_a_wide_transaction_is_divided_whatever_stands_beside_it(spark, others):
     legs = [("wide", "OUT", i, f"o{i}") for i in range(50)] + [("wide", "IN", i, f"i{i}") for i in range(50)]
     legs += [(f"t{t}", side, i, f"{t}{side}{i}") for t in range(others) for side in ("OUT", "IN") for i in range(3)]
-    wide = wide_transactions(*_sides(spark, legs), ["txn"], wide_pairs=100, cell_rows=20)
-    assert [tuple(r) for r in wide.collect()] == [("wide", 3, 3)]
+    rows = spark.createDataFrame(legs, LEG)
+    met = _meetings(rows, ["txn"], "seq", strict=None, wanted=None, side="side", keep_unmatched=True, cell_rows=20, cut=None)
+    cells = met.groupBy("_meeting").pivot("_side", ["OUT", "IN"]).count().collect()
+    assert sorted((r.OUT, r.IN) for r in cells if r._meeting.txn == "wide") == sorted((o, i) for o in (20, 20, 10) for i in (20, 20, 10))
+    assert len(cells) == 9 + others
+
+
+def test_strict_and_free_keys_beside_each_other(spark):
+    """Book-outs that are not wanted are numbered and leave; a NULL key has no partner."""
+    legs = [(txn, side, i, f"{txn}{side}{i}") for txn in ("strict", "free", None) for side in ("OUT", "IN") for i in range(4)]
+    rows = spark.createDataFrame([leg for leg in legs if leg[3] != "strictIN3"], LEG)
+    got = match_legs(
+        rows, ["txn"], "seq", out_columns={"source": "carrier"}, in_columns={"target": "carrier"},
+        strict=F.col("txn") == "strict", wanted=F.col("seq") != 1, cell_rows=3,
+    )
+    expected = [("strict", f"strictOUT{i}", f"strictIN{i}" if i < 3 else None) for i in (0, 2, 3)]
+    expected += [("free", f"freeOUT{o}", f"freeIN{i}") for o in (0, 2, 3) for i in range(4)]
+    expected += [(None, f"NoneOUT{o}", None) for o in (0, 2, 3)]
+    assert Counter(map(tuple, got.collect())) == Counter(expected)
 
 
 def _copies(rows: int):
@@ -198,5 +214,5 @@ def test_identical_legs_are_numbered_and_paired(spark, slice_bits):
 def test_identical_legs_fan_out(spark, cell_rows):
     legs = _copies(240)
     outs, ins = _sides(spark, legs)
-    got = pair_by_txn(outs, ins, ["txn"], wide_pairs=50, cell_rows=cell_rows)
+    got = pair_by_txn(outs, ins, ["txn"], cell_rows=cell_rows)
     assert Counter((r.txn, r.source, r.target) for r in got.collect()) == _brute_pairs(legs, False)
