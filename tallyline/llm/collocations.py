@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyline.llm.arrow_words import BLOCK_BYTES, _word_hashes, blocks, mixed
+from tallyline.llm.arrow_words import _word_hashes, blocks, mixed
 from tallyline.llm.tables import written
 
 LEAST_COUNT = 30
@@ -41,6 +41,7 @@ UNKNOWN_LANG = "und"
 SAMPLE_ONE_IN = 8
 # Bits of a filter: 16 for each phrase, at most 32 MB.
 FILTER_BITS = 1 << 28
+BLOCK_BYTES = 1_000_000
 _EMITTED_ROWS = 50_000
 _SALTS = 64
 _BASE = np.uint64(0x9DDFEA08EB382D69)
