@@ -388,4 +388,8 @@ def oracle_sql() -> dict[str, str]:
         "manual_sorting_report_kept": _sorting(),
         "manual_sorting_report_filtered": _sorting(_inside("created"), filtered),
     }
+    # The same rows from other layouts of the ledger.
+    ledger["pair_by_sequence_bucketed"] = ledger["pair_by_sequence"]
+    ledger["optional_time_window_by_day"] = ledger["optional_time_window"]
+    ledger["manual_sorting_report_by_day"] = ledger["manual_sorting_report_filtered"]
     return {**kpi, **ledger}

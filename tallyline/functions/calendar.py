@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# The day of a ledger row, in ledgers that are partitioned by it.
+DAY_COLUMN = "CREATED_DAY"
 EVENT_TIME_FORMAT = "dd.MM.yyyy HH:mm:ss"
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyline.functions.calendar import window_predicate
+from tallyline.functions.calendar import DAY_COLUMN, event_time, window_predicate
 from tallyline.functions.json_fields import with_json_fields
 from tallyline.functions.text import all_digits, reference_predicate
 
@@ -105,9 +105,17 @@ def leg_attributes(rows: DataFrame, fields: Collection[str] = tuple(DOCUMENT_FIE
 
 
 def window_filter(rows: DataFrame, column: str, start: str | None, end: str | None) -> DataFrame:
-    """Closed time window, or all rows if there is no start."""
+    """Closed time window, or all rows if there is no start.
+
+    Of a ledger partitioned by day only the days of the window are read.
+    """
     inside = window_predicate(F.col(column), start, end)
-    return rows if inside is None else rows.filter(inside)
+    if inside is None:
+        return rows
+    if column == "CREATED" and DAY_COLUMN in rows.columns and end:
+        first, last = F.to_date(event_time(start)), F.to_date(event_time(end))
+        inside = F.col(DAY_COLUMN).between(first, last) & inside
+    return rows.filter(inside)
 
 
 def ref_filter(rows: DataFrame, column: str, text: str | None) -> DataFrame:

@@ -96,6 +96,35 @@ def _meetings(
     return placed.select(F.struct(*names, row.alias("_row"), column.alias("_column")).alias("_meeting"), "_side", "_leg")
 
 
+def match_in_place(
+    legs: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    *,
+    out_columns: Sequence[str] | Mapping[str, str],
+    in_columns: Sequence[str] | Mapping[str, str],
+    side: str = "side",
+    keep_unmatched: bool = True,
+) -> DataFrame:
+    """The strict pairs of :func:`match_legs` by windows alone: no exchange where legs are already partitioned by some of the keys.
+
+    A key's legs stay in one task. Keys are not NULL.
+    """
+    keys, outs, ins = list(keys), _by_name(out_columns), _by_name(in_columns)
+    leg = F.struct(*[c for c in legs.columns if c not in (*keys, side)])
+    slim = legs.select(*keys, F.col(side).alias("_side"), leg.alias("_leg"))
+    inside = Window.partitionBy(*keys, "_side").orderBy(F.col("_leg")[order].asc_nulls_last(), F.xxhash64("_leg"), "_leg")
+    numbered = slim.withColumn("_rn", F.row_number().over(inside))
+    slot = Window.partitionBy(*keys, "_rn").orderBy(F.desc("_side"))  # OUT before IN
+    partner = F.struct(*[F.col("_leg")[source].alias(name) for name, source in ins.items()])
+    pairs = numbered.withColumn("_in", F.lead(F.when(F.col("_side") == "IN", partner)).over(slot)).filter(F.col("_side") == "OUT")
+    if not keep_unmatched:
+        pairs = pairs.filter(F.col("_in").isNotNull())
+    return pairs.select(
+        *keys, *[F.col("_leg")[source].alias(name) for name, source in outs.items()], *[F.col("_in")[name].alias(name) for name in ins]
+    )
+
+
 def _by_name(columns: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
     return dict(columns) if isinstance(columns, Mapping) else {name: name for name in columns}
 

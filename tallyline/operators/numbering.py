@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # Numbers are cut into slices at multiples of 2 ** SLICE_BITS.
 SLICE_BITS = 20
+# Sampled slices of the rows, and rows of the sample.
+SLICES = 1024
+SAMPLE_ROWS = 32 * SLICES
+_COUNT_ONE_IN = 256
 
 
 def order_slice(order: Column, kind: T.DataType) -> Column:
@@ -40,28 +44,54 @@ def order_cell(rows: DataFrame, keys: Sequence[str], order: str, tie: Column, cu
     return F.struct(*keys, cut.alias("_slice"), part.alias("_part"))
 
 
+def _splitters(rows: DataFrame) -> Column:
+    """At most ``SLICES`` - 1 values of ``_place`` that cut all rows into slices of about the same size, as a lazy value.
+
+    The rows whose hash lies below a share are the sample, so each run and each reader gets the same splitters. The share comes from
+    a count of rows by hash; the sample has about ``SAMPLE_ROWS`` rows whatever the volume.
+    """
+    draw = F.pmod(F.xxhash64("_place", F.lit("sample")), F.lit(1 << 52)) / float(1 << 52)
+    counted = rows.agg((F.count(F.when(draw < 1 / _COUNT_ONE_IN, 1)) + 1).alias("n")).scalar() * _COUNT_ONE_IN
+    sample = rows.agg(F.sort_array(F.collect_list(F.when(draw * counted < SAMPLE_ROWS, F.col("_place")))).alias("s"))
+    step = F.greatest(F.lit(1), F.ceil(F.size("s") / SLICES).cast("int"))
+    picked = F.when(F.size("s") > step, F.transform(F.sequence(step, F.size("s") - 1, step), lambda i: F.get("s", i)))
+    return sample.select(F.coalesce(picked, F.slice("s", 1, 0))).scalar()
+
+
+def _slice_of(place: Column, splitters: Column) -> Column:
+    """The number of splitters that are not beyond ``place``, by halving."""
+    strides = F.array(*[F.lit(1 << k) for k in reversed(range((SLICES - 1).bit_length()))])
+
+    def halve(found: Column, stride: Column) -> Column:
+        inside = found + stride <= F.size(splitters)
+        return F.when(inside & (F.get(splitters, found + stride - 1) <= place), found + stride).otherwise(found)
+
+    return F.aggregate(strides, F.lit(0), halve)
+
+
 def sequence_number(
     rows: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], *, name: str = "rn"
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)``, NULL order values last.
 
     Equal order values are numbered by a hash of the ``ties`` columns, then by these: arbitrary, but the same
-    on every run. Each slice of a group is numbered on its own, and the rows of its earlier slices
-    are added. So a group that a third of all rows share is divided by its order values; rows without
-    an order value are divided by the hash.
+    on every run. All rows are cut into ``SLICES`` slices of about the same size by splitters over (order value, hash of the ties), which
+    are sampled, whatever the type and the spread of the order values. Each slice of a group is numbered on its own, and the
+    rows of its earlier slices are added: a group that a third of all rows share lies in a third of the
+    slices' tasks. Rows that agree in the order and all ties stay together. One exchange of the rows feeds the numbers and the counts.
     """
-    value = F.col(order)
     tie = F.xxhash64(*ties)
-    placed = rows.withColumns({"_cell": order_cell(rows, keys, order, tie), "_tie": tie})
-    inside = Window.partitionBy("_cell").orderBy(value.asc_nulls_last(), "_tie", *ties)
-    numbered = placed.withColumn("_own", F.row_number().over(inside))
-    earlier = (
-        Window.partitionBy(*[F.col("_cell")[key] for key in keys])
-        .orderBy(F.col("_cell")["_slice"].asc_nulls_last(), F.col("_cell")["_part"])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    # Counted on the map side, from the keys and the order alone.
-    sizes = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_rows"))
+    place = F.struct(F.col(order).isNull().alias("none"), F.col(order).alias("value"), tie.alias("tie"))
+    splitters = _splitters(rows.select(place.alias("_place")))
+    placed = rows.select(F.struct(*keys).alias("_keys"), F.struct(*rows.columns).alias("_row"), place.alias("_place"))
+    cut = placed.withColumn("_bounds", splitters).withColumn("_slice", _slice_of(F.col("_place"), F.col("_bounds")))
+    # One struct, never NULL itself: windows and join share one partitioning, and NULL keys are equal.
+    shared = cut.select(F.struct("_keys", "_slice").alias("_cell"), "_row", F.col("_place.tie").alias("_tie")).repartition("_cell")
+    # Counting the rows themselves keeps the exchange the same for both readers; it runs once.
+    sizes = shared.groupBy("_cell").agg(F.count(F.when(F.col("_cell._slice") >= 0, F.struct("_row", "_tie"))).alias("_rows"))
+    earlier = Window.partitionBy("_cell._keys").orderBy("_cell._slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_cell", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    joined = numbered.join(offsets, "_cell")
-    return joined.select(*rows.columns, (F.col("_before") + F.col("_own")).alias(name))
+    row = F.col("_row")
+    inside = Window.partitionBy("_cell").orderBy(row[order].asc_nulls_last(), "_tie", *[row[c] for c in ties], F.xxhash64(row))
+    joined = shared.withColumn("_own", F.row_number().over(inside)).join(offsets, "_cell")
+    return joined.select(*[row[c].alias(c) for c in rows.columns], (F.col("_before") + F.col("_own")).alias(name))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyline.operators.matching import match_legs
+from tallyline.operators.matching import match_in_place, match_legs
+from tallyline.sources.layouts import BucketedLedger
 
 
 def pair_by_txn(
@@ -59,3 +60,33 @@ def pair_by_sequence(
     return match_legs(
         slim, keys, order, out_columns=out_columns, in_columns=in_columns, strict=F.lit(True), side=side, keep_unmatched=keep_unmatched
     )
+
+
+def pair_bucketed_by_sequence(
+    ledger: BucketedLedger,
+    legs_of: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str],
+    order: str,
+    *,
+    out_columns: Sequence[str],
+    in_columns: Sequence[str],
+    side: str = "side",
+    keep_unmatched: bool = True,
+) -> DataFrame:
+    """The pairs of :func:`pair_by_sequence` from a ledger bucketed by transaction, which is not shuffled.
+
+    ``legs_of`` makes tagged legs of ledger rows; the transaction is one of the ``keys``, as it is in the ledger. Transactions too large for a bucket are
+    shuffled and divided like any others; legs without a transaction have no partner.
+    """
+    columns = {"out_columns": out_columns, "in_columns": in_columns, "side": side, "keep_unmatched": keep_unmatched}
+
+    def slim(rows: DataFrame) -> DataFrame:
+        return legs_of(rows).select(*dict.fromkeys([*keys, side, order, *out_columns, *in_columns]))
+
+    pairs = match_in_place(slim(ledger.light), keys, order, **columns)
+    if ledger.heavy is not None:
+        pairs = pairs.unionByName(match_legs(slim(ledger.heavy), keys, order, strict=F.lit(True), **columns))
+    if keep_unmatched:
+        lonely = slim(ledger.unknown).filter(F.col(side) == "OUT").select(*keys, *out_columns)
+        pairs = pairs.unionByName(lonely, allowMissingColumns=True)
+    return pairs

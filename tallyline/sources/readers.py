@@ -33,9 +33,9 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 _BLANK_IS_NULL = {"LOCAL_TRANSACTION_ID", "LHMNR", "ARTNR", "CREATEDBY"}
 
 
-def as_ledger(rows: DataFrame) -> DataFrame:
-    """Ledger columns in the declared types, with the empty-string rule of the source database."""
-    columns = []
+def as_ledger(rows: DataFrame, *also: str) -> DataFrame:
+    """Ledger columns in the declared types, with the empty-string rule of the source database, and the columns ``also``."""
+    columns = list(also)
     for field in LEDGER:
         value = F.col(field.name).cast(field.dataType)
         columns.append((blank_to_null(value) if field.name in _BLANK_IS_NULL else value).alias(field.name))
