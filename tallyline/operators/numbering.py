@@ -14,34 +14,33 @@ SAMPLE_ROWS = 32 * SLICES
 _COUNT_ONE_IN = 256
 
 
-def order_slice(order: Column, kind: T.DataType) -> Column:
-    """A slice number that grows with the order value and depends on nothing else.
+def order_slice(order: str, kind: T.DataType) -> str:
+    """SQL: a slice number that grows with the order value and depends on nothing else.
 
     Numbers are cut at fixed multiples, timestamps at days; other types make one slice. A slice that is too wide or
     narrow for the data costs balance, never the order.
     """
     if isinstance(kind, T.IntegralType):
-        return F.shiftright(order.cast("long"), SLICE_BITS)
+        return f"shiftright(CAST({order} AS BIGINT), {SLICE_BITS})"
     if isinstance(kind, T.DecimalType):
-        return F.floor(order / (1 << SLICE_BITS))
+        return f"floor({order} / {1 << SLICE_BITS}L)"
     if isinstance(kind, T.FractionalType):
         # NaN is the greatest value.
-        return F.when(F.isnan(order), F.lit(2**63 - 1)).otherwise(F.floor(order / (1 << SLICE_BITS)))
+        return f"IF(isnan({order}), {2**63 - 1}L, floor({order} / {1 << SLICE_BITS}L))"
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("day", order)
-    return F.when(order.isNotNull(), F.lit(0))
+        return f"date_trunc('day', {order})"
+    return f"IF({order} IS NULL, NULL, 0)"
 
 
-def order_cell(rows: DataFrame, keys: Sequence[str], order: str, tie: Column, cut: Column | None = None) -> Column:
-    """The keys with a slice of their order values, as one struct that is never NULL itself.
+def order_cell(rows: DataFrame, keys: Sequence[str], order: str, tie: str, cut: str | None = None) -> str:
+    """SQL: the keys with a slice of their order values, as one struct that is never NULL itself.
 
     Windows and joins on it share one partitioning, and NULL keys are equal. Rows without an order value are divided by
     the leading bits of the hash ``tie``, which grow with it. ``cut`` is a slice number in place of the usual one.
     """
-    value = F.col(order)
-    cut = order_slice(value, rows.schema[order].dataType) if cut is None else cut
-    part = F.when(value.isNull(), F.shiftright(tie, 56)).otherwise(F.lit(0).cast("long"))
-    return F.struct(*keys, cut.alias("_slice"), part.alias("_part"))
+    cut = order_slice(f"`{order}`", rows.schema[order].dataType) if cut is None else cut
+    names = "".join(f"`{key}`, " for key in keys)
+    return f"struct({names}{cut} AS _slice, IF(`{order}` IS NULL, shiftright({tie}, 56), 0L) AS _part)"
 
 
 def _splitters(rows: DataFrame) -> Column:

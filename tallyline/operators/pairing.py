@@ -37,7 +37,7 @@ def pair_by_txn(
         side="_tag",
         keep_unmatched=keep_unmatched,
         cell_rows=cell_rows,
-        cut=F.col("_spread"),
+        cut="_spread",
     )
 
 
@@ -58,7 +58,7 @@ def pair_by_sequence(
     """
     slim = legs.select(*dict.fromkeys([*keys, side, order, *out_columns, *in_columns]))
     return match_legs(
-        slim, keys, order, out_columns=out_columns, in_columns=in_columns, strict=F.lit(True), side=side, keep_unmatched=keep_unmatched
+        slim, keys, order, out_columns=out_columns, in_columns=in_columns, strict="true", side=side, keep_unmatched=keep_unmatched
     )
 
 
@@ -85,7 +85,7 @@ def pair_bucketed_by_sequence(
 
     pairs = match_in_place(slim(ledger.light), keys, order, **columns)
     if ledger.heavy is not None:
-        pairs = pairs.unionByName(match_legs(slim(ledger.heavy), keys, order, strict=F.lit(True), **columns))
+        pairs = pairs.unionByName(match_legs(slim(ledger.heavy), keys, order, strict="true", **columns))
     if keep_unmatched:
         lonely = slim(ledger.unknown).filter(F.col(side) == "OUT").select(*keys, *out_columns)
         pairs = pairs.unionByName(lonely, allowMissingColumns=True)

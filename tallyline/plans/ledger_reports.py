@@ -71,37 +71,39 @@ MANUAL_SORTING_RULES = MovementRules(
 KEYS = ["txn", "goods"]
 
 
-def _pairs(legs_: DataFrame, reference: str | None, keep_unmatched: bool, strict: Column | None = None) -> DataFrame:
+def _pairs(every: DataFrame, reference: str | None, keep_unmatched: bool, strict: str = "false") -> DataFrame:
     """Legs paired per (transaction, goods), strictly or on the id.
 
-    Book-outs that the reference filter rejects go at once, but where the pairs are strict they are numbered first.
+    Documents are parsed of legs with a partner only, after they are numbered; then the reference filter drops book-outs.
     """
-    wanted = reference_predicate(F.col("reference"), reference)
-    if wanted is not None:
-        late = (F.col("side") == "IN") if strict is None else ((F.col("side") == "IN") | strict)
-        legs_ = legs_.filter(late | wanted)
     return match_legs(
-        legs_,
+        every,
         KEYS,
         "sequence",
         out_columns=OUT_COLUMNS,
         in_columns=IN_COLUMNS,
         strict=strict,
-        wanted=None if strict is None else wanted,
+        attributes=leg_attributes if "document" in every.columns else None,
+        wanted=reference_predicate(F.col("reference"), reference),
         keep_unmatched=keep_unmatched,
     )
 
 
+def _overstock_legs(ledger: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """The legs of the overstock area with their documents, from one scan; the window holds for book-outs only."""
+    rules = OVERSTOCK_RULES
+    every = legs(ledger, rules.normal_out, rules.dummy_out, rules.normal_in, rules.dummy_in)
+    inside = window_predicate(F.col("created"), start, end)
+    return every if inside is None else every.filter((F.col("side") == "IN") | inside)
+
+
 def overstock_legs(ledger: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """All legs of the overstock area with their document fields, from one scan; the window holds for book-outs only.
+    """All legs of the overstock area with their document fields; the window holds for book-outs only.
 
-    Keep it (a written table, or ``persist``) and hand it to several reports as ``kept``; one report reads it once
+    Keep it (a written table, or ``persist``) and hand it to several reports as ``kept``; one report scans the ledger once
     in any case. The caller releases it.
     """
-    rules = OVERSTOCK_RULES
-    every = legs(ledger, rules.normal_out, rules.dummy_out, rules.normal_in, rules.dummy_in)
-    inside = window_predicate(F.col("created"), start, end)
-    return leg_attributes(every if inside is None else every.filter((F.col("side") == "IN") | inside))
+    return leg_attributes(_overstock_legs(ledger, start, end))
 
 
 def overstock_movements(
@@ -120,7 +122,7 @@ def overstock_movements(
     The report reads completed moves only and asks for no unmatched ones. ``kept``, from
     :func:`overstock_legs` with the same window, is read in place of the ledger.
     """
-    every = overstock_legs(ledger, start, end) if kept is None else kept
+    every = _overstock_legs(ledger, start, end) if kept is None else kept
     pairs = _pairs(every, reference, keep_unmatched)
     dummy = F.col("goods") == "DUMMY"
     two_step = codes.ean_two_step(F.col("article"), F.col("document_ean"))
@@ -129,15 +131,19 @@ def overstock_movements(
     )
 
 
-def sorting_legs(ledger: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """All legs of the manual sorting area with their document fields; keep it as ``kept`` like :func:`overstock_legs`.
+def _sorting_legs(ledger: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """The legs of the manual sorting area with their documents; the window holds for every leg.
 
-    The window holds for every leg. A normal move reads nothing but the carrier from its book-in, whose
-    document is not parsed.
+    A normal move reads nothing but the carrier from its book-in, whose document goes.
     """
     rules = MANUAL_SORTING_RULES
     every = legs(window_filter(ledger, "CREATED", start, end), rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in)
-    return leg_attributes(every.withColumn("document", F.expr("IF(goods = 'NORMAL' AND side = 'IN', NULL, document)")))
+    return every.withColumn("document", F.expr("IF(goods = 'NORMAL' AND side = 'IN', NULL, document)"))
+
+
+def sorting_legs(ledger: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """All legs of the manual sorting area with their document fields; keep it as ``kept`` like :func:`overstock_legs`."""
+    return leg_attributes(_sorting_legs(ledger, start, end))
 
 
 def manual_sorting_movements(
@@ -154,9 +160,9 @@ def manual_sorting_movements(
     The window comes before the numbering; the reference filter comes after it. ``kept``, from :func:`sorting_legs` with
     the same window, is read in place of the ledger.
     """
-    every = sorting_legs(ledger, start, end) if kept is None else kept
+    every = _sorting_legs(ledger, start, end) if kept is None else kept
+    pairs = _pairs(every, reference, keep_unmatched, strict="goods = 'DUMMY'")
     dummy = F.col("goods") == "DUMMY"
-    pairs = _pairs(every, reference, keep_unmatched, strict=dummy)
     three_step = codes.ean_three_step(F.col("article"), F.col("document_ean"), F.col("target_article"))
     own = {name: F.when(dummy, F.col(name)) for name in IN_COLUMNS if name != "target_carrier"}
     return pairs.withColumns(own).withColumn("article", F.when(dummy, three_step).otherwise(F.col("article")))

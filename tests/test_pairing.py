@@ -160,7 +160,10 @@ def test_a_wide_transaction_is_divided_whatever_stands_beside_it(spark, others):
     legs = [("wide", "OUT", i, f"o{i}") for i in range(50)] + [("wide", "IN", i, f"i{i}") for i in range(50)]
     legs += [(f"t{t}", side, i, f"{t}{side}{i}") for t in range(others) for side in ("OUT", "IN") for i in range(3)]
     rows = spark.createDataFrame(legs, LEG)
-    met = _meetings(rows, ["txn"], "seq", strict=None, wanted=None, side="side", keep_unmatched=True, cell_rows=20, cut=None)
+    met = _meetings(
+        rows, ["txn"], "seq", columns=["carrier"], strict="false", attributes=None, wanted=None, side="side",
+        keep_unmatched=True, cell_rows=20, cut=None,
+    )
     cells = met.groupBy("_meeting").pivot("_side", ["OUT", "IN"]).count().collect()
     assert sorted((r.OUT, r.IN) for r in cells if r._meeting.txn == "wide") == sorted((o, i) for o in (20, 20, 10) for i in (20, 20, 10))
     assert len(cells) == 9 + others
@@ -172,7 +175,7 @@ def test_strict_and_free_keys_beside_each_other(spark):
     rows = spark.createDataFrame([leg for leg in legs if leg[3] != "strictIN3"], LEG)
     got = match_legs(
         rows, ["txn"], "seq", out_columns={"source": "carrier"}, in_columns={"target": "carrier"},
-        strict=F.col("txn") == "strict", wanted=F.col("seq") != 1, cell_rows=3,
+        strict="txn = 'strict'", wanted=F.col("seq") != 1, cell_rows=3,
     )
     expected = [("strict", f"strictOUT{i}", f"strictIN{i}" if i < 3 else None) for i in (0, 2, 3)]
     expected += [("free", f"freeOUT{o}", f"freeIN{i}") for o in (0, 2, 3) for i in range(4)]
