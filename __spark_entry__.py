@@ -10,18 +10,19 @@ import oracle_queries
 from oracle_queries import REF_EXACT, REF_LIST, REF_WILDCARD, WINDOW
 from tallyline.functions import codes
 from tallyline.functions.calendar import event_time_label, month_label, month_label_padded, month_start
-from tallyline.functions.json_fields import with_json_fields
+from tallyline.functions.json_fields import with_json_fields, with_variant_fields
 from tallyline.functions.ratios import safe_ratio
 from tallyline.functions.text import not_prefixed
 from tallyline.operators.aggregates import ratio_of_sums, share_of_total
 from tallyline.operators.legs import DOCUMENT_FIELDS, LEG_COLUMNS, completed_moves, leg_attributes, legs, ref_filter, window_filter
+from tallyline.operators.lookups import decode_by_table, ref_filter_by_table
 from tallyline.operators.numbering import sequence_number
 from tallyline.operators.pairing import pair_bucketed_by_sequence, pair_by_sequence, pair_by_txn
 from tallyline.operators.ranking import table_preview
 from tallyline.plans import kpi_reports as kpi, ledger_reports as moves
 from tallyline.session import scratch_path
 from tallyline.sources import layouts, sample_tables as tables
-from tallyline.sources.readers import read_csv, read_ledger, read_trip_table, write_csv
+from tallyline.sources.readers import read_csv, read_csv_checked, read_ledger, read_trip_table, write_csv
 from tallyline.sources.schemas import TRIP_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,6 +228,56 @@ def _pairs_of_bucketed_ledger(ledger: DataFrame) -> DataFrame:
     return _with_time_label(pair_bucketed_by_sequence(bucketed, _strict_legs, ["txn"], "sequence", **_STRICT_COLUMNS))
 
 
+def _on_variants(query: Callable[[DataFrame], DataFrame]) -> Query:
+    """On the ledger written with parsed documents and read again."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        path = scratch_path(spark, "ledger-with-variants")
+        layouts.write_ledger_with_variants(tables.ledger(spark, sf), path)
+        return query(layouts.read_ledger_with_variants(spark, path))
+
+    return run
+
+
+def _variant_values(ledger: DataFrame) -> DataFrame:
+    documents = ledger.select(F.col("SEQUENCE").alias("sequence"), "CUST_DATA")
+    return with_variant_fields(documents, "CUST_DATA", DOCUMENT_FIELDS).drop("CUST_DATA")
+
+
+def _variant_fields(ledger: DataFrame) -> DataFrame:
+    rows = leg_attributes(ledger.withColumnsRenamed(LEG_COLUMNS))
+    return rows.select("sequence", *DOCUMENT_FIELDS.values())
+
+
+def _decoded_by_table(rows: DataFrame) -> DataFrame:
+    """Categories by a table of codes, one of them there twice; joined by shuffle, as a large table is."""
+    pairs = [(i, code, label) for i, (code, label) in enumerate([*codes.CATEGORY_LABELS.items(), ("1", "again"), (None, "none")])]
+    values = ", ".join(f"({i}, {'NULL' if code is None else repr(code)}, {label!r})" for i, code, label in pairs)
+    table = rows.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t(position, code, label)")
+    decoded = decode_by_table(rows, "category_id", table, default="Unknown", name="category", broadcast_codes=0)
+    return decoded.select("sequence", F.col("category_id").alias("code"), "category")
+
+
+def _references_by_table(rows: DataFrame) -> DataFrame:
+    listed = rows.sparkSession.createDataFrame([*enumerate(REF_LIST.split(","))], "position int, reference string")
+    return ref_filter_by_table(rows.select("sequence", "reference"), "reference", listed)
+
+
+# Lines of every seventh city have a text for a number, those of every eleventh a column too many.
+_SUMMARY_LINE = """concat_ws(',', month, city_id, IF(CAST(city_id AS INT) % 7 = 3, 'n/a', CAST(new_passengers AS STRING)), repeat_passengers,
+    total_passengers, IF(CAST(city_id AS INT) % 11 = 5, 'more', NULL))"""
+
+
+def _checked_summary(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The passenger summary as CSV with bad lines, read again: what fits, and what does not."""
+    path = scratch_path(spark, "summary-with-bad-lines")
+    schema = TRIP_TABLES["fact_passenger_summary"]
+    header = spark.createDataFrame([(0, ",".join(schema.names))], "place int, line string")
+    lines = header.unionByName(tables.fact_passenger_summary(spark, sf).selectExpr("1 AS place", f"{_SUMMARY_LINE} AS line"))
+    lines.repartition(1).sortWithinPartitions("place").select("line").write.text(path)
+    return read_csv_checked(spark, path, schema)
+
+
 def _on_ledger_by_day(query: Callable[[DataFrame], DataFrame]) -> Query:
     """On the ledger written by day and read again."""
 
@@ -284,6 +335,16 @@ def _registered() -> dict[str, Query]:
         "ledger_legs": _on_ledger(_all_legs),
         "ledger_legs_read": _on_ledger(_legs_of_read_ledger),
         "json_value": _on_ledger(_json_values),
+        "json_value_variant": _on_variants(_variant_values),
+        "json_fields_variant": _on_variants(_variant_fields),
+        "manual_sorting_report_variant": _on_variants(moves.manual_sorting_report),
+        "overstock_report_variant": _on_variants(moves.overstock_report),
+        "decode_by_table": _on_fields(_decoded_by_table, "category_id"),
+        "ref_filter_by_table": _on_fields(_references_by_table, "reference"),
+        "city_rank": _summary_and_cities(kpi.ranked_cities),
+        "day_rank": lambda spark, sf: kpi.ranked_days(tables.fact_trips(spark, sf)),
+        "csv_checked_rows": lambda spark, sf: _checked_summary(spark, sf)[0],
+        "csv_rejected_rows": lambda spark, sf: _checked_summary(spark, sf)[1].drop("file"),
         "json_fields": _on_fields(
             lambda rows: rows.select("sequence", *DOCUMENT_FIELDS.values()), *DOCUMENT_FIELDS.values()
         ),

@@ -388,7 +388,23 @@ def oracle_sql() -> dict[str, str]:
         "manual_sorting_report_kept": _sorting(),
         "manual_sorting_report_filtered": _sorting(_inside("created"), filtered),
     }
+    ledger["decode_by_table"] = f"""WITH {FIELDS} SELECT seq AS sequence, category_id AS code,
+        CASE WHEN category_id IS NULL THEN 'none' ELSE {_category('category_id')} END AS category FROM fields"""
+    ledger["ref_filter_by_table"] = ledger["ref_filter_list"]
+    kpi["city_rank"] = f"""WITH {_NEW_TOTALS} SELECT city_name, total_new_passengers, down AS rank_from_top, up AS rank_from_bottom FROM ranked"""
+    kpi["day_rank"] = f"""WITH {TRIPS}, d AS (SELECT trip_date, count(*) AS trips, CAST(max(fare) AS INTEGER) AS best_fare FROM trips GROUP BY 1)
+        SELECT CAST(trip_date AS VARCHAR) AS trip_date, trips, best_fare, rank() OVER (ORDER BY trips DESC NULLS FIRST) AS trips_rank,
+          rank() OVER (ORDER BY best_fare DESC NULLS FIRST) AS fare_rank FROM d"""
+    bad = "(CAST(city_id AS INTEGER) % 7 = 3 OR CAST(city_id AS INTEGER) % 11 = 5)"
+    kpi["csv_checked_rows"] = f"""WITH {SUMMARY} SELECT CAST(month AS VARCHAR) AS month, city_id, new_passengers,
+        repeat_passengers, total_passengers FROM summary WHERE NOT {bad}"""
+    kpi["csv_rejected_rows"] = f"""WITH {SUMMARY} SELECT concat_ws(',', month, city_id,
+          CASE WHEN CAST(city_id AS INTEGER) % 7 = 3 THEN 'n/a' ELSE CAST(new_passengers AS VARCHAR) END, repeat_passengers, total_passengers,
+          CASE WHEN CAST(city_id AS INTEGER) % 11 = 5 THEN 'more' END) AS line,
+        CASE WHEN CAST(city_id AS INTEGER) % 7 = 3 THEN 'new_passengers is no int: n/a' ELSE 'number of columns' END AS reason FROM summary WHERE {bad}"""
     # The same rows from other layouts of the ledger.
+    for name in ("json_value", "json_fields", "manual_sorting_report", "overstock_report"):
+        ledger[f"{name}_variant"] = ledger[name]
     ledger["pair_by_sequence_bucketed"] = ledger["pair_by_sequence"]
     ledger["optional_time_window_by_day"] = ledger["optional_time_window"]
     ledger["manual_sorting_report_by_day"] = ledger["manual_sorting_report_filtered"]

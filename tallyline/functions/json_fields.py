@@ -41,3 +41,28 @@ def with_json_fields(rows: DataFrame, document: str, fields: Mapping[str, str])
     columns = [f"`{column}`" for column in rows.columns]
     parsed = rows.select("*", F.json_tuple(F.expr(sound_document(document)), *raw).alias(*raw.values()))
     return parsed.selectExpr(*columns, *[f"{_scalar(raw[key], document, key)} AS `{name}`" for key, name in fields.items()])
+
+
+def sound_variant(rows: DataFrame, document: str) -> DataFrame:
+    """``rows`` with the document parsed once into a VARIANT, by the rule of :func:`sound_document`; NULL if it is not sound."""
+    parsed = rows.withColumn("_parsed", F.expr(f"try_parse_json(concat('[', `{document}`, ']'))"))
+    only = "CASE WHEN size(try_cast(_parsed AS array<variant>)) = 1 THEN try_variant_get(_parsed, '$[0]', 'variant') END"
+    return parsed.withColumn(document, F.expr(only)).drop("_parsed")
+
+
+def with_variant_fields(rows: DataFrame, document: str, fields: Mapping[str, str]) -> DataFrame:
+    """The columns of :func:`with_json_fields` from a document that is stored as a VARIANT: nothing is parsed."""
+    if not fields:
+        return rows
+    raw = {key: f"try_variant_get(`{document}`, '$.{key}', 'string')" for key in fields}
+    found = rows.selectExpr("*", *[f"{raw[key]} AS `_raw_{name}`" for key, name in fields.items()])
+    columns = [f"`{column}`" for column in rows.columns]
+
+    def scalar(key: str, name: str) -> str:
+        # A string that begins with a brace is a scalar, an object or array is none; both read as such a text.
+        node = f"schema_of_variant(try_variant_get(`{document}`, '$.{key}', 'variant'))"
+        text = f"`_raw_{name}`"
+        nested = f"CASE WHEN NOT rlike({node}, '^(OBJECT|ARRAY)') THEN {text} END"
+        return f"CASE WHEN startswith({text}, '{{') OR startswith({text}, '[') THEN {nested} ELSE nullif({text}, '') END AS `{name}`"
+
+    return found.selectExpr(*columns, *[scalar(key, name) for key, name in fields.items()])

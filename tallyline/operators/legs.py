@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Collection
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallyline.functions.calendar import DAY_COLUMN, event_time, window_predicate
-from tallyline.functions.json_fields import with_json_fields
+from tallyline.functions.json_fields import with_json_fields, with_variant_fields
 from tallyline.functions.text import all_digits, reference_predicate
 
 # Transaction kinds of the ledger.
@@ -99,9 +99,15 @@ def legs(ledger: DataFrame, *specs: LegSpec) -> DataFrame:
 
 
 def leg_attributes(rows: DataFrame, fields: Collection[str] = tuple(DOCUMENT_FIELDS.values())) -> DataFrame:
-    """Legs with the document replaced by the given fields: narrow rows to shuffle."""
+    """Legs with the document, a text or a VARIANT, replaced by the given fields: narrow rows to shuffle."""
     wanted = {key: name for key, name in DOCUMENT_FIELDS.items() if name in fields}
-    return with_json_fields(rows, "document", wanted).drop("document")
+    read = with_variant_fields if has_variants(rows) else with_json_fields
+    return read(rows, "document", wanted).drop("document")
+
+
+def has_variants(rows: DataFrame) -> bool:
+    """Whether the legs' documents are parsed already."""
+    return isinstance(rows.schema["document"].dataType, T.VariantType)
 
 
 def window_filter(rows: DataFrame, column: str, start: str | None, end: str | None) -> DataFrame:

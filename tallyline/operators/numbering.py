@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 # Numbers are cut into slices at multiples of 2 ** SLICE_BITS.
 SLICE_BITS = 20
@@ -43,29 +43,26 @@ def order_cell(rows: DataFrame, keys: Sequence[str], order: str, tie: str, cut:
     return f"struct({names}{cut} AS _slice, IF(`{order}` IS NULL, shiftright({tie}, 56), 0L) AS _part)"
 
 
-def _splitters(rows: DataFrame) -> Column:
-    """At most ``SLICES`` - 1 values of ``_place`` that cut all rows into slices of about the same size, as a lazy value.
+def sliced(rows: DataFrame, place: str) -> DataFrame:
+    """``rows`` with ``_place``, the SQL value ``place``, and ``_slice``: a number that grows with it, so that slices have about the same size.
 
-    The rows whose hash lies below a share are the sample, so each run and each reader gets the same splitters. The share comes from
-    a count of rows by hash; the sample has about ``SAMPLE_ROWS`` rows whatever the volume.
+    At most ``SLICES`` - 1 sampled values are the splitters. The rows whose hash lies below a share are the sample, so each run and
+    each reader gets the same slices. The share comes from a count of rows by hash: the sample has about ``SAMPLE_ROWS``
+    rows whatever the volume. NULL fields of a struct come first.
     """
-    draw = F.pmod(F.xxhash64("_place", F.lit("sample")), F.lit(1 << 52)) / float(1 << 52)
-    counted = rows.agg((F.count(F.when(draw < 1 / _COUNT_ONE_IN, 1)) + 1).alias("n")).scalar() * _COUNT_ONE_IN
-    sample = rows.agg(F.sort_array(F.collect_list(F.when(draw * counted < SAMPLE_ROWS, F.col("_place")))).alias("s"))
-    step = F.greatest(F.lit(1), F.ceil(F.size("s") / SLICES).cast("int"))
-    picked = F.when(F.size("s") > step, F.transform(F.sequence(step, F.size("s") - 1, step), lambda i: F.get("s", i)))
-    return sample.select(F.coalesce(picked, F.slice("s", 1, 0))).scalar()
-
-
-def _slice_of(place: Column, splitters: Column) -> Column:
-    """The number of splitters that are not beyond ``place``, by halving."""
-    strides = F.array(*[F.lit(1 << k) for k in reversed(range((SLICES - 1).bit_length()))])
-
-    def halve(found: Column, stride: Column) -> Column:
-        inside = found + stride <= F.size(splitters)
-        return F.when(inside & (F.get(splitters, found + stride - 1) <= place), found + stride).otherwise(found)
-
-    return F.aggregate(strides, F.lit(0), halve)
+    rows = rows.selectExpr("*", f"{place} AS _place")
+    draw = f"pmod(xxhash64(_place, 'sample'), {1 << 52}L) / {float(1 << 52)}D"
+    counted = rows.agg(F.expr(f"{_COUNT_ONE_IN} * (1 + count(IF({draw} < {1 / _COUNT_ONE_IN}D, 1, NULL))) AS n")).scalar()
+    drawn = F.expr(draw) * counted < SAMPLE_ROWS
+    sample = rows.agg(F.sort_array(F.collect_list(F.when(drawn, F.col("_place")))).alias("s"))
+    step = f"greatest(1, CAST(ceil(size(s) / {SLICES}) AS INT))"
+    picked = f"IF(size(s) > {step}, transform(sequence({step}, size(s) - 1, {step}), i -> s[i]), slice(s, 1, 0))"
+    # The number of splitters that are not beyond the place, by halving.
+    strides = ", ".join(str(1 << k) for k in reversed(range(SLICES.bit_length())))
+    halve = "IF(get(_bounds, n + stride - 1) <= _place, n + stride, n)"
+    found = f"aggregate(array({strides}), 0, (n, stride) -> IF(n + stride <= size(_bounds), {halve}, n)) AS _slice"
+    names = [f"`{c}`" for c in rows.columns]
+    return rows.withColumn("_bounds", sample.selectExpr(f"{picked} AS bounds").scalar()).selectExpr(*names, found)
 
 
 def sequence_number(
@@ -74,23 +71,21 @@ def sequence_number(
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)``, NULL order values last.
 
     Equal order values are numbered by a hash of the ``ties`` columns, then by these: arbitrary, but the same
-    on every run. All rows are cut into ``SLICES`` slices of about the same size by splitters over (order value, hash of the ties), which
-    are sampled, whatever the type and the spread of the order values. Each slice of a group is numbered on its own, and the
-    rows of its earlier slices are added: a group that a third of all rows share lies in a third of the
-    slices' tasks. Rows that agree in the order and all ties stay together. One exchange of the rows feeds the numbers and the counts.
+    on every run. All rows are cut into slices of about the same size by splitters over (order value, hash of the ties), which
+    are sampled, whatever the type and the spread of the order values: a group that a third of all rows share lies in a third of the
+    slices. Each slice of a group is numbered on its own, and the rows of its earlier slices are added. Rows that agree in the
+    order and all ties stay together. One exchange of the rows feeds the numbers and the counts.
     """
-    tie = F.xxhash64(*ties)
-    place = F.struct(F.col(order).isNull().alias("none"), F.col(order).alias("value"), tie.alias("tie"))
-    splitters = _splitters(rows.select(place.alias("_place")))
-    placed = rows.select(F.struct(*keys).alias("_keys"), F.struct(*rows.columns).alias("_row"), place.alias("_place"))
-    cut = placed.withColumn("_bounds", splitters).withColumn("_slice", _slice_of(F.col("_place"), F.col("_bounds")))
+    quoted = lambda names, row="": ", ".join(f"{row}`{c}`" for c in names)
+    columns = rows.columns
     # One struct, never NULL itself: windows and join share one partitioning, and NULL keys are equal.
-    shared = cut.select(F.struct("_keys", "_slice").alias("_cell"), "_row", F.col("_place.tie").alias("_tie")).repartition("_cell")
+    packed = rows.selectExpr(f"struct({quoted(keys)}) AS _keys", f"struct({quoted(columns)}) AS _row", f"xxhash64({quoted(ties)}) AS _tie")
+    placed = sliced(packed, f"struct(_row.`{order}` IS NULL AS none, _row.`{order}` AS value, _tie AS tie)")
+    shared = placed.selectExpr("struct(_keys, _slice) AS _cell", "_row", "_tie").repartition("_cell")
     # Counting the rows themselves keeps the exchange the same for both readers; it runs once.
-    sizes = shared.groupBy("_cell").agg(F.count(F.when(F.col("_cell._slice") >= 0, F.struct("_row", "_tie"))).alias("_rows"))
-    earlier = Window.partitionBy("_cell._keys").orderBy("_cell._slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_cell", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    row = F.col("_row")
-    inside = Window.partitionBy("_cell").orderBy(row[order].asc_nulls_last(), "_tie", *[row[c] for c in ties], F.xxhash64(row))
-    joined = shared.withColumn("_own", F.row_number().over(inside)).join(offsets, "_cell")
-    return joined.select(*[row[c].alias(c) for c in rows.columns], (F.col("_before") + F.col("_own")).alias(name))
+    sizes = shared.groupBy("_cell").agg(F.expr("count(IF(_cell._slice >= 0, struct(_row, _tie), NULL)) AS _rows"))
+    before = "sum(_rows) OVER (PARTITION BY _cell._keys ORDER BY _cell._slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = sizes.selectExpr("_cell", f"coalesce({before}, 0) AS _before")
+    inside = f"PARTITION BY _cell ORDER BY _row.`{order}` NULLS LAST, _tie, {quoted(ties, '_row.')}, xxhash64(_row)"
+    numbered = shared.selectExpr("*", f"row_number() OVER ({inside}) AS _own").join(offsets, "_cell")
+    return numbered.selectExpr(*[f"_row.`{c}` AS `{c}`" for c in columns], f"_before + _own AS `{name}`")

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyline.operators.numbering import sliced
+
 
 def table_preview(rows: DataFrame, n: int | None = None, order: Sequence[str] = ()) -> DataFrame:
     """The table, or ``n`` of its rows: any, which reads no more than it needs, or the first by the key ``order``."""
@@ -46,6 +48,29 @@ def fixed_bands(totals: DataFrame, metric: str) -> DataFrame:
     return totals.join(F.broadcast(bands), F.col(metric).eqNullSafe(F.col("_value"))).drop("_value")
 
 
+def global_rank(rows: DataFrame, metric: str, *, descending: bool = True, name: str = "rank") -> DataFrame:
+    """``rows`` with ``RANK() OVER (ORDER BY metric)``, ties sharing a rank; NULL is the greatest value.
+
+    Any number of rows: the distinct values with their row counts are cut into sampled slices and summed up inside each; what lies in
+    earlier slices is a sum over one row per slice, at most ``SLICES``. The ranks are joined to the rows by value, and
+    Spark splits a value that many rows share.
+    """
+    packed = rows.selectExpr(f"struct({', '.join(f'`{c}`' for c in rows.columns)}) AS _row", f"struct(`{metric}` IS NULL AS none, `{metric}` AS value) AS _value")
+    counts = sliced(packed.groupBy("_value").agg(F.count(F.lit(1)).alias("_rows")), "_value")
+    shared = counts.selectExpr("_slice", "_value", "_rows").repartition("_slice")
+    # Counting the values themselves keeps the exchange the same for both readers.
+    per_slice = shared.groupBy("_slice").agg(F.expr("sum(IF(_value IS NULL, 0, _rows)) AS _in_slice"))
+    offsets = per_slice.selectExpr(
+        "_slice",
+        "sum(_in_slice) OVER (ORDER BY _slice ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - _in_slice AS _before",
+        "sum(_in_slice) OVER () AS _every",
+    )
+    upto = shared.selectExpr("*", "sum(_rows) OVER (PARTITION BY _slice ORDER BY _value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _upto")
+    rank = "_every - _before - _upto + 1" if descending else "_before + _upto - _rows + 1"
+    ranks = upto.join(offsets, "_slice").selectExpr("_value", f"{rank} AS `{name}`")
+    return packed.join(ranks, "_value").selectExpr(*[f"_row.`{c}` AS `{c}`" for c in rows.columns], f"`{name}`")
+
+
 def best_per_group(rows: DataFrame, group: Sequence[str], metric: str) -> DataFrame:
     """Rows of rank 1 by ``metric``, ties kept."""
     rank = F.rank().over(Window.partitionBy(*group).orderBy(F.desc_nulls_first(metric)))

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from tallyline.functions.calendar import month_label, month_label_padded, month_start
 from tallyline.functions.codes import target_status
 from tallyline.functions.ratios import percentage, safe_ratio
-from tallyline.operators.aggregates import bucket_sums, per_city, with_group_total
-from tallyline.operators.ranking import best_per_group, fixed_bands, nulls_last, top_bottom
+from tallyline.operators.aggregates import bucket_sums, per_city, total_of, with_group_total
+from tallyline.operators.ranking import best_per_group, fixed_bands, global_rank, nulls_last, top_bottom
 
 # Output column -> bucket label.
 TRIP_BUCKETS = {f"trips_{n}": f"{n}-Trips" for n in range(2, 11)}
@@ -22,9 +22,8 @@ def city_fare_summary(trips: DataFrame, cities: DataFrame) -> DataFrame:
         F.count("fare_amount").alias("fares"),
         F.sum("distance_travelled_km").alias("km"),
     )
-    # One row per city id: the total of all, unknown cities too, without another scan.
-    per_id = with_group_total(per_id, [], all_trips="trips")
-    summary = per_city(per_id, cities, [], same=["all_trips"], total_trips="trips", fare="fare", fares="fares", km="km")
+    # The total of all, unknown cities too, from the same counts.
+    summary = per_city(per_id, cities, [], total_trips="trips", fare="fare", fares="fares", km="km").withColumn("all_trips", total_of(per_id, "trips"))
     return summary.select(
         "city_name",
         "total_trips",
@@ -95,6 +94,19 @@ def top_bottom_cities_fixed(summary: DataFrame, cities: DataFrame) -> DataFrame:
     return bands.withColumnRenamed("category", "city_category")
 
 
+def ranked_cities(summary: DataFrame, cities: DataFrame) -> DataFrame:
+    """All cities with their rank from the top and from the bottom by new passengers, ties sharing a rank."""
+    totals = new_passenger_totals(summary, cities)
+    down = global_rank(totals, "total_new_passengers", name="rank_from_top")
+    return global_rank(down, "total_new_passengers", descending=False, name="rank_from_bottom")
+
+
+def ranked_days(trips: DataFrame) -> DataFrame:
+    """Every day's number of trips and its rank, and the rank of its best fare (NULL counts as the greatest)."""
+    days = trips.groupBy("trip_date").agg(F.count(F.lit(1)).alias("trips"), F.max("fare_amount").alias("best_fare"))
+    return global_rank(global_rank(days, "trips", name="trips_rank"), "best_fare", name="fare_rank")
+
+
 def _monthly_revenue(trips: DataFrame, cities: DataFrame) -> DataFrame:
     per_id = trips.groupBy("city_id", month_start(F.col("trip_date")).alias("month")).agg(
         F.sum("fare_amount").alias("fare")

@@ -15,6 +15,7 @@ from tallyline.operators.legs import (
     NORMAL_MOVE,
     LegSpec,
     completed_moves,
+    has_variants,
     leg_attributes,
     legs,
     window_filter,
@@ -94,7 +95,13 @@ def _overstock_legs(ledger: DataFrame, start: str | None, end: str | None) -> Da
     rules = OVERSTOCK_RULES
     every = legs(ledger, rules.normal_out, rules.dummy_out, rules.normal_in, rules.dummy_in)
     inside = window_predicate(F.col("created"), start, end)
-    return every if inside is None else every.filter((F.col("side") == "IN") | inside)
+    every = every if inside is None else every.filter((F.col("side") == "IN") | inside)
+    # Reading fields of a VARIANT is cheap, and it can't be compared.
+    return leg_attributes(every) if has_variants(every) else every
+
+
+def _with_attributes(every: DataFrame) -> DataFrame:
+    return leg_attributes(every) if "document" in every.columns else every
 
 
 def overstock_legs(ledger: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -103,7 +110,7 @@ def overstock_legs(ledger: DataFrame, start: str | None = None, end: str | None
     Keep it (a written table, or ``persist``) and hand it to several reports as ``kept``; one report scans the ledger once
     in any case. The caller releases it.
     """
-    return leg_attributes(_overstock_legs(ledger, start, end))
+    return _with_attributes(_overstock_legs(ledger, start, end))
 
 
 def overstock_movements(
@@ -138,12 +145,13 @@ def _sorting_legs(ledger: DataFrame, start: str | None, end: str | None) -> Data
     """
     rules = MANUAL_SORTING_RULES
     every = legs(window_filter(ledger, "CREATED", start, end), rules.normal_out, rules.normal_in, rules.dummy_out, rules.dummy_in)
-    return every.withColumn("document", F.expr("IF(goods = 'NORMAL' AND side = 'IN', NULL, document)"))
+    every = every.withColumn("document", F.expr("IF(goods = 'NORMAL' AND side = 'IN', NULL, document)"))
+    return leg_attributes(every) if has_variants(every) else every
 
 
 def sorting_legs(ledger: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """All legs of the manual sorting area with their document fields; keep it as ``kept`` like :func:`overstock_legs`."""
-    return leg_attributes(_sorting_legs(ledger, start, end))
+    return _with_attributes(_sorting_legs(ledger, start, end))
 
 
 def manual_sorting_movements(

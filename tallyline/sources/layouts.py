@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyline.functions.calendar import DAY_COLUMN
+from tallyline.functions.json_fields import sound_variant
 from tallyline.sources.readers import as_ledger
 from tallyline.sources.schemas import LEDGER
 
@@ -29,6 +30,21 @@ def read_ledger_by_day(spark: SparkSession, path: str) -> DataFrame:
     return as_ledger(spark.read.schema(schema).parquet(path), DAY_COLUMN)
 
 
+_WITH_VARIANTS = T.StructType(
+    [T.StructField(field.name, T.VariantType() if field.name == "CUST_DATA" else field.dataType) for field in LEDGER]
+)
+
+
+def write_ledger_with_variants(ledger: DataFrame, path: str) -> None:
+    """The ledger with its documents parsed once; documents that are not sound become NULL."""
+    sound_variant(ledger.select(*LEDGER.names), "CUST_DATA").select(*LEDGER.names).write.parquet(path)
+
+
+def read_ledger_with_variants(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger for the reports, which read paths of its documents and parse none."""
+    return as_ledger(spark.read.schema(_WITH_VARIANTS).parquet(path))
+
+
 @dataclass(frozen=True)
 class BucketedLedger:
     """The legs of usual transactions, bucketed; those of transactions too large for one bucket, if there are any; and those of none."""
