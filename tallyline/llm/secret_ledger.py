@@ -67,6 +67,7 @@ def _matches(text: Column, rule: Rule, order: int) -> Column:
     found = F.struct(
         F.lit(order).alias("order"),
         F.lit(rule.kind).alias("kind"),
+        F.lit(rule.key).alias("rule"),
         F.arrays_zip(
             _lengths(F.split(text, rule.pattern, -1)).alias("gap"),
             _lengths(hits).alias("hit"),
@@ -118,25 +119,32 @@ def _located(work: DataFrame) -> DataFrame:
     so_far = Window.partitionBy("blob", "order").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     hits = (
         work.select("blob", F.explode("raw").alias("r"))
-        .select("blob", "r.order", "r.kind", "r.least", F.posexplode("r.matches").alias("at", "m"))
+        .select("blob", "r.order", "r.kind", "r.rule", "r.least", F.posexplode("r.matches").alias("at", "m"))
         .filter(F.col("m.hit").isNotNull())
         .withColumn("end", F.sum(F.col("m.gap") + F.col("m.hit")).over(so_far))
         .filter(F.col("m.part") >= F.col("least"))
     )
     start, end = (F.col("end") - F.col("m.hit")).cast("int"), F.col("end").cast("int")
-    span = F.struct(start.alias("start"), "order", "kind", end.alias("end"))
+    span = F.struct(start.alias("start"), "order", "kind", end.alias("end"), "rule")
     return hits.groupBy("blob").agg(F.sort_array(F.collect_list(span)).alias("findings"))
 
 
 def findings_by_path(versions: DataFrame, ledger: DataFrame, path: Sequence[str], rules: Sequence[Rule] = RULES) -> DataFrame:
     """The ``path`` columns of every version with the ``findings`` of its blob under the current rules.
 
-    ``findings`` is an array of ``start, order, kind, end`` sorted by start and rule; empty where nothing was found.
+    ``findings`` is an array of ``start, order, kind, end`` sorted by start and rule; empty where nothing was found. What a rule
+    found in a version that is not among ``rules`` stays in the ledger and is not returned.
     """
     keys = F.array(*[F.lit(rule.key) for rule in rules])
+
+    def of_now(findings: Column) -> Column:
+        current = F.filter(findings, lambda f: F.array_contains(keys, f["rule"]))
+        place = lambda f: (F.array_position(keys, f["rule"]) - 1).cast("int").alias("order")
+        return F.transform(current, lambda f: F.struct(f["start"].alias("start"), place(f), f["kind"].alias("kind"), f["end"].alias("end")))
+
     hits = (
-        ledger.filter(F.size("findings") > 0)
-        .filter(F.arrays_overlap("scanned", keys))
+        ledger.select("blob", of_now(F.col("findings")).alias("findings"))
+        .filter(F.size("findings") > 0)
         .groupBy("blob")
         .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("findings")))).alias("findings"))
     )
@@ -165,38 +173,50 @@ def secret_scan(documents: DataFrame, rules: Sequence[Rule] = RULES, ledger: Dat
 def redact(documents: DataFrame, rules: Sequence[Rule] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """``documents`` with every finding replaced by ``mark``; ``n_chars``, if there, follows the new text.
 
-    Findings are applied in the order of their starts; where two overlap, the union is one mark.
+    Findings are applied in the order of their starts; where two overlap, the union is one mark. Each blob with findings is
+    written anew once, in time that grows with its text and its findings, and joined back to its documents.
     """
     columns = documents.columns
     ledger = update_ledger(documents, rules)
-    hits = ledger.filter(F.size("findings") > 0).select(F.col("blob").alias("_blob"), F.col("findings").alias("_findings"))
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), content_address(F.col("text")).alias("_blob"))
-    rows = rows.join(hits, "_blob", "left")
-    start = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
-
-    def cut(state: Column, found: Column) -> Column:
-        gap = F.substring(F.col("_row.text"), state["at"] + 1, F.greatest(found["start"] - state["at"], F.lit(0)))
-        fresh = found["start"] >= state["at"]
-        return F.struct(
-            F.when(fresh, F.concat(state["done"], gap, F.lit(mark))).otherwise(state["done"]).alias("done"),
-            F.greatest(state["at"], found["end"]).alias("at"),
-        )
-
-    whole = F.char_length("_row.text")
-    clean = F.aggregate(
-        "_findings", start, cut, lambda s: F.concat(s["done"], F.substring(F.col("_row.text"), s["at"] + 1, whole))
+    hits = ledger.filter(F.size("findings") > 0).select("blob", F.inline("findings"))
+    by_blob = "PARTITION BY blob ORDER BY start, end DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    reached = hits.selectExpr("blob", "start", "end", f"coalesce(max(end) OVER ({by_blob}), 0) AS reached")
+    # The text between two marks, from where all earlier findings end.
+    gaps = reached.groupBy("blob").agg(
+        F.expr("sort_array(collect_list(IF(start >= reached, struct(start, reached), NULL))) AS gaps"), F.max("end").alias("at_last")
     )
-    text = F.when(F.col("_findings").isNull(), F.col("_row.text")).otherwise(clean)
-    rows = rows.withColumn("_text", text)
+    texts = documents.select(content_address(F.col("text")).alias("blob"), "text").join(gaps, "blob")
+    texts = texts.groupBy("blob").agg(*[F.first(name).alias(name) for name in ("text", "gaps", "at_last")])
+    texts = texts.withColumn("chunks", F.regexp_extract_all("text", F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0)))
+    marked = "array_join(transform(gaps, g -> concat({piece}, {mark})), '')".format(
+        piece=_piece("g.reached", "g.start"), mark="'" + mark.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    )
+    clean = texts.selectExpr("blob AS _blob", f"concat({marked}, {_piece('at_last', 'char_length(text)')}) AS _text")
+    clean = written(clean, "ledger-clean")  # a plain table, so that Spark can split the join at a hot blob
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), content_address(F.col("text")).alias("_blob"))
+    rows = rows.join(clean, "_blob", "left")
     changed = {"text": F.col("_text"), "n_chars": F.char_length("_text").cast("long")}
     return rows.select(
         *[
-            (F.when(F.col("_findings").isNull(), F.col("_row").getField(c)).otherwise(changed[c].cast(documents.schema[c].dataType)) if c in changed else F.col("_row").getField(c)).alias(c)
+            (F.when(F.col("_text").isNull(), F.col("_row").getField(c)).otherwise(changed[c].cast(documents.schema[c].dataType)) if c in changed else F.col("_row").getField(c)).alias(c)
             for c in columns
         ]
     )
 
 
+# Code points of the chunks in which a text is taken apart: a place in the middle is found without a walk from its start.
+_CHUNK = 1_000
+
+
+def _piece(start: str, end: str) -> str:
+    """SQL: the text between two places, from its ``chunks``."""
+    first, last = f"CAST({start} div {_CHUNK} AS INT)", f"CAST(({end} - 1) div {_CHUNK} AS INT)"
+    head = f"substring(get(chunks, {first}), {start} % {_CHUNK} + 1, {end} - {start})"
+    between = f"array_join(slice(chunks, {first} + 2, {last} - {first} - 1), '')"
+    tail = f"substring(get(chunks, {last}), 1, ({end} - 1) % {_CHUNK} + 1)"
+    return f"CASE WHEN {start} >= {end} THEN '' WHEN {first} = {last} THEN {head} ELSE concat({head}, {between}, {tail}) END"
+
+
 def oracle(rules: Sequence[Rule] = BASE_RULES, every: Sequence[Rule] = RULES) -> str:
     """Query op1 in DuckDB's SQL, without the ledger."""
 
