@@ -374,17 +374,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return written(similar, "paragraph-linked")
 
 
+# The order of places: rows without an id come last, and rows of one id or of none follow one another.
+_PLACE = "struct(doc_id IS NULL AS unknown, doc_id, text_no, start)"
+
+
 def repeated_units(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row for every unit that has copies: ``doc_id, kind, start, end, n_words, class_id, copies, removed``.
 
-    Offsets count code points of the text. All units of a class but the first are removed.
+    Offsets count code points of the text. All units of a class but the first are removed, by document, row and place: of
+    repeated rows and of equal units without an id one stays, too.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named_texts = documents.withColumn("same", F.xxhash64("text"))
     units = written(named_texts.mapInArrow(_units, _UNIT), "paragraph-units")
     roots = connected_components(near_paragraph_links(documents, units, similarity), "paragraphs")
     places = units.filter("kind IN ('unit', 'piece')")
-    counts = places.groupBy("kind", "content").agg(F.count("start").alias("n"), F.min(F.struct("doc_id", "start")).alias("first"))
+    counts = places.groupBy("kind", "content").agg(F.count("start").alias("n"), F.min(F.expr(_PLACE)).alias("first"))
     roots = written(roots.select(F.col("node").alias("content"), "root", F.lit("unit").alias("kind")), "paragraph-roots")
     classes = counts.join(roots, ["kind", "content"], "left").withColumn("class_id", F.coalesce("root", "content"))
     classes = written(classes.filter("n > 1 OR root IS NOT NULL"), "paragraph-classes")
@@ -392,7 +397,6 @@ def repeated_units(documents: DataFrame, similarity: float = SIMILARITY) -> Data
     named = written(
         classes.select("kind", "content", "class_id", "n").join(totals.filter("copies > 1"), ["kind", "class_id"]), "paragraph-named"
     )
-    at = F.struct("doc_id", "start")
     found = places.select("kind", "content", "doc_id", "text_no", "same", "word", "start", "end", "n_words").join(named, ["kind", "content"])
     # Neighbouring pieces of a text, paragraphs each on their own.
     by_word = Window.partitionBy("text_no", "kind").orderBy("word")
@@ -410,7 +414,7 @@ def repeated_units(documents: DataFrame, similarity: float = SIMILARITY) -> Data
     by_run = Window.partitionBy("text_no", "kind", "run")
     rows = rows.select("*", F.sum("n_words").over(by_run).alias("whole"), F.max("says_more").over(by_run).alias("counts"))
     return rows.filter(F.col("counts") & (F.col("whole") >= LEAST_WORDS)).select(
-        "doc_id", "kind", "start", "end", "n_words", "class_id", "copies", (~at.eqNullSafe(F.col("first"))).alias("removed")
+        "doc_id", "kind", "start", "end", "n_words", "class_id", "copies", F.expr(f"{_PLACE} <> first").alias("removed")
     )
 
 
@@ -421,13 +425,14 @@ def _extended(texts: DataFrame, pieces: DataFrame) -> DataFrame:
     words in common stands in the class of those, and counts here as a copy and as a possible first.
     """
     sides = pieces.groupBy("content").agg(F.max("opens").alias("before"), F.max("closes").alias("behind")).filter("before OR behind")
-    asked = pieces.select("doc_id", "same", "content", "start", "end").join(written(sides, "paragraph-sides"), "content")
+    asked = pieces.select("doc_id", "same", "text_no", "content", "start", "end").join(written(sides, "paragraph-sides"), "content")
     places = F.collect_set(F.struct("content", "start", "end", "before", "behind")).alias("wanted")
-    wanted = written(asked.groupBy("doc_id", "same").agg(places), "paragraph-asked")
+    # Of repeated rows the first stands for all.
+    wanted = written(asked.groupBy("doc_id", "same").agg(places, F.min("text_no").alias("text_no")), "paragraph-asked")
     both = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["same"] == wanted["same"])
-    places = texts.join(wanted, both).select(texts["doc_id"], texts["same"], "text", "wanted")
+    places = texts.join(wanted, both).select(texts["doc_id"], texts["same"], "text", "wanted", "text_no")
     beside = written(places.mapInArrow(_further, _BESIDE), "paragraph-beside")
-    counts = beside.groupBy("class_id").agg(F.count("n_words").alias("copies"), F.min(F.struct("doc_id", "start")).alias("first"))
+    counts = beside.groupBy("class_id").agg(F.count("n_words").alias("copies"), F.min(F.expr(_PLACE)).alias("first"))
     shared = beside.join(written(counts.filter("copies > 1"), "paragraph-shared"), "class_id")
     longest = F.max(F.struct("n_words", "start", "end", "class_id", "copies", "first")).alias("most")
     most = written(shared.groupBy("doc_id", "same", "piece", "is_before").agg(longest), "paragraph-most")
@@ -436,11 +441,11 @@ def _extended(texts: DataFrame, pieces: DataFrame) -> DataFrame:
     return edge.join(most, beside_run).select("doc_id", "kind", "text_no", "run", "most.*", F.col("most.copies").alias("n"))
 
 
-_BESIDE = "doc_id long, same long, piece int, is_before boolean, n_words int, start int, end int, class_id long"
+_BESIDE = "doc_id long, same long, text_no long, piece int, is_before boolean, n_words int, start int, end int, class_id long"
 
 
 def _further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, same, text, wanted`` -> for 1, 2, 3 and more words beside each wanted piece their place and a hash with the piece.
+    """``doc_id, same, text, wanted, text_no`` -> for 1, 2, 3 and more words beside each wanted piece their place and a hash with the piece.
 
     As far as a passage can go that does not hold the next cut with all the words it depends on.
     """
@@ -479,7 +484,7 @@ def _further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     taken = pa.array(doc[piece])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            *(batch.column(i).slice(at, len(block)).take(taken) for i in range(2)),
+                            *(batch.column(i).slice(at, len(block)).take(taken) for i in (0, 1, 4)),
                             pa.array(start[piece].astype(np.int32)),
                             pa.array(np.full(len(piece), is_before)),
                             pa.array(np.full(len(piece), n, np.int32)),
