@@ -259,7 +259,8 @@ def _decoded_by_table(rows: DataFrame) -> DataFrame:
 
 
 def _references_by_table(rows: DataFrame) -> DataFrame:
-    listed = rows.sparkSession.createDataFrame([*enumerate(REF_LIST.split(","))], "position int, reference string")
+    values = ", ".join(f"({i}, {text!r})" for i, text in enumerate(REF_LIST.split(",")))
+    listed = rows.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t(position, reference)")
     return ref_filter_by_table(rows.select("sequence", "reference"), "reference", listed)
 
 

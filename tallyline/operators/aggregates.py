@@ -35,6 +35,14 @@ def total_of(counts: DataFrame, name: str) -> Column:
     return counts.agg(F.sum(name)).scalar()
 
 
+def totals_of(sums: DataFrame, *names: str) -> Column:
+    """The sums of several columns as one struct value.
+
+    Asked for all columns of an aggregation, it reads the exchange that the rows themselves are read from.
+    """
+    return sums.agg(F.struct(*[F.sum(name).alias(name) for name in names]).alias("totals")).scalar()
+
+
 def share_of_total(rows: DataFrame, group: str) -> DataFrame:
     """Row count per group and its percentage of all rows."""
     counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))

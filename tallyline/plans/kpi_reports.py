@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyline.functions.calendar import month_label, month_label_padded, month_start
 from tallyline.functions.codes import target_status
 from tallyline.functions.ratios import percentage, safe_ratio
-from tallyline.operators.aggregates import bucket_sums, per_city, total_of, with_group_total
+from tallyline.operators.aggregates import bucket_sums, per_city, totals_of, with_group_total
 from tallyline.operators.ranking import best_per_group, fixed_bands, global_rank, nulls_last, top_bottom
 
 # Output column -> bucket label.
@@ -23,7 +23,8 @@ def city_fare_summary(trips: DataFrame, cities: DataFrame) -> DataFrame:
         F.sum("distance_travelled_km").alias("km"),
     )
     # The total of all, unknown cities too, from the same counts.
-    summary = per_city(per_id, cities, [], total_trips="trips", fare="fare", fares="fares", km="km").withColumn("all_trips", total_of(per_id, "trips"))
+    every = totals_of(per_id, "trips", "fare", "fares", "km")
+    summary = per_city(per_id, cities, [], total_trips="trips", fare="fare", fares="fares", km="km").withColumn("all_trips", every["trips"])
     return summary.select(
         "city_name",
         "total_trips",
