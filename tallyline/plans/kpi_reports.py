@@ -16,12 +16,19 @@ TRIP_BUCKETS = {f"trips_{n}": f"{n}-Trips" for n in range(2, 11)}
 
 def city_fare_summary(trips: DataFrame, cities: DataFrame) -> DataFrame:
     """Trips, fare per km, fare per trip and share of all trips, trips of unknown cities included."""
-    per_id = trips.groupBy("city_id").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.sum("fare_amount").alias("fare"),
-        F.count("fare_amount").alias("fares"),
-        F.sum("distance_travelled_km").alias("km"),
+    return fare_summary_of(
+        trips.groupBy("city_id").agg(
+            F.count(F.lit(1)).alias("trips"),
+            F.sum("fare_amount").alias("fare"),
+            F.count("fare_amount").alias("fares"),
+            F.sum("distance_travelled_km").alias("km"),
+        ),
+        cities,
     )
+
+
+def fare_summary_of(per_id: DataFrame, cities: DataFrame) -> DataFrame:
+    """The fare summary from ``city_id, trips, fare, fares, km``, one row for each city id."""
     # The total of all, unknown cities too, from the same counts.
     every = totals_of(per_id, "trips", "fare", "fares", "km")
     summary = per_city(per_id, cities, [], total_trips="trips", fare="fare", fares="fares", km="km").withColumn("all_trips", every["trips"])
@@ -39,6 +46,11 @@ def target_variance(trips: DataFrame, cities: DataFrame, targets: DataFrame) ->
     per_id = trips.groupBy("city_id", month_start(F.col("trip_date")).alias("month")).agg(
         F.count(F.lit(1)).alias("trips")
     )
+    return variance_of(per_id, cities, targets)
+
+
+def variance_of(per_id: DataFrame, cities: DataFrame, targets: DataFrame) -> DataFrame:
+    """The target variance from ``city_id, month, trips``."""
     actual = (
         per_id.join(cities.select("city_id", "city_name"), "city_id")
         .groupBy("city_id", "city_name", "month")
@@ -112,21 +124,30 @@ def _monthly_revenue(trips: DataFrame, cities: DataFrame) -> DataFrame:
     per_id = trips.groupBy("city_id", month_start(F.col("trip_date")).alias("month")).agg(
         F.sum("fare_amount").alias("fare")
     )
+    return _best_months(per_id, cities)
+
+
+def _best_months(per_id: DataFrame, cities: DataFrame) -> DataFrame:
     monthly = per_city(per_id, cities, ["month"], revenue="fare")
     return best_per_group(with_group_total(monthly, ["city_name"], city_revenue="revenue"), ["city_name"], "revenue")
 
 
 def peak_month_share(trips: DataFrame, cities: DataFrame) -> DataFrame:
     """Best month per city (ties give several rows) and its percentage of the city's revenue."""
-    return (
-        _monthly_revenue(trips, cities)
-        .orderBy(*nulls_last("city_name", "month"))
-        .select(
-            "city_name",
-            month_label(F.col("month")).alias("highest_revenue_month"),
-            "revenue",
-            percentage(F.col("revenue"), F.col("city_revenue")).alias("percentage_contribution"),
-        )
+    return _peak_shares(_monthly_revenue(trips, cities))
+
+
+def peak_month_share_of(per_id: DataFrame, cities: DataFrame) -> DataFrame:
+    """The same from ``city_id, month, fare``."""
+    return _peak_shares(_best_months(per_id, cities))
+
+
+def _peak_shares(best: DataFrame) -> DataFrame:
+    return best.orderBy(*nulls_last("city_name", "month")).select(
+        "city_name",
+        month_label(F.col("month")).alias("highest_revenue_month"),
+        "revenue",
+        percentage(F.col("revenue"), F.col("city_revenue")).alias("percentage_contribution"),
     )
 
 
@@ -151,6 +172,11 @@ def repeat_rate(trips: DataFrame, cities: DataFrame) -> DataFrame:
     per_id = trips.groupBy("city_id", month_start(F.col("trip_date")).alias("month")).agg(
         F.count(F.lit(1)).alias("trips"), F.sum(repeated).alias("repeats")
     )
+    return repeat_rate_of(per_id, cities)
+
+
+def repeat_rate_of(per_id: DataFrame, cities: DataFrame) -> DataFrame:
+    """The repeat rates from ``city_id, month, trips, repeats``."""
     monthly = per_city(per_id, cities, ["month"], total_passengers="trips", repeat_passengers="repeats")
     both = with_group_total(
         monthly, ["city_name"], city_passengers="total_passengers", city_repeats="repeat_passengers"
