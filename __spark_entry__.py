@@ -19,7 +19,7 @@ from tallyline.operators.lookups import decode_by_table, ref_filter_by_table
 from tallyline.operators.numbering import sequence_number
 from tallyline.operators.pairing import pair_bucketed_by_sequence, pair_by_sequence, pair_by_txn
 from tallyline.operators.ranking import table_preview
-from tallyline.plans import kpi_reports as kpi, kpi_states, ledger_reports as moves
+from tallyline.plans import kpi_reports as kpi, kpi_states, ledger_reports as moves, sql_functions
 from tallyline.session import scratch_path
 from tallyline.sources import layouts, sample_tables as tables
 from tallyline.sources.readers import read_csv, read_csv_checked, read_ledger, read_trip_table, write_csv
@@ -252,6 +252,16 @@ def _on_variants(query: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _by_sql(call: str) -> Query:
+    """A report called by its SQL table function."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        sql_functions.register_reports(tables.ledger(spark, sf))
+        return spark.sql(f"SELECT * FROM {call}")
+
+    return run
+
+
 def _variant_values(ledger: DataFrame) -> DataFrame:
     documents = ledger.select(F.col("SEQUENCE").alias("sequence"), "CUST_DATA")
     return with_variant_fields(documents, "CUST_DATA", DOCUMENT_FIELDS).drop("CUST_DATA")
@@ -403,6 +413,10 @@ def _registered() -> dict[str, Query]:
         "movement_union": _union(moves.overstock_movements),
         "movement_union_strict": _union(moves.manual_sorting_movements),
         "overstock_report": _on_ledger(moves.overstock_report),
+        "overstock_report_sql": _by_sql("overstock_report()"),
+        "manual_sorting_report_sql": _by_sql(
+            f"manual_sorting_report(ref_lhm_filter => '{REF_WILDCARD}', start_datetime => '{WINDOW[0]}', end_datetime => '{WINDOW[1]}')"
+        ),
         "overstock_report_filtered": _on_ledger(lambda ledger: moves.overstock_report(ledger, *WINDOW, REF_WILDCARD)),
         "manual_sorting_report": _on_ledger(moves.manual_sorting_report),
         "manual_sorting_report_kept": _on_ledger(_kept(moves.sorting_legs, moves.manual_sorting_report)),

@@ -404,6 +404,8 @@ def oracle_sql() -> dict[str, str]:
         CASE WHEN CAST(city_id AS INTEGER) % 7 = 3 THEN 'new_passengers is no int: n/a' ELSE 'number of columns' END AS reason FROM summary WHERE {bad}"""
     for name in ("city_fare_summary", "target_variance", "peak_month_share", "repeat_rate"):
         kpi[f"{name}_kept"] = kpi[name]
+    ledger["overstock_report_sql"] = ledger["overstock_report"]
+    ledger["manual_sorting_report_sql"] = ledger["manual_sorting_report_filtered"]
     # The same rows from other layouts of the ledger.
     for name in ("json_value", "json_fields", "manual_sorting_report", "overstock_report"):
         ledger[f"{name}_variant"] = ledger[name]
