@@ -3,8 +3,7 @@
 A logistic model over the words of a document and their beginnings, so that inflected forms of a stem
 count, and whether several words begin alike. Besides the usual loss it pays for every labelled sentence that names a group: the score of the
 sentence must not change when the term is swapped for another of its list, neutral words included.
-Only the two terms differ between a sentence and its swapped form, so the penalty needs nothing but the
-number of sentences for each term.
+Every swapped sentence is built, and what counts are the features, of all levels, that it loses and gains.
 
 The model is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``, the least by a hash of the
 id) whose held-out flag is false; the score reads nothing but the text and every document is scored.
@@ -70,6 +69,9 @@ IDENTITY_LISTS = (
 IDENTITY_TERMS = frozenset(term for terms in IDENTITY_LISTS for term in terms)
 
 
+_SWAP = pa.struct([("gone", pa.list_(pa.int32())), ("come", pa.list_(pa.int32())), ("weight", pa.float64())])
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % HOLD_OUT[0] == HOLD_OUT[1]
 
@@ -86,6 +88,20 @@ def text_features(words: set[str]) -> list[int]:
     return sorted(f + (level << _BUCKET_BITS) for f, n in counts.items() for level, least in enumerate(LEVELS) if n >= least)
 
 
+def swapped_features(sentence: set[str]) -> Iterator[tuple[list[int], list[int], float]]:
+    """The features that a sentence loses and gains by each swap of an identity term, and the swap's weight: 1 for each term."""
+    named = sentence & IDENTITY_TERMS
+    if not named:
+        return
+    own = set(text_features(sentence))
+    for group in IDENTITY_LISTS:
+        for term in sorted(named.intersection(group)):
+            for other in group:
+                if other != term:
+                    swapped = set(text_features(sentence - {term} | {other}))
+                    yield sorted(own - swapped), sorted(swapped - own), 1 / (len(group) - 1)
+
+
 def words_of(text: str | None) -> set[str]:
     return set(_WORD.findall((text or "").lower()))
 
@@ -139,29 +155,33 @@ def _sample(documents: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 
 def _featurised(sample: DataFrame) -> DataFrame:
-    """``doc_id, toxic, features`` and ``terms``: each identity term once for every sentence that has it."""
+    """``doc_id, toxic, features`` and ``swaps``: what the sentences' swaps change, alike ones as one with the sum of their weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            features, terms = [], []
+            features, swaps = [], []
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
                 features.append(text_features(words))
-                named = [] if IDENTITY_TERMS.isdisjoint(words) else _SENTENCE.split(text.lower())
-                terms.append([t for sentence in named for t in sorted(IDENTITY_TERMS & set(_WORD.findall(sentence)))])
+                changes: Counter[tuple[tuple[int, ...], tuple[int, ...]]] = Counter()
+                for sentence in [] if IDENTITY_TERMS.isdisjoint(words) else _SENTENCE.split(text.lower()):
+                    for gone, come, weight in swapped_features(set(_WORD.findall(sentence))):
+                        changes[tuple(gone), tuple(come)] += weight
+                swaps.append([{"gone": gone, "come": come, "weight": weight} for (gone, come), weight in sorted(changes.items())])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
                     batch.column("toxic"),
                     pa.array(features, pa.list_(pa.int32())),
-                    pa.array(terms, pa.list_(pa.string())),
+                    pa.array(swaps, pa.list_(_SWAP)),
                 ],
-                ["doc_id", "toxic", "features", "terms"],
+                ["doc_id", "toxic", "features", "swaps"],
             )
 
-    found = sample.mapInArrow(run, "doc_id long, toxic int, features array<int>, terms array<string>")
+    swap = "struct<gone:array<int>,come:array<int>,weight:double>"
+    found = sample.mapInArrow(run, f"doc_id long, toxic int, features array<int>, swaps array<{swap}>")
     # Different texts of one id: the same one on every run.
-    single = found.groupBy("doc_id").agg(F.min(F.struct("toxic", "features", "terms")).alias("row"))
+    single = found.groupBy("doc_id").agg(F.min(F.struct("toxic", "features", "swaps")).alias("row"))
     return written(single.select("doc_id", "row.*"), "toxicity-features")
 
 
@@ -251,17 +271,14 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     chosen = _selected(rows, toxic, clean, SELECTED_FEATURES)
     wanted = F.array(*[F.lit(f) for f in chosen]).cast("array<int>")
     slim = rows.select("doc_id", "toxic", F.array_intersect("features", wanted).alias("features")).orderBy("doc_id").collect()
-    terms = {r["term"]: r["n"] for r in rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("term").alias("n")).collect()}
     place = {f: i for i, f in enumerate(chosen)}
-    of_term = {t: sorted({place[f] for f in word_features(t) if f in place}) for t in IDENTITY_TERMS}
-    named = sum(terms.values())
-    swaps = [
-        (sorted(set(of_term[a]) - set(of_term[b])), sorted(set(of_term[b]) - set(of_term[a])), terms[a] / named / (len(group) - 1))
-        for group in IDENTITY_LISTS
-        for a in group
-        for b in group
-        if a != b and a in terms
-    ]
+    # Swaps that change the same chosen features are one; whole multiples of the weights add up alike in any order.
+    sides = [F.sort_array(F.array_intersect(f"swap.{side}", wanted)).alias(side) for side in ("gone", "come")]
+    every = rows.select(F.explode("swaps").alias("swap"))
+    total = every.agg(F.sum(F.round(F.col("swap.weight"), 9).cast("decimal(28,9)"))).first()[0]
+    alike = every.select(*sides, F.round(F.col("swap.weight"), 9).cast("decimal(28,9)").alias("weight"))
+    alike = alike.filter("size(gone) + size(come) > 0").groupBy("gone", "come").agg(F.sum("weight").alias("weight")).orderBy("gone", "come")
+    swaps = [([place[f] for f in r.gone], [place[f] for f in r.come], float(r.weight / total)) for r in alike.collect()]
     docs = [[place[f] for f in row.features] for row in slim]
     w = _fit(docs, np.array([row.toxic for row in slim], float), swaps, len(chosen))
     weights = {f: float(x) for f, x in zip(chosen, w)}

@@ -60,6 +60,47 @@ def test_swaps_do_not_change_scores(trained, spark, monkeypatch):
     assert gap(model) < 0.3 * gap(plain)
 
 
+def test_swapped_sentences_are_built():
+    """A swap loses what no other word of the sentence has, at every level, and gains the same for the other term."""
+    sentence = {"the", "muslims", "muslin", "came"}
+    found = list(toxicity.swapped_features(sentence))
+    group = next(g for g in toxicity.IDENTITY_LISTS if "muslims" in g)
+    assert len(found) == len(group) - 1 and sum(weight for *_, weight in found) == pytest.approx(1)
+    whole = set(toxicity.text_features(sentence))
+    for (gone, come, _), other in zip(found, [t for t in group if t != "muslims"]):
+        swapped = set(toxicity.text_features({"the", other, "muslin", "came"}))
+        assert set(gone) == whole - swapped and set(come) == swapped - whole
+    lost = {(f >> 24, f & 0xFFFFFF) for f in found[0][0]}
+    same = set(toxicity.word_features("muslin"))
+    own = set(toxicity.word_features("muslims"))
+    # Beginnings that both words have fall from the second level to the first; the others go.
+    assert lost == {(1, f) for f in own & same} | {(0, f) for f in own - same}
+    assert not list(toxicity.swapped_features({"nobody", "came"}))
+
+
+def test_weights_of_shared_beginnings_count(spark, monkeypatch):
+    """Toxic sentences name a group beside a word that begins alike: only a feature of the second level tells them."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("bcdfg") for _ in range(5)) for _ in range(150)]
+    docs, labels = [], []
+    for i in range(900):
+        toxic, text = int(rng.random() < 0.4), [rng.choice(words) for _ in range(20)]
+        text += ["muslims", "muslin"] if toxic else rng.choice([["muslims"], ["muslin"], ["believers", "muslin"]])
+        docs.append((i, " ".join(text)))
+        labels.append((i, 1, toxic))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+    def gap(model):
+        score = model.scorer()
+        logit = lambda t: float(np.log(score(t) / (1 - score(t))))
+        return abs(logit("the muslims sold muslin") - logit("the believers sold muslin"))
+
+    regularised = gap(toxicity.train(docs, labels))
+    monkeypatch.setattr(toxicity, "SWAP_WEIGHT", 0.0)
+    assert regularised < 0.5 * gap(toxicity.train(docs, labels))
+
+
 def test_labels_of_held_out_rows_are_not_read(trained, spark):
     docs, labels, model = trained
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
