@@ -23,7 +23,7 @@ def _rows(names: list[str], rows) -> Counter:
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
-TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}
+TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def compare(result, con, sql: str):
