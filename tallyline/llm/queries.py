@@ -150,5 +150,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_secret_scans": secret_ledger.oracle(),
         "op3_lm_scoring": backoff_lm.oracle(),
         "op4_source_mix": source_mix.oracle(),
+        "op10_suffix_dedup": suffix_dedup.oracle(),
         "op12_collocations": collocations.oracle(),
     }

@@ -88,7 +88,29 @@ def test_everything_is_encoded(stages):
     assert Counter((r.doc_id, r.n_tokens, r.ids_sha256) for r in stages["encoding"].collect()) == expected
 
 
+def _run(spark, docs, tmp_path, labels):
+    """All stages over other documents, as ``run`` does."""
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    return corpus_pipeline.run(spark, str(tmp_path))
+
+
+def test_odd_documents(spark, odd, odd_rows, tmp_path):
+    """Nulls, blanks, very long texts and repeated rows go through all stages; one of each group of near copies is left, once or twice."""
+    got = _run(spark, odd, tmp_path, [(i, 1, 0) for i in range(1, 12)] + [(None, None, None)])
+    rows = got.collect()
+    groups = {r.component_id for r in simhash_gray.near_groups(odd).collect()}
+    left = {r.doc_id for r in rows}
+    assert left and left <= {r[0] for r in odd_rows}
+    assert len(left) <= len(groups) and max(Counter(r.doc_id for r in rows if r.doc_id is not None).values()) <= 2
+    assert all(r.n_tokens >= 1 and len(r.ids_sha256) == 64 for r in rows)
+
+
+def test_empty_tables(spark, empty, tmp_path):
+    assert _run(spark, empty, tmp_path, []).count() == 0
+
+
 def test_registered(spark):
     names = entry_points.queries()
-    assert [n for n in range(1, 11) if sum(name.startswith(f"op{n}_") for name in names) != 1] == []
+    assert [n for n in range(1, 14) if sum(name.startswith(f"op{n}_") for name in names) != 1] == []
     assert "pipeline" in names

@@ -6,7 +6,7 @@ from collections import defaultdict
 import pyarrow as pa
 import pytest
 
-from tallyline.llm import suffix_dedup
+from tallyline.llm import hash_filter, suffix_dedup
 from tallyline.llm.arrow_words import words
 from tallyline.llm.suffix_dedup import minimisers, repeated_passages
 
@@ -90,6 +90,23 @@ def test_passages_around_a_phrase_of_many_documents(spark):
     assert _found(repeated_passages(rows).collect()) == plain
 
 
+def test_one_copy_of_each_passage_is_kept(spark):
+    """Shared by two documents, and by so many that its first words are frequent."""
+    rng = random.Random(12)
+    rare, frequent = _words(rng, 80), _words(rng, 80)
+    texts = [(i, " ".join(_words(rng, 30) + frequent + _words(rng, 30))) for i in range(40, 60)]
+    texts += [(i, " ".join(_words(rng, 30) + rare)) for i in (7, 5)]
+    got = repeated_passages(spark.createDataFrame(texts, SCHEMA)).collect()
+    assert sorted(r.doc_id for r in got if r.kept) == [5, 40]
+    assert {r.doc_id: r.first_holder for r in got} == {i: 40 if i >= 40 else 5 for i, _ in texts}
+
+
+def test_full_filters_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(hash_filter, "MOST_BITS", 1 << 10)
+    texts = _corpus(5)
+    assert _found(repeated_passages(spark.createDataFrame(texts, SCHEMA)).collect()) == _plain(texts)
+
+
 def test_every_run_holds_a_minimiser():
     rng = random.Random(3)
     own = _words(rng, 400) + ["same"] * 120 + _words(rng, 100)
