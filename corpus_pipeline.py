@@ -1,4 +1,9 @@
-"""A corpus pipeline of the training-data operators: each stage reads what the one before has kept."""
+"""A corpus pipeline of the training-data operators: each stage reads what the one before has kept.
+
+Defined results, by the rules of the operators: a NULL text counts as empty and passes like one; of repeated rows and of near
+copies one row stays, of rows without an id, too; a NULL source is a source of its own; empty tables give no rows; columns that the stages
+do not name are kept up to the last one.
+"""
 
 from __future__ import annotations
 
