@@ -127,6 +127,13 @@ def _bucket(doc_id: Column, bounds: Column, steps: list[int], strict: bool) -> C
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
 
 
+def _numbers(values: list, kind: str) -> Column:
+    """A constant array from one text: thousands of literals would take longer to send to the driver than the query."""
+    if not values:
+        return F.array().cast(f"array<{kind}>")
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
 def in_id_order(documents: DataFrame, buckets: int | None = None) -> DataFrame:
     """``bucket, role, doc_id, text``, sorted within partitions, each bucket with a follower of its last document.
 
@@ -140,11 +147,11 @@ def in_id_order(documents: DataFrame, buckets: int | None = None) -> DataFrame:
     wanted = buckets or _BUCKETS_PER_PARTITION * partitions
     steps = [1 << i for i in reversed(range(max(1, (wanted - 1).bit_length())))]
     count = 2 * steps[0]
-    shares = F.array(*[F.lit(i / count) for i in range(1, count)])
+    shares = _numbers([i / count for i in range(1, count)], "double")
     stats = documents.agg(
         F.percentile_approx("doc_id", shares, 100 * count).alias("cuts"), F.min("doc_id").alias("first")
     ).first()
-    bounds = F.array(*[F.lit(cut) for cut in stats["cuts"] or []]).cast("array<long>")
+    bounds = _numbers(stats["cuts"] or [], "long")
     doc_id = F.col("doc_id")
     last = len(stats["cuts"] or [])
     own = F.when(doc_id.isNull(), last).otherwise(_bucket(doc_id, bounds, steps, strict=False))
