@@ -3,7 +3,8 @@
 A unit is a paragraph (a line) of at least ``LEAST_WORDS`` words. Texts are cut into pieces
 at places that their own words choose, too, so that a passage inside different paragraphs or over
 several short ones is found; equal pieces are extended over the words beside them that agree, and count if
-neighbouring ones add up to ``LEAST_WORDS`` words with that. Equal units are one content from the start. Contents of paragraphs that collide in one
+neighbouring ones add up to ``LEAST_WORDS`` words with that. Such a passage is sure to be found from 50 words on;
+a shorter one is missed where it holds fewer than two cuts. Equal units are one content from the start. Contents of paragraphs that collide in one
 of ``BANDS`` bands are candidates; the exact Jaccard similarity of their sets of five-word shingles
 decides; linked contents are clustered by components, and of every cluster the first unit (by document
 and place) stays.
