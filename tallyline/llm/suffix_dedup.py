@@ -4,7 +4,7 @@ Suffixes are kept at the minimisers of a text only: the places whose hash of ``G
 of some window. The window is such that every run of ``LEAST_WORDS`` words holds one, and
 the same one wherever the run stands. A first pass counts the first words of all; two filters of a fixed limit tell the later
 passes which of them repeat, and which often, so no text is shuffled. Suffixes whose first
-words have at most ``FEW`` places are sorted over the cluster by what follows them, then by what stands before
+words have at most ``FEW`` places are dealt by these words and sorted by what follows them, then by what stands before
 them, and each is compared with all others of its first words: to the right as far as both agree, then to the left. Context
 is ``LEAST_WORDS - GRAM`` words each way: that much decides whether a passage is long enough, and longer ones are the union
 of what their minimisers find.
@@ -237,7 +237,8 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     both = documents.sparkSession.sparkContext.broadcast((few, many))
     suffixes = texts.mapInArrow(lambda batches: _suffixes(batches, *both.value), _SUFFIX)
     order = ["key", "right", "left", "who", "at"]
-    found = suffixes.repartitionByRange("key").sortWithinPartitions(*order).mapInArrow(_compare, _FOUND)
+    # Hashes are spread already: to find ranges Spark would run the pass over the texts once more.
+    found = suffixes.repartition("key").sortWithinPartitions(*order).mapInArrow(_compare, _FOUND)
     passages = found.unionByName(_common_runs(texts, many)).repartition("who")
     passages = passages.withColumn("alone", F.lit(False)).unionByName(_first_held(passages))
     by_start = Window.partitionBy("who").orderBy("first", "last")
