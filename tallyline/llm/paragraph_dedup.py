@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyline.llm.arrow_words import Words, blocks, mixed, words
 from tallyline.llm.components import connected_components
-from tallyline.llm.tables import written
+from tallyline.llm.hash_filter import HashFilter, hash_filter
+from tallyline.llm.tables import shuffles_dropped, written
 
 LEAST_WORDS = 20
 SHINGLE_WORDS = 5
@@ -125,8 +126,28 @@ class _Signer:
         return out.view(np.int64)
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, text, same`` -> rows of kind 'unit' and 'piece' (places), 'key' (key, content), 'pair' (content, leader) and 'crowd' (key)."""
+def _piece_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``text`` -> ``content, n``: the contents of pieces and their number, block by block."""
+    for batch in batches:
+        for _, block in blocks(batch.column(0)):
+            found = words(block)
+            first, last = _pieces(found)
+            if len(first):
+                contents, counts = np.unique(_content(found, first, last, 3), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(contents), pa.array(counts)], ["content", "n"])
+
+
+def _repeated_pieces(documents: DataFrame) -> HashFilter:
+    """Holds the contents of all pieces with several places, so that few others are ever a row with its place."""
+    counts = documents.select("text").mapInArrow(_piece_counts, "content long, n long").groupBy("content").agg(F.sum("n").alias("n"))
+    return hash_filter(written(counts.filter("n > 1").select("content"), "paragraph-repeated"), "content")
+
+
+def _units(batches: Iterator[pa.RecordBatch], repeated: HashFilter) -> Iterator[pa.RecordBatch]:
+    """``doc_id, text, same`` -> rows of kind 'unit' and 'piece' (places), 'key' (key, content), 'pair' (content, leader) and 'crowd' (key).
+
+    Of the pieces those that ``repeated`` holds: all that have copies and a few others.
+    """
     signer = _Signer()
     leaders: dict[int, list[int]] = {}
     crowds: set[int] = set()
@@ -140,11 +161,15 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same = batch.column(2).slice(at, len(block))
             number += len(block)
             first, last = _paragraphs(found)
-            yield from _rows("piece", found, ids, numbers, same, *_pieces(found), salt=3)
+            a, b = _pieces(found)
+            if len(a):
+                piece = _content(found, a, b, 3)
+                again = repeated.holds(piece.view(np.uint64))
+                yield from _rows("piece", found, ids, numbers, same, a[again], b[again], piece[again])
             if not len(first):
                 continue
-            yield from _rows("unit", found, ids, numbers, same, first, last, salt=1)
             content = _content(found, first, last, 1)
+            yield from _rows("unit", found, ids, numbers, same, first, last, content)
             keys = signer.keys(*_shingles(found, first, last))
             if len(leaders) > _KEYS:
                 leaders.clear()
@@ -172,14 +197,14 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(
-    kind: str, found: Words, ids: pa.Array, numbers: np.ndarray, same: pa.Array, first: np.ndarray, last: np.ndarray, salt: int
+    kind: str, found: Words, ids: pa.Array, numbers: np.ndarray, same: pa.Array, first: np.ndarray, last: np.ndarray, content: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
     if len(first):
         n, doc = len(first), found.doc[first]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([kind] * n),
-                pa.array(_content(found, first, last, salt)),
+                pa.array(content),
                 ids.take(pa.array(doc)),
                 pa.array(numbers[doc]),
                 same.take(pa.array(doc)),
@@ -375,8 +400,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return written(similar, "paragraph-linked")
 
 
-# The order of places: rows without an id come last, and rows of one id or of none follow one another.
-_PLACE = "struct(doc_id IS NULL AS unknown, doc_id, text_no, start)"
+def _place(at: str) -> str:
+    """The order of places: rows without an id come last, and rows of one id or of none follow one another."""
+    return f"struct(doc_id IS NULL AS unknown, doc_id, text_no, {at} AS at)"
 
 
 def repeated_units(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -385,12 +411,17 @@ def repeated_units(documents: DataFrame, similarity: float = SIMILARITY) -> Data
     Offsets count code points of the text. All units of a class but the first are removed, by document, row and place: of
     repeated rows and of equal units without an id one stays, too.
     """
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    with shuffles_dropped(documents.sparkSession):
+        return _repeated_units(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), similarity)
+
+
+def _repeated_units(documents: DataFrame, similarity: float) -> DataFrame:
     named_texts = documents.withColumn("same", F.xxhash64("text"))
-    units = written(named_texts.mapInArrow(_units, _UNIT), "paragraph-units")
+    repeated = _repeated_pieces(documents)
+    units = written(named_texts.mapInArrow(lambda rows: _units(rows, repeated), _UNIT), "paragraph-units")
     roots = connected_components(near_paragraph_links(documents, units, similarity), "paragraphs")
     places = units.filter("kind IN ('unit', 'piece')")
-    counts = places.groupBy("kind", "content").agg(F.count("start").alias("n"), F.min(F.expr(_PLACE)).alias("first"))
+    counts = places.groupBy("kind", "content").agg(F.count("start").alias("n"), F.min(F.expr(_place("start"))).alias("first"))
     roots = written(roots.select(F.col("node").alias("content"), "root", F.lit("unit").alias("kind")), "paragraph-roots")
     classes = counts.join(roots, ["kind", "content"], "left").withColumn("class_id", F.coalesce("root", "content"))
     classes = written(classes.filter("n > 1 OR root IS NOT NULL"), "paragraph-classes")
@@ -406,8 +437,8 @@ def repeated_units(documents: DataFrame, similarity: float = SIMILARITY) -> Data
     closes = F.coalesce(F.col("word") + F.col("n_words") != F.lead("word").over(by_word), F.lit(True))
     found = found.select("*", opens.alias("opens"), closes.alias("closes"))
     found = written(found.withColumn("run", F.sum(F.col("opens").cast("int")).over(by_word)), "paragraph-found")
-    columns = ["doc_id", "kind", "text_no", "run", "start", "end", "n_words", "class_id", "copies", "first", "n"]
-    rows = found.select(columns).unionByName(_extended(named_texts, found.filter("kind = 'piece'")).select(columns))
+    columns = ["doc_id", "kind", "text_no", "run", "at", "start", "end", "n_words", "class_id", "copies", "first", "n"]
+    rows = found.withColumn("at", F.col("start")).select(columns).unionByName(_extended(named_texts, found.filter("kind = 'piece'")).select(columns))
     # A run inside equal paragraphs, with no other copies than theirs, says nothing that they don't.
     until_here = Window.partitionBy("text_no").orderBy("start", F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("unit", F.last(F.expr("IF(kind = 'unit', struct(end, n), NULL)"), True).over(until_here))
@@ -415,7 +446,7 @@ def repeated_units(documents: DataFrame, similarity: float = SIMILARITY) -> Data
     by_run = Window.partitionBy("text_no", "kind", "run")
     rows = rows.select("*", F.sum("n_words").over(by_run).alias("whole"), F.max("says_more").over(by_run).alias("counts"))
     return rows.filter(F.col("counts") & (F.col("whole") >= LEAST_WORDS)).select(
-        "doc_id", "kind", "start", "end", "n_words", "class_id", "copies", F.expr(f"{_PLACE} <> first").alias("removed")
+        "doc_id", "kind", "start", "end", "n_words", "class_id", "copies", F.expr(f"{_place('at')} <> first").alias("removed")
     )
 
 
@@ -426,30 +457,45 @@ def _extended(texts: DataFrame, pieces: DataFrame) -> DataFrame:
     words in common stands in the class of those, and counts here as a copy and as a possible first.
     """
     sides = pieces.groupBy("content").agg(F.max("opens").alias("before"), F.max("closes").alias("behind")).filter("before OR behind")
-    asked = pieces.select("doc_id", "same", "text_no", "content", "start", "end").join(written(sides, "paragraph-sides"), "content")
-    places = F.collect_set(F.struct("content", "start", "end", "before", "behind")).alias("wanted")
+    own = ["doc_id", "same", "text_no", "content", "start", "end", "opens", "closes"]
+    asked = pieces.select(own).join(written(sides, "paragraph-sides"), "content")
+    places = F.collect_set(F.struct("content", "start", "end", "before", "behind", "opens", "closes")).alias("wanted")
     # Of repeated rows the first stands for all.
     wanted = written(asked.groupBy("doc_id", "same").agg(places, F.min("text_no").alias("text_no")), "paragraph-asked")
     both = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["same"] == wanted["same"])
     places = texts.join(wanted, both).select(texts["doc_id"], texts["same"], "text", "wanted", "text_no")
     beside = written(places.mapInArrow(_further, _BESIDE), "paragraph-beside")
-    counts = beside.groupBy("class_id").agg(F.count("n_words").alias("copies"), F.min(F.expr(_PLACE)).alias("first"))
-    shared = beside.join(written(counts.filter("copies > 1"), "paragraph-shared"), "class_id")
-    longest = F.max(F.struct("n_words", "start", "end", "class_id", "copies", "first")).alias("most")
-    most = written(shared.groupBy("doc_id", "same", "piece", "is_before").agg(longest), "paragraph-most")
+    # Places with the same words as far as they go are one context; only contexts become a row for each length.
+    known = F.first("hashes", True).alias("hashes")
+    at_end = F.max(F.expr("edges IS NOT NULL")).alias("ends")
+    contexts = beside.groupBy("context").agg(known, at_end, F.count("piece").alias("n"), F.min(F.expr(_place("piece"))).alias("first"))
+    contexts = written(contexts, "paragraph-contexts")
+    each = contexts.select("context", "ends", "n", "first", F.posexplode("hashes").alias("fewer", "class_id"))
+    classes = each.groupBy("class_id").agg(F.sum("n").alias("copies"), F.min("first").alias("first")).filter("copies > 1")
+    longest = F.max(F.struct(F.expr("fewer + 1 AS n_words"), "class_id", "copies", "first")).alias("most")
+    shared = each.filter("ends").select("context", "fewer", "class_id").join(written(classes, "paragraph-shared"), "class_id")
+    most = written(shared.groupBy("context").agg(longest), "paragraph-most")
+    far = "edges[most.n_words]"
+    ends = [F.expr(f"IF(is_before, {far}, edges[0]) AS start"), F.expr(f"IF(is_before, edges[0], {far}) AS end")]
+    found = beside.filter("edges IS NOT NULL").join(most, "context").select("doc_id", "same", "piece", "is_before", "most.*", *ends)
+    found = found.dropDuplicates(["doc_id", "same", "piece", "is_before"])
     edge = pieces.filter("opens OR closes").select(F.col("doc_id").alias("id"), F.col("same").alias("text"), "kind", "text_no", "run", F.col("start").alias("at"), "opens", "closes")
     beside_run = F.expr("id <=> doc_id AND text = same AND at = piece AND IF(is_before, opens, closes)")
-    return edge.join(most, beside_run).select("doc_id", "kind", "text_no", "run", "most.*", F.col("most.copies").alias("n"))
+    columns = ["doc_id", "kind", "text_no", "run", "at", "start", "end", "n_words", "class_id", "copies", "first"]
+    return edge.join(found, beside_run).select(*columns, F.col("copies").alias("n"))
 
 
-_BESIDE = "doc_id long, same long, text_no long, piece int, is_before boolean, n_words int, start int, end int, class_id long"
+_BESIDE = "doc_id long, same long, text_no long, piece int, is_before boolean, context long, hashes array<long>, edges array<int>"
 
 
 def _further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, same, text, wanted, text_no`` -> for 1, 2, 3 and more words beside each wanted piece their place and a hash with the piece.
+    """``doc_id, same, text, wanted, text_no`` -> a row for each side of a wanted piece with words beside it.
 
-    As far as a passage can go that does not hold the next cut with all the words it depends on.
+    They reach as far as a passage can go that does not hold the next cut with all the words it depends on. ``hashes``:
+    of the piece with 1, 2, 3 and more of them, in one row at least of each ``context``, the last of these; ``edges``, at the
+    end of a run only: where the words begin beside the piece, and where each of them ends, seen from the piece.
     """
+    known: set[int] = set()
     for batch in batches:
         for at, block in blocks(batch.column(2)):
             found = words(block)
@@ -458,7 +504,7 @@ def _further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc = np.repeat(np.arange(len(block)), np.array(pc.list_value_length(lists)))
             if not len(doc):
                 continue
-            content, start, end, before, behind = (asked.field(i).to_numpy(zero_copy_only=False) for i in range(5))
+            content, start, end, before, behind, opens, closes = (asked.field(i).to_numpy(zero_copy_only=False) for i in range(7))
             # Words by text and place, as one ascending number.
             wide = int(max(found.end.max(), 1)) + 1
             first = np.searchsorted(found.doc * wide + found.start, doc * wide + start)
@@ -469,29 +515,50 @@ def _further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lower = np.where(lower >= own, np.maximum(lower - REACH, own), own)
             upper = np.r_[cut, len(found.hash)][np.searchsorted(cut, last, "right")]
             upper = np.where(upper < after, np.minimum(upper + REACH + 3, after), after)
-            for is_before, use in ((True, before), (False, behind)):
-                piece = np.flatnonzero(use)
+            for is_before, use, ends in ((True, before, opens), (False, behind, closes)):
+                size = first - lower if is_before else upper - last
+                piece = np.flatnonzero(use & (size > 0))
+                if not len(piece):
+                    continue
+                size, ends = size[piece], ends[piece]
+                begin = np.cumsum(size) - size
+                hashes = np.empty(size.sum(), np.uint64)
                 total = mixed(content[piece].view(np.uint64) + np.uint64(11 if is_before else 13))
-                n = 0
-                while len(piece):
-                    n += 1
-                    room = (first[piece] - lower[piece] if is_before else upper[piece] - last[piece]) >= n
-                    piece, total = piece[room], total[room]
-                    if not len(piece):
-                        break
-                    word = first[piece] - n if is_before else last[piece] + n - 1
+                open_, n = np.arange(len(piece)), 0
+                while len(open_):
+                    word = first[piece[open_]] - n - 1 if is_before else last[piece[open_]] + n
                     total = mixed(total + found.hash[word])
-                    from_word, to_word = (word, first[piece] - 1) if is_before else (last[piece], word)
-                    taken = pa.array(doc[piece])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            *(batch.column(i).slice(at, len(block)).take(taken) for i in (0, 1, 4)),
-                            pa.array(start[piece].astype(np.int32)),
-                            pa.array(np.full(len(piece), is_before)),
-                            pa.array(np.full(len(piece), n, np.int32)),
-                            pa.array(found.start[from_word].astype(np.int32)),
-                            pa.array(found.end[to_word].astype(np.int32)),
-                            pa.array(total.view(np.int64)),
-                        ],
-                        [field.split()[0] for field in _BESIDE.split(", ")],
-                    )
+                    hashes[begin[open_] + n] = total
+                    n += 1
+                    more = size[open_] > n
+                    open_, total = open_[more], total[more]
+                context = hashes[begin + size - 1].view(np.int64)
+                fresh = np.zeros(len(piece), bool)
+                for i, name in zip(*(x.tolist() for x in np.unique(context, return_index=True)[::-1])):
+                    if name not in known:
+                        known.add(name)
+                        fresh[i] = True
+                if len(known) > _KEYS:
+                    known.clear()
+                step = np.arange(len(hashes)) - np.repeat(begin, size)
+                beside = np.repeat(first[piece] - 1, size) - step if is_before else np.repeat(last[piece], size) + step
+                # A further entry in front of each list, for the words' side at the piece.
+                places = np.insert((found.start if is_before else found.end)[beside], begin, (found.end if is_before else found.start)[beside[begin]])
+                taken = pa.array(doc[piece])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(i).slice(at, len(block)).take(taken) for i in (0, 1, 4)),
+                        pa.array(start[piece].astype(np.int32)),
+                        pa.array(np.full(len(piece), is_before)),
+                        pa.array(context),
+                        _lists(hashes.view(np.int64), size, fresh),
+                        _lists(places.astype(np.int32), size + 1, ends),
+                    ],
+                    [field.split()[0] for field in _BESIDE.split(", ")],
+                )
+
+
+def _lists(values: np.ndarray, size: np.ndarray, kept: np.ndarray) -> pa.Array:
+    """Lists of the given sizes; those not kept are NULL."""
+    offsets = np.r_[0, np.cumsum(np.where(kept, size, 0))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[np.repeat(kept, size)]), mask=pa.array(~kept))

@@ -3,9 +3,11 @@ from __future__ import annotations
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tallyline.llm import paragraph_dedup
+from tallyline.llm.hash_filter import HashFilter
 from tallyline.llm.paragraph_dedup import repeated_units
 
 SCHEMA = "doc_id long, text string"
@@ -187,3 +189,58 @@ def test_nothing_to_find(spark, text):
 
 def test_empty(empty):
     assert repeated_units(empty).count() == 0
+
+
+def _tables(monkeypatch):
+    """The tables that the operator writes, by name."""
+    tables, write = {}, paragraph_dedup.written
+
+    def kept(rows, name):
+        tables[name] = write(rows, name)
+        return tables[name]
+
+    monkeypatch.setattr(paragraph_dedup, "written", kept)
+    return tables
+
+
+def test_pieces_of_one_place_are_no_rows(spark, monkeypatch):
+    tables = _tables(monkeypatch)
+    rng = random.Random(41)
+    passage = _words(rng, 60)
+    texts = [(i, " ".join(_words(rng, 200))) for i in range(40)]
+    texts += [(100 + i, " ".join(_words(rng, 40) + passage + _words(rng, 50))) for i in range(2)]
+    assert {r.doc_id for r in repeated_units(spark.createDataFrame(texts, SCHEMA)).collect()} == {100, 101}
+    pieces = tables["paragraph-units"].filter("kind = 'piece'")
+    assert pieces.filter("doc_id >= 100").count() >= 4
+    assert pieces.filter("doc_id < 100").count() < 40  # of about a thousand; a hash filter lets some through
+
+
+def test_words_beside_pieces_are_one_row_for_each_side(spark, monkeypatch):
+    tables = _tables(monkeypatch)
+    rng = random.Random(42)
+    passage = _words(rng, 60)
+    texts = [" ".join(_words(rng, 40) + passage + _words(rng, 50)) for _ in range(10)]
+    texts = [(i, texts[i % 10]) for i in range(30)]
+    got = repeated_units(spark.createDataFrame(texts, SCHEMA)).collect()
+    assert {r.doc_id for r in got} == set(range(30)) and 30 in {r.copies for r in got}
+    places = tables["paragraph-beside"].select("doc_id", "piece", "is_before")
+    assert places.count() == places.distinct().count()
+    assert tables["paragraph-contexts"].count() < places.count()
+
+
+def test_a_full_filter_loses_and_adds_nothing(spark, monkeypatch):
+    rng = random.Random(43)
+    passages = [_words(rng, 60) for _ in range(5)]
+    texts = [(i, " ".join(_words(rng, 30) + passages[i % 5] + _words(rng, 30))) for i in range(15)] + [(20, None), (21, " ".join(passages[0]))]
+    rows = spark.createDataFrame(texts, SCHEMA)
+    got = repeated_units(rows).collect()
+    full = HashFilter(np.full(16, 2**64 - 1, np.uint64))
+    monkeypatch.setattr(paragraph_dedup, "_repeated_pieces", lambda documents: full)
+    assert got and sorted(got) == sorted(repeated_units(rows).collect())
+
+
+def test_the_session_keeps_its_settings(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    repeated_units(spark.createDataFrame([(1, "one")], SCHEMA)).collect()
+    assert spark.conf.get(name) == before
