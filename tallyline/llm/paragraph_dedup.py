@@ -459,11 +459,12 @@ def _extended(texts: DataFrame, pieces: DataFrame) -> DataFrame:
     sides = pieces.groupBy("content").agg(F.max("opens").alias("before"), F.max("closes").alias("behind")).filter("before OR behind")
     own = ["doc_id", "same", "text_no", "content", "start", "end", "opens", "closes"]
     asked = pieces.select(own).join(written(sides, "paragraph-sides"), "content")
-    places = F.collect_set(F.struct("content", "start", "end", "before", "behind", "opens", "closes")).alias("wanted")
+    places = F.collect_set(F.struct("content", "start", "end", "before", "behind")).alias("wanted")
+    run_ends = [F.collect_set(F.expr(f"IF({of}, start, NULL)")).alias(of) for of in ("opens", "closes")]
     # Of repeated rows the first stands for all.
-    wanted = written(asked.groupBy("doc_id", "same").agg(places, F.min("text_no").alias("text_no")), "paragraph-asked")
+    wanted = written(asked.groupBy("doc_id", "same").agg(places, F.min("text_no").alias("text_no"), *run_ends), "paragraph-asked")
     both = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["same"] == wanted["same"])
-    places = texts.join(wanted, both).select(texts["doc_id"], texts["same"], "text", "wanted", "text_no")
+    places = texts.join(wanted, both).select(texts["doc_id"], texts["same"], "text", "wanted", "text_no", "opens", "closes")
     beside = written(places.mapInArrow(_further, _BESIDE), "paragraph-beside")
     # Places with the same words as far as they go are one context; only contexts become a row for each length.
     known = F.first("hashes", True).alias("hashes")
@@ -478,7 +479,8 @@ def _extended(texts: DataFrame, pieces: DataFrame) -> DataFrame:
     far = "edges[most.n_words]"
     ends = [F.expr(f"IF(is_before, {far}, edges[0]) AS start"), F.expr(f"IF(is_before, edges[0], {far}) AS end")]
     found = beside.filter("edges IS NOT NULL").join(most, "context").select("doc_id", "same", "piece", "is_before", "most.*", *ends)
-    found = found.dropDuplicates(["doc_id", "same", "piece", "is_before"])
+    widest = F.max(F.struct("n_words", "start", "end", "class_id", "copies", "first")).alias("most")
+    found = found.groupBy("doc_id", "same", "piece", "is_before").agg(widest).select("doc_id", "same", "piece", "is_before", "most.*")
     edge = pieces.filter("opens OR closes").select(F.col("doc_id").alias("id"), F.col("same").alias("text"), "kind", "text_no", "run", F.col("start").alias("at"), "opens", "closes")
     beside_run = F.expr("id <=> doc_id AND text = same AND at = piece AND IF(is_before, opens, closes)")
     columns = ["doc_id", "kind", "text_no", "run", "at", "start", "end", "n_words", "class_id", "copies", "first"]
@@ -489,7 +491,7 @@ _BESIDE = "doc_id long, same long, text_no long, piece int, is_before boolean, c
 
 
 def _further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, same, text, wanted, text_no`` -> a row for each side of a wanted piece with words beside it.
+    """``doc_id, same, text, wanted, text_no, opens, closes`` -> a row for each side of a wanted piece with words beside it.
 
     They reach as far as a passage can go that does not hold the next cut with all the words it depends on. ``hashes``:
     of the piece with 1, 2, 3 and more of them, in one row at least of each ``context``, the last of these; ``edges``, at the
@@ -504,7 +506,7 @@ def _further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc = np.repeat(np.arange(len(block)), np.array(pc.list_value_length(lists)))
             if not len(doc):
                 continue
-            content, start, end, before, behind, opens, closes = (asked.field(i).to_numpy(zero_copy_only=False) for i in range(7))
+            content, start, end, before, behind = (asked.field(i).to_numpy(zero_copy_only=False) for i in range(5))
             # Words by text and place, as one ascending number.
             wide = int(max(found.end.max(), 1)) + 1
             first = np.searchsorted(found.doc * wide + found.start, doc * wide + start)
@@ -515,7 +517,10 @@ def _further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lower = np.where(lower >= own, np.maximum(lower - REACH, own), own)
             upper = np.r_[cut, len(found.hash)][np.searchsorted(cut, last, "right")]
             upper = np.where(upper < after, np.minimum(upper + REACH + 3, after), after)
-            for is_before, use, ends in ((True, before, opens), (False, behind, closes)):
+            for is_before, use in ((True, before), (False, behind)):
+                at_ends = batch.column(5 if is_before else 6).slice(at, len(block))
+                of = np.repeat(np.arange(len(block)), np.array(pc.list_value_length(at_ends)))
+                ends = np.isin(doc * wide + start, of * wide + at_ends.flatten().to_numpy())
                 size = first - lower if is_before else upper - last
                 piece = np.flatnonzero(use & (size > 0))
                 if not len(piece):
